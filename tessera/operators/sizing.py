@@ -1,0 +1,24 @@
+"""Broadcast only what has a proven size bound.
+
+A derived join side (duplicate keys, lookup values) is written once to the
+shared checkpoint folder, which cuts its lineage and survives executor loss,
+then counted up to ``max_rows + 1``. Only within the bound is it broadcast;
+beyond it the join stays a shuffle join that AQE may still re-plan or split.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.session import checkpoint_dir
+
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    saved = df.checkpoint(eager=True)
+    if saved.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(saved)
+    return saved
