@@ -321,3 +321,123 @@ def all_queries() -> dict:
 
 def all_oracles() -> dict:
     return dict(ORACLE_SQL)
+
+
+# ---- profile bindings (F1-F11) -------------------------------------------------------
+
+# Column kinds of the profiled test tables, as their schemas give them.
+PROFILE_COLUMNS = {
+    "customer": [("c_custkey", "num"), ("c_name", "str"), ("c_nationkey", "num"), ("c_acctbal", "num"),
+                 ("c_mktsegment", "str")],
+    "part": [("p_partkey", "num"), ("p_name", "str"), ("p_brand", "str"), ("p_type", "str"),
+             ("p_size", "num"), ("p_retailprice", "num")],
+    "events": [("event_id", "num"), ("ts", "ts"), ("user_id", "num"), ("event_type", "str"),
+               ("value", "num"), ("props", "str")],
+    "documents_labels": [("doc_id", "num"), ("text", "str"), ("lang", "str"), ("source", "str"),
+                         ("n_chars", "num"), ("quality", "num"), ("toxic", "num")],
+}
+DOCS_LABELS_SQL = ("(SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic "
+                   "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)")
+
+
+def _profile_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name == "documents_labels":
+        return documents_with_labels(spark, sf_dir).select(*[c for c, _ in PROFILE_COLUMNS[name]])
+    return table(spark, sf_dir, name)
+
+
+def profile_query(name: str, part: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tessera.operators import profile as PR
+        df = _profile_source(spark, sf_dir, name)
+        if part == "nulls":
+            return PR.column_stats(df).select("column_name", "row_count", "null_count", "null_fraction")
+        if part == "minmax":
+            return PR.column_stats(df).where(F.col("min_value").isNotNull()).select(
+                "column_name", "min_value", "max_value")
+        if part == "lengths":
+            return PR.column_stats(df).where(F.col("min_length").isNotNull()).select(
+                "column_name", "min_length", "max_length")
+        if part == "flags":
+            return PR.column_stats(df).where(F.col("dtype") == "string").select(
+                "column_name", "looks_like_email", "looks_like_date")
+        names = F.create_map(*[x for i, f in enumerate(df.schema.fields) for x in (F.lit(i), F.lit(f.name))])
+        if part == "distinct":
+            return PR.distinct_counts(df).select(names[F.col("ordinal")].alias("column_name"), "distinct_count")
+        if part == "samples":
+            return PR.sample_values(df).select(names[F.col("ordinal")].alias("column_name"),
+                                               "sample_rank", "sample_value")
+        if part == "suggest":
+            return PR.suggest_rules(df)
+        raise ValueError(part)
+    return query
+
+
+def _src(name: str) -> str:
+    return DOCS_LABELS_SQL if name == "documents_labels" else name
+
+
+def _profile_sql(name: str, part: str) -> str:
+    src, cols, parts = _src(name), PROFILE_COLUMNS[name], []
+    for c, kind in cols:
+        if part == "nulls":
+            parts.append(f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, "
+                         f"COUNT(*) - COUNT({c}) AS null_count, CASE WHEN COUNT(*) > 0 THEN "
+                         f"CAST(COUNT(*) - COUNT({c}) AS DOUBLE) / COUNT(*) ELSE 0.0 END AS null_fraction FROM {src}")
+        elif part == "minmax" and kind == "num":
+            parts.append(f"SELECT '{c}' AS column_name, MIN(CAST({c} AS DOUBLE)) AS min_value, "
+                         f"MAX(CAST({c} AS DOUBLE)) AS max_value FROM {src} HAVING COUNT({c}) > 0")
+        elif part == "lengths" and kind == "str":
+            parts.append(f"SELECT '{c}' AS column_name, CAST(MIN(length({c})) AS INTEGER) AS min_length, "
+                         f"CAST(MAX(length({c})) AS INTEGER) AS max_length FROM {src} HAVING COUNT({c}) > 0")
+        elif part == "flags" and kind == "str":
+            parts.append(f"SELECT '{c}' AS column_name, COALESCE(bool_and(regexp_matches({c}, "
+                         f"'^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$')), false) AS looks_like_email, "
+                         f"COALESCE(bool_and(TRY_CAST({c} AS TIMESTAMP) IS NOT NULL), false) AS looks_like_date "
+                         f"FROM {src}")
+        elif part == "distinct":
+            parts.append(f"SELECT '{c}' AS column_name, COUNT(DISTINCT CAST({c} AS VARCHAR)) AS distinct_count "
+                         f"FROM {src} HAVING COUNT({c}) > 0")
+        elif part == "samples":
+            key = f"CAST({c} AS DOUBLE)" if kind == "num" else "CAST(NULL AS DOUBLE)"
+            parts.append(
+                f"SELECT '{c}' AS column_name, CAST(sample_rank AS INTEGER) AS sample_rank, "
+                f"CASE WHEN length(v) > 80 THEN substr(v, 1, 80) || '…' ELSE v END AS sample_value FROM "
+                f"(SELECT v, row_number() OVER (ORDER BY k ASC NULLS LAST, v ASC) AS sample_rank FROM "
+                f"(SELECT CAST({c} AS VARCHAR) AS v, MIN({key}) AS k FROM {src} WHERE {c} IS NOT NULL GROUP BY 1)) "
+                f"WHERE sample_rank <= 5")
+        elif part == "suggest":
+            n = f"(SELECT COUNT(*) FROM {src})"
+            parts.append(f"SELECT '{c}' AS column_name, 'is_nullable' AS test_key, 'NO' AS test_value "
+                         f"FROM {src} HAVING COUNT(*) > 0 AND COUNT({c}) = COUNT(*)")
+            parts.append(f"SELECT '{c}', 'distinct', 'true' FROM {src} HAVING COUNT(*) > 0 AND "
+                         f"COUNT({c}) = COUNT(*) AND COUNT(DISTINCT CAST({c} AS VARCHAR)) = COUNT(*)")
+            if kind == "num":
+                for agg in ("min", "max"):
+                    parts.append(f"SELECT '{c}', '{agg}', CAST({agg.upper()}(CAST({c} AS DOUBLE)) AS VARCHAR) "
+                                 f"FROM {src} HAVING COUNT({c}) > 0")
+            if kind == "str":
+                parts.append(f"SELECT '{c}', 'regex', '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$' FROM {src} "
+                             f"HAVING COUNT({c}) > 0 AND bool_and(regexp_matches({c}, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$'))")
+                parts.append(f"SELECT '{c}', 'allowed', string_agg(v, ', ' ORDER BY v) FROM "
+                             f"(SELECT DISTINCT {c} AS v FROM {src} WHERE {c} IS NOT NULL) "
+                             f"HAVING COUNT(*) BETWEEN 1 AND 10 AND COUNT(*) < {n}")
+                for agg, key in (("MIN", "min_length"), ("MAX", "max_length")):
+                    parts.append(f"SELECT '{c}', '{key}', CAST({agg}(length({c})) AS VARCHAR) "
+                                 f"FROM {src} HAVING COUNT({c}) > 0")
+    return "\nUNION ALL\n".join(parts)
+
+
+PROFILE_BINDINGS = {
+    "profile_nulls": ("documents_labels", "nulls"),
+    "profile_distinct": ("part", "distinct"),
+    "profile_minmax": ("customer", "minmax"),
+    "profile_lengths": ("part", "lengths"),
+    "profile_samples": ("events", "samples"),
+    "profile_samples_text": ("documents_labels", "samples"),
+    "profile_flags": ("customer", "flags"),
+    "suggest_rules": ("customer", "suggest"),
+    "suggest_rules_events": ("events", "suggest"),
+}
+QUERIES.update({k: profile_query(*v) for k, v in PROFILE_BINDINGS.items()})
+ORACLE_SQL.update({k: _profile_sql(*v) for k, v in PROFILE_BINDINGS.items()})
