@@ -61,9 +61,9 @@ def _value_operands(col: str, dtype: T.DataType, bound: Any) -> tuple[Column, Co
     c = F.col(col)
     number = _as_number(bound)
     if isinstance(dtype, NUMERIC):
-        if number is not None:
-            return c, F.lit(number)
-        return c.cast("string"), F.lit(str(bound))
+        if number is None:
+            raise RuleValueError(f"bound {bound!r} is not a number for {dtype.simpleString()} column {col}")
+        return c, F.lit(number)
     if isinstance(dtype, T.StringType):
         if number is not None:
             return c.try_cast("double"), F.lit(float(number))

@@ -118,5 +118,8 @@ def fused_counts(df: DataFrame, compiled: list[CompiledCheck], mapping_ids: list
     entries += [F.struct(F.lit(mid).cast("int").alias("Mapping_ID"),
                          F.lit(0).cast("long").alias("Failure_Count"))
                 for mid in mapping_ids if mid not in covered]
+    if not entries:
+        return row.select(F.lit(None).cast("int").alias("Mapping_ID"), F.lit(0).cast("long").alias("Failure_Count"),
+                          F.col("_n").cast("long").alias("Row_Count")).where(F.lit(False))
     return (row.select(F.col("_n").cast("long").alias("Row_Count"), F.explode(F.array(*entries)).alias("_e"))
             .select("_e.Mapping_ID", "_e.Failure_Count", "Row_Count"))

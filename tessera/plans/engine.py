@@ -63,6 +63,8 @@ class ValidationResult:
     compiled: list[CompiledCheck]
     frames: list[tuple[Mapping, DataFrame]]
     pk_cols: list[str]
+    run_id: int = 1
+    mapping_ids: list[int] = field(default_factory=list)
 
     def report(self) -> DataFrame:
         return self.detailed.select(*REPORT_COLUMNS)
@@ -213,7 +215,8 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
         ts_lit(window_start).alias("val_st_dt"), ts_lit(window_end).alias("val_end_dt"))
 
     return ValidationResult(failures, counts, detailed, aggregated, object_log,
-                            _error_frame(spark, errors), compiled, frames, pk_cols)
+                            _error_frame(spark, errors), compiled, frames, pk_cols, run.run_id,
+                            mapping_ids)
 
 
 def passing_rows(source: DataFrame, result: ValidationResult) -> DataFrame:
