@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.spec import canonical_logic, decode_rule_logic
 
@@ -31,7 +32,7 @@ SOFT_DEFAULT = (0.01, 2)
 DESCRIPTION_LIMIT = 500
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_logic_udf(logic: pd.Series, test_type: pd.Series) -> pd.Series:
     """Sorted-key JSON for custodial logic; business SQL as written. NULL if unreadable."""
     def one(text, kind):
@@ -46,7 +47,7 @@ def canonical_logic_udf(logic: pd.Series, test_type: pd.Series) -> pd.Series:
     return pd.Series([one(t, k) for t, k in zip(logic, test_type)], dtype=object)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def logic_keys_udf(logic: pd.Series) -> pd.Series:
     def one(text):
         try:
