@@ -11,7 +11,7 @@ shuffle, so no column's values are ever gathered in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +31,13 @@ PROFILE_SCHEMA = ("column_name string, ordinal int, dtype string, row_count long
                   "min_length int, max_length int, looks_like_email boolean, looks_like_date boolean")
 
 
+# Only text shaped like a date is handed to the parsers: a failed parse is costly.
+DATE_SHAPE = r"^\s*\d{1,4}[-/.]\d{1,2}[-/.]\d{1,4}"
+
+
 def _parses_as_date(c):
     tried = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATE_FORMATS] + [F.try_to_timestamp(c)]
-    return F.coalesce(*tried).isNotNull()
+    return F.when(c.rlike(DATE_SHAPE), F.coalesce(*tried).isNotNull()).otherwise(F.lit(False))
 
 
 def column_stats(df: DataFrame) -> DataFrame:
@@ -75,21 +79,69 @@ def column_stats(df: DataFrame) -> DataFrame:
                         .otherwise(F.lit(0.0)).cast("double")))
 
 
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _slots(f: T.StructField):
+    """Typed slots (i: long, d: double, s: string) holding one column's value.
+
+    Integers, booleans, dates and timestamps go to ``i`` (days / microseconds),
+    floating values to ``d``, the rest to ``s``: grouping and ordering work on
+    typed values and nothing is formatted as text until a sample is shown.
+    """
+    c = F.col(f"`{f.name}`")
+    t = f.dataType
+    none_i, none_d, none_s = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(t, INTEGRAL):
+        return c.cast("long"), none_d, none_s
+    if isinstance(t, T.BooleanType):
+        return c.cast("long"), none_d, none_s
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return none_i, c.cast("double"), none_s
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("long"), none_d, none_s
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")), none_d, none_s
+    if isinstance(t, T.DecimalType):
+        return none_i, c.cast("double"), c.cast("string")
+    return none_i, none_d, c.cast("string")
+
+
+def _render(df: DataFrame) -> Column:
+    """Text of a sample value from its typed slots, by the column's type."""
+    out = F.lit(None).cast("string")
+    for i, f in enumerate(df.schema.fields):
+        t = f.dataType
+        if isinstance(t, INTEGRAL):
+            text = F.col("i").cast("string")
+        elif isinstance(t, T.BooleanType):
+            text = (F.col("i") == 1).cast("string")
+        elif isinstance(t, (T.FloatType, T.DoubleType)):
+            text = F.col("d").cast(t).cast("string")
+        elif isinstance(t, T.DateType):
+            text = F.date_from_unix_date(F.col("i").cast("int")).cast("string")
+        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            text = F.timestamp_micros(F.col("i")).cast(t).cast("string")
+        else:
+            text = F.col("s")
+        out = F.when(F.col("ordinal") == i, text).otherwise(out)
+    return out
+
+
 def unpivot_values(df: DataFrame) -> DataFrame:
-    """(ordinal, value text, numeric sort key) for every non-null cell."""
+    """(ordinal, i, d, s) for every non-null cell."""
     items = []
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        key = c.cast("double") if isinstance(f.dataType, NUMERIC) else F.lit(None).cast("double")
-        items.append(F.struct(F.lit(i).cast("int").alias("ordinal"), c.cast("string").alias("value"),
-                              key.alias("sort_key")))
-    return (df.select(F.explode(F.array(*items)).alias("u")).select("u.*")
-            .where(F.col("value").isNotNull()))
+    for n, f in enumerate(df.schema.fields):
+        i, d, s = _slots(f)
+        items.append(F.when(F.col(f"`{f.name}`").isNotNull(), F.struct(
+            F.lit(n).cast("int").alias("ordinal"), i.alias("i"), d.alias("d"), s.alias("s"))))
+    return (df.select(F.explode(F.array(*items)).alias("u")).where(F.col("u").isNotNull())
+            .select("u.*"))
 
 
 def distinct_values(df: DataFrame) -> DataFrame:
-    """F4 input: distinct (ordinal, value) pairs, pre-aggregated map-side."""
-    return unpivot_values(df).groupBy("ordinal", "value").agg(F.min("sort_key").alias("sort_key"))
+    """F4 input: distinct (ordinal, typed value) pairs, pre-aggregated map-side."""
+    return unpivot_values(df).distinct()
 
 
 def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -110,11 +162,11 @@ def truncate_text(c):
 
 
 def sample_values(df: DataFrame, max_sample_values: int = 5) -> DataFrame:
-    """first N distinct values per column, numeric columns by number, others by text."""
-    w = Window.partitionBy("ordinal").orderBy(F.col("sort_key").asc_nulls_last(), F.col("value"))
-    return (distinct_values(df).withColumn("sample_rank", F.row_number().over(w))
-            .where(F.col("sample_rank") <= max_sample_values)
-            .select("ordinal", F.col("sample_rank").cast("int"), truncate_text(F.col("value")).alias("sample_value")))
+    """first N distinct values per column in value order (numbers by number)."""
+    w = Window.partitionBy("ordinal").orderBy("i", "d", "s")
+    top = (distinct_values(df).withColumn("sample_rank", F.row_number().over(w))
+           .where(F.col("sample_rank") <= max_sample_values))
+    return top.select("ordinal", F.col("sample_rank").cast("int"), truncate_text(_render(df)).alias("sample_value"))
 
 
 def profile(df: DataFrame, max_sample_values: int = 5, approx: bool = False) -> DataFrame:
@@ -152,7 +204,8 @@ def suggest_rules(df: DataFrame, prof: DataFrame | None = None) -> DataFrame:
     # Only columns already known to hold few values are collected (at most
     # ALLOWED_MAX_VALUES each); the small-column list is a semi-join filter.
     few = prof.where(F.col("distinct_count") <= ALLOWED_MAX_VALUES).select("ordinal")
-    allowed_values = (distinct_values(df).join(few, "ordinal", "left_semi").groupBy("ordinal")
+    allowed_values = (distinct_values(df).join(few, "ordinal", "left_semi")
+                      .select("ordinal", _render(df).alias("value")).groupBy("ordinal")
                       .agg(F.array_sort(F.collect_list("value")).alias("_vals"))
                       .select("ordinal", F.concat_ws(", ", "_vals").alias("_allowed")))
     p = p.join(allowed_values, "ordinal", "left")
