@@ -441,3 +441,230 @@ PROFILE_BINDINGS = {
 }
 QUERIES.update({k: profile_query(*v) for k, v in PROFILE_BINDINGS.items()})
 ORACLE_SQL.update({k: _profile_sql(*v) for k, v in PROFILE_BINDINGS.items()})
+
+
+# ---- alert routing over table-derived aggregates (N1, N2, J7, J8) ---------------------
+
+ROUTE_HANDLERS = [(1, "LOW SEVERITY: review the attached report"), (2, "MEDIUM SEVERITY: fix within 24 hours"),
+                  (3, "HIGH SEVERITY: escalate now")]
+ROUTE_CONTACTS = [(1, "dq-team@example.com"), (2, "dq-lead@example.com"), (3, "escalation@example.com")]
+ROUTE_NOTIFICATIONS = [(1, 1, 1), (2, 2, 2), (3, 3, 3)]
+ROUTE_OBJECTS = [(1, 2, 1, 1), (2, 2, 2, 2), (3, 2, 3, 3), (4, 1, 2, 2)]  # customer has no HIGH route
+
+
+def routing_catalog(spark: SparkSession):
+    from tessera.plans.catalog import Catalog
+    return Catalog.from_rows(spark, handler=ROUTE_HANDLERS, distribution=ROUTE_CONTACTS,
+                             notification=ROUTE_NOTIFICATIONS, object_notification=ROUTE_OBJECTS)
+
+
+def _summary_aggregated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    th = thresholds_frame(spark)
+    a = run_rules(spark, table(spark, sf_dir, "orders"), "orders", "o_orderkey", MIN_SLICE, thresholds=th)
+    b = run_rules(spark, table(spark, sf_dir, "customer"), "customer", "c_custkey", [CUSTOMER_MIN], thresholds=th)
+    return a.aggregated.unionByName(b.aggregated)
+
+
+def alerts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators import alerts
+    return alerts.alert_rows(_summary_aggregated(spark, sf_dir), routing_catalog(spark))
+
+
+def recipients_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators import alerts
+    return alerts.recipients(_summary_aggregated(spark, sf_dir), routing_catalog(spark)).drop("Notification_ID")
+
+
+def _routing_sql(with_contacts: bool) -> str:
+    h = ", ".join(f"({i}, '{t}')" for i, t in ROUTE_HANDLERS)
+    c = ", ".join(f"({i}, '{t}')" for i, t in ROUTE_CONTACTS)
+    n = ", ".join(str(x) for x in ROUTE_NOTIFICATIONS)
+    o = ", ".join(str(x) for x in ROUTE_OBJECTS)
+    join = "JOIN" if with_contacts else "LEFT JOIN"
+    extra = ", r.contact AS Contact_email" if with_contacts else ""
+    return f"""
+WITH agg AS ({_summary_sql()}),
+h(hid, txt) AS (VALUES {h}), c(cid, contact) AS (VALUES {c}), n(nid, cid, hid) AS (VALUES {n}),
+o(onid, oid, crit, nid) AS (VALUES {o}),
+r AS (SELECT o.oid, o.crit, h.txt, c.contact FROM o LEFT JOIN n ON o.nid = n.nid
+      LEFT JOIN h ON n.hid = h.hid LEFT JOIN c ON n.cid = c.cid)
+SELECT a.Column_Name, a.Rule_ID, a.Object_ID, a.Run_ID, a.Criticality, a.Object_Name, a.Rule_Description,
+       r.txt AS Notification_Handler_Text{extra}
+FROM agg a {join} r ON a.Object_ID = r.oid AND r.crit = a.Criticality
+WHERE a.Criticality IS NOT NULL"""
+
+
+# ---- declared-schema conformance on orders (P15, P16, S9) ------------------------------
+
+ORDERS_DECLARED = [("o_orderkey", "INT64", "NO"), ("o_custkey", "INT64", "NO"), ("o_orderstatus", "STRING", "NO"),
+                   ("o_totalprice", "INT64", "YES"), ("o_orderdate", "DATE", "YES"),
+                   ("o_orderpriority", "STRING", "YES"), ("o_clerk", "STRING", "YES")]
+
+
+def type_check_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    m = Mapping(40, 13, 2, "", "{}", "Custodial", "types", "orders", "o_orderkey")
+    r = validate(spark, ObjectRun(2, "orders", "o_orderkey", orders, [m], CLOCK, declared=ORDERS_DECLARED))
+    return r.report()
+
+
+def schema_diff_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.schema_check import schema_diff
+    return schema_diff(spark, table(spark, sf_dir, "orders"), ORDERS_DECLARED, 2)
+
+
+def _spark_type_sql(col: str) -> str:
+    return (f"CASE {col} WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+            f"WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' "
+            f"WHEN 'BOOLEAN' THEN 'boolean' ELSE lower({col}) END")
+
+
+def _type_check_sql() -> str:
+    from tessera.functions.typematrix import STRICT_ACCEPTED, family
+    decl = ", ".join(f"('{c}', '{t}', '{n}')" for c, t, n in ORDERS_DECLARED)
+    accepted = ", ".join(f"('{k}', '{family(v)}')" for k, vs in STRICT_ACCEPTED.items() for v in vs)
+    return f"""
+WITH d(col, declared, nullable) AS (VALUES {decl}),
+acc(declared, fam) AS (VALUES {accepted}),
+actual AS (SELECT column_name AS col, {_spark_type_sql('data_type')} AS stype
+           FROM information_schema.columns WHERE table_name = 'orders'),
+fam AS (SELECT col, stype, CASE WHEN stype = 'timestamp_ntz' THEN 'timestamp'
+                                WHEN stype LIKE 'decimal%' THEN 'decimal' ELSE stype END AS fam FROM actual)
+SELECT CAST(40 AS INTEGER) AS Mapping_ID, CAST(13 AS INTEGER) AS Rule_ID, CAST(2 AS INTEGER) AS Object_ID,
+       CAST(1 AS INTEGER) AS Run_ID, '' AS Column_Name, 'o_orderkey' AS Primary_Key_Column_s_,
+       f.col || ' detected as ' || f.stype || ' type. Schema specifies ' || d.declared || ' type.'
+         AS Primary_Key_Value_s_, f.col AS Actual_Value
+FROM d JOIN fam f ON d.col = f.col
+WHERE NOT EXISTS (SELECT 1 FROM acc WHERE acc.declared = d.declared AND acc.fam = f.fam)
+UNION ALL
+SELECT 40, 13, 2, 1, '', 'o_orderkey', CAST(o_orderkey AS VARCHAR), NULL FROM orders
+WHERE o_orderkey IS NULL OR o_custkey IS NULL
+UNION ALL
+SELECT 40, 13, 2, 1, '', 'o_orderkey', CAST(o_orderkey AS VARCHAR), NULL FROM orders
+WHERE o_orderstatus IS NULL"""
+
+
+def _schema_diff_sql() -> str:
+    decl = ", ".join(f"('{c}')" for c, _, _ in ORDERS_DECLARED)
+    return f"""
+WITH d(col) AS (VALUES {decl}),
+a AS (SELECT column_name AS col FROM information_schema.columns WHERE table_name = 'orders')
+SELECT CAST(2 AS INTEGER) AS Object_ID, col AS Column_Name, 'missing' AS Finding,
+       'declared but absent' AS Detail FROM d WHERE col NOT IN (SELECT col FROM a)
+UNION ALL
+SELECT 2, col, 'extra', 'present but not declared' FROM a WHERE col NOT IN (SELECT col FROM d)
+UNION ALL
+SELECT 2, NULL, 'column_count', (SELECT COUNT(*) FROM a) || ' present, ' || (SELECT COUNT(*) FROM d) || ' declared'
+WHERE (SELECT COUNT(*) FROM a) <> (SELECT COUNT(*) FROM d)"""
+
+
+# ---- the flagship: twelve row rules on lineitem, one scan ------------------------------
+
+LINEITEM_PK = "l_orderkey, l_linenumber"
+LINEITEM_RULES = [  # (Mapping_ID, Rule_ID, column, logic, [SQL failing condition per key])
+    (301, 7, "l_quantity", '{"min": 1, "max": 50}', ["l_quantity < 1", "l_quantity > 50"]),
+    (302, 8, "l_extendedprice", '{"max": 100000}', ["l_extendedprice > 100000"]),
+    (303, 7, "l_discount", '{"min": 0, "max": 0.1}', ["l_discount < 0", "l_discount > 0.1"]),
+    (304, 8, "l_tax", '{"max": 0.08}', ["l_tax > 0.08"]),
+    (305, 5, "l_returnflag", '{"allowed": ["A", "N", "R"]}', ["l_returnflag NOT IN ('A', 'N', 'R')"]),
+    (306, 5, "l_linestatus", '{"allowed": ["O", "F"], "is_nullable": "NO"}',
+     ["l_linestatus NOT IN ('O', 'F')", "l_linestatus IS NULL"]),
+    (307, 11, "l_shipdate", '{"min_date": "1992-01-01", "max_date": "1998-12-31"}',
+     ["CAST(l_shipdate AS DATE) < DATE '1992-01-01'", "CAST(l_shipdate AS DATE) > DATE '1998-12-31'"]),
+    (308, 1, "l_orderkey", '{"is_nullable": "NO"}', ["l_orderkey IS NULL"]),
+    (309, 3, "l_returnflag", '{"regex": "^[ANR]$"}', ["NOT regexp_matches(l_returnflag, '^[ANR]$')"]),
+    (310, 7, "l_linenumber", '{"min": 1, "max": 7}', ["l_linenumber < 1", "l_linenumber > 7"]),
+    (311, 7, "l_partkey", '{"min": 1}', ["l_partkey < 1"]),
+    (312, 6, "l_suppkey", '{"forbidden": [0]}', ["l_suppkey IN (0)"]),
+]
+
+
+def fused_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [(mid, rid, col, logic, "") for mid, rid, col, logic, _ in LINEITEM_RULES]
+    return run_rules(spark, table(spark, sf_dir, "lineitem"), "lineitem", LINEITEM_PK, rules).report()
+
+
+def _fused_lineitem_sql() -> str:
+    pk = f"{_s('l_orderkey')} || ', ' || {_s('l_linenumber')}"
+    parts = [_report_sql(mid, rid, 7, col, LINEITEM_PK, pk, _s(col), f"FROM lineitem WHERE {cond}")
+             for mid, rid, col, _, conds in LINEITEM_RULES for cond in conds]
+    return "\nUNION ALL\n".join(parts)
+
+
+def lookup_lineitem_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {"tpch.part": table(spark, sf_dir, "part"),
+              "tpch.big_suppliers": table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 9000)}
+    rules = [(320, 17, "l_partkey", '{"allowed": {"dataset_id": "tpch", "table_name": "part", '
+                                    '"column_name": "p_partkey"}}', ""),
+             (321, 18, "l_suppkey", '{"forbidden": {"dataset_id": "tpch", "table_name": "big_suppliers", '
+                                    '"column_name": "s_suppkey"}}', "")]
+    return run_rules(spark, table(spark, sf_dir, "lineitem"), "lineitem", LINEITEM_PK, rules, tables).report()
+
+
+def _lookup_lineitem_sql() -> str:
+    pk = f"{_s('l_orderkey')} || ', ' || {_s('l_linenumber')}"
+    return "\nUNION ALL\n".join([
+        _report_sql(320, 17, 7, "l_partkey", LINEITEM_PK, pk, _s("l_partkey"),
+                    "FROM lineitem WHERE l_partkey IS NOT NULL AND NOT EXISTS "
+                    "(SELECT 1 FROM part WHERE p_partkey = l_partkey)"),
+        _report_sql(321, 18, 7, "l_suppkey", LINEITEM_PK, pk, _s("l_suppkey"),
+                    "FROM lineitem WHERE EXISTS (SELECT 1 FROM supplier WHERE s_acctbal > 9000 "
+                    "AND s_suppkey = l_suppkey)"),
+    ])
+
+
+def business_orphans_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql = ORPHANS_SQL.split("    AND o.o_orderdate >=")[0].rstrip() + ";"
+    orders = table(spark, sf_dir, "orders")
+    orders.createOrReplaceTempView("tpch_orders")
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("tpch_lineitem")
+    return run_rules(spark, orders, "orders", "o_orderkey", [(22, 15, "o_orderkey, o_custkey", sql, "")],
+                     test_type="Business").report()
+
+
+# ---- catalog merge fed by rule proposals on customer (C1-C5, F11) ----------------------
+
+def catalog_merge_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators import merge
+    from tessera.operators import profile as PR
+    from tessera.plans.catalog import Catalog
+    proposals = PR.candidate_rule_logic(PR.suggest_rules(table(spark, sf_dir, "customer")))
+    candidates = proposals.select(
+        F.concat(F.lit("r_"), F.col("column_name")).alias("rule_id_temp"), F.lit("Custodial").alias("test_type"),
+        "column_name", F.concat(F.lit("proposed for "), F.col("column_name")).alias("rule_description"),
+        F.col("rule_logic"), F.lit(0.9).alias("confidence"), F.lit(True).alias("include"))
+    existing_logic = '{"min_length": 18, "max_length": 18, "is_nullable": "NO", "distinct": true}'
+    catalog = Catalog.from_rows(
+        spark, rule=[(1, "name shape", existing_logic, "Custodial")],
+        object_lookup=[(1, "customer", "tpch", None, "c_custkey", "full table", None, None, 1)],
+        rule_mapping=[(1, 1, 1, "c_name", None, None, "Custodial", 1)],
+        rule_threshold=[])
+    result = merge.merge(spark, catalog, candidates, "customer", "tpch", "c_custkey")
+    return (result.mappings.join(result.rules.drop("Test_Type"), "Rule_ID").join(result.thresholds, "Mapping_ID")
+            .select("Mapping_ID", "Rule_ID", "Object_ID", "Column_Name", "Rule_Logic", "Test_Type",
+                    F.col("Failure_Threshold_Value").cast("double").alias("Failure_Threshold_Value"),
+                    "Criticality"))
+
+
+QUERIES.update({
+    "alerts": alerts_query,
+    "alert_recipients": recipients_query,
+    "type_check": type_check_query,
+    "schema_diff": schema_diff_query,
+    "fused_lineitem": fused_lineitem,
+    "lookup_lineitem_part": lookup_lineitem_part,
+    "business_orphans_full": business_orphans_full,
+    "catalog_merge": catalog_merge_query,
+})
+ORACLE_SQL.update({
+    "alerts": _routing_sql(False),
+    "alert_recipients": _routing_sql(True),
+    "type_check": _type_check_sql(),
+    "schema_diff": _schema_diff_sql(),
+    "fused_lineitem": _fused_lineitem_sql(),
+    "lookup_lineitem_part": _lookup_lineitem_sql(),
+    "business_orphans_full": _report_sql(22, 15, 2, "o_orderkey, o_custkey", "o_orderkey", _s("o_orderkey"),
+                                         f"{_s('o_orderkey')} || ', ' || {_s('o_custkey')}",
+                                         "FROM orders o WHERE NOT EXISTS "
+                                         "(SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"),
+})
