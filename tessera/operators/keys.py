@@ -2,10 +2,19 @@
 
 Every row whose non-null key occurs more than once is reported, one output row
 per occurrence. Duplicate keys are found by a grouped count, which Spark
-pre-aggregates map-side, so a hot key costs one partial row per task before the
-shuffle. The rows are then matched to those keys with a semi join: broadcast
-when the key set is within a checked bound, else a shuffle join whose hot
-partitions AQE's skew handling splits. No key's rows are ever collected into a list.
+pre-aggregates map-side, so a hot key costs one partial row per task before
+the shuffle. The counted keys are written to the checkpoint folder once, then
+the rows are matched to them with semi joins:
+
+* few duplicate keys (within the broadcast bound): one broadcast semi join, no
+  shuffle of the rows at all;
+* otherwise the keys are split by their count. *Hot* keys (more than
+  ``hot_key_rows`` occurrences) number at most rows / ``hot_key_rows``, so they
+  are broadcast and their rows are matched map-side; only rows of the other
+  keys go through the shuffle join, where no key brings more than
+  ``hot_key_rows`` rows to one task.
+
+No key's rows are ever collected into a list or sent to a single task whole.
 """
 
 from __future__ import annotations
@@ -18,26 +27,41 @@ from pyspark.sql import functions as F
 
 from tessera.functions.projection import joined_text
 from tessera.operators.fused import ACTUAL, PK_VALUE
-from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_side
+from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_side, saved
+
+HOT_KEY_ROWS = 1_000_000
+OCCURRENCES = "_occurrences"
+
+
+def _non_null(df: DataFrame, key_cols: list[str]) -> DataFrame:
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in key_cols]))
 
 
 def duplicate_keys(df: DataFrame, key_cols: list[str]) -> DataFrame:
-    nonnull = df.where(reduce(and_, [F.col(c).isNotNull() for c in key_cols]))
-    return (nonnull.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_occurrences"))
-            .where(F.col("_occurrences") > 1).select(*key_cols))
+    """Keys occurring more than once, with their number of occurrences."""
+    return (_non_null(df, key_cols).groupBy(*key_cols).agg(F.count(F.lit(1)).alias(OCCURRENCES))
+            .where(F.col(OCCURRENCES) > 1))
 
 
-def duplicate_rows(df: DataFrame, key_cols: list[str],
-                   broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def duplicate_rows(df: DataFrame, key_cols: list[str], broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Rows of ``df`` whose (non-null) key occurs more than once."""
-    nonnull = df.where(reduce(and_, [F.col(c).isNotNull() for c in key_cols]))
-    dups = bounded_side(duplicate_keys(df, key_cols), broadcast_max_rows)
-    return nonnull.join(dups, on=key_cols, how="left_semi")
+    rows = _non_null(df, key_cols)
+    dups, small = saved(duplicate_keys(df, key_cols), broadcast_max_rows)
+    if small:
+        return rows.join(F.broadcast(dups.select(*key_cols)), on=key_cols, how="left_semi")
+    hot = bounded_side(dups.where(F.col(OCCURRENCES) > hot_key_rows).select(*key_cols), broadcast_max_rows)
+    cold = dups.where(F.col(OCCURRENCES) <= hot_key_rows).select(*key_cols)
+    hot_rows = rows.join(hot, on=key_cols, how="left_semi")
+    cold_rows = rows.join(hot, on=key_cols, how="left_anti").join(cold, on=key_cols, how="left_semi")
+    return hot_rows.unionByName(cold_rows)
 
 
 def duplicate_failures(df: DataFrame, key_cols: list[str], pk_cols: list[str],
-                       broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    rows = duplicate_rows(df.select(*dict.fromkeys(pk_cols + key_cols)), key_cols, broadcast_max_rows)
+                       broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    rows = duplicate_rows(df.select(*dict.fromkeys(pk_cols + key_cols)), key_cols, broadcast_max_rows,
+                          hot_key_rows)
     return rows.select(joined_text(pk_cols).alias(PK_VALUE), joined_text(key_cols).alias(ACTUAL))
 
 

@@ -16,9 +16,13 @@ from tessera.session import checkpoint_dir
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def saved(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """(checkpointed frame, whether it has at most ``max_rows`` rows)."""
     checkpoint_dir(df.sparkSession)
-    saved = df.checkpoint(eager=True)
-    if saved.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(saved)
-    return saved
+    frame = df.checkpoint(eager=True)
+    return frame, frame.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    frame, small = saved(df, max_rows)
+    return F.broadcast(frame) if small else frame

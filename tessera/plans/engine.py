@@ -50,6 +50,7 @@ class ObjectRun:
     strict_types: bool = False
     emit_empty: bool = True
     broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS
+    hot_key_rows: int = keys.HOT_KEY_ROWS
 
 
 @dataclass
@@ -151,7 +152,7 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
                 for c in list(check.columns) + pk_cols:
                     resolve(types, c)
                 frames.append((m, keys.duplicate_failures(source, list(check.columns), pk_cols,
-                                                          run.broadcast_max_rows)))
+                                                          run.broadcast_max_rows, run.hot_key_rows)))
             elif kind == "lookup":
                 if len(check.columns) != 1:
                     raise P.RuleValueError("lookup tests take exactly one column")

@@ -161,3 +161,16 @@ def test_lookup_side_is_broadcast_when_small(spark):
     r.detailed.collect()
     plan = r.detailed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_hot_and_cold_duplicate_keys_match_brute_force(spark):
+    from tessera.operators import keys
+    rows = [(1, i) for i in range(300)] + [(k, i) for k in range(2, 40) for i in range(k % 4 + 1)] + [(None, 0)]
+    df = spark.createDataFrame(rows, "k int, id int")
+    got = keys.duplicate_rows(df, ["k"], broadcast_max_rows=2, hot_key_rows=10)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Union" in plan
+    expected = sorted((k, i) for k, i in rows if k is not None and sum(1 for x, _ in rows if x == k) > 1)
+    assert sorted((r["k"], r["id"]) for r in got.collect()) == expected
+    small = keys.duplicate_rows(df, ["k"])
+    assert sorted((r["k"], r["id"]) for r in small.collect()) == expected
