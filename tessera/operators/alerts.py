@@ -18,11 +18,12 @@ ALERT_COLUMNS = ["Column_Name", "Rule_ID", "Object_ID", "Run_ID", "Criticality",
 
 def routes(catalog) -> DataFrame:
     """(ObjectID, route criticality, Notification_ID, handler text, contact)."""
+    # The routing catalog is a handful of rows per object: broadcast.
     return (catalog.object_notification.select("ObjectID", F.col("Criticality").alias("Route_Criticality"),
                                                "Notification_ID")
-            .join(catalog.notification, "Notification_ID", "left")
-            .join(catalog.handler, "Notification_Handler_ID", "left")
-            .join(catalog.distribution, "Notification_Distribution_ID", "left")
+            .join(F.broadcast(catalog.notification), "Notification_ID", "left")
+            .join(F.broadcast(catalog.handler), "Notification_Handler_ID", "left")
+            .join(F.broadcast(catalog.distribution), "Notification_Distribution_ID", "left")
             .select("ObjectID", "Route_Criticality", "Notification_ID", "Notification_Handler_Text",
                     F.col("Notification_Distribution_Contact").alias("Contact_email")))
 
@@ -38,7 +39,7 @@ def alert_rows(aggregated: DataFrame, catalog, mode: str = "equal") -> DataFrame
     """One row per alerting aggregate and matching handler; rows without a
     route are kept with a NULL handler text."""
     alerts = aggregated.where(F.col("Criticality").isNotNull()).select(*ALERT_COLUMNS)
-    r = routes(catalog).select("ObjectID", "Route_Criticality", "Notification_Handler_Text").distinct()
+    r = F.broadcast(routes(catalog).select("ObjectID", "Route_Criticality", "Notification_Handler_Text").distinct())
     return (alerts.join(r, _match(alerts, r, mode), "left")
             .select(*ALERT_COLUMNS, "Notification_Handler_Text"))
 
@@ -46,7 +47,7 @@ def alert_rows(aggregated: DataFrame, catalog, mode: str = "equal") -> DataFrame
 def recipients(aggregated: DataFrame, catalog, mode: str = "equal") -> DataFrame:
     """Every contact routed for each alerting aggregate's object and criticality."""
     alerts = aggregated.where(F.col("Criticality").isNotNull()).select(*ALERT_COLUMNS)
-    r = routes(catalog)
+    r = F.broadcast(routes(catalog))
     return (alerts.join(r, _match(alerts, r, mode), "inner")
             .select(*ALERT_COLUMNS, "Notification_ID", "Notification_Handler_Text", "Contact_email"))
 

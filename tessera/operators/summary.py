@@ -45,12 +45,14 @@ def criticality(summary: DataFrame, thresholds: DataFrame | None) -> DataFrame:
     """
     if thresholds is None:
         return summary.withColumn("Criticality", F.lit(None).cast("int"))
+    # Thresholds, per-mapping totals and fired tiers all have catalog size
+    # (a few rows per mapping), so they are broadcast.
     fired = (summary.select("Mapping_ID", "Failure_Count", "Failure_Percent")
-             .join(active_thresholds(thresholds), "Mapping_ID")
+             .join(F.broadcast(active_thresholds(thresholds)), "Mapping_ID")
              .where((F.col("Failure_Count") > 0) & (F.col("_threshold") <= F.col("Failure_Percent")))
              .groupBy("Mapping_ID")
              .agg(F.max_by("_tier", F.struct("_threshold", "_tier")).alias("Criticality")))
-    return summary.join(fired, "Mapping_ID", "left")
+    return summary.join(F.broadcast(fired), "Mapping_ID", "left")
 
 
 def aggregated_rows(counts: DataFrame, meta: DataFrame, thresholds: DataFrame | None, run_id: int,
@@ -60,7 +62,7 @@ def aggregated_rows(counts: DataFrame, meta: DataFrame, thresholds: DataFrame |
     if not emit_empty:
         s = s.where(F.col("Row_Count") > 0)
     s = criticality(s, thresholds)
-    s = meta.join(s, "Mapping_ID")
+    s = F.broadcast(meta).join(F.broadcast(s), "Mapping_ID")
     return s.select(
         ts_lit(now).alias("Last_Update_Date"),
         F.col("Failure_Percent"),

@@ -67,12 +67,13 @@ def rule_plan(catalog: Catalog, object_ids: list[int] | None = None, require_thr
     if object_name is not None:
         objects = objects.where(F.col("Object_Name") == object_name)
     mappings = _active(catalog.rule_mapping).drop("Active").drop("Test_Type")
-    plan = (objects.drop("Active")
+    # Catalog tables: a few rows per rule and object, broadcast.
+    plan = (F.broadcast(objects.drop("Active"))
             .join(mappings, "Object_ID")
-            .join(catalog.rule, "Rule_ID"))
+            .join(F.broadcast(catalog.rule), "Rule_ID"))
     if require_threshold:
         live = _active(catalog.rule_threshold).select("Mapping_ID")
-        plan = plan.join(live, "Mapping_ID", "left_semi")
+        plan = plan.join(F.broadcast(live), "Mapping_ID", "left_semi")
     return plan.select(*PLAN_COLUMNS).distinct()
 
 

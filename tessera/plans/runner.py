@@ -89,15 +89,16 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
                                      "Object_ID int, Run_ID int")
         written = (spark.read.parquet(f"{out_dir}/detailed")
                    .where(F.col("Period") == date_lit(clock.period))
-                   .join(runs, ["Object_ID", "Run_ID"], "left_semi"))
+                   .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
         failure_counts = written.groupBy("Mapping_ID").agg(F.count(F.lit(1)).cast("long").alias("Failure_Count"))
         row_counts = _union([s.agg(F.lit(p.object_id).cast("int").alias("Object_ID"),
                                    F.count(F.lit(1)).cast("long").alias("Row_Count")) for p, _, s in results])
         mapping_objects = spark.createDataFrame(
             [(mid, p.object_id) for p, r, _ in results for mid in r.mapping_ids],
             "Mapping_ID int, Object_ID int")
-        counts = (mapping_objects.join(row_counts, "Object_ID")
-                  .join(failure_counts, "Mapping_ID", "left")
+        # one row per mapping / object: catalog-sized, broadcast
+        counts = (F.broadcast(mapping_objects).join(F.broadcast(row_counts), "Object_ID")
+                  .join(F.broadcast(failure_counts), "Mapping_ID", "left")
                   .select("Mapping_ID", F.coalesce("Failure_Count", F.lit(0)).cast("long").alias("Failure_Count"),
                           "Row_Count"))
         aggregated = _union([
@@ -110,7 +111,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
             "Period", date_lit(clock.period)), f"{out_dir}/rule_errors")
         written_agg = (spark.read.parquet(f"{out_dir}/aggregated")
                        .where(F.col("Period") == date_lit(clock.period))
-                       .join(runs, ["Object_ID", "Run_ID"], "left_semi"))
+                       .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
         write_results(alert_ops.alert_rows(written_agg, catalog, alert_mode),
                       f"{out_dir}/alerts", partition_by=())
         report.actions += 5
