@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.local import local_frame
 from tessera.operators.spec import canonical_logic, decode_rule_logic
 
 # The proposable key vocabulary (no custom code), the hard
@@ -94,7 +95,7 @@ def _max_id(df: DataFrame, column: str) -> int:
 def resolve_object(spark: SparkSession, catalog, object_name: str, database: str, primary_key: str,
                    extension: str | None = None, period: str = "full table") -> tuple[DataFrame, DataFrame]:
     """(object row to use, existing object rows whose primary key differs)."""
-    wanted = spark.createDataFrame([(object_name, database, primary_key, extension, period)],
+    wanted = local_frame(spark, [(object_name, database, primary_key, extension, period)],
                                    "Object_Name string, Object_Database_Name string, Primary_Key string, "
                                    "Object_Extension string, Validation_Period string")
     objects = catalog.object_lookup

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tessera import schemas
+from tessera.functions.local import local_frame
 from tessera.functions.typematrix import accepts, mismatch_message
 
 
@@ -66,11 +67,11 @@ def schema_diff(spark: SparkSession, df: DataFrame, declared: list[tuple], objec
     rows += [(object_id, actual[k], "extra", "present but not declared") for k in actual if k not in expected]
     if len(actual) != len(expected):
         rows.append((object_id, None, "column_count", f"{len(actual)} present, {len(expected)} declared"))
-    return spark.createDataFrame(rows, schemas.SCHEMA_FINDINGS)
+    return local_frame(spark, rows, schemas.SCHEMA_FINDINGS)
 
 
 def declared_frame(spark: SparkSession, declared: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(declared, schemas.DECLARED_SCHEMA)
+    return local_frame(spark, declared, schemas.DECLARED_SCHEMA)
 
 
 def spark_type_of(df: DataFrame, column: str) -> T.DataType | None:

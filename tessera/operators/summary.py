@@ -41,18 +41,19 @@ def active_thresholds(thresholds: DataFrame) -> DataFrame:
 def criticality(summary: DataFrame, thresholds: DataFrame | None) -> DataFrame:
     """The highest tier whose threshold <= percent; only when there are failures.
 
-    Ties on the threshold resolve to the higher tier.
+    Ties on the threshold resolve to the higher tier. The thresholds (catalog
+    size) are broadcast to the per-mapping totals and folded in one aggregate
+    on ``Mapping_ID``, the totals' own partitioning, so the totals are computed
+    once and nothing is shuffled again.
     """
     if thresholds is None:
         return summary.withColumn("Criticality", F.lit(None).cast("int"))
-    # Thresholds, per-mapping totals and fired tiers all have catalog size
-    # (a few rows per mapping), so they are broadcast.
-    fired = (summary.select("Mapping_ID", "Failure_Count", "Failure_Percent")
-             .join(F.broadcast(active_thresholds(thresholds)), "Mapping_ID")
-             .where((F.col("Failure_Count") > 0) & (F.col("_threshold") <= F.col("Failure_Percent")))
-             .groupBy("Mapping_ID")
-             .agg(F.max_by("_tier", F.struct("_threshold", "_tier")).alias("Criticality")))
-    return summary.join(F.broadcast(fired), "Mapping_ID", "left")
+    fires = (F.col("Failure_Count") > 0) & (F.col("_threshold") <= F.col("Failure_Percent"))
+    others = [c for c in summary.columns if c != "Mapping_ID"]
+    return (summary.join(F.broadcast(active_thresholds(thresholds)), "Mapping_ID", "left")
+            .groupBy("Mapping_ID")
+            .agg(*[F.first(c).alias(c) for c in others],
+                 F.max(F.when(fires, F.struct("_threshold", "_tier")))["_tier"].alias("Criticality")))
 
 
 def aggregated_rows(counts: DataFrame, meta: DataFrame, thresholds: DataFrame | None, run_id: int,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import schemas
+from tessera.functions.local import local_frame
 from tessera.operators.spec import Mapping
 
 PLAN_COLUMNS = ["Object_ID", "Object_Name", "Object_Database_Name", "Object_Extension", "Primary_Key",
@@ -36,7 +37,7 @@ class Catalog:
     @staticmethod
     def from_rows(spark: SparkSession, rule=(), object_lookup=(), rule_mapping=(), rule_threshold=(),
                   handler=(), distribution=(), notification=(), object_notification=()) -> "Catalog":
-        mk = lambda rows, schema: spark.createDataFrame(list(rows), schema)
+        mk = lambda rows, schema: local_frame(spark, rows, schema)
         return Catalog(mk(rule, schemas.RULE), mk(object_lookup, schemas.OBJECT_LOOKUP),
                        mk(rule_mapping, schemas.RULE_MAPPING), mk(rule_threshold, schemas.RULE_THRESHOLD),
                        mk(handler, schemas.NOTIFICATION_HANDLER),

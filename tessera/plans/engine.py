@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tessera import schemas
 from tessera.clock import RunClock
 from tessera.functions import predicates as P
+from tessera.functions.local import local_frame
 from tessera.functions.projection import date_lit, joined_text, label_text, split_names, ts_lit
 from tessera.operators import keys, lookups, schema_check, sqlrules, summary
 from tessera.operators.fused import (ACTUAL, PK_VALUE, CompiledCheck, MissingColumnError,
@@ -105,7 +106,7 @@ def _stamp(frame: DataFrame, m: Mapping) -> DataFrame:
 def _error_frame(spark: SparkSession, errors: list[RuleError]) -> DataFrame:
     rows = [(e.mapping.object_id, e.mapping.mapping_id, e.mapping.rule_id, e.mapping.column_name,
              e.key, e.error) for e in errors]
-    return spark.createDataFrame(rows, schemas.RULE_ERRORS)
+    return local_frame(spark, rows, schemas.RULE_ERRORS)
 
 
 def _short(exc: Exception) -> str:
@@ -120,7 +121,7 @@ def _schema_check(spark, run: ObjectRun, check: Check, types, today, now, compil
     scope = schema_check.restrict(declared, check.columns)
     found = schema_check.type_mismatches(run.source, scope, strict=run.strict_types)
     rows = [(message, column) for column, message in found]
-    frame = spark.createDataFrame(rows, f"{PK_VALUE} string, {ACTUAL} string")
+    frame = local_frame(spark, rows, f"{PK_VALUE} string, {ACTUAL} string")
     frames.append((check.mapping, frame))
     for column in schema_check.required_columns(scope):
         if column.lower() in types:
@@ -184,7 +185,7 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
     if parts:
         failures = reduce(lambda a, b: a.unionByName(b), parts)
     else:
-        failures = spark.createDataFrame([], ", ".join(
+        failures = local_frame(spark, [], ", ".join(
             f"{c} {'int' if c.endswith('_ID') else 'string'}" for c in FAILURE_COLUMNS))
 
     counts = fused_counts(source, compiled, mapping_ids)
@@ -205,11 +206,11 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
 
     meta_rows = [(m.mapping_id, m.rule_id, m.object_id, m.column_name, run.object_name,
                   m.rule_description) for m in run.mappings if m.mapping_id in set(mapping_ids)]
-    meta = spark.createDataFrame(meta_rows, "Mapping_ID int, Rule_ID int, Object_ID int, "
+    meta = local_frame(spark, meta_rows, "Mapping_ID int, Rule_ID int, Object_ID int, "
                                             "Column_Name string, Object_Name string, Rule_Description string")
     aggregated = summary.aggregated_rows(counts, meta, run.thresholds, run.run_id, now, run.emit_empty)
 
-    object_log = spark.createDataFrame([(run.run_id, run.object_id, run.object_name)],
+    object_log = local_frame(spark, [(run.run_id, run.object_id, run.object_name)],
                                        "Object_Log_ID int, Object_ID int, Object_Name string").select(
         "Object_Log_ID", date_lit(today).alias("Period"), "Object_ID", "Object_Name",
         ts_lit(now).alias("Last_Update_Date"),

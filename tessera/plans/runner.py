@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera import schemas
 from tessera.clock import RunClock
+from tessera.functions.local import local_frame
 from tessera.functions.projection import date_lit
 from tessera.operators import alerts as alert_ops
 from tessera.operators import summary
@@ -85,7 +86,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
         # 1) all failures of all objects, one write
         write_results(_union([r.detailed for _, r, _ in results]), f"{out_dir}/detailed")
         # 2) counts from the written table (pruned to this run) + one row count per object
-        runs = spark.createDataFrame([(p.object_id, r.run_id) for p, r, _ in results],
+        runs = local_frame(spark, [(p.object_id, r.run_id) for p, r, _ in results],
                                      "Object_ID int, Run_ID int")
         written = (spark.read.parquet(f"{out_dir}/detailed")
                    .where(F.col("Period") == date_lit(clock.period))
@@ -93,7 +94,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
         failure_counts = written.groupBy("Mapping_ID").agg(F.count(F.lit(1)).cast("long").alias("Failure_Count"))
         row_counts = _union([s.agg(F.lit(p.object_id).cast("int").alias("Object_ID"),
                                    F.count(F.lit(1)).cast("long").alias("Row_Count")) for p, _, s in results])
-        mapping_objects = spark.createDataFrame(
+        mapping_objects = local_frame(spark, 
             [(mid, p.object_id) for p, r, _ in results for mid in r.mapping_ids],
             "Mapping_ID int, Object_ID int")
         # one row per mapping / object: catalog-sized, broadcast
@@ -118,7 +119,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
 
     outcomes = [(p.object_id, int(window_rows[p.object_id]["Run_Id"]),
                  "Failure" if p.object_id in report.failed_objects else "Success") for p in plans]
-    outcome_df = spark.createDataFrame(outcomes, "Object_ID int, Run_Id int, Val_Status string")
+    outcome_df = local_frame(spark, outcomes, "Object_ID int, Run_Id int, Val_Status string")
     history = spark.read.parquet(f"{out_dir}/execution")
     write_results(W.status_rows(history, outcome_df, clock), f"{out_dir}/execution", partition_by=())
     report.actions += 1
@@ -129,9 +130,9 @@ def _meta(spark: SparkSession, p: ObjectPlan, r: ValidationResult) -> DataFrame:
     evaluated = set(r.mapping_ids)
     rows = [(m.mapping_id, m.rule_id, p.object_id, m.column_name, p.object_name, m.rule_description)
             for m in p.mappings if m.mapping_id in evaluated]
-    return spark.createDataFrame(rows, "Mapping_ID int, Rule_ID int, Object_ID int, Column_Name string, "
+    return local_frame(spark, rows, "Mapping_ID int, Rule_ID int, Object_ID int, Column_Name string, "
                                        "Object_Name string, Rule_Description string")
 
 
 def empty_execution(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.EXECUTION)
+    return local_frame(spark, [], schemas.EXECUTION)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.clock import RunClock
+from tessera.functions.local import local_frame
 from tessera.operators.spec import Mapping
 from tessera.plans.engine import ObjectRun, ValidationResult, validate
 
@@ -111,7 +112,7 @@ def fused_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def thresholds_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LADDER, "Threshold_ID int, Mapping_ID int, "
+    return local_frame(spark, LADDER, "Threshold_ID int, Mapping_ID int, "
                                          "Failure_Threshold_Value double, Criticality int, Active int")
 
 
