@@ -243,3 +243,9 @@ def candidate_rule_logic(suggestions: DataFrame) -> DataFrame:
     return (suggestions.groupBy("column_name")
             .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
             .select("column_name", F.concat(F.lit("{"), F.concat_ws(", ", "_pairs"), F.lit("}")).alias("rule_logic")))
+
+
+def profile_file(spark, path: str, max_sample_values: int = 5) -> DataFrame:
+    """read a sample file by its extension (S12) and profile it."""
+    from tessera.sources.readers import load_sample
+    return profile(load_sample(spark, path), max_sample_values=max_sample_values)

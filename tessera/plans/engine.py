@@ -73,11 +73,16 @@ class ValidationResult:
 
 
 def invalid_patterns(spark: SparkSession, patterns: list[str]) -> dict[str, str]:
-    """Regexes that Java cannot compile. One tiny job for all; per-pattern only on failure."""
+    """Regexes that Java cannot compile, probed on a one-row local relation.
+
+    The probe is folded while planning, so no Spark job runs; patterns are
+    probed one by one only when the joint probe fails.
+    """
     unique = list(dict.fromkeys(patterns))
     if not unique:
         return {}
-    probe = lambda ps: spark.range(1).select(*[F.lit("").rlike(p) for p in ps]).collect()
+    one = local_frame(spark, [("",)], "s string")
+    probe = lambda ps: one.select(*[F.col("s").rlike(p) for p in ps]).collect()
     try:
         probe(unique)
         return {}

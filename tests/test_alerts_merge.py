@@ -93,3 +93,13 @@ def test_existing_primary_key_is_not_overwritten(spark):
     chosen, conflicts = merge.resolve_object(spark, cat, "customers", "salesforce", "cust_no")
     assert chosen.select("Primary_Key").first()[0] == "customer_id" and conflicts.count() == 1
     assert conflicts.select(F.col("_proposed")).first()[0] == "cust_no"
+
+
+def test_alert_extracts_per_object(spark, tmp_dir):
+    import os
+    rows = alerts.alert_rows(aggregated(spark), seed_catalog(spark))
+    alerts.write_extracts(rows, f"{tmp_dir}/extracts")
+    parts = sorted(d for d in os.listdir(f"{tmp_dir}/extracts") if d.startswith("Object_ID="))
+    assert parts == ["Object_ID=1", "Object_ID=5", "Object_ID=7"]
+    back = spark.read.option("header", True).csv(f"{tmp_dir}/extracts")
+    assert back.count() == rows.count()

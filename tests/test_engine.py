@@ -174,3 +174,11 @@ def test_hot_and_cold_duplicate_keys_match_brute_force(spark):
     assert sorted((r["k"], r["id"]) for r in got.collect()) == expected
     small = keys.duplicate_rows(df, ["k"])
     assert sorted((r["k"], r["id"]) for r in small.collect()) == expected
+
+
+def test_invalid_regex_is_reported_and_other_rules_still_run(spark):
+    ms = [mapping(1, "email", '{"regex": "[a-"}'), mapping(2, "score", '{"min": 0}')]
+    r = run(spark, customers(spark), ms)
+    errs = r.rule_errors.collect()
+    assert [(e["Mapping_ID"], e["Test_Key"]) for e in errs] == [(1, "regex")] and "invalid regex" in errs[0]["Error"]
+    assert pairs(r) == [(2, "3", "-1.0")]
