@@ -33,6 +33,25 @@ def joined_text(columns: list[Column | str]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def quote_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(value: str) -> str:
+    """A SQL string literal (backslash and quote escaped)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def joined_text_sql(columns: list[str]) -> str:
+    """SQL text of ``joined_text`` for plain column names."""
+    parts = [f"CAST({quote_name(c)} AS STRING)" for c in columns]
+    if not parts:
+        return "CAST(NULL AS STRING)"
+    if len(parts) == 1:
+        return parts[0]
+    return "concat(" + f", {sql_string(SEPARATOR)}, ".join(parts) + ")"
+
+
 def label_text(names: list[str]) -> str:
     return SEPARATOR.join(names)
 

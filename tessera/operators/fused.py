@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import predicates as P
-from tessera.functions.projection import joined_text
+from tessera.functions.projection import joined_text, joined_text_sql, sql_string
 from tessera.operators.spec import Check
 
 PK_VALUE = "Primary_Key_Value_s_"
@@ -35,7 +35,6 @@ class MissingColumnError(ValueError):
 class CompiledCheck:
     check: Check
     condition: Column
-    actual: Column
 
 
 def column_types(df: DataFrame) -> dict[str, T.DataType]:
@@ -79,18 +78,16 @@ def compile_check(check: Check, types: dict[str, T.DataType], today: dt.date,
                   now: dt.datetime) -> CompiledCheck:
     """A row fails a multi-column check when any of its columns fails it."""
     conds = [_single(check.key, c, resolve(types, c), check.value, today, now) for c in check.columns]
-    return CompiledCheck(check, reduce(or_, conds), joined_text(list(check.columns)))
+    return CompiledCheck(check, reduce(or_, conds))
 
 
 def _check_struct(cc: CompiledCheck) -> Column:
+    """The ids of a check and its failing value, as one expression (one call to build)."""
     m = cc.check.mapping
-    return F.struct(
-        F.lit(m.mapping_id).cast("int").alias("Mapping_ID"),
-        F.lit(m.rule_id).cast("int").alias("Rule_ID"),
-        F.lit(m.object_id).cast("int").alias("Object_ID"),
-        F.lit(m.column_name).cast("string").alias("Column_Name"),
-        cc.actual.alias(ACTUAL),
-    )
+    return F.expr(
+        f"named_struct('Mapping_ID', CAST({int(m.mapping_id)} AS INT), 'Rule_ID', CAST({int(m.rule_id)} AS INT), "
+        f"'Object_ID', CAST({int(m.object_id)} AS INT), 'Column_Name', {sql_string(m.column_name or '')}, "
+        f"'{ACTUAL}', {joined_text_sql(list(cc.check.columns))})")
 
 
 def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str]) -> DataFrame:
@@ -111,12 +108,10 @@ def fused_counts(df: DataFrame, compiled: list[CompiledCheck], mapping_ids: list
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.count_if(cc.condition).alias(f"_c{i}") for i, cc in enumerate(compiled)]
     row = df.agg(*aggs)
-    entries = [F.struct(F.lit(cc.check.mapping.mapping_id).cast("int").alias("Mapping_ID"),
-                        F.col(f"_c{i}").cast("long").alias("Failure_Count"))
-               for i, cc in enumerate(compiled)]
+    entries = [F.expr(f"named_struct('Mapping_ID', CAST({int(cc.check.mapping.mapping_id)} AS INT), "
+                      f"'Failure_Count', CAST(_c{i} AS BIGINT))") for i, cc in enumerate(compiled)]
     covered = {cc.check.mapping.mapping_id for cc in compiled}
-    entries += [F.struct(F.lit(mid).cast("int").alias("Mapping_ID"),
-                         F.lit(0).cast("long").alias("Failure_Count"))
+    entries += [F.expr(f"named_struct('Mapping_ID', CAST({int(mid)} AS INT), 'Failure_Count', CAST(0 AS BIGINT))")
                 for mid in mapping_ids if mid not in covered]
     if not entries:
         return row.select(F.lit(None).cast("int").alias("Mapping_ID"), F.lit(0).cast("long").alias("Failure_Count"),
