@@ -2,8 +2,14 @@
 
 The lookup column is reduced to its distinct non-null values (A11) and joined,
 never pulled to the driver: ``allowed`` keeps rows with no match (left anti),
-``forbidden`` rows with a match (left semi). The value side is broadcast only
-within a checked row bound.
+``forbidden`` rows with a match (left semi). The value side is written to the
+checkpoint folder and broadcast only within a checked row bound.
+
+Beyond the bound the join shuffles the checked rows by value. So that a value
+holding a large share of the rows does not land in one task, the values with
+more than ``hot_value_rows`` rows (at most rows / ``hot_value_rows`` of them,
+found by a map-side pre-aggregated count) are decided against the lookup with
+a broadcast, and only rows of the other values are shuffled.
 """
 
 from __future__ import annotations
@@ -14,7 +20,9 @@ from pyspark.sql import types as T
 
 from tessera.functions.projection import joined_text
 from tessera.operators.fused import ACTUAL, PK_VALUE
-from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_side
+from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_side, saved
+
+HOT_VALUE_ROWS = 1_000_000
 
 
 class LookupError_(ValueError):
@@ -55,9 +63,26 @@ def lookup_values(spark: SparkSession, spec: dict, dtype: T.DataType,
 
 def lookup_failures(df: DataFrame, column: str, dtype: T.DataType, spec: dict, forbidden: bool,
                     pk_cols: list[str], tables: dict[str, DataFrame] | None = None,
-                    broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    values = bounded_side(lookup_values(df.sparkSession, spec, dtype, tables), broadcast_max_rows)
+                    broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    hot_value_rows: int = HOT_VALUE_ROWS) -> DataFrame:
+    values, small = saved(lookup_values(df.sparkSession, spec, dtype, tables), broadcast_max_rows)
     rows = df.select(*dict.fromkeys(pk_cols + [column])).where(F.col(column).isNotNull())
     how = "left_semi" if forbidden else "left_anti"
-    hits = rows.join(values, F.col(column) == values["_lookup_value"], how)
+    if small:
+        b = F.broadcast(values)
+        hits = rows.join(b, F.col(column) == b["_lookup_value"], how)
+    else:
+        hot = bounded_side(rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+                           .where(F.col("_n") > hot_value_rows)
+                           .select(F.col(column).alias("_hot_value")), broadcast_max_rows)
+        # verdict of each hot value: in the lookup or not (hot side broadcast)
+        hot_in = values.join(hot, values["_lookup_value"] == hot["_hot_value"], "left_semi")
+        failing_hot = hot_in if forbidden else hot.join(
+            hot_in, hot["_hot_value"] == hot_in["_lookup_value"], "left_anti").select(
+            F.col("_hot_value").alias("_lookup_value"))
+        failing_hot = F.broadcast(failing_hot.select("_lookup_value").withColumnRenamed("_lookup_value", "_fail_value"))
+        hot_hits = rows.join(failing_hot, F.col(column) == failing_hot["_fail_value"], "left_semi")
+        cold_rows = rows.join(hot, F.col(column) == hot["_hot_value"], "left_anti")
+        cold_hits = cold_rows.join(values, F.col(column) == values["_lookup_value"], how)
+        hits = hot_hits.unionByName(cold_hits)
     return hits.select(joined_text(pk_cols).alias(PK_VALUE), joined_text([column]).alias(ACTUAL))

@@ -26,7 +26,7 @@ from tessera.operators import keys, lookups, schema_check, sqlrules, summary
 from tessera.operators.fused import (ACTUAL, PK_VALUE, CompiledCheck, MissingColumnError,
                                      column_types, compile_check, fused_counts, fused_failures,
                                      resolve)
-from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS
+from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_side
 from tessera.operators.spec import Check, Mapping, RuleError, expand
 
 FAILURE_COLUMNS = [PK_VALUE, "Mapping_ID", "Rule_ID", "Object_ID", "Column_Name", ACTUAL]
@@ -51,7 +51,7 @@ class ObjectRun:
     strict_types: bool = False
     emit_empty: bool = True
     broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS
-    hot_key_rows: int = keys.HOT_KEY_ROWS
+    hot_key_rows: int = keys.HOT_KEY_ROWS  # also bounds hot values of lookup joins
 
 
 @dataclass
@@ -165,7 +165,7 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
                 column = check.columns[0]
                 frames.append((m, lookups.lookup_failures(
                     source, column, resolve(types, column), check.value, check.key == "forbidden",
-                    pk_cols, run.tables, run.broadcast_max_rows)))
+                    pk_cols, run.tables, run.broadcast_max_rows, run.hot_key_rows)))
             elif kind == "sql":
                 failing = sqlrules.custom_sql_failures(spark, source, check.value)
                 frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns))))
@@ -238,7 +238,7 @@ def passing_rows(source: DataFrame, result: ValidationResult) -> DataFrame:
     if result.frames:
         failing = reduce(lambda a, b: a.unionByName(b),
                          [frame.select(F.col(PK_VALUE).alias("_failing_pk")) for _, frame in result.frames])
-        failing = failing.where(F.col("_failing_pk").isNotNull()).distinct()
+        failing = bounded_side(failing.where(F.col("_failing_pk").isNotNull()).distinct())
         keyed = keep.withColumn("_pk_text", joined_text(result.pk_cols))
         keep = keyed.join(failing, keyed["_pk_text"] == failing["_failing_pk"], "left_anti").drop("_pk_text")
     return keep

@@ -182,3 +182,19 @@ def test_invalid_regex_is_reported_and_other_rules_still_run(spark):
     errs = r.rule_errors.collect()
     assert [(e["Mapping_ID"], e["Test_Key"]) for e in errs] == [(1, "regex")] and "invalid regex" in errs[0]["Error"]
     assert pairs(r) == [(2, "3", "-1.0")]
+
+
+def test_lookup_hot_and_cold_values_match_brute_force(spark):
+    from pyspark.sql import types as T
+
+    from tessera.operators import lookups
+    rows = [(i, 1) for i in range(200)] + [(1000 + i, i % 30) for i in range(90)] + [(5000, None)]
+    df = spark.createDataFrame(rows, "id int, v int")
+    ref = spark.createDataFrame([(x,) for x in range(0, 30, 2)], "w int")  # 1 is not in the lookup
+    spec = {"table_name": "ref", "column_name": "w"}
+    for forbidden in (False, True):
+        got = lookups.lookup_failures(df, "v", T.IntegerType(), spec, forbidden, ["id"], {"ref": ref},
+                                      broadcast_max_rows=3, hot_value_rows=20)
+        inside = {x for x in range(0, 30, 2)}
+        expected = sorted(i for i, v in rows if v is not None and ((v in inside) == forbidden))
+        assert sorted(int(r[0]) for r in got.collect()) == expected
