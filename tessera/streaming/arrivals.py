@@ -67,6 +67,14 @@ def validate_file_batch(spark: SparkSession, batch: DataFrame, plan: ObjectPlan,
     return files, results
 
 
+def _write_batch(results, out_dir: str, epoch_id: int) -> None:
+    for name in ("detailed", "aggregated", "object_log", "rule_errors"):
+        frame = getattr(results[0], name)
+        for r in results[1:]:
+            frame = frame.unionByName(getattr(r, name))
+        frame.write.mode("overwrite").parquet(f"{out_dir}/{name}/batch={epoch_id}")
+
+
 def start(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType, plan: ObjectPlan,
           objects: DataFrame, out_dir: str, checkpoint_location: str,
           clock_fn: Callable[[], RunClock] = RunClock.utcnow, thresholds: DataFrame | None = None,
@@ -77,15 +85,16 @@ def start(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType,
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         clock = clock_fn()
-        files, results = validate_file_batch(spark, batch, plan, clock, run_id=int(epoch_id) + 1,
+        # the micro-batch is read once per file and result table; keep it cached
+        # for the batch (recomputed from its files if an executor is lost)
+        batch = batch.persist()
+        try:
+            _, results = validate_file_batch(spark, batch, plan, clock, run_id=int(epoch_id) + 1,
                                              thresholds=thresholds, declared=declared)
-        if not results:
-            return
-        for name in ("detailed", "aggregated", "object_log", "rule_errors"):
-            frame = results[0].__getattribute__(name)
-            for r in results[1:]:
-                frame = frame.unionByName(r.__getattribute__(name))
-            frame.write.mode("overwrite").parquet(f"{out_dir}/{name}/batch={epoch_id}")
+            if results:
+                _write_batch(results, out_dir, epoch_id)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
