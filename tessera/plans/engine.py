@@ -139,6 +139,9 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
     source = run.source
     types = column_types(source)
     pk_cols = split_names(run.primary_key)
+    missing_pk = [c for c in pk_cols if c.lower() not in types]
+    if missing_pk:  # an object-level error: no failing row could be identified
+        raise MissingColumnError(f"primary key column(s) {missing_pk} not in object {run.object_name!r}")
     today, now = run.clock.period, run.clock.now
     window_start, window_end = run.window
 

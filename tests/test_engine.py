@@ -198,3 +198,11 @@ def test_lookup_hot_and_cold_values_match_brute_force(spark):
         inside = {x for x in range(0, 30, 2)}
         expected = sorted(i for i, v in rows if v is not None and ((v in inside) == forbidden))
         assert sorted(int(r[0]) for r in got.collect()) == expected
+
+
+def test_missing_primary_key_column_is_an_object_error(spark):
+    import pytest
+
+    from tessera.operators.fused import MissingColumnError
+    with pytest.raises(MissingColumnError):
+        run(spark, customers(spark), [mapping(1, "score", '{"min": 0}')], pk="cust_no")
