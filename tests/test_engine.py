@@ -206,3 +206,30 @@ def test_missing_primary_key_column_is_an_object_error(spark):
     from tessera.operators.fused import MissingColumnError
     with pytest.raises(MissingColumnError):
         run(spark, customers(spark), [mapping(1, "score", '{"min": 0}')], pk="cust_no")
+
+
+def test_empty_input_gives_zero_rates_and_no_tier(spark):
+    th = spark.createDataFrame([(1, 1, 0.0, 3, 1)], "Threshold_ID int, Mapping_ID int, "
+                                                    "Failure_Threshold_Value double, Criticality int, Active int")
+    empty = customers(spark).where("1 = 0")
+    ms = [mapping(1, "email", '{"is_nullable": "NO"}'), mapping(2, "customer_id", '{"distinct": true}')]
+    r = run(spark, empty, ms, thresholds=th)
+    assert r.detailed.count() == 0
+    got = sorted((x["Mapping_ID"], x["Failure_Count"], x["Failure_Percent"], x["Criticality"])
+                 for x in r.aggregated.collect())
+    assert got == [(1, 0, 0.0, None), (2, 0, 0.0, None)]
+    files = validate(spark, ObjectRun(1, "customers", "customer_id", empty, ms, CLOCK, emit_empty=False))
+    assert files.aggregated.count() == 0  # file path: no aggregate for an empty file
+
+
+def test_profile_file(spark, tmp_dir):
+    import os
+
+    from tessera.operators.profile import profile_file
+    path = os.path.join(tmp_dir, "sample.csv")
+    with open(path, "w") as f:
+        f.write("id,email,joined\n1,a@x.com,2024-01-02\n2,b@y.org,2024-02-03\n3,,2024-03-04\n")
+    got = {r["column_name"]: r for r in profile_file(spark, path).collect()}
+    assert got["email"]["null_count"] == 1 and got["email"]["looks_like_email"] is True
+    assert got["id"]["distinct_count"] == 3 and got["id"]["max_value"] == 3.0
+    assert got["joined"]["looks_like_date"] is True
