@@ -669,3 +669,84 @@ ORACLE_SQL.update({
                                          "FROM orders o WHERE NOT EXISTS "
                                          "(SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"),
 })
+
+
+# ---- more reference behaviours on the test tables -------------------------------------
+
+EVENTS_DAY = (dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 16))
+
+
+def current_date_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 with the literal CURRENT_DATE: the run clock's day is the bound."""
+    clock = RunClock.fixed("2024-01-15 09:30:00")
+    m = Mapping(330, 12, 5, "ts", '{"max_date": "CURRENT_DATE"}', "Custodial", "", "events", "event_id")
+    return validate(spark, ObjectRun(5, "events", "event_id", table(spark, sf_dir, "events"), [m], clock)).report()
+
+
+def formatted_date_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 with ``[value, format]``: the format reads the column's text."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy").alias("order_day"))
+    return run_rules(spark, orders, "orders", "o_orderkey",
+                     [(331, 11, "order_day", '{"min_date": ["1996-01-01", "dd/MM/yyyy"]}', "")]).report()
+
+
+def text_length_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6 on whole document texts."""
+    return run_rules(spark, table(spark, sf_dir, "documents"), "documents", "doc_id",
+                     [(332, 10, "text", '{"max_length": 20000}', "")]).report()
+
+
+def not_null_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 on a column pair: a row fails when any part is NULL."""
+    return run_rules(spark, documents_with_labels(spark, sf_dir), "documents", "doc_id",
+                     [(333, 1, "quality, toxic", '{"is_nullable": "NO"}', "")]).report()
+
+
+def allowed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 with numbers on an int column."""
+    sizes = ", ".join(str(i) for i in range(1, 26))
+    return run_rules(spark, table(spark, sf_dir, "part"), "part", "p_partkey",
+                     [(334, 5, "p_size", '{"allowed": [' + sizes + ']}', "")]).report()
+
+
+def window_rules_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + A1 + P11: rules on one day's window; uniqueness is judged inside the window."""
+    from tessera.sources.readers import windowed
+    events = windowed(table(spark, sf_dir, "events"), "ts", *EVENTS_DAY)
+    return run_rules(spark, events, "events", "event_id",
+                     [(335, 2, "user_id", '{"distinct": true}', ""),
+                      (336, 6, "event_type", '{"forbidden": ["error"]}', "")], window=EVENTS_DAY).report()
+
+
+_DAY = "ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'"
+
+QUERIES.update({
+    "rule_max_current_date": current_date_rule,
+    "rule_min_date_format": formatted_date_rule,
+    "rule_max_length_text": text_length_rule,
+    "rule_not_null_pair": not_null_pair,
+    "rule_allowed_numbers": allowed_numbers,
+    "window_rules_events": window_rules_events,
+})
+ORACLE_SQL.update({
+    "rule_max_current_date": _report_sql(330, 12, 5, "ts", "event_id", _s("event_id"), _s("ts"),
+                                         "FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-15'"),
+    "rule_min_date_format": _report_sql(331, 11, 2, "order_day", "o_orderkey", _s("o_orderkey"),
+                                        "strftime(o_orderdate, '%d/%m/%Y')",
+                                        "FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '1996-01-01'"),
+    "rule_max_length_text": _single_sql(332, 10, "documents", "doc_id", "text", "length(text) > 20000"),
+    "rule_not_null_pair": _report_sql(333, 1, 6, "quality, toxic", "doc_id", _s("d.doc_id"),
+                                      f"{_s('l.quality')} || ', ' || {_s('l.toxic')}",
+                                      "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id "
+                                      "WHERE l.quality IS NULL OR l.toxic IS NULL"),
+    "rule_allowed_numbers": _single_sql(334, 5, "part", "p_partkey", "p_size",
+                                        "p_size NOT IN (" + ", ".join(str(i) for i in range(1, 26)) + ")"),
+    "window_rules_events": "\nUNION ALL\n".join([
+        _report_sql(335, 2, 5, "user_id", "event_id", _s("event_id"), _s("user_id"),
+                    f"FROM events WHERE {_DAY} AND user_id IN (SELECT user_id FROM events WHERE {_DAY} "
+                    "GROUP BY user_id HAVING COUNT(*) > 1)"),
+        _report_sql(336, 6, 5, "event_type", "event_id", _s("event_id"), _s("event_type"),
+                    f"FROM events WHERE {_DAY} AND event_type = 'error'"),
+    ]),
+})
