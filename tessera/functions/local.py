@@ -3,52 +3,71 @@
 ``createDataFrame`` on a Python list builds an RDD scan whose size Spark does
 not know, so every join against it costs a job or a shuffle. Small metadata
 frames (mapping metadata, thresholds, rule errors, findings) are built instead
-as an inline ``VALUES`` table with named, typed parameters: a local relation
-whose size the planner sees, broadcast without a job. Values are bound as
-parameters, never pasted into SQL text.
+as an inline ``VALUES`` table: a local relation whose size the planner sees,
+broadcast without a job, built with one call whatever its row count. Each
+value is rendered as a typed literal (strings quoted and escaped), never as
+free SQL text.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LOCAL_ROWS_LIMIT = 2000  # above this, fall back to createDataFrame
+from tessera.functions.projection import quote_name, sql_string
 
+LOCAL_ROWS_LIMIT = 5000  # above this, fall back to createDataFrame
 
-def _schema(spark: SparkSession, schema: T.StructType | str) -> T.StructType:
+
+def _schema(schema: T.StructType | str) -> T.StructType:
     if isinstance(schema, T.StructType):
         return schema
-    return T._parse_datatype_string(schema)  # needs the active session, which ``spark`` is
-
-
-def _param(value):
-    if isinstance(value, dt.datetime):
-        return value.isoformat(sep=" ")
-    if isinstance(value, dt.date):
-        return value.isoformat()
-    return value
+    return T._parse_datatype_string(schema)  # needs an active session
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+def _literal(value, dtype: T.DataType) -> str:
+    """A typed SQL literal for one value of a catalog row."""
+    target = dtype.simpleString()
+    if value is None:
+        return f"CAST(NULL AS {target})"
+    if isinstance(value, bool):
+        text = "TRUE" if value else "FALSE"
+    elif isinstance(value, int):
+        text = str(value)
+    elif isinstance(value, float):
+        if math.isnan(value) or math.isinf(value):
+            text = sql_string(str(value))
+        else:
+            text = sql_string(repr(value))
+    elif isinstance(value, Decimal):
+        text = sql_string(str(value))
+    elif isinstance(value, dt.datetime):
+        text = sql_string(value.isoformat(sep=" "))
+    elif isinstance(value, dt.date):
+        text = sql_string(value.isoformat())
+    elif isinstance(value, str):
+        text = sql_string(value)
+    else:
+        raise TypeError(f"unsupported catalog value {value!r}")
+    return f"CAST({text} AS {target})"
 
 
 def local_frame(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
-    struct = _schema(spark, schema)
+    struct = _schema(schema)
     rows = [tuple(r) for r in rows]
     if len(rows) > LOCAL_ROWS_LIMIT:
         return spark.createDataFrame(rows, struct)
-    names = ", ".join(_quoted(f.name) for f in struct.fields)
+    cols = [quote_name(f.name) for f in struct.fields]
     if not rows:
-        cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {_quoted(f.name)}" for f in struct.fields)
-        return spark.sql(f"SELECT {cols} WHERE 1 = 0")
-    values = ", ".join(
-        "(" + ", ".join(f"CAST(:p{i}_{j} AS {f.dataType.simpleString()})" for j, f in enumerate(struct.fields)) + ")"
-        for i in range(len(rows)))
-    args = {f"p{i}_{j}": _param(v) for i, r in enumerate(rows) for j, v in enumerate(r)}
-    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({names})", args=args)
-    return df.select(*[F.col(_quoted(f.name)).cast(f.dataType).alias(f.name) for f in struct.fields])
+        select = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {c}" for f, c in zip(struct.fields, cols))
+        return spark.sql(f"SELECT {select} WHERE 1 = 0")
+    for r in rows:
+        if len(r) != len(struct.fields):
+            raise ValueError(f"row {r!r} does not match schema {struct.simpleString()}")
+    values = ", ".join("(" + ", ".join(_literal(v, f.dataType) for v, f in zip(r, struct.fields)) + ")"
+                       for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(cols)})")

@@ -4,8 +4,12 @@ All row-local failing conditions of an object become one projection over one
 scan: rows failing any check are kept, each failing (row, check) pair is emitted
 by exploding an array of ``when(cond_i, struct(check_i ids, value_i))``. Counts
 for every check and the row count of the window come from one aggregate with a
-``count_if`` per check. Plan size grows with the number of checks, the number
-of scans does not.
+``count_if`` per check.
+
+Up to ``CHUNK_CHECKS`` checks share one pass. Beyond that the checks are split
+into chunks of that size, one pass each: a single generated method for hundreds
+of conditions exceeds the JVM's JIT size limit and would run interpreted, which
+costs more than the extra column-pruned scans.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from tessera.functions.projection import joined_text, joined_text_sql, sql_strin
 from tessera.operators.spec import Check
 
 PK_VALUE = "Primary_Key_Value_s_"
+CHUNK_CHECKS = 48
 ACTUAL = "Actual_Value"
 
 
@@ -81,6 +86,13 @@ def compile_check(check: Check, types: dict[str, T.DataType], today: dt.date,
     return CompiledCheck(check, reduce(or_, conds))
 
 
+def any_of(conds: list[Column]) -> Column:
+    """OR of many conditions as a balanced tree (shallow for analysis and codegen)."""
+    while len(conds) > 1:
+        conds = [conds[i] | conds[i + 1] if i + 1 < len(conds) else conds[i] for i in range(0, len(conds), 2)]
+    return conds[0]
+
+
 def _check_struct(cc: CompiledCheck) -> Column:
     """The ids of a check and its failing value, as one expression (one call to build)."""
     m = cc.check.mapping
@@ -90,9 +102,13 @@ def _check_struct(cc: CompiledCheck) -> Column:
         f"'{ACTUAL}', {joined_text_sql(list(cc.check.columns))})")
 
 
-def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str]) -> DataFrame:
-    """(PK value, Mapping_ID, Rule_ID, Object_ID, Column_Name, Actual_Value) per failing row and check."""
-    any_fail = reduce(or_, [cc.condition for cc in compiled])
+def chunks(compiled: list[CompiledCheck], size: int | None = None) -> list[list[CompiledCheck]]:
+    size = size or CHUNK_CHECKS  # read at call time, so the module setting can be tuned
+    return [compiled[i:i + size] for i in range(0, len(compiled), size)]
+
+
+def _failures_pass(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str]) -> DataFrame:
+    any_fail = any_of([cc.condition for cc in compiled])
     items = [F.when(cc.condition, _check_struct(cc)) for cc in compiled]
     return (df.where(any_fail)
             .select(joined_text(pk_cols).alias(PK_VALUE), F.explode(F.array(*items)).alias("_f"))
@@ -100,21 +116,33 @@ def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[s
             .select(PK_VALUE, "_f.*"))
 
 
-def fused_counts(df: DataFrame, compiled: list[CompiledCheck], mapping_ids: list[int]) -> DataFrame:
-    """One aggregate over the source -> (Mapping_ID, Failure_Count, Row_Count) for every mapping.
+def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str]) -> DataFrame:
+    """(PK value, Mapping_ID, Rule_ID, Object_ID, Column_Name, Actual_Value) per failing row and check."""
+    passes = [_failures_pass(df, part, pk_cols) for part in chunks(compiled)]
+    return reduce(lambda a, b: a.unionByName(b), passes)
 
-    Mappings without row-local checks get a 0 count and still carry the row count.
-    """
+
+def _counts_pass(df: DataFrame, compiled: list[CompiledCheck], extra_ids: list[int]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.count_if(cc.condition).alias(f"_c{i}") for i, cc in enumerate(compiled)]
     row = df.agg(*aggs)
     entries = [F.expr(f"named_struct('Mapping_ID', CAST({int(cc.check.mapping.mapping_id)} AS INT), "
                       f"'Failure_Count', CAST(_c{i} AS BIGINT))") for i, cc in enumerate(compiled)]
-    covered = {cc.check.mapping.mapping_id for cc in compiled}
     entries += [F.expr(f"named_struct('Mapping_ID', CAST({int(mid)} AS INT), 'Failure_Count', CAST(0 AS BIGINT))")
-                for mid in mapping_ids if mid not in covered]
+                for mid in extra_ids]
     if not entries:
         return row.select(F.lit(None).cast("int").alias("Mapping_ID"), F.lit(0).cast("long").alias("Failure_Count"),
                           F.col("_n").cast("long").alias("Row_Count")).where(F.lit(False))
     return (row.select(F.col("_n").cast("long").alias("Row_Count"), F.explode(F.array(*entries)).alias("_e"))
             .select("_e.Mapping_ID", "_e.Failure_Count", "Row_Count"))
+
+
+def fused_counts(df: DataFrame, compiled: list[CompiledCheck], mapping_ids: list[int]) -> DataFrame:
+    """One aggregate over the source (per chunk of checks) -> (Mapping_ID, Failure_Count, Row_Count)
+    for every mapping. Mappings without row-local checks get a 0 count and still carry the row count.
+    """
+    covered = {cc.check.mapping.mapping_id for cc in compiled}
+    uncovered = [mid for mid in mapping_ids if mid not in covered]
+    parts = chunks(compiled) or [[]]
+    passes = [_counts_pass(df, part, uncovered if i == 0 else []) for i, part in enumerate(parts)]
+    return reduce(lambda a, b: a.unionByName(b), passes)

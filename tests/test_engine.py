@@ -233,3 +233,16 @@ def test_profile_file(spark, tmp_dir):
     assert got["email"]["null_count"] == 1 and got["email"]["looks_like_email"] is True
     assert got["id"]["distinct_count"] == 3 and got["id"]["max_value"] == 3.0
     assert got["joined"]["looks_like_date"] is True
+
+
+def test_many_checks_split_into_chunks_give_the_same_rows(spark, monkeypatch):
+    from tessera.operators import fused
+    ms = [mapping(i, "score", '{"max": %d}' % (i % 7)) for i in range(1, 12)]
+    whole = pairs(run(spark, customers(spark), ms))
+    monkeypatch.setattr(fused, "CHUNK_CHECKS", 4)
+    r = run(spark, customers(spark), ms)
+    plan = r.detailed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 3  # 11 checks in chunks of 4
+    assert pairs(r) == whole
+    counts = {x["Mapping_ID"]: x["Failure_Count"] for x in r.aggregated.collect()}
+    assert all(counts[m] == sum(1 for p in whole if p[0] == m) for m in range(1, 12))
