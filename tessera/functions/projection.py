@@ -38,8 +38,15 @@ def quote_name(name: str) -> str:
 
 
 def sql_string(value: str) -> str:
-    """A SQL string literal (backslash and quote escaped)."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    """A SQL string literal for any text, read the same under every parser setting.
+
+    Text without backslashes or quotes is quoted as is; other text is given as
+    its UTF-8 bytes in hex (``decode(unhex(...))``), which holds no character the
+    parser could treat as an escape. Both forms are constant-folded.
+    """
+    if "\\" not in value and "'" not in value:
+        return f"'{value}'"
+    return f"decode(unhex('{value.encode('utf-8').hex()}'), 'UTF-8')"
 
 
 def joined_text_sql(columns: list[str]) -> str:
