@@ -5,20 +5,19 @@ not know, so every join against it costs a job or a shuffle. Small metadata
 frames (mapping metadata, thresholds, rule errors, findings) are built instead
 as an inline ``VALUES`` table: a local relation whose size the planner sees,
 broadcast without a job, built with one call whatever its row count. Each
-value is rendered as a typed literal (strings quoted and escaped), never as
-free SQL text.
+value is rendered as a typed literal; text travels hex-encoded, so no catalog
+text is ever read as SQL.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import math
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tessera.functions.projection import quote_name, sql_string
+from tessera.functions.projection import quote_name
 
 LOCAL_ROWS_LIMIT = 5000  # above this, fall back to createDataFrame
 
@@ -30,29 +29,30 @@ def _schema(schema: T.StructType | str) -> T.StructType:
 
 
 def _literal(value, dtype: T.DataType) -> str:
-    """A typed SQL literal for one value of a catalog row."""
+    """A typed SQL literal for one value of a catalog row.
+
+    Text travels as its UTF-8 bytes in hex (plain ``[0-9a-f]`` text, read the same
+    under every parser setting) and is decoded by the outer projection.
+    """
     target = dtype.simpleString()
+    if isinstance(dtype, T.StringType):
+        if value is None:
+            return "CAST(NULL AS STRING)"
+        return f"'{str(value).encode('utf-8').hex()}'"
     if value is None:
         return f"CAST(NULL AS {target})"
     if isinstance(value, bool):
         text = "TRUE" if value else "FALSE"
     elif isinstance(value, int):
         text = str(value)
-    elif isinstance(value, float):
-        if math.isnan(value) or math.isinf(value):
-            text = sql_string(str(value))
-        else:
-            text = sql_string(repr(value))
-    elif isinstance(value, Decimal):
-        text = sql_string(str(value))
+    elif isinstance(value, (float, Decimal)):
+        text = f"'{value!s}'" if not isinstance(value, float) else f"'{value!r}'"
     elif isinstance(value, dt.datetime):
-        text = sql_string(value.isoformat(sep=" "))
+        text = f"'{value.isoformat(sep=' ')}'"
     elif isinstance(value, dt.date):
-        text = sql_string(value.isoformat())
-    elif isinstance(value, str):
-        text = sql_string(value)
+        text = f"'{value.isoformat()}'"
     else:
-        raise TypeError(f"unsupported catalog value {value!r}")
+        raise TypeError(f"unsupported catalog value {value!r} for {target}")
     return f"CAST({text} AS {target})"
 
 
@@ -70,4 +70,6 @@ def local_frame(spark: SparkSession, rows, schema: T.StructType | str) -> DataFr
             raise ValueError(f"row {r!r} does not match schema {struct.simpleString()}")
     values = ", ".join("(" + ", ".join(_literal(v, f.dataType) for v, f in zip(r, struct.fields)) + ")"
                        for r in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(cols)})")
+    select = ", ".join(f"decode(unhex({c}), 'UTF-8') AS {c}" if isinstance(f.dataType, T.StringType) else c
+                       for f, c in zip(struct.fields, cols))
+    return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({', '.join(cols)})")
