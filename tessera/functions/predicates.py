@@ -1,38 +1,44 @@
-"""Failing conditions of the row-local tests.
-
-Each builder returns a *total* boolean ``Column``: it is never NULL and never
-throws under ANSI mode, so all tests of an object can share one projection.
-NULL values are skipped by every value test and only caught by the null test.
-Values that cannot be read as the bound's type (``'abc'`` against ``min 5``) are
-not failures of min/max/date tests; the type and regex tests report them.
+"""Failing conditions of the row-local tests (P1-P9, P11), as SQL expressions.
+
+Each builder returns the text of a *total* boolean expression: it is never
+NULL and never throws under ANSI mode, so all tests of an object can share one
+projection. NULL values are skipped by every value test and only caught by the
+null test. Values that cannot be read as the bound's type (``'abc'`` against
+``min 5``) are not failures of min/max/date tests; the type and regex tests
+report them.
+
+Conditions are built as text so that a rule costs one expression to hand to
+Spark (``F.expr``) however many parts it has. Column names are backquoted and
+every rule value enters as a typed literal (text through ``sql_string``, which
+reads the same under every parser setting); no rule text is pasted as SQL.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 import re
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.projection import date_lit, ts_lit
+from tessera.functions.projection import quote_name, sql_string, ts_text
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 _NUMBER_TEXT = re.compile(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$")
+_INT32, _INT64 = 2 ** 31, 2 ** 63
 
 
 class RuleValueError(ValueError):
     """The test value of a rule cannot be used (wrong shape or type)."""
 
 
-def total(cond: Column) -> Column:
-    return F.coalesce(cond, F.lit(False))
+def total(cond: str) -> str:
+    return f"coalesce({cond}, false)"
 
 
 def _is_number(value: Any) -> bool:
@@ -48,43 +54,58 @@ def _as_number(value: Any) -> float | int | None:
     return None
 
 
-def is_null(col: str) -> Column:
-    return F.col(col).isNull()
+def number_sql(value: int | float) -> str:
+    """A numeric literal: INT or BIGINT for whole numbers in range, else DOUBLE."""
+    if isinstance(value, int) and -_INT32 <= value < _INT32:
+        return str(value)
+    if isinstance(value, int) and -_INT64 <= value < _INT64:
+        return f"{value}L"
+    value = float(value)
+    text = repr(value) if not (math.isnan(value) or math.isinf(value)) else str(value)
+    return f"CAST('{text}' AS DOUBLE)"
+
+
+def _double_sql(value: int | float) -> str:
+    return number_sql(float(value))
+
+
+def is_null(col: str) -> str:
+    return f"{quote_name(col)} IS NULL"
 
 
-def regex_mismatch(col: str, pattern: str) -> Column:
-    c = F.col(col)
-    return total(c.isNotNull() & ~c.cast("string").rlike(pattern))
+def regex_mismatch(col: str, pattern: str) -> str:
+    q = quote_name(col)
+    return total(f"{q} IS NOT NULL AND NOT (CAST({q} AS STRING) RLIKE {sql_string(pattern)})")
 
 
-def _value_operands(col: str, dtype: T.DataType, bound: Any) -> tuple[Column, Column]:
-    c = F.col(col)
+def _value_operands(col: str, dtype: T.DataType, bound: Any) -> tuple[str, str]:
+    q = quote_name(col)
     number = _as_number(bound)
     if isinstance(dtype, NUMERIC):
         if number is None:
             raise RuleValueError(f"bound {bound!r} is not a number for {dtype.simpleString()} column {col}")
-        return c, F.lit(number)
+        return q, number_sql(number)
     if isinstance(dtype, T.StringType):
         if number is not None:
-            return c.try_cast("double"), F.lit(float(number))
-        return c, F.lit(str(bound))
+            return f"try_cast({q} AS DOUBLE)", _double_sql(number)
+        return q, sql_string(str(bound))
     if isinstance(dtype, TEMPORAL):
         if number is not None:
             raise RuleValueError(f"numeric bound {bound!r} on {dtype.simpleString()} column {col}")
-        return c, F.lit(str(bound)).try_cast(dtype)
+        return q, f"try_cast({sql_string(str(bound))} AS {dtype.simpleString()})"
     if number is not None:
-        return c.cast("string").try_cast("double"), F.lit(float(number))
-    return c.cast("string"), F.lit(str(bound))
+        return f"try_cast(CAST({q} AS STRING) AS DOUBLE)", _double_sql(number)
+    return f"CAST({q} AS STRING)", sql_string(str(bound))
 
 
-def below_min(col: str, dtype: T.DataType, bound: Any) -> Column:
+def below_min(col: str, dtype: T.DataType, bound: Any) -> str:
     lhs, rhs = _value_operands(col, dtype, bound)
-    return total(lhs < rhs)
+    return total(f"{lhs} < {rhs}")
 
 
-def above_max(col: str, dtype: T.DataType, bound: Any) -> Column:
+def above_max(col: str, dtype: T.DataType, bound: Any) -> str:
     lhs, rhs = _value_operands(col, dtype, bound)
-    return total(lhs > rhs)
+    return total(f"{lhs} > {rhs}")
 
 
 def _length_bound(bound: Any) -> int:
@@ -94,12 +115,12 @@ def _length_bound(bound: Any) -> int:
     return int(number)
 
 
-def shorter_than(col: str, bound: Any) -> Column:
-    return total(F.length(F.col(col).cast("string")) < _length_bound(bound))
+def shorter_than(col: str, bound: Any) -> str:
+    return total(f"length(CAST({quote_name(col)} AS STRING)) < {number_sql(_length_bound(bound))}")
 
 
-def longer_than(col: str, bound: Any) -> Column:
-    return total(F.length(F.col(col).cast("string")) > _length_bound(bound))
+def longer_than(col: str, bound: Any) -> str:
+    return total(f"length(CAST({quote_name(col)} AS STRING)) > {number_sql(_length_bound(bound))}")
 
 
 def resolve_date_bound(bound: Any, today: dt.date, now: dt.datetime) -> dt.date | dt.datetime:
@@ -124,16 +145,18 @@ def resolve_date_bound(bound: Any, today: dt.date, now: dt.datetime) -> dt.date
         raise RuleValueError(f"cannot read date bound {bound!r}") from exc
 
 
-def _value_as_timestamp(col: str, dtype: T.DataType, fmt: str | None) -> Column:
-    c = F.col(col)
+def _value_as_timestamp(col: str, dtype: T.DataType, fmt: str | None) -> str:
+    q = quote_name(col)
     if isinstance(dtype, TEMPORAL):
-        return c
-    text = c.cast("string")
-    return F.try_to_timestamp(text, F.lit(fmt)) if fmt else F.try_to_timestamp(text)
+        return q
+    if fmt is not None and not isinstance(fmt, str):
+        raise RuleValueError(f"date format must be text, got {fmt!r}")
+    text = f"CAST({q} AS STRING)"
+    return f"try_to_timestamp({text}, {sql_string(fmt)})" if fmt else f"try_to_timestamp({text})"
 
 
 def _date_operands(col: str, dtype: T.DataType, bound: Any, today: dt.date,
-                   now: dt.datetime) -> tuple[Column, Column]:
+                   now: dt.datetime) -> tuple[str, str]:
     fmt = None
     if isinstance(bound, (list, tuple)):
         if len(bound) != 2:
@@ -142,45 +165,45 @@ def _date_operands(col: str, dtype: T.DataType, bound: Any, today: dt.date,
     value = _value_as_timestamp(col, dtype, fmt)
     resolved = resolve_date_bound(bound, today, now)
     if isinstance(resolved, dt.datetime):
-        ntz = isinstance(dtype, T.TimestampNTZType)
-        return value, ts_lit(resolved, ntz=ntz)
-    return F.to_date(value), date_lit(resolved)
+        target = "TIMESTAMP_NTZ" if isinstance(dtype, T.TimestampNTZType) else "TIMESTAMP"
+        return value, f"CAST('{ts_text(resolved)}' AS {target})"
+    return f"to_date({value})", f"DATE '{resolved.isoformat()}'"
 
 
-def before_date(col: str, dtype: T.DataType, bound: Any, today: dt.date, now: dt.datetime) -> Column:
+def before_date(col: str, dtype: T.DataType, bound: Any, today: dt.date, now: dt.datetime) -> str:
     lhs, rhs = _date_operands(col, dtype, bound, today, now)
-    return total(lhs < rhs)
+    return total(f"{lhs} < {rhs}")
 
 
-def after_date(col: str, dtype: T.DataType, bound: Any, today: dt.date, now: dt.datetime) -> Column:
+def after_date(col: str, dtype: T.DataType, bound: Any, today: dt.date, now: dt.datetime) -> str:
     lhs, rhs = _date_operands(col, dtype, bound, today, now)
-    return total(lhs > rhs)
+    return total(f"{lhs} > {rhs}")
 
 
-def _membership(col: str, dtype: T.DataType, values: Sequence[Any]) -> Column | None:
+def _membership(col: str, dtype: T.DataType, values: Sequence[Any]) -> str | None:
     vals = [v for v in values if v is not None]
     if not vals:
         return None
-    c = F.col(col)
+    q = quote_name(col)
     if isinstance(dtype, T.StringType):
-        return c.isin([str(v) for v in vals])
+        return f"{q} IN ({', '.join(sql_string(str(v)) for v in vals)})"
     if isinstance(dtype, NUMERIC):
         numbers = [_as_number(v) for v in vals]
         if all(n is not None for n in numbers):
-            return c.isin(numbers)
-    return c.cast("string").isin([str(v) for v in vals])
+            return f"{q} IN ({', '.join(number_sql(n) for n in numbers)})"
+    return f"CAST({q} AS STRING) IN ({', '.join(sql_string(str(v)) for v in vals)})"
 
 
-def not_in_list(col: str, dtype: T.DataType, values: Sequence[Any]) -> Column:
+def not_in_list(col: str, dtype: T.DataType, values: Sequence[Any]) -> str:
     member = _membership(col, dtype, values)
-    c = F.col(col)
+    q = quote_name(col)
     if member is None:
-        return c.isNotNull()
-    return total(c.isNotNull() & ~member)
+        return f"{q} IS NOT NULL"
+    return total(f"{q} IS NOT NULL AND NOT ({member})")
 
 
-def in_list(col: str, dtype: T.DataType, values: Sequence[Any]) -> Column:
+def in_list(col: str, dtype: T.DataType, values: Sequence[Any]) -> str:
     member = _membership(col, dtype, values)
     if member is None:
-        return F.lit(False)
-    return total(F.col(col).isNotNull() & member)
+        return "false"
+    return total(f"{quote_name(col)} IS NOT NULL AND ({member})")

@@ -17,7 +17,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +38,11 @@ class MissingColumnError(ValueError):
 @dataclass(frozen=True)
 class CompiledCheck:
     check: Check
-    condition: Column
+    sql: str  # the failing condition, a total boolean expression
+
+    @property
+    def condition(self) -> Column:
+        return F.expr(self.sql)
 
 
 def column_types(df: DataFrame) -> dict[str, T.DataType]:
@@ -53,7 +56,7 @@ def resolve(types: dict[str, T.DataType], name: str) -> T.DataType:
     return dtype
 
 
-def _single(key: str, col: str, dtype: T.DataType, value, today: dt.date, now: dt.datetime) -> Column:
+def _single(key: str, col: str, dtype: T.DataType, value, today: dt.date, now: dt.datetime) -> str:
     if key == "is_nullable":
         return P.is_null(col)
     if key == "regex":
@@ -81,25 +84,33 @@ def _single(key: str, col: str, dtype: T.DataType, value, today: dt.date, now: d
 
 def compile_check(check: Check, types: dict[str, T.DataType], today: dt.date,
                   now: dt.datetime) -> CompiledCheck:
-    """A row fails a multi-column check when any of its columns fails it."""
+    """A row fails a multi-column check when any of its columns fails it.
+
+    The condition is handed to Spark as one expression per check.
+    """
     conds = [_single(check.key, c, resolve(types, c), check.value, today, now) for c in check.columns]
-    return CompiledCheck(check, reduce(or_, conds))
+    return CompiledCheck(check, " OR ".join(f"({c})" for c in conds))
 
 
-def any_of(conds: list[Column]) -> Column:
+def any_of_sql(conds: list[str]) -> str:
     """OR of many conditions as a balanced tree (shallow for analysis and codegen)."""
+    conds = [f"({c})" for c in conds]
     while len(conds) > 1:
-        conds = [conds[i] | conds[i + 1] if i + 1 < len(conds) else conds[i] for i in range(0, len(conds), 2)]
+        conds = [f"({conds[i]} OR {conds[i + 1]})" if i + 1 < len(conds) else conds[i]
+                 for i in range(0, len(conds), 2)]
     return conds[0]
 
 
-def _check_struct(cc: CompiledCheck) -> Column:
-    """The ids of a check and its failing value, as one expression (one call to build)."""
+def any_failing(compiled: list[CompiledCheck]) -> Column:
+    return F.expr(any_of_sql([cc.sql for cc in compiled]))
+
+
+def _check_struct_sql(cc: CompiledCheck) -> str:
+    """The ids of a check and its failing value."""
     m = cc.check.mapping
-    return F.expr(
-        f"named_struct('Mapping_ID', CAST({int(m.mapping_id)} AS INT), 'Rule_ID', CAST({int(m.rule_id)} AS INT), "
-        f"'Object_ID', CAST({int(m.object_id)} AS INT), 'Column_Name', {sql_string(m.column_name or '')}, "
-        f"'{ACTUAL}', {joined_text_sql(list(cc.check.columns))})")
+    return (f"named_struct('Mapping_ID', CAST({int(m.mapping_id)} AS INT), 'Rule_ID', CAST({int(m.rule_id)} AS INT), "
+            f"'Object_ID', CAST({int(m.object_id)} AS INT), 'Column_Name', {sql_string(m.column_name or '')}, "
+            f"'{ACTUAL}', {joined_text_sql(list(cc.check.columns))})")
 
 
 def chunks(compiled: list[CompiledCheck], size: int | None = None) -> list[list[CompiledCheck]]:
@@ -108,10 +119,10 @@ def chunks(compiled: list[CompiledCheck], size: int | None = None) -> list[list[
 
 
 def _failures_pass(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str]) -> DataFrame:
-    any_fail = any_of([cc.condition for cc in compiled])
-    items = [F.when(cc.condition, _check_struct(cc)) for cc in compiled]
-    return (df.where(any_fail)
-            .select(joined_text(pk_cols).alias(PK_VALUE), F.explode(F.array(*items)).alias("_f"))
+    """One pass; built from a few expressions whatever the number of checks."""
+    items = ", ".join(f"CASE WHEN {cc.sql} THEN {_check_struct_sql(cc)} END" for cc in compiled)
+    return (df.where(any_failing(compiled))
+            .select(joined_text(pk_cols).alias(PK_VALUE), F.expr(f"explode(array({items}))").alias("_f"))
             .where(F.col("_f").isNotNull())
             .select(PK_VALUE, "_f.*"))
 
@@ -123,17 +134,16 @@ def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[s
 
 
 def _counts_pass(df: DataFrame, compiled: list[CompiledCheck], extra_ids: list[int]) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.count_if(cc.condition).alias(f"_c{i}") for i, cc in enumerate(compiled)]
-    row = df.agg(*aggs)
-    entries = [F.expr(f"named_struct('Mapping_ID', CAST({int(cc.check.mapping.mapping_id)} AS INT), "
-                      f"'Failure_Count', CAST(_c{i} AS BIGINT))") for i, cc in enumerate(compiled)]
-    entries += [F.expr(f"named_struct('Mapping_ID', CAST({int(mid)} AS INT), 'Failure_Count', CAST(0 AS BIGINT))")
+    row = df.selectExpr("count(1) AS _n", *[f"count_if({cc.sql}) AS _c{i}" for i, cc in enumerate(compiled)])
+    entries = [f"named_struct('Mapping_ID', CAST({int(cc.check.mapping.mapping_id)} AS INT), "
+               f"'Failure_Count', CAST(_c{i} AS BIGINT))" for i, cc in enumerate(compiled)]
+    entries += [f"named_struct('Mapping_ID', CAST({int(mid)} AS INT), 'Failure_Count', CAST(0 AS BIGINT))"
                 for mid in extra_ids]
     if not entries:
-        return row.select(F.lit(None).cast("int").alias("Mapping_ID"), F.lit(0).cast("long").alias("Failure_Count"),
-                          F.col("_n").cast("long").alias("Row_Count")).where(F.lit(False))
-    return (row.select(F.col("_n").cast("long").alias("Row_Count"), F.explode(F.array(*entries)).alias("_e"))
+        return row.selectExpr("CAST(NULL AS INT) AS Mapping_ID", "CAST(0 AS BIGINT) AS Failure_Count",
+                              "CAST(_n AS BIGINT) AS Row_Count").where(F.lit(False))
+    return (row.select(F.col("_n").cast("long").alias("Row_Count"),
+                       F.expr(f"explode(array({', '.join(entries)}))").alias("_e"))
             .select("_e.Mapping_ID", "_e.Failure_Count", "Row_Count"))
 
 

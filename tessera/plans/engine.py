@@ -22,7 +22,7 @@ from tessera.functions import predicates as P
 from tessera.functions.local import local_frame
 from tessera.functions.projection import date_lit, joined_text, label_text, split_names, ts_lit
 from tessera.operators import keys, lookups, schema_check, sqlrules, summary
-from tessera.operators.fused import (ACTUAL, PK_VALUE, CompiledCheck, MissingColumnError, any_of,
+from tessera.operators.fused import (ACTUAL, PK_VALUE, CompiledCheck, MissingColumnError, any_failing,
                                      column_types, compile_check, fused_counts, fused_failures,
                                      resolve)
 from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_side
@@ -236,7 +236,7 @@ def passing_rows(source: DataFrame, result: ValidationResult) -> DataFrame:
     """
     keep = source
     if result.compiled:
-        keep = keep.where(~any_of([cc.condition for cc in result.compiled]))
+        keep = keep.where(~any_failing(result.compiled))
     if result.frames:
         failing = reduce(lambda a, b: a.unionByName(b),
                          [frame.select(F.col(PK_VALUE).alias("_failing_pk")) for _, frame in result.frames])
