@@ -32,6 +32,10 @@ from tessera.plans.engine import ObjectRun, ValidationResult, validate
 from tessera.sources.readers import register_tables, windowed
 from tessera.sources.sinks import write_results
 
+# Result tables are partitioned by day and object: reading one run back (a
+# broadcast semi join on object and run) prunes to that object's folders.
+RESULT_PARTITIONS = ("Period", "Object_ID")
+
 # loader(object plan) -> the object's full DataFrame (the window is applied here)
 Loader = Callable[[ObjectPlan], DataFrame]
 
@@ -84,7 +88,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
 
     if results:
         # 1) all failures of all objects, one write
-        write_results(_union([r.detailed for _, r, _ in results]), f"{out_dir}/detailed")
+        write_results(_union([r.detailed for _, r, _ in results]), f"{out_dir}/detailed", partition_by=RESULT_PARTITIONS)
         # 2) counts from the written table (pruned to this run) + one row count per object
         runs = local_frame(spark, [(p.object_id, r.run_id) for p, r, _ in results],
                                      "Object_ID int, Run_ID int")
@@ -106,7 +110,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
             summary.aggregated_rows(counts.join(_meta(spark, p, r).select("Mapping_ID"), "Mapping_ID", "left_semi"),
                                     _meta(spark, p, r), catalog.rule_threshold, r.run_id, clock.now)
             for p, r, _ in results])
-        write_results(aggregated, f"{out_dir}/aggregated")
+        write_results(aggregated, f"{out_dir}/aggregated", partition_by=RESULT_PARTITIONS)
         write_results(_union([r.object_log for _, r, _ in results]), f"{out_dir}/object_log")
         write_results(_union([r.rule_errors for _, r, _ in results]).withColumn(
             "Period", date_lit(clock.period)), f"{out_dir}/rule_errors")
