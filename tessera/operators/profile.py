@@ -193,7 +193,7 @@ def suggest_rules(df: DataFrame, prof: DataFrame | None = None) -> DataFrame:
     """(column_name, test_key, test_value) candidates, within the rule vocabulary.
 
     no nulls -> is_nullable NO; all values distinct -> distinct; e-mail shaped ->
-    regex; few text values -> allowed (sorted, comma-joined); numbers -> min/max;
+    regex; few text values -> allowed (sorted, as a JSON array); numbers -> min/max;
     text -> min_length/max_length.
     """
     prof = prof if prof is not None else profile(df, max_sample_values=ALLOWED_MAX_VALUES)
@@ -207,7 +207,7 @@ def suggest_rules(df: DataFrame, prof: DataFrame | None = None) -> DataFrame:
     allowed_values = (distinct_values(df).join(few, "ordinal", "left_semi")
                       .select("ordinal", _render(df).alias("value")).groupBy("ordinal")
                       .agg(F.array_sort(F.collect_list("value")).alias("_vals"))
-                      .select("ordinal", F.concat_ws(", ", "_vals").alias("_allowed")))
+                      .select("ordinal", F.to_json("_vals").alias("_allowed")))
     p = p.join(allowed_values, "ordinal", "left")
     num_text = lambda c: F.col(c).cast("string")
     cands = [
@@ -234,8 +234,7 @@ def candidate_rule_logic(suggestions: DataFrame) -> DataFrame:
     typed = F.when(F.col("test_key").isin("min", "max", "min_length", "max_length"),
                    F.col("test_value"))
     as_json = (F.when(F.col("test_key") == "distinct", F.lit("true"))
-               .when(F.col("test_key") == "allowed",
-                     F.to_json(F.split(F.col("test_value"), ", ")))
+               .when(F.col("test_key") == "allowed", F.col("test_value"))
                .when(typed.isNotNull(), typed)
                .otherwise(F.to_json(F.array(F.col("test_value"))).substr(F.lit(2), F.length(
                    F.to_json(F.array(F.col("test_value")))) - 2)))

@@ -420,7 +420,7 @@ def _profile_sql(name: str, part: str) -> str:
             if kind == "str":
                 parts.append(f"SELECT '{c}', 'regex', '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$' FROM {src} "
                              f"HAVING COUNT({c}) > 0 AND bool_and(regexp_matches({c}, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$'))")
-                parts.append(f"SELECT '{c}', 'allowed', string_agg(v, ', ' ORDER BY v) FROM "
+                parts.append(f"SELECT '{c}', 'allowed', '[' || string_agg('\"' || v || '\"', ',' ORDER BY v) || ']' FROM "
                              f"(SELECT DISTINCT {c} AS v FROM {src} WHERE {c} IS NOT NULL) "
                              f"HAVING COUNT(*) BETWEEN 1 AND 10 AND COUNT(*) < {n}")
                 for agg, key in (("MIN", "min_length"), ("MAX", "max_length")):
@@ -750,3 +750,54 @@ ORACLE_SQL.update({
                     f"FROM events WHERE {_DAY} AND event_type = 'error'"),
     ]),
 })
+
+
+def _catalog_merge_sql() -> str:
+    """Proposals per column (same rules as suggest_rules), as sorted-key JSON; the
+    candidate equal to the catalog's existing c_name rule is skipped; new ids
+    continue after 1 in candidate order; every proposal has a hard key, so the
+    default threshold is (0.0, 3)."""
+    email = "^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$"
+    email_json = email.replace("\\", "\\\\")
+    per_column = []
+    for c, kind in PROFILE_COLUMNS["customer"]:
+        num, text = kind == "num", kind == "str"
+        pieces = []
+        if text:
+            pieces.append(f"CASE WHEN d BETWEEN 1 AND 10 AND d < n THEN '\"allowed\": [' || "
+                          f"(SELECT string_agg('\"' || v || '\"', ', ' ORDER BY v) FROM "
+                          f"(SELECT DISTINCT {c} AS v FROM customer WHERE {c} IS NOT NULL)) || ']' END")
+        pieces.append("CASE WHEN n > 0 AND nn = n AND d = n THEN '\"distinct\": true' END")
+        pieces.append("CASE WHEN n > 0 AND nn = n THEN '\"is_nullable\": \"NO\"' END")
+        if num:
+            pieces.append("CASE WHEN nn > 0 THEN '\"max\": ' || CAST(hi AS VARCHAR) END")
+        if text:
+            pieces.append("CASE WHEN nn > 0 THEN '\"max_length\": ' || CAST(lh AS VARCHAR) END")
+        if num:
+            pieces.append("CASE WHEN nn > 0 THEN '\"min\": ' || CAST(lo AS VARCHAR) END")
+        if text:
+            pieces.append("CASE WHEN nn > 0 THEN '\"min_length\": ' || CAST(ll AS VARCHAR) END")
+            pieces.append(f"CASE WHEN nn > 0 AND em THEN '\"regex\": \"{email_json}\"' END")
+        stats = (f"SELECT COUNT(*) AS n, COUNT({c}) AS nn, COUNT(DISTINCT CAST({c} AS VARCHAR)) AS d"
+                 + (f", MIN(CAST({c} AS DOUBLE)) AS lo, MAX(CAST({c} AS DOUBLE)) AS hi" if num else "")
+                 + (f", MIN(length({c})) AS ll, MAX(length({c})) AS lh, "
+                    f"bool_and(regexp_matches({c}, '{email}')) AS em" if text else "")
+                 + " FROM customer")
+        per_column.append(f"SELECT '{c}' AS Column_Name, '{{' || concat_ws(', ', {', '.join(pieces)}) || '}}' "
+                          f"AS Rule_Logic FROM ({stats})")
+    existing = '{"distinct": true, "is_nullable": "NO", "max_length": 18, "min_length": 18}'
+    return f"""
+WITH p AS ({' UNION ALL '.join(per_column)}),
+fresh AS (SELECT * FROM p WHERE Rule_Logic <> '{{}}'
+          AND NOT (Column_Name = 'c_name' AND Rule_Logic = '{existing}')),
+n AS (SELECT *, row_number() OVER (ORDER BY 'r_' || Column_Name) AS k FROM fresh)
+SELECT CAST(1 + k AS INTEGER) AS Mapping_ID, CAST(1 + k AS INTEGER) AS Rule_ID, CAST(1 AS INTEGER) AS Object_ID,
+       Column_Name, Rule_Logic, 'Custodial' AS Test_Type,
+       CASE WHEN Rule_Logic LIKE '%"is_nullable"%' OR Rule_Logic LIKE '%"distinct"%' THEN CAST(0.0 AS DOUBLE)
+            ELSE CAST(0.01 AS DOUBLE) END AS Failure_Threshold_Value,
+       CAST(CASE WHEN Rule_Logic LIKE '%"is_nullable"%' OR Rule_Logic LIKE '%"distinct"%' THEN 3 ELSE 2 END
+            AS INTEGER) AS Criticality
+FROM n"""
+
+
+ORACLE_SQL["catalog_merge"] = _catalog_merge_sql()
