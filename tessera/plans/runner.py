@@ -75,6 +75,10 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
         full = (p.validation_period or "").lower() == W.FULL_TABLE
         start, end = w["Val_St_Dt"], w["Val_End_Dt"]
         try:
+            if not full and not w["_known_period"]:
+                raise ValueError(f"unknown validation period {p.validation_period!r} and no Time_Interval")
+            if not full and not p.date_col:
+                raise ValueError("an incremental window needs Source_Table_Date_Col on the object's mappings")
             source = loader(p)
             if not full:
                 source = windowed(source, p.date_col, start, end)

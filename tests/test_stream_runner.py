@@ -100,3 +100,19 @@ def test_declared_schema_frame(spark):
     df = spark.createDataFrame([("o_orderkey", "INT64", "NO")], schemas.DECLARED_SCHEMA)
     from tessera.operators.schema_check import declared_list
     assert declared_list(df) == [("o_orderkey", "INT64", "NO")]
+
+
+def test_unknown_period_or_missing_date_column_fails_the_object(spark, tmp_dir):
+    bad = Catalog.from_rows(
+        spark, rule=[(1, "not null", '{"is_nullable": "NO"}', "Custodial")],
+        object_lookup=[(1, "customer", "tpch", None, "c_custkey", "fortnightly", None, None, 1),
+                       (2, "orders", "tpch", None, "o_orderkey", "daily", None, None, 1)],
+        rule_mapping=[(1, 1, 1, "c_custkey", None, "c_custkey", "Custodial", 1),
+                      (2, 2, 1, "o_orderkey", None, None, "Custodial", 1)],
+        rule_threshold=[(1, 1, Decimal("0"), 3, 1), (2, 2, Decimal("0"), 3, 1)],
+        handler=[], distribution=[], notification=[], object_notification=[])
+    tables = {t: spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("customer", "orders")}
+    report = run(spark, bad, lambda p: tables[p.object_name], tmp_dir, clock=RunClock(dt.datetime(2024, 1, 15)))
+    assert sorted(report.failed_objects) == [1, 2]
+    states = sorted((r["Object_ID"], r["Val_Status"]) for r in spark.read.parquet(f"{tmp_dir}/execution").collect())
+    assert (1, "Failure") in states and (2, "Failure") in states
