@@ -32,9 +32,11 @@ from tessera.plans.engine import ObjectRun, ValidationResult, validate
 from tessera.sources.readers import register_tables, windowed
 from tessera.sources.sinks import write_results
 
-# Result tables are partitioned by day and object: reading one run back (a
-# broadcast semi join on object and run) prunes to that object's folders.
-RESULT_PARTITIONS = ("Period", "Object_ID")
+# Result tables are partitioned by day, object and run: reading one run back
+# (a broadcast semi join on object and run) prunes to its folders, and a rerun
+# of the same object run (a resumed 'Executing' window keeps its run id)
+# replaces those folders instead of appending a second copy.
+RESULT_PARTITIONS = ("Period", "Object_ID", "Run_ID")
 
 # loader(object plan) -> the object's full DataFrame (the window is applied here)
 Loader = Callable[[ObjectPlan], DataFrame]
@@ -92,7 +94,8 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
 
     if results:
         # 1) all failures of all objects, one write
-        write_results(_union([r.detailed for _, r, _ in results]), f"{out_dir}/detailed", partition_by=RESULT_PARTITIONS)
+        write_results(_union([r.detailed for _, r, _ in results]), f"{out_dir}/detailed", partition_by=RESULT_PARTITIONS,
+                      replace_partitions=True)
         # 2) counts from the written table (pruned to this run) + one row count per object
         runs = local_frame(spark, [(p.object_id, r.run_id) for p, r, _ in results],
                                      "Object_ID int, Run_ID int")
@@ -114,15 +117,17 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
             summary.aggregated_rows(counts.join(_meta(spark, p, r).select("Mapping_ID"), "Mapping_ID", "left_semi"),
                                     _meta(spark, p, r), catalog.rule_threshold, r.run_id, clock.now)
             for p, r, _ in results])
-        write_results(aggregated, f"{out_dir}/aggregated", partition_by=RESULT_PARTITIONS)
-        write_results(_union([r.object_log for _, r, _ in results]), f"{out_dir}/object_log")
-        write_results(_union([r.rule_errors for _, r, _ in results]).withColumn(
-            "Period", date_lit(clock.period)), f"{out_dir}/rule_errors")
+        write_results(aggregated, f"{out_dir}/aggregated", partition_by=RESULT_PARTITIONS, replace_partitions=True)
+        write_results(_union([r.object_log for _, r, _ in results]).withColumn("Run_ID", F.col("Object_Log_ID")),
+                      f"{out_dir}/object_log", partition_by=RESULT_PARTITIONS, replace_partitions=True)
+        errors = _union([r.rule_errors.withColumn("Run_ID", F.lit(r.run_id).cast("int")) for _, r, _ in results])
+        write_results(errors.withColumn("Period", date_lit(clock.period)), f"{out_dir}/rule_errors",
+                      partition_by=RESULT_PARTITIONS, replace_partitions=True)
         written_agg = (spark.read.parquet(f"{out_dir}/aggregated")
                        .where(F.col("Period") == date_lit(clock.period))
                        .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
-        write_results(alert_ops.alert_rows(written_agg, catalog, alert_mode),
-                      f"{out_dir}/alerts", partition_by=())
+        write_results(alert_ops.alert_rows(written_agg, catalog, alert_mode).withColumn("Period", date_lit(clock.period)),
+                      f"{out_dir}/alerts", partition_by=RESULT_PARTITIONS, replace_partitions=True)
         report.actions += 5
 
     outcomes = [(p.object_id, int(window_rows[p.object_id]["Run_Id"]),

@@ -1,8 +1,12 @@
 """Result sinks.
 
-Results are appended as ordinary Spark writes, partitioned by ``Period`` so a
-day's results are pruned by partition. There is no staging file, separate load
-step or emptiness probe: an empty frame simply writes no rows.
+Results are written as ordinary Spark writes, partitioned so a day's (and an
+object run's) results are pruned by partition. There is no staging file,
+separate load step or emptiness probe: an empty frame simply writes no rows.
+
+With ``replace_partitions`` the write replaces exactly the partitions it
+produces (dynamic partition overwrite) and leaves all others alone, so
+repeating the write of one object run after a failure does not duplicate it.
 """
 
 from __future__ import annotations
@@ -11,8 +15,10 @@ from pyspark.sql import DataFrame
 
 
 def write_results(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple = ("Period",),
-                  mode: str = "append") -> None:
+                  mode: str = "append", replace_partitions: bool = False) -> None:
     writer = df.write.mode(mode).format(fmt)
+    if replace_partitions:
+        writer = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
     cols = [c for c in partition_by if c in df.columns]
     if cols:
         writer = writer.partitionBy(*cols)

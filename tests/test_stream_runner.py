@@ -116,3 +116,17 @@ def test_unknown_period_or_missing_date_column_fails_the_object(spark, tmp_dir):
     assert sorted(report.failed_objects) == [1, 2]
     states = sorted((r["Object_ID"], r["Val_Status"]) for r in spark.read.parquet(f"{tmp_dir}/execution").collect())
     assert (1, "Failure") in states and (2, "Failure") in states
+
+
+def test_rerun_of_the_same_object_run_does_not_duplicate(spark, tmp_dir):
+    cat = _catalog(spark)
+    tables = {t: spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("customer", "orders", "events", "lineitem")}
+    clock = RunClock(dt.datetime(2024, 1, 15, 12, 0))
+    for _ in range(2):  # no object log given: both runs get run id 1 for the same day
+        run(spark, cat, lambda p: tables[p.object_name], tmp_dir, clock=clock, object_ids=[1])
+    detailed = spark.read.parquet(f"{tmp_dir}/detailed")
+    cust = tables["customer"]  # a row failing both rules is reported once per rule
+    expected = cust.where("c_acctbal < 0").count() + cust.where("c_mktsegment = 'MACHINERY'").count()
+    assert detailed.count() == expected
+    assert spark.read.parquet(f"{tmp_dir}/aggregated").count() == 3
+    assert spark.read.parquet(f"{tmp_dir}/object_log").count() == 1
