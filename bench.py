@@ -85,6 +85,13 @@ def rule_at_a_time(spark):
         r.detailed.count()
 
 
+def fused_rules_200(spark):
+    """Rule-count scaling: 200 rarely failing bounds on seven lineitem columns."""
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey"]
+    rules = [(cols[i % len(cols)], '{"max": %d}' % (100000 - i)) for i in range(1, 201)]
+    run_noop(lineitem_run(spark, rules).detailed)
+
+
 def summary_with_tiers(spark):
     th = local_frame(spark, [(i, i, 0.01, 1, 1) for i in range(1, 13)] + [(100 + i, i, 0.05, 2, 1) for i in range(1, 13)],
                                "Threshold_ID int, Mapping_ID int, Failure_Threshold_Value double, "
@@ -151,7 +158,8 @@ def main() -> None:
         run_noop(warm.detailed)
         run_noop(warm.aggregated)
     times, jobs = {}, {}
-    for name, fn in list(WORKLOADS.items()) + [("rule_at_a_time_12", rule_at_a_time)]:
+    extras = [("rule_at_a_time_12", rule_at_a_time), ("fused_rules_200", fused_rules_200)]
+    for name, fn in list(WORKLOADS.items()) + extras:
         sc.setJobGroup(name, name)
         t0 = time.perf_counter()
         fn(spark)
