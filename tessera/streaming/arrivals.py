@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.clock import RunClock
 from tessera.functions.paths import extension, table_id
+from tessera.operators import alerts
 from tessera.plans.catalog import ObjectPlan
 from tessera.plans.engine import ObjectRun, validate
 
@@ -67,19 +68,25 @@ def validate_file_batch(spark: SparkSession, batch: DataFrame, plan: ObjectPlan,
     return files, results
 
 
-def _write_batch(results, out_dir: str, epoch_id: int) -> None:
+def _write_batch(results, out_dir: str, epoch_id: int, catalog=None, alert_mode: str = "equal") -> None:
+    frames = {}
     for name in ("detailed", "aggregated", "object_log", "rule_errors"):
         frame = getattr(results[0], name)
         for r in results[1:]:
             frame = frame.unionByName(getattr(r, name))
         frame.write.mode("overwrite").parquet(f"{out_dir}/{name}/batch={epoch_id}")
+        frames[name] = frame
+    if catalog is not None:  # alerts on the file path too, from the aggregates just written
+        written = frames["aggregated"].sparkSession.read.parquet(f"{out_dir}/aggregated/batch={epoch_id}")
+        alerts.alert_rows(written, catalog, alert_mode).write.mode("overwrite").parquet(
+            f"{out_dir}/alerts/batch={epoch_id}")
 
 
 def start(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType, plan: ObjectPlan,
           objects: DataFrame, out_dir: str, checkpoint_location: str,
           clock_fn: Callable[[], RunClock] = RunClock.utcnow, thresholds: DataFrame | None = None,
           declared=None, options: dict | None = None, available_now: bool = True,
-          max_files_per_trigger: int | None = None) -> StreamingQuery:
+          max_files_per_trigger: int | None = None, catalog=None, alert_mode: str = "equal") -> StreamingQuery:
     stream = registered(arrivals(spark, landing_dir, fmt, schema, options, max_files_per_trigger), objects)
     stream = stream.where(F.col(TABLE_COL) == plan.object_name)
 
@@ -92,7 +99,7 @@ def start(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType,
             _, results = validate_file_batch(spark, batch, plan, clock, run_id=int(epoch_id) + 1,
                                              thresholds=thresholds, declared=declared)
             if results:
-                _write_batch(results, out_dir, epoch_id)
+                _write_batch(results, out_dir, epoch_id, catalog, alert_mode)
         finally:
             batch.unpersist()
 

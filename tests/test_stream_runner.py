@@ -85,7 +85,8 @@ def test_stream_of_files_equals_batch_per_file(spark, tmp_dir):
     plan = group_plan(rule_plan(cat, object_ids=[4]).collect())[0]
     clock = RunClock(dt.datetime(2024, 6, 1))
     q = arrivals.start(spark, landing, "csv", spark.createDataFrame([], ACCOUNT_SCHEMA).schema, plan,
-                       cat.object_lookup, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", clock_fn=lambda: clock)
+                       cat.object_lookup, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", clock_fn=lambda: clock,
+                       thresholds=cat.rule_threshold, catalog=cat)
     q.awaitTermination(120)
     streamed = spark.read.parquet(f"{tmp_dir}/out/detailed").collect()
     got = sorted((r["Mapping_ID"], r["Primary_Key_Value_s_"]) for r in streamed)
@@ -94,6 +95,10 @@ def test_stream_of_files_equals_batch_per_file(spark, tmp_dir):
     batch = validate(spark, ObjectRun(4, "account", "Id", batch_df, plan.mappings, clock))
     expected = sorted((r["Mapping_ID"], r["Primary_Key_Value_s_"]) for r in batch.detailed.collect())
     assert got == expected == [(9, "2"), (9, "2"), (10, "2")]
+    # alerts on the file path: mappings 9 and 10 fail, object 4 has no route -> handler text NULL
+    alert_rows = spark.read.parquet(f"{tmp_dir}/out/alerts").collect()
+    assert sorted(r["Rule_ID"] for r in alert_rows) == [2, 3]
+    assert all(r["Notification_Handler_Text"] is None for r in alert_rows)
 
 
 def test_declared_schema_frame(spark):
