@@ -118,7 +118,7 @@ def lookups(spark):
 def business_reconcile(spark):
     table(spark, "orders").createOrReplaceTempView("tpch_orders")
     table(spark, "lineitem").createOrReplaceTempView("tpch_lineitem")
-    sql = ("SELECT o.o_orderkey, o.o_totalprice, ROUND(COALESCE(SUM(l.l_extendedprice), 0), 2) AS line_sum "
+    sql = ("SELECT o.o_orderkey, o.o_totalprice, COALESCE(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))), 0) AS line_sum "
            "FROM `p.tpch.orders` o LEFT JOIN `p.tpch.lineitem` l ON o.o_orderkey = l.l_orderkey "
            "GROUP BY o.o_orderkey, o.o_totalprice HAVING ABS(o.o_totalprice - line_sum) > 200000;")
     ms = [Mapping(70, 16, 2, "o_totalprice, line_sum", sql, "Business", "", "orders", "o_orderkey")]

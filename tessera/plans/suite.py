@@ -82,7 +82,7 @@ ORPHANS_SQL = """SELECT o.o_orderkey, o.o_custkey, o.o_orderdate
     AND o.o_orderdate <  '{val_end_dt}';"""
 
 RECONCILE_SQL = """SELECT o.o_orderkey, o.o_totalprice,
-       ROUND(COALESCE(SUM(l.l_extendedprice), 0), 2) AS line_sum
+       COALESCE(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))), 0) AS line_sum
   FROM `proj.tpch.orders` o
   LEFT JOIN `proj.tpch.lineitem` l ON o.o_orderkey = l.l_orderkey
   WHERE o.o_orderdate >= '{val_st_dt}'
