@@ -1,4 +1,4 @@
-"""Uniqueness checks.
+"""Uniqueness checks (A1-A3).
 
 Every row whose non-null key occurs more than once is reported, one output row
 per occurrence. Duplicate keys are found by a grouped count, which Spark
@@ -63,7 +63,3 @@ def duplicate_failures(df: DataFrame, key_cols: list[str], pk_cols: list[str],
     rows = duplicate_rows(df.select(*dict.fromkeys(pk_cols + key_cols)), key_cols, broadcast_max_rows,
                           hot_key_rows)
     return rows.select(joined_text(pk_cols).alias(PK_VALUE), joined_text(key_cols).alias(ACTUAL))
-
-
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(F.col(column).alias("_value")).where(F.col("_value").isNotNull()).distinct()

@@ -8,7 +8,6 @@ column), so it is read on the driver; findings become a small DataFrame.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from tessera import schemas
 from tessera.functions.local import local_frame
@@ -72,10 +71,3 @@ def schema_diff(spark: SparkSession, df: DataFrame, declared: list[tuple], objec
 
 def declared_frame(spark: SparkSession, declared: list[tuple]) -> DataFrame:
     return local_frame(spark, declared, schemas.DECLARED_SCHEMA)
-
-
-def spark_type_of(df: DataFrame, column: str) -> T.DataType | None:
-    for f in df.schema.fields:
-        if f.name.lower() == column.lower():
-            return f.dataType
-    return None

@@ -81,3 +81,20 @@ def test_table_id_from_path(spark):
     df = spark.createDataFrame([("gs://b/in/account.csv",), ("/x/y/transaction.json",), ("plain",),
                                 ("/a/b.c/d.tar.gz",)], "p string")
     assert [r[0] for r in df.select(table_id(F.col("p"))).collect()] == ["account", "transaction", "plain", "d.tar"]
+
+
+def test_load_table_from_path_with_window(spark):
+    df = readers.load_table(spark, "orders", fmt="parquet", path=f"{SF001}/orders.parquet",
+                            date_col="o_orderdate", start=dt.datetime(1996, 1, 1), end=dt.datetime(1997, 1, 1))
+    dates = [r[0] for r in df.select("o_orderdate").collect()]
+    assert dates and all(dt.datetime(1996, 1, 1) <= d < dt.datetime(1997, 1, 1) for d in dates)
+
+
+def test_declared_frame_and_empty_execution(spark):
+    from tessera import schemas
+    from tessera.operators.schema_check import declared_frame, declared_list
+    from tessera.plans.runner import empty_execution
+    decl = [("a", "INT64", "NO"), ("b", "STRING", None)]
+    assert declared_list(declared_frame(spark, decl)) == decl
+    empty = empty_execution(spark)
+    assert empty.count() == 0 and [f.name for f in empty.schema.fields] == [f.name for f in schemas.EXECUTION.fields]
