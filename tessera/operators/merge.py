@@ -13,16 +13,25 @@ window is fine.
 from __future__ import annotations
 
 import json
+import sys
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.local import local_frame
+from tessera.operators import spec as _spec
 from tessera.operators.spec import canonical_logic, decode_rule_logic
 
+# The two UDFs below run on executors. Their code (and the rule decoding they
+# call) is shipped by value with the task, so workers need not import this
+# package from their own path.
+cloudpickle.register_pickle_by_value(_spec)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The proposable key vocabulary (no custom code), the hard
 # constraints, and their default thresholds.
 PROPOSABLE_KEYS = ["is_nullable", "distinct", "regex", "allowed", "forbidden", "min", "max",
