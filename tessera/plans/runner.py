@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tessera import schemas
 from tessera.clock import RunClock
 from tessera.functions.local import local_frame
-from tessera.functions.projection import date_lit
+from tessera.functions.projection import date_lit, ts_lit
 from tessera.operators import alerts as alert_ops
 from tessera.operators import summary
 from tessera.plans import windows as W
@@ -99,8 +99,10 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
         # 2) counts from the written table (pruned to this run) + one row count per object
         runs = local_frame(spark, [(p.object_id, r.run_id) for p, r, _ in results],
                                      "Object_ID int, Run_ID int")
+        # only this attempt's rows: each attempt stamps its own clock
         written = (spark.read.parquet(f"{out_dir}/detailed")
-                   .where(F.col("Period") == date_lit(clock.period))
+                   .where((F.col("Period") == date_lit(clock.period))
+                          & (F.col("Last_Update_Date") == ts_lit(clock.now)))
                    .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
         failure_counts = written.groupBy("Mapping_ID").agg(F.count(F.lit(1)).cast("long").alias("Failure_Count"))
         row_counts = _union([s.agg(F.lit(p.object_id).cast("int").alias("Object_ID"),
