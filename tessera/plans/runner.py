@@ -94,13 +94,13 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
 
     if results:
         # 1) all failures of all objects, one write
-        write_results(_union([r.detailed for _, r, _ in results]), f"{out_dir}/detailed", partition_by=RESULT_PARTITIONS,
-                      replace_partitions=True)
+        detailed = _union([r.detailed for _, r, _ in results])
+        write_results(detailed, f"{out_dir}/detailed", partition_by=RESULT_PARTITIONS, replace_partitions=True)
         # 2) counts from the written table (pruned to this run) + one row count per object
         runs = local_frame(spark, [(p.object_id, r.run_id) for p, r, _ in results],
                                      "Object_ID int, Run_ID int")
         # only this attempt's rows: each attempt stamps its own clock
-        written = (spark.read.parquet(f"{out_dir}/detailed")
+        written = (_read_back(spark, f"{out_dir}/detailed", detailed.schema)
                    .where((F.col("Period") == date_lit(clock.period))
                           & (F.col("Last_Update_Date") == ts_lit(clock.now)))
                    .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
@@ -125,7 +125,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
         errors = _union([r.rule_errors.withColumn("Run_ID", F.lit(r.run_id).cast("int")) for _, r, _ in results])
         write_results(errors.withColumn("Period", date_lit(clock.period)), f"{out_dir}/rule_errors",
                       partition_by=RESULT_PARTITIONS, replace_partitions=True)
-        written_agg = (spark.read.parquet(f"{out_dir}/aggregated")
+        written_agg = (_read_back(spark, f"{out_dir}/aggregated", aggregated.schema)
                        .where(F.col("Period") == date_lit(clock.period))
                        .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
         write_results(alert_ops.alert_rows(written_agg, catalog, alert_mode).withColumn("Period", date_lit(clock.period)),
@@ -135,12 +135,18 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
     outcomes = [(p.object_id, int(window_rows[p.object_id]["Run_Id"]),
                  "Failure" if p.object_id in report.failed_objects else "Success") for p in plans]
     outcome_df = local_frame(spark, outcomes, "Object_ID int, Run_Id int, Val_Status string")
-    history = spark.read.parquet(f"{out_dir}/execution")
+    history = _read_back(spark, f"{out_dir}/execution", schemas.EXECUTION)
     write_results(W.status_rows(history, outcome_df, clock), f"{out_dir}/execution", partition_by=())
     report.actions += 1
     return report
 
 
+def _read_back(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read a result table with its known schema: a write of no rows leaves no
+    data files, and the read must then give an empty frame, not fail."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def _meta(spark: SparkSession, p: ObjectPlan, r: ValidationResult) -> DataFrame:
     evaluated = set(r.mapping_ids)
     rows = [(m.mapping_id, m.rule_id, p.object_id, m.column_name, p.object_name, m.rule_description)

@@ -37,9 +37,14 @@ def _plus_minutes(ts: Column, minutes: Column) -> Column:
 
 
 def latest_state(execution: DataFrame) -> DataFrame:
-    """Each object's most recent execution row."""
+    """Each object's most recent execution row.
+
+    A run stamps its 'Executing' row and its closing 'Success'/'Failure' row with
+    the same clock, so on equal times the closing state wins.
+    """
+    closing = F.when(F.col("Val_Status") == "Executing", F.lit(0)).otherwise(F.lit(1))
     return (execution.groupBy("Object_ID")
-            .agg(F.max_by(F.struct(*STATE_COLUMNS), F.col("Last_Upd_Dt")).alias("_s"))
+            .agg(F.max_by(F.struct(*STATE_COLUMNS), F.struct(F.col("Last_Upd_Dt"), closing)).alias("_s"))
             .select("Object_ID", *[F.col(f"_s.{c}").alias(f"last_{c}") for c in STATE_COLUMNS]))
 
 

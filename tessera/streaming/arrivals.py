@@ -77,7 +77,8 @@ def _write_batch(results, out_dir: str, epoch_id: int, catalog=None, alert_mode:
         frame.write.mode("overwrite").parquet(f"{out_dir}/{name}/batch={epoch_id}")
         frames[name] = frame
     if catalog is not None:  # alerts on the file path too, from the aggregates just written
-        written = frames["aggregated"].sparkSession.read.parquet(f"{out_dir}/aggregated/batch={epoch_id}")
+        agg = frames["aggregated"]  # read with its schema: an empty file batch writes no data files
+        written = agg.sparkSession.read.schema(agg.schema).parquet(f"{out_dir}/aggregated/batch={epoch_id}")
         alerts.alert_rows(written, catalog, alert_mode).write.mode("overwrite").parquet(
             f"{out_dir}/alerts/batch={epoch_id}")
 

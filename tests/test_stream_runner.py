@@ -135,3 +135,25 @@ def test_rerun_of_the_same_object_run_does_not_duplicate(spark, tmp_dir):
     assert detailed.count() == expected
     assert spark.read.parquet(f"{tmp_dir}/aggregated").count() == 3
     assert spark.read.parquet(f"{tmp_dir}/object_log").count() == 1
+
+
+def test_second_run_continues_after_the_first_window(spark, tmp_dir):
+    cat = Catalog.from_rows(
+        spark, rule=[(1, "no errors", '{"forbidden": ["error"]}', "Custodial")],
+        object_lookup=[(3, "events", "tpch", None, "event_id", "daily", 60, "hourly", 1)],
+        rule_mapping=[(6, 3, 1, "event_type", None, "ts", "Custodial", 1)],
+        rule_threshold=[(1, 6, Decimal("0.1"), 1, 1)],
+        handler=[], distribution=[], notification=[], object_notification=[])
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    first, second = f"{tmp_dir}/a", f"{tmp_dir}/b"
+    run(spark, cat, lambda p: events, first, clock=RunClock(dt.datetime(2024, 1, 15, 12, 0)))
+    history = spark.read.parquet(f"{first}/execution")
+    log = spark.read.parquet(f"{first}/object_log")
+    run(spark, cat, lambda p: events, second, clock=RunClock(dt.datetime(2024, 1, 15, 13, 0)),
+        execution=history, object_log=log)
+    a = spark.read.parquet(f"{first}/object_log").first()
+    b = spark.read.parquet(f"{second}/object_log").first()
+    # the second run validates the next hour and takes the next run id
+    assert (a["val_st_dt"], a["val_end_dt"]) == (dt.datetime(2024, 1, 15, 11), dt.datetime(2024, 1, 15, 12))
+    assert (b["val_st_dt"], b["val_end_dt"]) == (dt.datetime(2024, 1, 15, 12), dt.datetime(2024, 1, 15, 13))
+    assert (a["Object_Log_ID"], b["Object_Log_ID"]) == (1, 2)
