@@ -136,6 +136,8 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
                  "Failure" if p.object_id in report.failed_objects else "Success") for p in plans]
     outcome_df = local_frame(spark, outcomes, "Object_ID int, Run_Id int, Val_Status string")
     history = _read_back(spark, f"{out_dir}/execution", schemas.EXECUTION)
+    if execution is not None:  # a resumed window's 'Executing' row lives in the given history
+        history = history.unionByName(execution.select(*schemas.EXECUTION.fieldNames()))
     write_results(W.status_rows(history, outcome_df, clock), f"{out_dir}/execution", partition_by=())
     report.actions += 1
     return report

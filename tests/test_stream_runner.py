@@ -157,3 +157,22 @@ def test_second_run_continues_after_the_first_window(spark, tmp_dir):
     assert (a["val_st_dt"], a["val_end_dt"]) == (dt.datetime(2024, 1, 15, 11), dt.datetime(2024, 1, 15, 12))
     assert (b["val_st_dt"], b["val_end_dt"]) == (dt.datetime(2024, 1, 15, 12), dt.datetime(2024, 1, 15, 13))
     assert (a["Object_Log_ID"], b["Object_Log_ID"]) == (1, 2)
+
+
+def test_resumed_window_keeps_run_id_and_closes_it(spark, tmp_dir):
+    from tessera.plans import windows as W
+    cat = Catalog.from_rows(
+        spark, rule=[(1, "no errors", '{"forbidden": ["error"]}', "Custodial")],
+        object_lookup=[(3, "events", "tpch", None, "event_id", "daily", 60, "hourly", 1)],
+        rule_mapping=[(6, 3, 1, "event_type", None, "ts", "Custodial", 1)],
+        rule_threshold=[(1, 6, Decimal("0.1"), 1, 1)],
+        handler=[], distribution=[], notification=[], object_notification=[])
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    crashed = RunClock(dt.datetime(2024, 1, 15, 12, 0))  # an attempt that wrote 'Executing' and died
+    objects = cat.object_lookup
+    started = W.execution_rows(W.next_windows(objects, None, crashed, W.next_run_ids(None, objects, crashed)), crashed)
+    run(spark, cat, lambda p: events, tmp_dir, clock=RunClock(dt.datetime(2024, 1, 15, 12, 30)), execution=started)
+    log = spark.read.parquet(f"{tmp_dir}/object_log").first()
+    assert (log["val_st_dt"], log["val_end_dt"]) == (dt.datetime(2024, 1, 15, 11), dt.datetime(2024, 1, 15, 12))
+    states = [(r["Run_Id"], r["Val_Status"]) for r in spark.read.parquet(f"{tmp_dir}/execution").collect()]
+    assert states == [(1, "Success")]  # no second 'Executing' row; the resumed run is closed
