@@ -20,7 +20,9 @@ FILE_FORMATS = ("csv", "json", "xml", "parquet", "orc")
 
 
 def _bound(df: DataFrame, column: str, value: dt.datetime | dt.date):
-    dtype = next(f.dataType for f in df.schema.fields if f.name.lower() == column.lower())
+    dtype = next((f.dataType for f in df.schema.fields if f.name.lower() == column.lower()), None)
+    if dtype is None:
+        raise ValueError(f"window column {column!r} is not in the object")
     if isinstance(dtype, T.DateType):
         return F.lit(value.strftime("%Y-%m-%d")).cast("date")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

@@ -98,3 +98,9 @@ def test_declared_frame_and_empty_execution(spark):
     assert declared_list(declared_frame(spark, decl)) == decl
     empty = empty_execution(spark)
     assert empty.count() == 0 and [f.name for f in empty.schema.fields] == [f.name for f in schemas.EXECUTION.fields]
+
+
+def test_window_on_a_missing_column_is_a_clear_error(spark):
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    with pytest.raises(ValueError, match="not in the object"):
+        readers.windowed(events, "event_time", dt.datetime(2024, 1, 1), None)
