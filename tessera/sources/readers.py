@@ -27,7 +27,9 @@ def _bound(df: DataFrame, column: str, value: dt.datetime | dt.date):
         return F.lit(value.strftime("%Y-%m-%d")).cast("date")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.lit(ts_text(value)).cast(dtype)
-    return F.lit(ts_text(value)).cast(dtype) if isinstance(dtype, T.StringType) else F.lit(ts_text(value))
+    if isinstance(dtype, T.StringType):
+        return F.lit(ts_text(value))  # ISO text compares in time order
+    raise ValueError(f"window column {column!r} is {dtype.simpleString()}, not a date, timestamp or text")
 
 
 def windowed(df: DataFrame, column: str | None, start: dt.datetime | None,
@@ -97,37 +99,47 @@ def has_header(spark: SparkSession, path: str, expected: list[str] | None, sep:
 
 
 def read_csv(spark: SparkSession, path: str, expected: list[str] | None = None,
-             header: bool | None = None) -> DataFrame:
+             header: bool | None = None, schema: T.StructType | None = None) -> DataFrame:
     """CSV with header detection, ``"`` quote and escape, inferred types;
-    a headerless file takes the expected column names."""
+    a headerless file takes the expected column names.
+
+    Inference reads the data once more; give ``schema`` when the types are known
+    (large files), and the file is read only by the validation itself.
+    """
     if header is None:
         header = has_header(spark, path, expected)
-    df = (spark.read.option("header", header).option("inferSchema", True)
-          .option("quote", '"').option("escape", '"').option("enforceSchema", False).csv(path))
+    reader = spark.read.option("header", header).option("quote", '"').option("escape", '"')
+    if schema is not None:
+        return reader.schema(schema).csv(path)
+    df = reader.option("inferSchema", True).option("enforceSchema", False).csv(path)
     if not header and expected and len(expected) == len(df.columns):
         df = df.toDF(*expected)
     return df
 
 
-def read_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_json(spark: SparkSession, path: str, multiline: bool = False,
+              schema: T.StructType | None = None) -> DataFrame:
     """S7."""
-    return spark.read.option("multiLine", multiline).json(path)
+    reader = spark.read.option("multiLine", multiline)
+    return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
-def read_xml(spark: SparkSession, path: str, row_tag: str = "row") -> DataFrame:
+def read_xml(spark: SparkSession, path: str, row_tag: str = "row", schema: T.StructType | None = None) -> DataFrame:
     """Spark's built-in XML source."""
-    return spark.read.format("xml").option("rowTag", row_tag).load(path)
+    reader = spark.read.format("xml").option("rowTag", row_tag)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def read_file(spark: SparkSession, path: str, extension: str | None = None,
-              expected: list[str] | None = None, row_tag: str = "row") -> DataFrame:
+              expected: list[str] | None = None, row_tag: str = "row",
+              schema: T.StructType | None = None) -> DataFrame:
     ext = (extension or path.rsplit(".", 1)[-1]).lower()
     if ext == "csv":
-        return read_csv(spark, path, expected)
+        return read_csv(spark, path, expected, schema=schema)
     if ext in ("json", "jsonl", "ndjson"):
-        return read_json(spark, path)
+        return read_json(spark, path, schema=schema)
     if ext == "xml":
-        return read_xml(spark, path, row_tag)
+        return read_xml(spark, path, row_tag, schema=schema)
     if ext in ("parquet", "orc"):
         return spark.read.format(ext).load(path)
     raise ValueError(f"Unsupported file extension {ext!r}; expected one of csv, json, xml")

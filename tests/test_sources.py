@@ -104,3 +104,13 @@ def test_window_on_a_missing_column_is_a_clear_error(spark):
     events = spark.read.parquet(f"{SF001}/events.parquet")
     with pytest.raises(ValueError, match="not in the object"):
         readers.windowed(events, "event_time", dt.datetime(2024, 1, 1), None)
+
+
+def test_csv_with_known_schema_and_window_on_numbers(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "k.csv")
+    with open(path, "w") as f:
+        f.write("Id,Name\n1,a\n2,b\n")
+    df = readers.read_csv(spark, path, ["Id", "Name"], schema=spark.createDataFrame([], "Id long, Name string").schema)
+    assert dict(df.dtypes) == {"Id": "bigint", "Name": "string"} and df.count() == 2
+    with pytest.raises(ValueError, match="not a date"):
+        readers.windowed(df, "Id", dt.datetime(2024, 1, 1), None)
