@@ -40,6 +40,7 @@ HARD_KEYS = ["is_nullable", "distinct", "data_type"]
 HARD_DEFAULT = (0.0, 3)
 SOFT_DEFAULT = (0.01, 2)
 DESCRIPTION_LIMIT = 500
+MAX_BATCH_RULES = 100_000  # our bound on one reviewed batch
 
 
 @F.pandas_udf(T.StringType())
@@ -149,6 +150,10 @@ def merge(spark: SparkSession, catalog, candidates: DataFrame, object_name: str,
         fresh = admitted.join(existing, keys, "left_anti")
         skipped = admitted.join(existing.select(*keys).distinct(), keys, "left_semi")
 
+    # New ids are numbered with one ordered window, which runs in a single task:
+    # fine for a reviewed batch, so the batch size is checked rather than assumed.
+    if fresh.limit(MAX_BATCH_RULES + 1).count() > MAX_BATCH_RULES:
+        raise ValueError(f"a review batch holds more than {MAX_BATCH_RULES} new rules; split it")
     order = Window.orderBy("rule_id_temp")
     max_rule = _max_id(catalog.rule, "Rule_ID")
     max_map = _max_id(catalog.rule_mapping, "Mapping_ID")
