@@ -152,8 +152,11 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
         entries = [F.struct(F.lit(i).cast("int").alias("ordinal"), F.col(f"d{i}").cast("long").alias("distinct_count"))
                    for i in range(len(df.schema.fields))]
         return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    return (distinct_values(df).groupBy("ordinal")
-            .agg(F.count(F.lit(1)).cast("long").alias("distinct_count")))
+    return _counts_of(distinct_values(df))
+
+
+def _counts_of(values: DataFrame) -> DataFrame:
+    return values.groupBy("ordinal").agg(F.count(F.lit(1)).cast("long").alias("distinct_count"))
 
 
 def truncate_text(c):
@@ -163,17 +166,21 @@ def truncate_text(c):
 
 def sample_values(df: DataFrame, max_sample_values: int = 5) -> DataFrame:
     """first N distinct values per column in value order (numbers by number)."""
+    return _samples_of(df, distinct_values(df), max_sample_values)
+
+
+def _samples_of(df: DataFrame, values: DataFrame, max_sample_values: int) -> DataFrame:
     w = Window.partitionBy("ordinal").orderBy("i", "d", "s")
-    top = (distinct_values(df).withColumn("sample_rank", F.row_number().over(w))
-           .where(F.col("sample_rank") <= max_sample_values))
+    top = values.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= max_sample_values)
     return top.select("ordinal", F.col("sample_rank").cast("int"), truncate_text(_render(df)).alias("sample_value"))
 
 
 def profile(df: DataFrame, max_sample_values: int = 5, approx: bool = False) -> DataFrame:
     """One row per column: F1-F9 plus ``sample_values`` as an ordered array."""
     stats = column_stats(df)
-    counts = distinct_counts(df, approx)
-    samples = (sample_values(df, max_sample_values).groupBy("ordinal")
+    values = distinct_values(df)  # one frame for counts and samples: Spark reuses its shuffle
+    counts = distinct_counts(df, approx=True) if approx else _counts_of(values)
+    samples = (_samples_of(df, values, max_sample_values).groupBy("ordinal")
                .agg(F.array_sort(F.collect_list(F.struct("sample_rank", "sample_value"))).alias("_s"))
                .select("ordinal", F.col("_s.sample_value").alias("sample_values")))
     out = (stats.join(counts, "ordinal", "left").join(samples, "ordinal", "left")
