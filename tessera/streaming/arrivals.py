@@ -28,6 +28,7 @@ from tessera.plans.catalog import ObjectPlan
 from tessera.plans.engine import ObjectRun, validate
 
 FILE_COL, TABLE_COL = "_source_file", "_table_id"
+MAX_FILES_PER_TRIGGER = 100  # bounds one micro-batch's files (each is validated as its own set)
 
 
 def arrivals(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType,
@@ -87,7 +88,8 @@ def start(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType,
           objects: DataFrame, out_dir: str, checkpoint_location: str,
           clock_fn: Callable[[], RunClock] = RunClock.utcnow, thresholds: DataFrame | None = None,
           declared=None, options: dict | None = None, available_now: bool = True,
-          max_files_per_trigger: int | None = None, catalog=None, alert_mode: str = "equal") -> StreamingQuery:
+          max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, catalog=None,
+          alert_mode: str = "equal") -> StreamingQuery:
     stream = registered(arrivals(spark, landing_dir, fmt, schema, options, max_files_per_trigger), objects)
     stream = stream.where(F.col(TABLE_COL) == plan.object_name)
 
