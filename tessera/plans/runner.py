@@ -5,8 +5,9 @@ Steps: rule plan (J1/J2) -> windows and run ids for all objects (W1, A8) ->
 all objects -> aggregate from the written failures plus one row count per
 object -> object log, rule errors, alerts -> 'Success'/'Failure' rows.
 
-The number of Spark actions depends on the number of objects and result
-tables, not on the number of rules. The aggregate reads back the written
+The number of Spark jobs depends on the number of objects and result tables,
+not on the number of row-local rules (a uniqueness or lookup check adds a few
+for its checkpointed, size-checked key set). The aggregate reads back the written
 detailed table (partition-pruned by Period), which cuts the lineage: key,
 lookup and SQL checks are not evaluated a second time to be counted.
 """
