@@ -180,18 +180,27 @@ def after_date(col: str, dtype: T.DataType, bound: Any, today: dt.date, now: dt.
     return total(f"{lhs} > {rhs}")
 
 
+def _text(value: Any) -> str:
+    """A list value as Spark renders it as text (booleans lower case)."""
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    return str(value)
+
+
 def _membership(col: str, dtype: T.DataType, values: Sequence[Any]) -> str | None:
     vals = [v for v in values if v is not None]
     if not vals:
         return None
     q = quote_name(col)
     if isinstance(dtype, T.StringType):
-        return f"{q} IN ({', '.join(sql_string(str(v)) for v in vals)})"
+        return f"{q} IN ({', '.join(sql_string(_text(v)) for v in vals)})"
+    if isinstance(dtype, T.BooleanType) and all(isinstance(v, bool) for v in vals):
+        return f"{q} IN ({', '.join('true' if v else 'false' for v in vals)})"
     if isinstance(dtype, NUMERIC):
         numbers = [_as_number(v) for v in vals]
         if all(n is not None for n in numbers):
             return f"{q} IN ({', '.join(number_sql(n) for n in numbers)})"
-    return f"CAST({q} AS STRING) IN ({', '.join(sql_string(str(v)) for v in vals)})"
+    return f"CAST({q} AS STRING) IN ({', '.join(sql_string(_text(v)) for v in vals)})"
 
 
 def not_in_list(col: str, dtype: T.DataType, values: Sequence[Any]) -> str:

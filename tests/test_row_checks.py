@@ -79,3 +79,9 @@ def test_unusable_values_become_rule_errors(spark, logic):
     r = validate(spark, ObjectRun(1, "customers", "customer_id", customers(spark),
                                   [mapping(1, "score", logic)], CLOCK))
     assert r.rule_errors.count() == 1 and r.detailed.count() == 0
+
+
+def test_boolean_lists(spark):
+    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "customer_id int, flag boolean")
+    assert failures(spark, df, '{"allowed": [true]}', "flag") == [("2", "false")]
+    assert failures(spark, df, '{"forbidden": [true, "false"]}', "flag") == [("1", "true"), ("2", "false")]
