@@ -54,7 +54,9 @@ def render_business_sql(sql: str, start: dt.datetime | None, end: dt.datetime |
         if end is None:
             raise SqlRuleError("rule uses {val_end_dt} but the run has no window")
         text = text.replace(END_TOKEN, ts_text(end))
-    return re.sub(r"`([^`]+)`", lambda m: view_name(m.group(1)) if "." in m.group(1) else m.group(0),
+    # only table references (after FROM / JOIN) are renamed; backticked columns stay as they are
+    return re.sub(r"(?i)\b(from|join)(\s+)`([^`]+)`",
+                  lambda m: f"{m.group(1)}{m.group(2)}{view_name(m.group(3))}" if "." in m.group(3) else m.group(0),
                   text)
 
 

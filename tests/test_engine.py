@@ -246,3 +246,9 @@ def test_many_checks_split_into_chunks_give_the_same_rows(spark, monkeypatch):
     assert pairs(r) == whole
     counts = {x["Mapping_ID"]: x["Failure_Count"] for x in r.aggregated.collect()}
     assert all(counts[m] == sum(1 for p in whole if p[0] == m) for m in range(1, 12))
+
+
+def test_render_renames_tables_only():
+    sql = sqlrules.render_business_sql(
+        "SELECT o.`order.id` FROM `p.sales.orders` o\nJOIN  `p.sales.items` i ON o.`order.id` = i.id", None, None)
+    assert sql == "SELECT o.`order.id` FROM sales_orders o\nJOIN  sales_items i ON o.`order.id` = i.id"
