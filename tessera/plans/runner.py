@@ -160,3 +160,17 @@ def _meta(spark: SparkSession, p: ObjectPlan, r: ValidationResult) -> DataFrame:
 
 def empty_execution(spark: SparkSession) -> DataFrame:
     return local_frame(spark, [], schemas.EXECUTION)
+
+
+def current_results(spark: SparkSession, out_dir: str, table: str = "detailed") -> DataFrame:
+    """Rows of a result table that belong to the latest attempt of each object run.
+
+    The object log holds exactly one row per object run, rewritten by every
+    attempt with that attempt's clock; rows an earlier attempt left behind (in a
+    partition the rerun did not rewrite) carry another ``Last_Update_Date`` and
+    are dropped by the semi join.
+    """
+    rows = spark.read.parquet(f"{out_dir}/{table}")
+    log = (spark.read.parquet(f"{out_dir}/object_log")
+           .select("Period", "Object_ID", "Run_ID", "Last_Update_Date"))
+    return rows.join(log, ["Period", "Object_ID", "Run_ID", "Last_Update_Date"], "left_semi")

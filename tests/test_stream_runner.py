@@ -176,3 +176,18 @@ def test_resumed_window_keeps_run_id_and_closes_it(spark, tmp_dir):
     assert (log["val_st_dt"], log["val_end_dt"]) == (dt.datetime(2024, 1, 15, 11), dt.datetime(2024, 1, 15, 12))
     states = [(r["Run_Id"], r["Val_Status"]) for r in spark.read.parquet(f"{tmp_dir}/execution").collect()]
     assert states == [(1, "Success")]  # no second 'Executing' row; the resumed run is closed
+
+
+def test_current_results_drop_an_earlier_attempts_rows(spark, tmp_dir):
+    from tessera.plans.runner import current_results
+    cat = _catalog(spark)
+    customer = spark.read.parquet(f"{SF001}/customer.parquet")
+    run(spark, cat, lambda p: customer, tmp_dir, clock=RunClock(dt.datetime(2024, 1, 15, 12, 0)), object_ids=[1])
+    assert current_results(spark, tmp_dir).count() > 0
+    # same day, same run id, and this time nothing fails: the old partition is not rewritten
+    run(spark, cat, lambda p: customer.where("1 = 0"), tmp_dir, clock=RunClock(dt.datetime(2024, 1, 15, 13, 0)),
+        object_ids=[1])
+    assert spark.read.parquet(f"{tmp_dir}/detailed").count() > 0
+    assert current_results(spark, tmp_dir).count() == 0
+    agg = {r["Mapping_ID"]: r["Failure_Count"] for r in current_results(spark, tmp_dir, "aggregated").collect()}
+    assert agg == {1: 0, 2: 0, 3: 0}
