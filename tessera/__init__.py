@@ -8,7 +8,10 @@ with criticality, an object log, and rule errors.
 
 from tessera.clock import RunClock
 from tessera.operators.spec import Check, Mapping, decode_rule_logic, expand
+from tessera.plans.catalog import Catalog, rule_plan
 from tessera.plans.engine import ObjectRun, ValidationResult, passing_rows, validate
+from tessera.plans.runner import current_results, run
 
 __all__ = ["RunClock", "Check", "Mapping", "decode_rule_logic", "expand", "ObjectRun",
-           "ValidationResult", "passing_rows", "validate"]
+           "ValidationResult", "passing_rows", "validate", "Catalog", "rule_plan", "run",
+           "current_results"]
