@@ -8,7 +8,10 @@ from tessera.operators import profile as PR
 
 
 def test_every_query_has_a_sql_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from tessera.plans import suite
+    assert set(suite.all_queries()) <= set(entry.queries())
+    assert set(suite.all_queries()) == set(suite.all_oracles())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs_on_smallest_data(spark):
