@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, mixing, simhash, token_files, toxicity
+from tessera.llm import (decontamination, hidden_markov, mixing, nearest, simhash, substring_dedup, token_files,
+                         toxicity, url_filters, warc_zip)
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+URL_RULES = [url_filters.Rule("block", "net"), url_filters.Rule("allow", "example.net", "/en/"),
+             url_filters.Rule("block", "example.com", "/de/"), url_filters.Rule("allow", "org", "/fr/")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +30,20 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.frame.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -39,6 +56,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.read_packages(warc_zip.write_packages(table(spark, sf_dir, "pages")))
+
+
+def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.language_model(table(spark, sf_dir, "documents")).frame
+
+
 def token_digest(documents: DataFrame) -> DataFrame:
     # This vocabulary lower-cases, drops white space and never looks across it.
     files = token_files.write_token_files(documents, tokenizer_path(), END_ID, per_word=True)
@@ -51,10 +76,61 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_url_filters": op2_url_filters,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_nearest": op4_nearest,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
+    "op8_warc": op8_warc,
     "op9_token_ids": op9_token_ids,
+    "op10_hidden_markov": op10_hidden_markov,
 }
 
-ORACLES: dict[str, str] = {}
+WORDS_SQL = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+ORACLES: dict[str, str] = {
+    "op2_url_filters": """
+        WITH rest AS (
+          SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        parts AS (
+          SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        rules(verdict, rule_host, rule_path) AS (
+          VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+        best AS (
+          SELECT page_id, host, path, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+                 max_by(verdict, length(rule_host || rule_path)) AS verdict
+          FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+          GROUP BY page_id, host, path)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best""",
+    "op3_substring_dedup": f"""
+        WITH docs AS (SELECT doc_id, {WORDS_SQL} AS words FROM documents),
+        windows AS (
+          SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS passage
+          FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM docs WHERE len(words) >= 50)),
+        firsts AS (SELECT passage, min(doc_id) AS first_id FROM windows GROUP BY passage),
+        gone AS (
+          SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place
+          FROM windows JOIN firsts USING (passage) WHERE first_id < doc_id),
+        words AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs),
+        kept AS (
+          SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept
+          FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)""",
+    "op8_warc": """
+        WITH bodies AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+        digests AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex FROM bodies),
+        chunks AS (SELECT page_id, payload_bytes, hex, list_transform(range(0, 8),
+                     lambda k: ('0x' || substr(hex, 5 * k + 1, 5))::BIGINT) AS chunk FROM digests),
+        named AS (SELECT page_id, payload_bytes, array_to_string(list_transform(chunk, lambda v:
+                     list_reduce(list_transform([15, 10, 5, 0], lambda s:
+                       substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31)::INT + 1, 1)), lambda a, b: a || b)), '') AS payload_digest
+                  FROM chunks),
+        held AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM named)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> holder THEN holder END AS refers_to FROM held""",
+}
