@@ -73,7 +73,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 class Memo(dict):
     """word -> value, computed once; ``trim`` empties it beyond a fixed size, between documents."""
 
-    def __init__(self, compute: Callable, limit: int = 400_000):
+    def __init__(self, compute: Callable, limit: int = 100_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 

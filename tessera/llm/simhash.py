@@ -38,7 +38,7 @@ SEED = 42
 CUT_BITS = 16             # depth of the histogram the trie is cut by: 65,536 counters at most
 MAX_SUBTRIE = 262_144     # fingerprints of a cut node, at most, down to the histogram's depth
 MIN_PARTS = 16            # a trie is cut into at least about this many parts
-FRONTIER = 1 << 19        # node pairs held at once in a task
+FRONTIER = 1 << 15        # node pairs walked at once in a task
 
 
 def fingerprint_of(text: bytes, size: int = 3) -> int:

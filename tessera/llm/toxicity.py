@@ -64,7 +64,7 @@ class LabelModel:
     prior: float
     cliques: list[list[int]]
     tables: list[np.ndarray]                  # per clique: (2, 2^size) firing probabilities
-    accuracies: dict[str, tuple[float, float]] = field(default_factory=dict)
+    accuracies: dict[str, tuple[float, float]] = field(default_factory=dict)   # firing rates: clean, toxic
     correlations: dict[tuple[str, str], float] = field(default_factory=dict)
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
@@ -115,7 +115,7 @@ def mine_counts(batches):
                 table = counts[0] if toxic else counts[1]
                 for x in found:
                     table[x] = table.get(x, 0) + 1
-                if len(counts[0]) + len(counts[1]) > 400_000:
+                if len(counts[0]) + len(counts[1]) > 200_000:
                     yield flush()
     yield flush()
 
@@ -171,10 +171,14 @@ def vote_rows(index: dict[str, int], voter: np.ndarray, insults: list[str], thre
     base = len(MINED_VOTERS)
     fixed = {w: 1 << base for w in insults} | {w: 1 << (base + 1) for w in threats}
 
+    nothing = ((), 0)
+
     def known(word: bytes) -> tuple:
         clean = word.decode("utf-8", "replace").strip(EDGE).lower()
         ids = tuple(index[x] for x in word_features(word) if x in index)
         bits = fixed.get(clean, 0)
+        if not ids and not bits:
+            return nothing
         for i in ids:
             if voter[i] >= 0:
                 bits |= 1 << int(voter[i])
@@ -221,7 +225,7 @@ def fit_label_model(patterns: np.ndarray, free: np.ndarray, clean: np.ndarray, t
             tables = []
             for members in cliques:
                 cell, size = clique_cells(patterns, members), 1 << len(members)
-                table = np.stack([np.bincount(cell, x, size) for x in (good, bad)])
+                table = np.stack([np.bincount(cell, x, size).astype(float) for x in (good, bad)])
                 # A weak prior of what a voter is: seldom fires on clean text, often on toxic text.
                 quiet = np.array([bin(c).count("1") for c in range(size)])
                 table[0] += 2 * 0.02 ** quiet * 0.98 ** (len(members) - quiet)
@@ -235,7 +239,6 @@ def fit_label_model(patterns: np.ndarray, free: np.ndarray, clean: np.ndarray, t
         return model, weight
 
     model, weight = fit([[v] for v in range(voters)], None)
-    accuracies = {VOTERS[v]: (float(model.tables[v][0][1]), float(model.tables[v][1][1])) for v in range(voters)}
     fires = np.stack([((patterns >> v) & 1).astype(float) for v in range(voters)])
     correlations: dict[tuple[str, str], float] = {}
     pairs = []
@@ -263,7 +266,11 @@ def fit_label_model(patterns: np.ndarray, free: np.ndarray, clean: np.ndarray, t
                 clique_of[v] = a
     cliques = [sorted(c) for c in {id(c): c for c in clique_of.values()}.values()]
     model, _ = fit(cliques, weight)
-    model.accuracies, model.correlations = accuracies, correlations
+    model.correlations = correlations
+    for members, table in zip(model.cliques, model.tables):
+        for place, v in enumerate(members):
+            fired = (np.arange(table.shape[1]) >> place & 1).astype(bool)
+            model.accuracies[VOTERS[v]] = (float(table[0][fired].sum()), float(table[1][fired].sum()))
     return model
 
 

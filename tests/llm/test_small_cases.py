@@ -68,7 +68,7 @@ def toxic_tables(spark, n=400):
         rows.append((i, " ".join(own)))
         if i % 4:
             labels.append((i, int(bad)))
-    rows += [(9000, None), (9001, ""), (9002, "zorgman " * 5000), (None, "idiot zorgling"), (3, rows[3][1])]
+    rows += [(9000, None), (9001, ""), (9002, "zorgling idiot zorgul " * 5000), (None, "idiot zorgling"), (3, rows[3][1])]
     labels += [(5, None), (None, 1), (7, 0), (7, 0)]
     return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
 
