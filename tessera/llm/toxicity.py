@@ -65,7 +65,7 @@ class LabelModel:
     cliques: list[list[int]]
     tables: list[np.ndarray]                  # per clique: (2, 2^size) firing probabilities
     accuracies: dict[str, tuple[float, float]] = field(default_factory=dict)   # firing rates: clean, toxic
-    correlations: dict[tuple[str, str], float] = field(default_factory=dict)
+    correlations: dict[tuple[str, str], float] = field(default_factory=dict)   # given the class, of joined voters
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
         odds = np.full(len(patterns), math.log(self.prior) - math.log1p(-self.prior))
@@ -238,34 +238,38 @@ def fit_label_model(patterns: np.ndarray, free: np.ndarray, clean: np.ndarray, t
                 break
         return model, weight
 
-    model, weight = fit([[v] for v in range(voters)], None)
     fires = np.stack([((patterns >> v) & 1).astype(float) for v in range(voters)])
-    correlations: dict[tuple[str, str], float] = {}
-    pairs = []
-    for mass in (free * weight + toxic, free * (1 - weight) + clean):
-        total = mass.sum()
-        if total <= 0:
-            continue
-        centred = fires - (fires @ mass / total)[:, None]
-        cov = (centred * mass) @ centred.T / total
-        dev = np.sqrt(np.diag(cov)) + 1e-9
-        for i in range(voters):
-            for j in range(i + 1, voters):
-                r = cov[i, j] / dev[i] / dev[j]
-                key = (VOTERS[i], VOTERS[j])
-                if abs(r) > abs(correlations.get(key, 0)):
-                    correlations[key] = float(r)
-                if abs(r) > config.correlation and min(dev[i], dev[j]) > 1e-3:
-                    pairs.append((-abs(r), i, j))
-    clique_of = {v: [v] for v in range(voters)}
-    for _, i, j in sorted(pairs):
-        a, b = clique_of[i], clique_of[j]
-        if a is not b and len(a) + len(b) <= config.max_clique:
-            a.extend(b)
-            for v in b:
-                clique_of[v] = a
-    cliques = [sorted(c) for c in {id(c): c for c in clique_of.values()}.values()]
-    model, _ = fit(cliques, weight)
+
+    def residual(weight: np.ndarray) -> np.ndarray:
+        """Correlation of each two voters given the class, in the class where it is stronger."""
+        strongest = np.zeros((voters, voters))
+        for mass in (free * weight + toxic, free * (1 - weight) + clean):
+            if mass.sum() <= 0:
+                continue
+            centred = fires - (fires @ mass / mass.sum())[:, None]
+            cov = (centred * mass) @ centred.T / mass.sum()
+            dev = np.sqrt(np.diag(cov))
+            seen = np.outer(dev, dev) * np.outer(dev > 1e-3, dev > 1e-3)
+            r = np.divide(cov, seen, out=np.zeros_like(cov), where=seen > 0)
+            strongest = np.where(np.abs(r) > np.abs(strongest), r, strongest)
+        return np.triu(strongest, 1)
+
+    # The strongest dependence left is joined, then the model is fitted anew: what looked
+    # like a dependence of others under the wrong model goes with it.
+    cliques, correlations = [[v] for v in range(voters)], {}
+    model, weight = fit(cliques, None)
+    while True:
+        left = residual(weight)
+        of = {v: c for c in cliques for v in c}
+        pairs = [(abs(left[i, j]), i, j) for i in range(voters) for j in range(i + 1, voters)
+                 if of[i] is not of[j] and len(of[i]) + len(of[j]) <= config.max_clique]
+        best = max(pairs, default=(0.0, 0, 0))
+        if best[0] <= config.correlation:
+            break
+        _, i, j = best
+        correlations[VOTERS[i], VOTERS[j]] = float(left[i, j])
+        cliques = [c for c in cliques if c is not of[i] and c is not of[j]] + [sorted(of[i] + of[j])]
+        model, weight = fit(cliques, weight)
     model.correlations = correlations
     for members, table in zip(model.cliques, model.tables):
         for place, v in enumerate(members):
