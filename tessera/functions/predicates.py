@@ -1,9 +1,10 @@
 """Failing conditions of the row-local tests (P1-P9, P11), as SQL expressions.
 
-Each builder returns the text of a *total* boolean expression: it is never
-NULL and never throws under ANSI mode, so all tests of an object can share one
-projection. NULL values are skipped by every value test and only caught by the
-null test. Values that cannot be read as the bound's type (``'abc'`` against
+Each builder returns the text of a boolean expression that never throws under
+ANSI mode; where a value is NULL it is NULL or false, so a filter on it drops
+the row and can be pushed into the scan as it stands. ``total`` makes it never
+NULL, for projections, counts and negation. NULL values are skipped by every
+value test and only caught by the null test. Values that cannot be read as the bound's type (``'abc'`` against
 ``min 5``) are not failures of min/max/date tests; the type and regex tests
 report them.
 
@@ -75,7 +76,7 @@ def is_null(col: str) -> str:
 
 def regex_mismatch(col: str, pattern: str) -> str:
     q = quote_name(col)
-    return total(f"{q} IS NOT NULL AND NOT (CAST({q} AS STRING) RLIKE {sql_string(pattern)})")
+    return f"{q} IS NOT NULL AND NOT (CAST({q} AS STRING) RLIKE {sql_string(pattern)})"
 
 
 def _value_operands(col: str, dtype: T.DataType, bound: Any) -> tuple[str, str]:
@@ -100,12 +101,12 @@ def _value_operands(col: str, dtype: T.DataType, bound: Any) -> tuple[str, str]:
 
 def below_min(col: str, dtype: T.DataType, bound: Any) -> str:
     lhs, rhs = _value_operands(col, dtype, bound)
-    return total(f"{lhs} < {rhs}")
+    return f"{lhs} < {rhs}"
 
 
 def above_max(col: str, dtype: T.DataType, bound: Any) -> str:
     lhs, rhs = _value_operands(col, dtype, bound)
-    return total(f"{lhs} > {rhs}")
+    return f"{lhs} > {rhs}"
 
 
 def _length_bound(bound: Any) -> int:
@@ -116,11 +117,11 @@ def _length_bound(bound: Any) -> int:
 
 
 def shorter_than(col: str, bound: Any) -> str:
-    return total(f"length(CAST({quote_name(col)} AS STRING)) < {number_sql(_length_bound(bound))}")
+    return f"length(CAST({quote_name(col)} AS STRING)) < {number_sql(_length_bound(bound))}"
 
 
 def longer_than(col: str, bound: Any) -> str:
-    return total(f"length(CAST({quote_name(col)} AS STRING)) > {number_sql(_length_bound(bound))}")
+    return f"length(CAST({quote_name(col)} AS STRING)) > {number_sql(_length_bound(bound))}"
 
 
 def resolve_date_bound(bound: Any, today: dt.date, now: dt.datetime) -> dt.date | dt.datetime:
@@ -172,12 +173,12 @@ def _date_operands(col: str, dtype: T.DataType, bound: Any, today: dt.date,
 
 def before_date(col: str, dtype: T.DataType, bound: Any, today: dt.date, now: dt.datetime) -> str:
     lhs, rhs = _date_operands(col, dtype, bound, today, now)
-    return total(f"{lhs} < {rhs}")
+    return f"{lhs} < {rhs}"
 
 
 def after_date(col: str, dtype: T.DataType, bound: Any, today: dt.date, now: dt.datetime) -> str:
     lhs, rhs = _date_operands(col, dtype, bound, today, now)
-    return total(f"{lhs} > {rhs}")
+    return f"{lhs} > {rhs}"
 
 
 def _text(value: Any) -> str:
@@ -208,11 +209,11 @@ def not_in_list(col: str, dtype: T.DataType, values: Sequence[Any]) -> str:
     q = quote_name(col)
     if member is None:
         return f"{q} IS NOT NULL"
-    return total(f"{q} IS NOT NULL AND NOT ({member})")
+    return f"{q} IS NOT NULL AND NOT ({member})"
 
 
 def in_list(col: str, dtype: T.DataType, values: Sequence[Any]) -> str:
     member = _membership(col, dtype, values)
     if member is None:
         return "false"
-    return total(f"{quote_name(col)} IS NOT NULL AND ({member})")
+    return f"{quote_name(col)} IS NOT NULL AND ({member})"

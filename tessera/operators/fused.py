@@ -1,22 +1,21 @@
 """Row-local checks of one object, fused into a single pass.
 
 All row-local failing conditions of an object become one projection over one
-scan: rows failing any check are kept, each failing (row, check) pair is emitted
-by exploding an array of ``when(cond_i, struct(check_i ids, value_i))``. Counts
-for every check and the row count of the window come from one aggregate with a
-``count_if`` per check.
-
-Up to ``CHUNK_CHECKS`` checks share one pass. Beyond that the checks are split
-into chunks of that size, one pass each: a single generated method for hundreds
-of conditions exceeds the JVM's JIT size limit and would run interpreted, which
-costs more than the extra column-pruned scans.
+scan, however many there are: rows failing any check are kept (a plain OR of the
+conditions, which reaches the scan where the source can evaluate it), each
+failing (row, check) pair is emitted by exploding an array of
+``when(cond_i, struct(check_i ids, value_i))``. Counts for every check and the
+row count of the window come from one aggregate with a ``count_if`` per check.
+
+Hundreds of conditions in one generated method would exceed the JVM's JIT size
+limit and run interpreted; the session's ``spark.sql.codegen.hugeMethodLimit``
+(see ``session``) makes Spark fall back to its split projections there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +26,6 @@ from tessera.functions.projection import joined_text, joined_text_sql, sql_strin
 from tessera.operators.spec import Check
 
 PK_VALUE = "Primary_Key_Value_s_"
-CHUNK_CHECKS = 48
 ACTUAL = "Actual_Value"
 
 
@@ -38,7 +36,12 @@ class MissingColumnError(ValueError):
 @dataclass(frozen=True)
 class CompiledCheck:
     check: Check
-    sql: str  # the failing condition, a total boolean expression
+    raw: str  # the failing condition; NULL where no part of it can tell
+
+    @property
+    def sql(self) -> str:
+        """The failing condition, never NULL."""
+        return P.total(self.raw)
 
     @property
     def condition(self) -> Column:
@@ -102,9 +105,15 @@ def any_of_sql(conds: list[str]) -> str:
 
 
 def any_failing(compiled: list[CompiledCheck]) -> Column:
+    """Never NULL, so it can be negated."""
     return F.expr(any_of_sql([cc.sql for cc in compiled]))
 
 
+def some_failing(compiled: list[CompiledCheck]) -> Column:
+    """For filters only: NULL where no check fails, and free of wrappers that would keep it from the scan."""
+    return F.expr(any_of_sql([cc.raw for cc in compiled]))
+
+
 def _check_struct_sql(cc: CompiledCheck) -> str:
     """The ids of a check and its failing value."""
     m = cc.check.mapping
@@ -113,28 +122,20 @@ def _check_struct_sql(cc: CompiledCheck) -> str:
             f"'{ACTUAL}', {joined_text_sql(list(cc.check.columns))})")
 
 
-def chunks(compiled: list[CompiledCheck], size: int | None = None) -> list[list[CompiledCheck]]:
-    size = size or CHUNK_CHECKS  # read at call time, so the module setting can be tuned
-    return [compiled[i:i + size] for i in range(0, len(compiled), size)]
-
+def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str]) -> DataFrame:
+    """(PK value, Mapping_ID, Rule_ID, Object_ID, Column_Name, Actual_Value) per failing row and check.
 
-def _failures_pass(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str]) -> DataFrame:
-    """One pass; built from a few expressions whatever the number of checks."""
-    items = ", ".join(f"CASE WHEN {cc.sql} THEN {_check_struct_sql(cc)} END" for cc in compiled)
-    return (df.where(any_failing(compiled))
+    Built from a few expressions whatever the number of checks.
+    """
+    items = ", ".join(f"CASE WHEN {cc.raw} THEN {_check_struct_sql(cc)} END" for cc in compiled)
+    return (df.where(some_failing(compiled))
             .select(joined_text(pk_cols).alias(PK_VALUE), F.expr(f"explode(array({items}))").alias("_f"))
             .where(F.col("_f").isNotNull())
             .select(PK_VALUE, "_f.*"))
 
 
-def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str]) -> DataFrame:
-    """(PK value, Mapping_ID, Rule_ID, Object_ID, Column_Name, Actual_Value) per failing row and check."""
-    passes = [_failures_pass(df, part, pk_cols) for part in chunks(compiled)]
-    return reduce(lambda a, b: a.unionByName(b), passes)
-
-
 def _counts_pass(df: DataFrame, compiled: list[CompiledCheck], extra_ids: list[int]) -> DataFrame:
-    row = df.selectExpr("count(1) AS _n", *[f"count_if({cc.sql}) AS _c{i}" for i, cc in enumerate(compiled)])
+    row = df.selectExpr("count(1) AS _n", *[f"count_if({cc.raw}) AS _c{i}" for i, cc in enumerate(compiled)])
     entries = [f"named_struct('Mapping_ID', CAST({int(cc.check.mapping.mapping_id)} AS INT), "
                f"'Failure_Count', CAST(_c{i} AS BIGINT))" for i, cc in enumerate(compiled)]
     entries += [f"named_struct('Mapping_ID', CAST({int(mid)} AS INT), 'Failure_Count', CAST(0 AS BIGINT))"
@@ -148,11 +149,8 @@ def _counts_pass(df: DataFrame, compiled: list[CompiledCheck], extra_ids: list[i
 
 
 def fused_counts(df: DataFrame, compiled: list[CompiledCheck], mapping_ids: list[int]) -> DataFrame:
-    """One aggregate over the source (per chunk of checks) -> (Mapping_ID, Failure_Count, Row_Count)
-    for every mapping. Mappings without row-local checks get a 0 count and still carry the row count.
+    """One aggregate over the source -> (Mapping_ID, Failure_Count, Row_Count) for every mapping.
+    Mappings without row-local checks get a 0 count and still carry the row count.
     """
     covered = {cc.check.mapping.mapping_id for cc in compiled}
-    uncovered = [mid for mid in mapping_ids if mid not in covered]
-    parts = chunks(compiled) or [[]]
-    passes = [_counts_pass(df, part, uncovered if i == 0 else []) for i, part in enumerate(parts)]
-    return reduce(lambda a, b: a.unionByName(b), passes)
+    return _counts_pass(df, compiled, [mid for mid in mapping_ids if mid not in covered])

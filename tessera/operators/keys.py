@@ -3,18 +3,16 @@
 Every row whose non-null key occurs more than once is reported, one output row
 per occurrence. Duplicate keys are found by a grouped count, which Spark
 pre-aggregates map-side, so a hot key costs one partial row per task before
-the shuffle. The counted keys are written to the checkpoint folder once, then
-the rows are matched to them with semi joins:
-
-* few duplicate keys (within the broadcast bound): one broadcast semi join, no
-  shuffle of the rows at all;
-* otherwise the keys are split by their count. *Hot* keys (more than
-  ``hot_key_rows`` occurrences) number at most rows / ``hot_key_rows``, so they
-  are broadcast and their rows are matched map-side; only rows of the other
-  keys go through the shuffle join, where no key brings more than
-  ``hot_key_rows`` rows to one task.
-
-No key's rows are ever collected into a list or sent to a single task whole.
+the shuffle. Rows are matched to the duplicate keys by a semi join without a
+hint: Spark broadcasts the keys where their bytes allow it, and otherwise
+splits the large partitions of a hot key over several tasks.
+
+Both sides are keyed by values of fixed width. Numbers, dates and the like are
+compared as they are; text, binary and nested values by the SHA-256 digest of
+their typed JSON or bytes, so whole texts are never counted, shuffled or
+broadcast as keys. Two different values with one SHA-256 are not to be met.
+
+Nothing runs while the plan is built: no checkpoint, no size probe.
 """
 
 from __future__ import annotations
@@ -22,44 +20,56 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.projection import joined_text
-from tessera.operators.fused import ACTUAL, PK_VALUE
-from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_side, saved
+from tessera.operators.fused import ACTUAL, PK_VALUE, column_types, resolve
 
-HOT_KEY_ROWS = 1_000_000
 OCCURRENCES = "_occurrences"
+FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
+               T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def fixed_width(column: Column, dtype: T.DataType) -> Column:
+    """The value itself, or its digest where its width is not fixed. NULL stays NULL."""
+    if isinstance(dtype, FIXED_WIDTH):
+        return column
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.unhex(F.sha2(column.cast("binary"), 256))
+    return F.unhex(F.sha2(F.to_json(F.struct(column)).cast("binary"), 256))
+
 
+def key_columns(df: DataFrame, key_cols: list[str]) -> dict[str, Column]:
+    types = column_types(df)
+    return {f"_key{i}": fixed_width(F.col(c), resolve(types, c)) for i, c in enumerate(key_cols)}
 
-def _non_null(df: DataFrame, key_cols: list[str]) -> DataFrame:
-    return df.where(reduce(and_, [F.col(c).isNotNull() for c in key_cols]))
+
+def _keyed(df: DataFrame, key_cols: list[str]) -> DataFrame:
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in key_cols])).withColumns(key_columns(df, key_cols))
 
 
 def duplicate_keys(df: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Keys occurring more than once, with their number of occurrences."""
-    return (_non_null(df, key_cols).groupBy(*key_cols).agg(F.count(F.lit(1)).alias(OCCURRENCES))
-            .where(F.col(OCCURRENCES) > 1))
+    """Fixed-width keys occurring more than once, with their number of occurrences."""
+    keyed = _keyed(df, key_cols)
+    names = list(key_columns(df, key_cols))
+    return (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias(OCCURRENCES)).where(F.col(OCCURRENCES) > 1))
 
 
-def duplicate_rows(df: DataFrame, key_cols: list[str], broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def duplicate_rows(df: DataFrame, key_cols: list[str]) -> DataFrame:
     """Rows of ``df`` whose (non-null) key occurs more than once."""
-    rows = _non_null(df, key_cols)
-    dups, small = saved(duplicate_keys(df, key_cols), broadcast_max_rows)
-    if small:
-        return rows.join(F.broadcast(dups.select(*key_cols)), on=key_cols, how="left_semi")
-    hot = bounded_side(dups.where(F.col(OCCURRENCES) > hot_key_rows).select(*key_cols), broadcast_max_rows)
-    cold = dups.where(F.col(OCCURRENCES) <= hot_key_rows).select(*key_cols)
-    hot_rows = rows.join(hot, on=key_cols, how="left_semi")
-    cold_rows = rows.join(hot, on=key_cols, how="left_anti").join(cold, on=key_cols, how="left_semi")
-    return hot_rows.unionByName(cold_rows)
-
-
-def duplicate_failures(df: DataFrame, key_cols: list[str], pk_cols: list[str],
-                       broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    rows = duplicate_rows(df.select(*dict.fromkeys(pk_cols + key_cols)), key_cols, broadcast_max_rows,
-                          hot_key_rows)
+    names = list(key_columns(df, key_cols))
+    return _keyed(df, key_cols).join(duplicate_keys(df, key_cols).select(*names), names, "left_semi").select(*df.columns)
+
+
+def rows_without_duplicates(df: DataFrame, key_cols: list[str], among: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key holds a NULL or is not a duplicate among the rows of ``among``."""
+    names = list(key_columns(df, key_cols))
+    dups = duplicate_keys(among, key_cols).select(*names)
+    return df.withColumns(key_columns(df, key_cols)).join(dups, names, "left_anti").select(*df.columns)
+
+
+def duplicate_failures(df: DataFrame, key_cols: list[str], pk_cols: list[str]) -> DataFrame:
+    rows = duplicate_rows(df.select(*dict.fromkeys(pk_cols + key_cols)), key_cols)
     return rows.select(joined_text(pk_cols).alias(PK_VALUE), joined_text(key_cols).alias(ACTUAL))

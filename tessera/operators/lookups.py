@@ -2,14 +2,11 @@
 
 The lookup column is reduced to its distinct non-null values (A11) and joined,
 never pulled to the driver: ``allowed`` keeps rows with no match (left anti),
-``forbidden`` rows with a match (left semi). The value side is written to the
-checkpoint folder and broadcast only within a checked row bound.
-
-Beyond the bound the join shuffles the checked rows by value. So that a value
-holding a large share of the rows does not land in one task, the values with
-more than ``hot_value_rows`` rows (at most rows / ``hot_value_rows`` of them,
-found by a map-side pre-aggregated count) are decided against the lookup with
-a broadcast, and only rows of the other values are shuffled.
+``forbidden`` rows with a match (left semi). Values without fixed width are
+compared by digest (see ``keys``). The join carries no hint: Spark broadcasts the
+values where their bytes allow it, and otherwise shuffles by value and splits the
+large partitions of a hot value over several tasks. Nothing runs while the plan
+is built.
 """
 
 from __future__ import annotations
@@ -20,9 +17,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.projection import joined_text
 from tessera.operators.fused import ACTUAL, PK_VALUE
-from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_side, saved
-
-HOT_VALUE_ROWS = 1_000_000
+from tessera.operators.keys import fixed_width
 
 
 class LookupError_(ValueError):
@@ -57,32 +52,32 @@ def lookup_values(spark: SparkSession, spec: dict, dtype: T.DataType,
     if not column:
         raise LookupError_("lookup needs 'column_name'")
     table = resolve_table(spark, spec, tables)
-    return (table.select(F.col(column).try_cast(dtype).alias("_lookup_value"))
+    return (table.select(fixed_width(F.col(column).try_cast(dtype), dtype).alias("_lookup_value"))
             .where(F.col("_lookup_value").isNotNull()).distinct())
 
 
+def failing_rows(df: DataFrame, column: str, dtype: T.DataType, spec: dict, forbidden: bool,
+                 tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Rows whose non-null value is not in the lookup (``forbidden``: is in it)."""
+    values = lookup_values(df.sparkSession, spec, dtype, tables)
+    rows = df.where(F.col(column).isNotNull())
+    return rows.join(values, fixed_width(F.col(column), dtype) == values["_lookup_value"], "left_semi" if forbidden else "left_anti")
+
+
+def passing_rows(df: DataFrame, column: str, dtype: T.DataType, spec: dict, forbidden: bool,
+                 tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The complement of ``failing_rows``: NULL values pass."""
+    values = lookup_values(df.sparkSession, spec, dtype, tables)
+    same = fixed_width(F.col(column), dtype) == values["_lookup_value"]
+    if forbidden:
+        return df.join(values, same, "left_anti")
+    # Lookup values are distinct, so no row is repeated.
+    met = df.join(values, same, "left").where(F.col(column).isNull() | F.col("_lookup_value").isNotNull())
+    return met.select(*[df[c] for c in df.columns])
+
+
 def lookup_failures(df: DataFrame, column: str, dtype: T.DataType, spec: dict, forbidden: bool,
-                    pk_cols: list[str], tables: dict[str, DataFrame] | None = None,
-                    broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
-                    hot_value_rows: int = HOT_VALUE_ROWS) -> DataFrame:
-    values, small = saved(lookup_values(df.sparkSession, spec, dtype, tables), broadcast_max_rows)
-    rows = df.select(*dict.fromkeys(pk_cols + [column])).where(F.col(column).isNotNull())
-    how = "left_semi" if forbidden else "left_anti"
-    if small:
-        b = F.broadcast(values)
-        hits = rows.join(b, F.col(column) == b["_lookup_value"], how)
-    else:
-        hot = bounded_side(rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-                           .where(F.col("_n") > hot_value_rows)
-                           .select(F.col(column).alias("_hot_value")), broadcast_max_rows)
-        # verdict of each hot value: in the lookup or not (hot side broadcast)
-        hot_in = values.join(hot, values["_lookup_value"] == hot["_hot_value"], "left_semi")
-        failing_hot = hot_in if forbidden else hot.join(
-            hot_in, hot["_hot_value"] == hot_in["_lookup_value"], "left_anti").select(
-            F.col("_hot_value").alias("_lookup_value"))
-        failing_hot = F.broadcast(failing_hot.select("_lookup_value").withColumnRenamed("_lookup_value", "_fail_value"))
-        hot_hits = rows.join(failing_hot, F.col(column) == failing_hot["_fail_value"], "left_semi")
-        cold_rows = rows.join(hot, F.col(column) == hot["_hot_value"], "left_anti")
-        cold_hits = cold_rows.join(values, F.col(column) == values["_lookup_value"], how)
-        hits = hot_hits.unionByName(cold_hits)
+                    pk_cols: list[str], tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    rows = df.select(*dict.fromkeys(pk_cols + [column]))
+    hits = failing_rows(rows, column, dtype, spec, forbidden, tables)
     return hits.select(joined_text(pk_cols).alias(PK_VALUE), joined_text([column]).alias(ACTUAL))

@@ -9,8 +9,10 @@ the window come from one aggregate. Nothing is collected from the data.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import and_
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +22,11 @@ from tessera import schemas
 from tessera.clock import RunClock
 from tessera.functions import predicates as P
 from tessera.functions.local import local_frame
-from tessera.functions.projection import date_lit, joined_text, label_text, split_names, ts_lit
+from tessera.functions.projection import date_lit, label_text, split_names, ts_lit
 from tessera.operators import keys, lookups, schema_check, sqlrules, summary
 from tessera.operators.fused import (ACTUAL, PK_VALUE, CompiledCheck, MissingColumnError, any_failing,
                                      column_types, compile_check, fused_counts, fused_failures,
                                      resolve)
-from tessera.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_side
 from tessera.operators.spec import Check, Mapping, RuleError, expand
 
 FAILURE_COLUMNS = [PK_VALUE, "Mapping_ID", "Rule_ID", "Object_ID", "Column_Name", ACTUAL]
@@ -49,8 +50,6 @@ class ObjectRun:
     thresholds: DataFrame | None = None
     strict_types: bool = False
     emit_empty: bool = True
-    broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS
-    hot_key_rows: int = keys.HOT_KEY_ROWS  # also bounds hot values of lookup joins
 
 
 @dataclass
@@ -66,6 +65,7 @@ class ValidationResult:
     pk_cols: list[str]
     run_id: int = 1
     mapping_ids: list[int] = field(default_factory=list)
+    passes: list[Callable[[DataFrame], DataFrame]] = field(default_factory=list)  # each drops one check's failing rows
 
     def report(self) -> DataFrame:
         return self.detailed.select(*REPORT_COLUMNS)
@@ -148,6 +148,7 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
                                          if c.key == "regex" and isinstance(c.value, str)])
     compiled: list[CompiledCheck] = []
     frames: list[tuple[Mapping, DataFrame]] = []
+    passes: list[Callable[[DataFrame], DataFrame]] = []
     for check in checks:
         m = check.mapping
         try:
@@ -159,24 +160,28 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
             elif kind == "key":
                 for c in list(check.columns) + pk_cols:
                     resolve(types, c)
-                frames.append((m, keys.duplicate_failures(source, list(check.columns), pk_cols,
-                                                          run.broadcast_max_rows, run.hot_key_rows)))
+                key_cols = list(check.columns)
+                frames.append((m, keys.duplicate_failures(source, key_cols, pk_cols)))
+                passes.append(lambda df, c=key_cols: keys.rows_without_duplicates(df, c, among=source))
             elif kind == "lookup":
                 if len(check.columns) != 1:
                     raise P.RuleValueError("lookup tests take exactly one column")
                 column = check.columns[0]
-                frames.append((m, lookups.lookup_failures(
-                    source, column, resolve(types, column), check.value, check.key == "forbidden",
-                    pk_cols, run.tables, run.broadcast_max_rows, run.hot_key_rows)))
+                lookup = (column, resolve(types, column), check.value, check.key == "forbidden")
+                frames.append((m, lookups.lookup_failures(source, *lookup, pk_cols, run.tables)))
+                passes.append(lambda df, a=lookup: lookups.passing_rows(df, *a, run.tables))
             elif kind == "sql":
                 failing = sqlrules.custom_sql_failures(spark, source, check.value)
                 frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns))))
+                passes.append(lambda df, bad=failing: without_keys(df, bad, pk_cols))
             elif kind == "python":
                 failing = sqlrules.python_failures(source, check.value)
                 frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns))))
+                passes.append(lambda df, bad=failing: without_keys(df, bad, pk_cols))
             elif kind == "business":
                 failing = sqlrules.business_failures(spark, check.value, window_start, window_end)
                 frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns))))
+                passes.append(lambda df, bad=failing: without_keys(df, bad, pk_cols))
             elif kind == "schema":
                 _schema_check(spark, run, check, types, today, now, compiled, frames, errors)
         except (MissingColumnError, P.RuleValueError, lookups.LookupError_, sqlrules.SqlRuleError,
@@ -225,22 +230,27 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
 
     return ValidationResult(failures, counts, detailed, aggregated, object_log,
                             _error_frame(spark, errors), compiled, frames, pk_cols, run.run_id,
-                            mapping_ids)
+                            mapping_ids, passes)
+
+
+def without_keys(df: DataFrame, failing: DataFrame, pk_cols: list[str]) -> DataFrame:
+    """Rows of ``df`` whose primary key is not among the failing rows' (typed, NULL equal to NULL)."""
+    bad = failing.select(*[F.col(c).alias(f"_bad{i}") for i, c in enumerate(pk_cols)])
+    same = reduce(and_, [df[c].eqNullSafe(bad[f"_bad{i}"]) for i, c in enumerate(pk_cols)])
+    return df.join(bad, same, "left_anti")
 
 
 def passing_rows(source: DataFrame, result: ValidationResult) -> DataFrame:
     """Input rows with no reported failure.
 
-    Row-local failures are excluded by negating the fused condition (no join);
-    failures of key, lookup and SQL checks by a left anti join on the key text.
+    Row-local checks are excluded by negating the fused condition (no join), key
+    and lookup checks by the row's own values, so rows with NULL, composite or
+    repeated primary keys are judged one by one. SQL, Python and business checks
+    report keys only: all rows that share a failing key are held back.
     """
     keep = source
     if result.compiled:
         keep = keep.where(~any_failing(result.compiled))
-    if result.frames:
-        failing = reduce(lambda a, b: a.unionByName(b),
-                         [frame.select(F.col(PK_VALUE).alias("_failing_pk")) for _, frame in result.frames])
-        failing = bounded_side(failing.where(F.col("_failing_pk").isNotNull()).distinct())
-        keyed = keep.withColumn("_pk_text", joined_text(result.pk_cols))
-        keep = keyed.join(failing, keyed["_pk_text"] == failing["_failing_pk"], "left_anti").drop("_pk_text")
+    for drop_failing in result.passes:
+        keep = drop_failing(keep)
     return keep

@@ -1,6 +1,7 @@
 """Key, lookup, SQL, business and schema checks; summary; properties; plan shape."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -167,13 +168,14 @@ def test_hot_and_cold_duplicate_keys_match_brute_force(spark):
     from tessera.operators import keys
     rows = [(1, i) for i in range(300)] + [(k, i) for k in range(2, 40) for i in range(k % 4 + 1)] + [(None, 0)]
     df = spark.createDataFrame(rows, "k int, id int")
-    got = keys.duplicate_rows(df, ["k"], broadcast_max_rows=2, hot_key_rows=10)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Union" in plan
+    got = keys.duplicate_rows(df, ["k"])
     expected = sorted((k, i) for k, i in rows if k is not None and sum(1 for x, _ in rows if x == k) > 1)
     assert sorted((r["k"], r["id"]) for r in got.collect()) == expected
-    small = keys.duplicate_rows(df, ["k"])
-    assert sorted((r["k"], r["id"]) for r in small.collect()) == expected
+    text = df.selectExpr("CAST(k AS STRING) AS k", "id")
+    assert sorted((int(r["k"]), r["id"]) for r in keys.duplicate_rows(text, ["k"]).collect()) == expected
+    assert keys.duplicate_keys(text, ["k"]).schema["_key0"].dataType.simpleString() == "binary"  # a digest, not the text
+    unique = keys.rows_without_duplicates(df, ["k"], df).collect()
+    assert sorted(rows, key=str) == sorted([(r["k"], r["id"]) for r in unique] + expected, key=str)
 
 
 def test_invalid_regex_is_reported_and_other_rules_still_run(spark):
@@ -193,8 +195,7 @@ def test_lookup_hot_and_cold_values_match_brute_force(spark):
     ref = spark.createDataFrame([(x,) for x in range(0, 30, 2)], "w int")  # 1 is not in the lookup
     spec = {"table_name": "ref", "column_name": "w"}
     for forbidden in (False, True):
-        got = lookups.lookup_failures(df, "v", T.IntegerType(), spec, forbidden, ["id"], {"ref": ref},
-                                      broadcast_max_rows=3, hot_value_rows=20)
+        got = lookups.lookup_failures(df, "v", T.IntegerType(), spec, forbidden, ["id"], {"ref": ref})
         inside = {x for x in range(0, 30, 2)}
         expected = sorted(i for i, v in rows if v is not None and ((v in inside) == forbidden))
         assert sorted(int(r[0]) for r in got.collect()) == expected
@@ -235,17 +236,52 @@ def test_profile_file(spark, tmp_dir):
     assert got["joined"]["looks_like_date"] is True
 
 
-def test_many_checks_split_into_chunks_give_the_same_rows(spark, monkeypatch):
-    from tessera.operators import fused
-    ms = [mapping(i, "score", '{"max": %d}' % (i % 7)) for i in range(1, 12)]
-    whole = pairs(run(spark, customers(spark), ms))
-    monkeypatch.setattr(fused, "CHUNK_CHECKS", 4)
-    r = run(spark, customers(spark), ms)
-    plan = r.detailed._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Generate") == 3  # 11 checks in chunks of 4
-    assert pairs(r) == whole
+def test_many_checks_share_one_scan(spark):
+    df = spark.read.parquet(f"{SF001}/orders.parquet")
+    ms = [mapping(i, "o_totalprice", '{"max": %d}' % (400_000 + 500 * i), pk="o_orderkey") for i in range(1, 201)]
+    r = run(spark, df, ms, pk="o_orderkey")
+    for frame in (r.detailed, r.counts):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall("FileScan parquet", plan)) == 1
     counts = {x["Mapping_ID"]: x["Failure_Count"] for x in r.aggregated.collect()}
-    assert all(counts[m] == sum(1 for p in whole if p[0] == m) for m in range(1, 12))
+    prices = [x[0] for x in df.select("o_totalprice").collect()]
+    assert all(counts[i] == sum(p > 400_000 + 500 * i for p in prices) for i in range(1, 201))
+
+
+def test_row_filters_reach_the_scan(spark):
+    df = spark.read.parquet(f"{SF001}/orders.parquet")
+    r = run(spark, df, [mapping(1, "o_totalprice", '{"max": 450000}', pk="o_orderkey")], pk="o_orderkey")
+    plan = r.failures._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(o_totalprice,450000", plan)
+
+
+def test_building_the_plan_runs_no_job(spark):
+    df = spark.read.parquet(f"{SF001}/orders.parquet")
+    nation = spark.read.parquet(f"{SF001}/nation.parquet")
+    ms = [mapping(1, "o_orderkey", '{"distinct": true}', pk="o_orderkey"),
+          mapping(2, "o_custkey", '{"forbidden": {"table_name": "nation", "column_name": "n_nationkey"}}', pk="o_orderkey"),
+          mapping(3, "o_totalprice", '{"min": 0}', pk="o_orderkey")]
+    spark.sparkContext.setJobGroup("plan only", "plan only")
+    r = run(spark, df, ms, pk="o_orderkey", tables={"nation": nation})
+    passing_rows(df, r)
+    spark.sparkContext.setJobGroup("", "")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan only")
+
+
+def test_passing_rows_judges_null_composite_and_repeated_keys(spark):
+    rows = [(None, "x", 1), (None, "x", 2), ("a", "b, c", 3), ("a, b", "c", -4), ("a", "b, c", 5), ("z", None, 3), ("y", "q", 5), ("w", "w", 7)]
+    df = spark.createDataFrame(rows, "k1 string, k2 string, v int")
+    ms = [mapping(1, "v", '{"min": 0}', pk="k1, k2"), mapping(2, "v", '{"distinct": true}', pk="k1, k2")]
+    got = passing_rows(df, run(spark, df, ms, pk="k1, k2")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, "x", 1), (None, "x", 2), ("w", "w", 7)], key=str)
+    ref = spark.createDataFrame([(1,), (7,)], "w int")
+    for kind, kept in (("allowed", {1, 7}), ("forbidden", {2, 3, -4, 5})):
+        logic = '{"%s": {"table_name": "ref", "column_name": "w"}}' % kind
+        got = passing_rows(df, run(spark, df, [mapping(1, "v", logic, pk="k1, k2")], pk="k1, k2", tables={"ref": ref})).collect()
+        assert {r.v for r in got} == kept
+    sql = "SELECT k1, k2, v FROM dfSQL WHERE v = 3"
+    got = passing_rows(df, run(spark, df, [mapping(1, "v", '{"custom_sql": "%s"}' % sql, pk="k1, k2")], pk="k1, k2")).collect()
+    assert sorted(r.v for r in got) == [-4, 1, 2, 5, 7]  # the repeated key (a, "b, c") is held back whole
 
 
 def test_render_renames_tables_only():
