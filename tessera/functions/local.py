@@ -2,11 +2,10 @@
 
 ``createDataFrame`` on a Python list builds an RDD scan whose size Spark does
 not know, so every join against it costs a job or a shuffle. Small metadata
-frames (mapping metadata, thresholds, rule errors, findings) are built instead
-as an inline ``VALUES`` table: a local relation whose size the planner sees,
-broadcast without a job, built with one call whatever its row count. Each
-value is rendered as a typed literal; text travels hex-encoded, so no catalog
-text is ever read as SQL.
+frames (mapping metadata, thresholds, rule errors, findings) are handed over as
+an Arrow table instead: Spark keeps it as a local relation, whose size the
+planner sees, up to ``spark.sql.execution.arrow.localRelationThreshold`` and
+distributes it beyond. One path and one coercion for any number of rows.
 """
 
 from __future__ import annotations
@@ -14,12 +13,10 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-
-from tessera.functions.projection import quote_name
-
-LOCAL_ROWS_LIMIT = 5000  # above this, fall back to createDataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def _schema(schema: T.StructType | str) -> T.StructType:
@@ -28,48 +25,43 @@ def _schema(schema: T.StructType | str) -> T.StructType:
     return T._parse_datatype_string(schema)  # needs an active session
 
 
-def _literal(value, dtype: T.DataType) -> str:
-    """A typed SQL literal for one value of a catalog row.
-
-    Text travels as its UTF-8 bytes in hex (plain ``[0-9a-f]`` text, read the same
-    under every parser setting) and is decoded by the outer projection.
-    """
-    target = dtype.simpleString()
-    if isinstance(dtype, T.StringType):
-        if value is None:
-            return "CAST(NULL AS STRING)"
-        return f"'{str(value).encode('utf-8').hex()}'"
+def _value(value, dtype: T.DataType):
+    """A catalog value as the column's type; naive times are UTC, like the session."""
     if value is None:
-        return f"CAST(NULL AS {target})"
-    if isinstance(value, bool):
-        text = "TRUE" if value else "FALSE"
-    elif isinstance(value, int):
-        text = str(value)
-    elif isinstance(value, (float, Decimal)):
-        text = f"'{value!s}'" if not isinstance(value, float) else f"'{value!r}'"
-    elif isinstance(value, dt.datetime):
-        text = f"'{value.isoformat(sep=' ')}'"
-    elif isinstance(value, dt.date):
-        text = f"'{value.isoformat()}'"
-    else:
-        raise TypeError(f"unsupported catalog value {value!r} for {target}")
-    return f"CAST({text} AS {target})"
+        return None
+    if isinstance(dtype, T.StringType):
+        return str(value)
+    if isinstance(dtype, T.BooleanType):
+        return bool(value)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return float(value)
+    if isinstance(dtype, T.DecimalType):
+        return Decimal(str(value)).quantize(Decimal(1).scaleb(-dtype.scale))
+    if isinstance(dtype, T.IntegralType):
+        return int(value)
+    if isinstance(dtype, T.TimestampNTZType):
+        return value if isinstance(value, dt.datetime) else dt.datetime.fromisoformat(str(value))
+    if isinstance(dtype, T.TimestampType):
+        at = value if isinstance(value, dt.datetime) else dt.datetime.fromisoformat(str(value))
+        return at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
+    if isinstance(dtype, T.DateType):
+        if isinstance(value, dt.datetime):
+            return value.date()
+        return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))
+    if isinstance(dtype, T.ArrayType):
+        return [_value(x, dtype.elementType) for x in value]
+    raise TypeError(f"unsupported catalog value {value!r} for {dtype.simpleString()}")
 
 
 def local_frame(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
     struct = _schema(schema)
     rows = [tuple(r) for r in rows]
-    if len(rows) > LOCAL_ROWS_LIMIT:
-        return spark.createDataFrame(rows, struct)
-    cols = [quote_name(f.name) for f in struct.fields]
-    if not rows:
-        select = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {c}" for f, c in zip(struct.fields, cols))
-        return spark.sql(f"SELECT {select} WHERE 1 = 0")
     for r in rows:
         if len(r) != len(struct.fields):
             raise ValueError(f"row {r!r} does not match schema {struct.simpleString()}")
-    values = ", ".join("(" + ", ".join(_literal(v, f.dataType) for v, f in zip(r, struct.fields)) + ")"
-                       for r in rows)
-    select = ", ".join(f"decode(unhex({c}), 'UTF-8') AS {c}" if isinstance(f.dataType, T.StringType) else c
-                       for f, c in zip(struct.fields, cols))
-    return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({', '.join(cols)})")
+    arrow = [to_arrow_type(f.dataType) for f in struct.fields]
+    columns = [pa.array([_value(r[i], f.dataType) for r in rows], arrow[i]) for i, f in enumerate(struct.fields)]
+    # Renamed last, so a schema may repeat a name.
+    numbered = pa.Table.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
+    wide = T.StructType([T.StructField(f"c{i}", f.dataType, True) for i, f in enumerate(struct.fields)])
+    return spark.createDataFrame(numbered, wide).toDF(*struct.names)

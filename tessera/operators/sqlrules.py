@@ -5,7 +5,7 @@ A business rule is a SELECT returning the failing rows. Its window tokens are
 replaced by the run's bounds (plain token replacement, so braces in regexes stay
 intact), a trailing ``;`` is dropped, and backticked ``project.dataset.table``
 names are rewritten to the registered view ``dataset_table``. Spark SQL plans it
-like any other query.
+like any other query. Rule text is only ever a query: see ``query``.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import datetime as dt
 import re
 from collections.abc import Callable
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.functions.projection import joined_text, ts_text
@@ -60,6 +61,23 @@ def render_business_sql(sql: str, start: dt.datetime | None, end: dt.datetime |
                   text)
 
 
+def query(spark: SparkSession, sql: str) -> DataFrame:
+    """The rows of one SELECT; text that is no query is refused before anything runs.
+
+    Standing as a subquery, the text can only be a query: the parser knows no command,
+    insert or second statement there. A query may still call out to a program; such plans
+    are refused by what they hold.
+    """
+    try:
+        found = spark.sql(f"SELECT * FROM (\n{sql}\n) AS rule_rows")
+    except ParseException as exc:
+        raise SqlRuleError(f"not a single query: {str(exc).strip().splitlines()[0][:300]}") from exc
+    plan = found._jdf.queryExecution().analyzed().toString()
+    if "ScriptTransformation" in plan or re.search(r"\b(java_method|reflect)\(", plan):
+        raise SqlRuleError("a rule may not call programs or methods")
+    return found
+
+
 def project_failures(failing: DataFrame, pk_cols: list[str], value_cols: list[str]) -> DataFrame:
     """Failing rows of any SQL check -> (PK value, actual value)."""
     missing = [c for c in pk_cols + value_cols if c.lower() not in {x.lower() for x in failing.columns}]
@@ -69,10 +87,10 @@ def project_failures(failing: DataFrame, pk_cols: list[str], value_cols: list[st
 
 
 def custom_sql_failures(spark: SparkSession, df: DataFrame, sql: str) -> DataFrame:
-    # spark.sql analyses at once, so the view is bound now; a later object
+    # The query is analysed at once, so the view is bound now; a later object
     # re-registering the same view name does not change this plan.
     df.createOrReplaceTempView(CUSTOM_SQL_VIEW)
-    return spark.sql(sql.strip().rstrip(";"))
+    return query(spark, sql.strip().rstrip(";"))
 
 
 def python_failures(df: DataFrame, name: str) -> DataFrame:
@@ -84,4 +102,4 @@ def python_failures(df: DataFrame, name: str) -> DataFrame:
 
 def business_failures(spark: SparkSession, sql: str, start: dt.datetime | None,
                       end: dt.datetime | None) -> DataFrame:
-    return spark.sql(render_business_sql(sql, start, end))
+    return query(spark, render_business_sql(sql, start, end))

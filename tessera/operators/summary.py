@@ -56,9 +56,9 @@ def criticality(summary: DataFrame, thresholds: DataFrame | None) -> DataFrame:
                  F.max(F.when(fires, F.struct("_threshold", "_tier")))["_tier"].alias("Criticality")))
 
 
-def aggregated_rows(counts: DataFrame, meta: DataFrame, thresholds: DataFrame | None, run_id: int,
+def aggregated_rows(counts: DataFrame, meta: DataFrame, thresholds: DataFrame | None,
                     now: dt.datetime, emit_empty: bool = True) -> DataFrame:
-    """The 12-column aggregate row per mapping."""
+    """The 12-column aggregate row per mapping; ``meta`` holds the mappings of any number of objects."""
     s = totals(counts).withColumn("Failure_Percent", failure_percent())
     if not emit_empty:
         s = s.where(F.col("Row_Count") > 0)
@@ -73,7 +73,7 @@ def aggregated_rows(counts: DataFrame, meta: DataFrame, thresholds: DataFrame |
         F.col("Rule_ID").cast("int"),
         F.col("Object_ID").cast("int"),
         date_lit(now.date()).alias("Period"),
-        F.lit(run_id).cast("int").alias("Run_ID"),
+        F.col("Run_ID").cast("int"),
         F.col("Criticality").cast("int"),
         F.col("Object_Name").cast("string"),
         F.col("Rule_Description").cast("string"),

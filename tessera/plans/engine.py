@@ -50,6 +50,7 @@ class ObjectRun:
     thresholds: DataFrame | None = None
     strict_types: bool = False
     emit_empty: bool = True
+    broken: dict[int, str] = field(default_factory=dict)  # Mapping_ID -> why it failed at run time; not evaluated
 
 
 @dataclass
@@ -133,8 +134,17 @@ def _schema_check(spark, run: ObjectRun, check: Check, types, today, now, compil
                                           types, today, now))
 
 
+def mapping_meta(spark: SparkSession, rows: list[tuple[str, int, Mapping]]) -> DataFrame:
+    """(object name, run id, mapping) as the frame the aggregate rows are labelled from."""
+    return local_frame(spark, [(m.mapping_id, m.rule_id, m.object_id, m.column_name, name, m.rule_description, run_id)
+                               for name, run_id, m in rows],
+                       "Mapping_ID int, Rule_ID int, Object_ID int, Column_Name string, Object_Name string, "
+                       "Rule_Description string, Run_ID int")
+
+
 def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
-    checks, errors = expand(run.mappings)
+    checks, errors = expand([m for m in run.mappings if m.mapping_id not in run.broken])
+    errors += [RuleError(m, "run", run.broken[m.mapping_id]) for m in run.mappings if m.mapping_id in run.broken]
     source = run.source
     types = column_types(source)
     pk_cols = split_names(run.primary_key)
@@ -216,11 +226,8 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
         ts_lit(now).alias("Last_Update_Date"),
     )
 
-    meta_rows = [(m.mapping_id, m.rule_id, m.object_id, m.column_name, run.object_name,
-                  m.rule_description) for m in run.mappings if m.mapping_id in set(mapping_ids)]
-    meta = local_frame(spark, meta_rows, "Mapping_ID int, Rule_ID int, Object_ID int, "
-                                            "Column_Name string, Object_Name string, Rule_Description string")
-    aggregated = summary.aggregated_rows(counts, meta, run.thresholds, run.run_id, now, run.emit_empty)
+    meta = mapping_meta(spark, [(run.object_name, run.run_id, m) for m in run.mappings if m.mapping_id in set(mapping_ids)])
+    aggregated = summary.aggregated_rows(counts, meta, run.thresholds, now, run.emit_empty)
 
     object_log = local_frame(spark, [(run.run_id, run.object_id, run.object_name)],
                                        "Object_Log_ID int, Object_ID int, Object_Name string").select(
@@ -233,6 +240,17 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
                             mapping_ids, passes)
 
 
+def broken_checks(result: ValidationResult) -> dict[int, str]:
+    """Checks of their own plan that fail when they run, found by running them one by one."""
+    broken = {}
+    for m, frame in result.frames:
+        try:
+            frame.write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # noqa: BLE001 - whatever a rule's query may raise
+            broken[m.mapping_id] = _short(exc)
+    return broken
+
+
 def without_keys(df: DataFrame, failing: DataFrame, pk_cols: list[str]) -> DataFrame:
     """Rows of ``df`` whose primary key is not among the failing rows' (typed, NULL equal to NULL)."""
     bad = failing.select(*[F.col(c).alias(f"_bad{i}") for i, c in enumerate(pk_cols)])

@@ -5,6 +5,11 @@ Steps: rule plan (J1/J2) -> windows and run ids for all objects (W1, A8) ->
 all objects -> aggregate from the written failures plus one row count per
 object -> object log, rule errors, alerts -> 'Success'/'Failure' rows.
 
+A rule can also fail while it runs. If the joint write fails, each object is
+written alone; where that fails too, the checks with plans of their own are run
+one by one, the broken ones go to ``rule_errors`` and the object is written with
+the others. States are closed whatever happens.
+
 The number of Spark jobs depends on the number of objects and result tables,
 not on the number of row-local rules (a uniqueness or lookup check adds a few
 for its checkpointed, size-checked key set). The aggregate reads back the written
@@ -29,7 +34,7 @@ from tessera.operators import alerts as alert_ops
 from tessera.operators import summary
 from tessera.plans import windows as W
 from tessera.plans.catalog import Catalog, ObjectPlan, group_plan, rule_plan
-from tessera.plans.engine import ObjectRun, ValidationResult, validate
+from tessera.plans.engine import ObjectRun, ValidationResult, broken_checks, mapping_meta, validate
 from tessera.sources.readers import register_tables, windowed
 from tessera.sources.sinks import write_results
 
@@ -41,6 +46,7 @@ RESULT_PARTITIONS = ("Period", "Object_ID", "Run_ID")
 
 # loader(object plan) -> the object's full DataFrame (the window is applied here)
 Loader = Callable[[ObjectPlan], DataFrame]
+Evaluated = tuple[ObjectPlan, ObjectRun, ValidationResult]
 
 
 @dataclass
@@ -72,7 +78,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
     report.actions += 2
 
     register_tables(tables or {})
-    results: list[tuple[ObjectPlan, ValidationResult, DataFrame]] = []
+    results: list[Evaluated] = []
     for p in plans:
         w = window_rows[p.object_id]
         full = (p.validation_period or "").lower() == W.FULL_TABLE
@@ -85,54 +91,89 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
             source = loader(p)
             if not full:
                 source = windowed(source, p.date_col, start, end)
-            r = validate(spark, ObjectRun(p.object_id, p.object_name, p.primary_key, source, p.mappings, clock,
-                                          run_id=int(w["Run_Id"]), window=(start, end), tables=tables or {},
-                                          declared=(declared or {}).get(p.object_id),
-                                          thresholds=catalog.rule_threshold))
-            results.append((p, r, source))
+            one = ObjectRun(p.object_id, p.object_name, p.primary_key, source, p.mappings, clock,
+                            run_id=int(w["Run_Id"]), window=(start, end), tables=tables or {},
+                            declared=(declared or {}).get(p.object_id), thresholds=catalog.rule_threshold)
+            results.append((p, one, validate(spark, one)))
         except Exception as exc:  # noqa: BLE001 - one object's failure does not stop the others
-            report.failed_objects[p.object_id] = str(exc).splitlines()[0][:500]
-
-    if results:
-        # 1) all failures of all objects, one write
-        detailed = _union([r.detailed for _, r, _ in results])
-        write_results(detailed, f"{out_dir}/detailed", partition_by=RESULT_PARTITIONS, replace_partitions=True)
-        # 2) counts from the written table (pruned to this run) + one row count per object
-        runs = local_frame(spark, [(p.object_id, r.run_id) for p, r, _ in results],
-                                     "Object_ID int, Run_ID int")
-        # only this attempt's rows: each attempt stamps its own clock
-        written = (_read_back(spark, f"{out_dir}/detailed", detailed.schema)
-                   .where((F.col("Period") == date_lit(clock.period))
-                          & (F.col("Last_Update_Date") == ts_lit(clock.now)))
+            report.failed_objects[p.object_id] = _short(exc)
+
+    try:
+        results = _write_detailed(spark, results, out_dir, report)
+        if results:
+            _write_summaries(spark, results, catalog, out_dir, clock, alert_mode)
+            report.actions += 5
+    except Exception as exc:
+        for p, _, _ in results:
+            report.failed_objects[p.object_id] = _short(exc)
+        raise
+    finally:
+        _close_states(spark, plans, window_rows, execution, out_dir, clock, report)
+    return report
+
+
+def _write_detailed(spark: SparkSession, results: list[Evaluated], out_dir: str, report: RunReport) -> list[Evaluated]:
+    """Write the failures of all objects; returns what was written, without what cannot run."""
+    def write(frames: list[DataFrame]) -> None:
+        write_results(_union(frames), f"{out_dir}/detailed", partition_by=RESULT_PARTITIONS, replace_partitions=True)
+
+    if not results:
+        return []
+    try:
+        write([r.detailed for _, _, r in results])
+        return results
+    except Exception:  # noqa: BLE001 - some object's plan; each is now tried alone
+        pass
+    written = []
+    for p, one, r in results:
+        try:
+            try:
+                write([r.detailed])
+            except Exception:  # noqa: BLE001 - some check of this object
+                one.broken.update(broken_checks(r))
+                r = validate(spark, one)
+                write([r.detailed])
+            written.append((p, one, r))
+        except Exception as exc:  # noqa: BLE001 - the object itself cannot be read
+            report.failed_objects[p.object_id] = _short(exc)
+    return written
+
+
+def _write_summaries(spark: SparkSession, results: list[Evaluated], catalog: Catalog, out_dir: str, clock: RunClock,
+                     alert_mode: str) -> None:
+    """Aggregates, object log, rule errors and alerts, each one frame for all objects."""
+    runs = local_frame(spark, [(p.object_id, r.run_id) for p, _, r in results], "Object_ID int, Run_ID int")
+    # only this attempt's rows: each attempt stamps its own clock
+    written = (_read_back(spark, f"{out_dir}/detailed", results[0][2].detailed.schema)
+               .where((F.col("Period") == date_lit(clock.period)) & (F.col("Last_Update_Date") == ts_lit(clock.now)))
+               .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
+    failure_counts = written.groupBy("Mapping_ID").agg(F.count(F.lit(1)).cast("long").alias("Failure_Count"))
+    row_counts = _union([one.source.agg(F.lit(p.object_id).cast("int").alias("Object_ID"),
+                                        F.count(F.lit(1)).cast("long").alias("Row_Count")) for p, one, _ in results])
+    evaluated = [(p, r, m) for p, _, r in results for m in p.mappings if m.mapping_id in set(r.mapping_ids)]
+    mapping_objects = local_frame(spark, [(m.mapping_id, p.object_id) for p, _, m in evaluated], "Mapping_ID int, Object_ID int")
+    # one row per mapping / object: catalog-sized, broadcast
+    counts = (F.broadcast(mapping_objects).join(F.broadcast(row_counts), "Object_ID")
+              .join(F.broadcast(failure_counts), "Mapping_ID", "left")
+              .select("Mapping_ID", F.coalesce("Failure_Count", F.lit(0)).cast("long").alias("Failure_Count"), "Row_Count"))
+    meta = mapping_meta(spark, [(p.object_name, r.run_id, m) for p, r, m in evaluated])
+    aggregated = summary.aggregated_rows(counts, meta, catalog.rule_threshold, clock.now)
+    keep = {"partition_by": RESULT_PARTITIONS, "replace_partitions": True}
+    write_results(aggregated, f"{out_dir}/aggregated", **keep)
+    write_results(_union([r.object_log for _, _, r in results]).withColumn("Run_ID", F.col("Object_Log_ID")),
+                  f"{out_dir}/object_log", **keep)
+    errors = _union([r.rule_errors.withColumn("Run_ID", F.lit(r.run_id).cast("int")) for _, _, r in results])
+    write_results(errors.withColumn("Period", date_lit(clock.period)), f"{out_dir}/rule_errors", **keep)
+    written_agg = (_read_back(spark, f"{out_dir}/aggregated", aggregated.schema).where(F.col("Period") == date_lit(clock.period))
                    .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
-        failure_counts = written.groupBy("Mapping_ID").agg(F.count(F.lit(1)).cast("long").alias("Failure_Count"))
-        row_counts = _union([s.agg(F.lit(p.object_id).cast("int").alias("Object_ID"),
-                                   F.count(F.lit(1)).cast("long").alias("Row_Count")) for p, _, s in results])
-        mapping_objects = local_frame(spark, 
-            [(mid, p.object_id) for p, r, _ in results for mid in r.mapping_ids],
-            "Mapping_ID int, Object_ID int")
-        # one row per mapping / object: catalog-sized, broadcast
-        counts = (F.broadcast(mapping_objects).join(F.broadcast(row_counts), "Object_ID")
-                  .join(F.broadcast(failure_counts), "Mapping_ID", "left")
-                  .select("Mapping_ID", F.coalesce("Failure_Count", F.lit(0)).cast("long").alias("Failure_Count"),
-                          "Row_Count"))
-        aggregated = _union([
-            summary.aggregated_rows(counts.join(_meta(spark, p, r).select("Mapping_ID"), "Mapping_ID", "left_semi"),
-                                    _meta(spark, p, r), catalog.rule_threshold, r.run_id, clock.now)
-            for p, r, _ in results])
-        write_results(aggregated, f"{out_dir}/aggregated", partition_by=RESULT_PARTITIONS, replace_partitions=True)
-        write_results(_union([r.object_log for _, r, _ in results]).withColumn("Run_ID", F.col("Object_Log_ID")),
-                      f"{out_dir}/object_log", partition_by=RESULT_PARTITIONS, replace_partitions=True)
-        errors = _union([r.rule_errors.withColumn("Run_ID", F.lit(r.run_id).cast("int")) for _, r, _ in results])
-        write_results(errors.withColumn("Period", date_lit(clock.period)), f"{out_dir}/rule_errors",
-                      partition_by=RESULT_PARTITIONS, replace_partitions=True)
-        written_agg = (_read_back(spark, f"{out_dir}/aggregated", aggregated.schema)
-                       .where(F.col("Period") == date_lit(clock.period))
-                       .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
-        write_results(alert_ops.alert_rows(written_agg, catalog, alert_mode).withColumn("Period", date_lit(clock.period)),
-                      f"{out_dir}/alerts", partition_by=RESULT_PARTITIONS, replace_partitions=True)
-        report.actions += 5
+    write_results(alert_ops.alert_rows(written_agg, catalog, alert_mode).withColumn("Period", date_lit(clock.period)),
+                  f"{out_dir}/alerts", **keep)
+    write_results(alert_ops.recipients(written_agg, catalog, alert_mode).withColumn("Period", date_lit(clock.period)),
+                  f"{out_dir}/alert_recipients", **keep)
+
 
+def _close_states(spark: SparkSession, plans: list[ObjectPlan], window_rows: dict, execution: DataFrame | None,
+                  out_dir: str, clock: RunClock, report: RunReport) -> None:
     outcomes = [(p.object_id, int(window_rows[p.object_id]["Run_Id"]),
                  "Failure" if p.object_id in report.failed_objects else "Success") for p in plans]
     outcome_df = local_frame(spark, outcomes, "Object_ID int, Run_Id int, Val_Status string")
@@ -141,7 +182,6 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
         history = history.unionByName(execution.select(*schemas.EXECUTION.fieldNames()))
     write_results(W.status_rows(history, outcome_df, clock), f"{out_dir}/execution", partition_by=())
     report.actions += 1
-    return report
 
 
 def _read_back(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -150,12 +190,8 @@ def _read_back(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def _meta(spark: SparkSession, p: ObjectPlan, r: ValidationResult) -> DataFrame:
-    evaluated = set(r.mapping_ids)
-    rows = [(m.mapping_id, m.rule_id, p.object_id, m.column_name, p.object_name, m.rule_description)
-            for m in p.mappings if m.mapping_id in evaluated]
-    return local_frame(spark, rows, "Mapping_ID int, Rule_ID int, Object_ID int, Column_Name string, "
-                                       "Object_Name string, Rule_Description string")
+def _short(exc: Exception) -> str:
+    return (str(exc).strip().splitlines() or [type(exc).__name__])[0][:500]
 
 
 def empty_execution(spark: SparkSession) -> DataFrame:

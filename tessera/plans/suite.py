@@ -74,21 +74,28 @@ def nation_lookups(spark: SparkSession, sf_dir: str) -> dict:
             "ref.nations_in_region0": nation.where(F.col("n_regionkey") == 0)}
 
 
-ORPHANS_SQL = """SELECT o.o_orderkey, o.o_custkey, o.o_orderdate
-  FROM `proj.tpch.orders` o
-  LEFT JOIN `proj.tpch.lineitem` l ON o.o_orderkey = l.l_orderkey
-  WHERE l.l_orderkey IS NULL
-    AND o.o_orderdate >= '{val_st_dt}'
-    AND o.o_orderdate <  '{val_end_dt}';"""
-
-RECONCILE_SQL = """SELECT o.o_orderkey, o.o_totalprice,
-       COALESCE(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))), 0) AS line_sum
-  FROM `proj.tpch.orders` o
-  LEFT JOIN `proj.tpch.lineitem` l ON o.o_orderkey = l.l_orderkey
-  WHERE o.o_orderdate >= '{val_st_dt}'
-    AND o.o_orderdate <  '{val_end_dt}'
-  GROUP BY o.o_orderkey, o.o_totalprice
-  HAVING ABS(o.o_totalprice - line_sum) > 200000;"""
+# Cross-table rules of our own on the test tables. Finished orders none of whose lines were
+# ever sent back by rail, in the run's window:
+ORPHANS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus
+  FROM `proj.tpch.orders`
+  WHERE o_orderstatus = 'F'
+    AND NOT EXISTS (SELECT 1 FROM `proj.tpch.lineitem`
+                    WHERE l_orderkey = o_orderkey AND l_returnflag <> 'N')
+    AND CAST(o_orderdate AS TIMESTAMP) BETWEEN TIMESTAMP '{val_st_dt}' AND TIMESTAMP '{val_end_dt}'"""
+ORPHANS_FULL_SQL = ORPHANS_SQL[:ORPHANS_SQL.rindex("    AND CAST(")].rstrip()
+
+# Orders whose lines, discounted and taxed in whole units of 1/10000 of a cent, bill less than a
+# tenth of the order's total: the lines are summed per order first, then joined.
+BILLED_SQL = """WITH billed AS (
+    SELECT l_orderkey, COUNT(*) AS n_lines,
+           SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT) * (100 - CAST(ROUND(l_discount * 100) AS BIGINT))
+               * (100 + CAST(ROUND(l_tax * 100) AS BIGINT))) AS units
+    FROM `proj.tpch.lineitem` GROUP BY l_orderkey)
+  SELECT o_orderkey, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS total_cents, n_lines
+  FROM `proj.tpch.orders` INNER JOIN billed ON l_orderkey = o_orderkey
+  WHERE units < CAST(ROUND(o_totalprice * 100) AS BIGINT) * 1000"""
+RECONCILE_SQL = BILLED_SQL + """
+    AND o_orderdate >= CAST('{val_st_dt}' AS TIMESTAMP) AND o_orderdate < CAST('{val_end_dt}' AS TIMESTAMP)"""
 
 YEAR_1996 = (dt.datetime(1996, 1, 1), dt.datetime(1997, 1, 1))
 
@@ -179,7 +186,7 @@ QUERIES = {
                                        "l_orderkey, l_linenumber", '{"distinct": true}'),
     "rule_distinct_key": single_rule("conversations", "conv_id, turn", 17, 2, "conv_id", '{"distinct": true}'),
     "business_orphans": business_query(ORPHANS_SQL, 18, 15, "o_orderkey, o_custkey"),
-    "business_reconcile": business_query(RECONCILE_SQL, 19, 16, "o_totalprice, line_sum"),
+    "business_reconcile": business_query(RECONCILE_SQL, 19, 16, "total_cents, n_lines"),
     "window_scan": window_scan,
     "window_count": window_count,
     "fused_rules": fused_rules,
@@ -219,12 +226,19 @@ def _dup_sql(mid, tbl, pk_cols, key_cols) -> str:
                        f"(SELECT {keys} FROM {tbl} WHERE {nn} GROUP BY {keys} HAVING COUNT(*) > 1)")
 
 
-_ORPHANS_ORACLE = ORPHANS_SQL.replace("`proj.tpch.orders`", "orders").replace(
-    "`proj.tpch.lineitem`", "lineitem").replace("{val_st_dt}", "1996-01-01 00:00:00").replace(
-    "{val_end_dt}", "1997-01-01 00:00:00").rstrip(";")
-_RECONCILE_ORACLE = RECONCILE_SQL.replace("`proj.tpch.orders`", "orders").replace(
-    "`proj.tpch.lineitem`", "lineitem").replace("{val_st_dt}", "1996-01-01 00:00:00").replace(
-    "{val_end_dt}", "1997-01-01 00:00:00").rstrip(";")
+# Independent of the rules' text: a semi join's complement and a windowed sum.
+_ORPHANS_FULL_ORACLE = """SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey NOT IN
+  (SELECT l_orderkey FROM lineitem WHERE l_returnflag IN ('A', 'R'))"""
+_ORPHANS_ORACLE = _ORPHANS_FULL_ORACLE + (" AND o_orderdate >= TIMESTAMP '1996-01-01 00:00:00'"
+                                          " AND o_orderdate <= TIMESTAMP '1997-01-01 00:00:00'")
+_RECONCILE_FULL_ORACLE = """SELECT DISTINCT o_orderkey, total_cents, n_lines, o_orderdate FROM (
+  SELECT o_orderkey, o_orderdate, round(o_totalprice * 100)::BIGINT AS total_cents, count(*) OVER w AS n_lines,
+         sum(round(l_extendedprice * 100)::HUGEINT * (100 - round(l_discount * 100)::HUGEINT)
+             * (100 + round(l_tax * 100)::HUGEINT)) OVER w AS units
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey WINDOW w AS (PARTITION BY o_orderkey)) lines
+  WHERE units < total_cents * 1000"""
+_RECONCILE_ORACLE = (f"SELECT * FROM ({_RECONCILE_FULL_ORACLE}) r WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00'"
+                     " AND o_orderdate < TIMESTAMP '1997-01-01 00:00:00'")
 
 _MIN_SLICE_WHERE = {
     101: "o_totalprice > 450000",
@@ -446,11 +460,11 @@ ORACLE_SQL.update({k: _profile_sql(*v) for k, v in PROFILE_BINDINGS.items()})
 
 # ---- alert routing over table-derived aggregates (N1, N2, J7, J8) ---------------------
 
-ROUTE_HANDLERS = [(1, "LOW SEVERITY: review the attached report"), (2, "MEDIUM SEVERITY: fix within 24 hours"),
-                  (3, "HIGH SEVERITY: escalate now")]
-ROUTE_CONTACTS = [(1, "dq-team@example.com"), (2, "dq-lead@example.com"), (3, "escalation@example.com")]
-ROUTE_NOTIFICATIONS = [(1, 1, 1), (2, 2, 2), (3, 3, 3)]
-ROUTE_OBJECTS = [(1, 2, 1, 1), (2, 2, 2, 2), (3, 2, 3, 3), (4, 1, 2, 2)]  # customer has no HIGH route
+# Uneven tiers, several contacts per route, and objects without a route for some tier.
+ROUTE_HANDLERS = [(4, "note in the weekly digest"), (7, "open a ticket for the owning team"), (9, "stop the load and call the owner")]
+ROUTE_CONTACTS = [(11, "digest@data.invalid"), (12, "owners@data.invalid"), (13, "oncall@data.invalid"), (14, "audit@data.invalid")]
+ROUTE_NOTIFICATIONS = [(1, 11, 4), (2, 12, 7), (3, 13, 9), (4, 14, 9), (5, 14, 7)]
+ROUTE_OBJECTS = [(1, 2, 1, 1), (2, 2, 3, 3), (3, 2, 3, 4), (4, 2, 2, 2), (5, 2, 2, 5), (6, 1, 1, 1), (7, 1, 2, 5)]
 
 
 def routing_catalog(spark: SparkSession):
@@ -615,11 +629,10 @@ def _lookup_lineitem_sql() -> str:
 
 
 def business_orphans_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql = ORPHANS_SQL.split("    AND o.o_orderdate >=")[0].rstrip() + ";"
     orders = table(spark, sf_dir, "orders")
     orders.createOrReplaceTempView("tpch_orders")
     table(spark, sf_dir, "lineitem").createOrReplaceTempView("tpch_lineitem")
-    return run_rules(spark, orders, "orders", "o_orderkey", [(22, 15, "o_orderkey, o_custkey", sql, "")],
+    return run_rules(spark, orders, "orders", "o_orderkey", [(22, 15, "o_orderkey, o_custkey", ORPHANS_FULL_SQL + ";", "")],
                      test_type="Business").report()
 
 

@@ -1,47 +1,51 @@
 """Sources: table and file scans.
 
 Window filters are built with literals of the column's own type, so the
-comparison stays on the bare column and is pushed into the parquet/JDBC scan.
-Windows are half-open: ``start <= c < end``.
+comparison stays on the bare column and is pushed into the parquet/JDBC scan; text
+columns are read as timestamps, since text order is not time order once days and
+times mix. Windows are half-open: ``start <= c < end``.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.projection import split_names, ts_text
 from tessera.operators.lookups import view_name
 
+CORRUPT = "_corrupt_record"  # Spark's column for text it cannot read as JSON
 FILE_FORMATS = ("csv", "json", "xml", "parquet", "orc")
 
 
-def _bound(df: DataFrame, column: str, value: dt.datetime | dt.date):
+def _window_value(df: DataFrame, column: str) -> tuple[Column, str]:
+    """The column to compare and the type its bounds take."""
     dtype = next((f.dataType for f in df.schema.fields if f.name.lower() == column.lower()), None)
     if dtype is None:
         raise ValueError(f"window column {column!r} is not in the object")
-    if isinstance(dtype, T.DateType):
-        return F.lit(value.strftime("%Y-%m-%d")).cast("date")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit(ts_text(value)).cast(dtype)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.col(column), dtype.simpleString()
     if isinstance(dtype, T.StringType):
-        return F.lit(ts_text(value))  # ISO text compares in time order
+        return F.try_to_timestamp(F.col(column)), "timestamp"
     raise ValueError(f"window column {column!r} is {dtype.simpleString()}, not a date, timestamp or text")
 
 
 def windowed(df: DataFrame, column: str | None, start: dt.datetime | None,
              end: dt.datetime | None) -> DataFrame:
     """Rows with ``start <= column < end``; no column or no bounds = full table."""
-    if not column:
+    if not column or (start is None and end is None):
         return df
+    value, kind = _window_value(df, column)
+    bound = lambda at: F.lit(at.strftime("%Y-%m-%d") if kind == "date" else ts_text(at)).cast(kind)
     out = df
     if start is not None:
-        out = out.where(F.col(column) >= _bound(df, column, start))
+        out = out.where(value >= bound(start))
     if end is not None:
-        out = out.where(F.col(column) < _bound(df, column, end))
+        out = out.where(value < bound(end))
     return out
 
 
@@ -66,6 +70,11 @@ def register_tables(tables: dict[str, DataFrame]) -> dict[str, str]:
     return names
 
 
+def folder_tables(spark: SparkSession, folder: str, fmt: str = "parquet"):
+    """``dataset.table`` -> the table of that name in a folder, as runs load objects and participating tables."""
+    return lambda name: spark.read.format(fmt).load(f"{folder}/{name.split('.')[-1]}.{fmt}")
+
+
 def participating(text: str | None) -> list[str]:
     """``'salesforce.orders,salesforce.customers'`` -> list; NULL means none."""
     return split_names(text)
@@ -85,7 +94,7 @@ def has_header(spark: SparkSession, path: str, expected: list[str] | None, sep:
     line = _first_line(spark, path)
     if line is None:
         return False
-    fields = [f.strip().strip('"').strip() for f in line.split(sep)]
+    fields = [f.strip() for f in next(csv.reader([line], delimiter=sep), [])]
     if expected:
         return [f.lower() for f in fields] == [e.lower() for e in expected] or (
             set(f.lower() for f in fields) >= set(e.lower() for e in expected))
@@ -100,8 +109,10 @@ def has_header(spark: SparkSession, path: str, expected: list[str] | None, sep:
 
 def read_csv(spark: SparkSession, path: str, expected: list[str] | None = None,
              header: bool | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with header detection, ``"`` quote and escape, inferred types;
-    a headerless file takes the expected column names.
+    """CSV with header detection, ``"`` quote and escape, inferred types; a headerless
+    file takes the expected column names in order. Where it has more columns, the rest keep
+    Spark's ``_c<n>`` names, where it has fewer, the last names are absent: the schema check
+    (S9) reports both.
 
     Inference reads the data once more; give ``schema`` when the types are known
     (large files), and the file is read only by the validation itself.
@@ -112,8 +123,8 @@ def read_csv(spark: SparkSession, path: str, expected: list[str] | None = None,
     if schema is not None:
         return reader.schema(schema).csv(path)
     df = reader.option("inferSchema", True).option("enforceSchema", False).csv(path)
-    if not header and expected and len(expected) == len(df.columns):
-        df = df.toDF(*expected)
+    if not header and expected:
+        df = df.toDF(*expected[:len(df.columns)], *df.columns[len(expected):])
     return df
 
 
@@ -153,7 +164,10 @@ def load_sample(spark: SparkSession, path: str) -> DataFrame:
     if lower.endswith((".jsonl", ".ndjson")):
         return spark.read.json(path)
     if lower.endswith(".json"):
-        first = _first_line(spark, path) or ""
-        return spark.read.option("multiLine", first.lstrip().startswith("[")).json(path)
+        by_line = spark.read.json(path)
+        if CORRUPT not in by_line.columns:
+            return by_line
+        whole = spark.read.option("multiLine", True).json(path)  # one value over several lines
+        return by_line if CORRUPT in whole.columns else whole
     raise ValueError(f"Unsupported sample data file extension for '{path}'. "
                      "Expected .csv, .json, or .jsonl.")

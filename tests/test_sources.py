@@ -114,3 +114,34 @@ def test_csv_with_known_schema_and_window_on_numbers(spark, tmp_dir):
     assert dict(df.dtypes) == {"Id": "bigint", "Name": "string"} and df.count() == 2
     with pytest.raises(ValueError, match="not a date"):
         readers.windowed(df, "Id", dt.datetime(2024, 1, 1), None)
+
+
+def test_text_dates_are_compared_as_times(spark):
+    df = spark.createDataFrame([(x,) for x in ("2024-01-14", "2024-01-15", "2024-01-15 23:59:59", "2024-01-16",
+                                               "2024-01-15T10:00:00", "not a date", None)], "d string")
+    got = {r.d for r in readers.windowed(df, "d", dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 16)).collect()}
+    assert got == {"2024-01-15", "2024-01-15 23:59:59", "2024-01-15T10:00:00"}
+
+
+def test_quoted_header_and_uneven_columns(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "quoted.csv")
+    with open(path, "w") as f:
+        f.write('"Id","Name, full","Score"\n1,"Ann, A",2.5\n')
+    assert readers.read_csv(spark, path, ["Id", "Name, full", "Score"]).columns == ["Id", "Name, full", "Score"]
+    bare = os.path.join(tmp_dir, "bare.csv")
+    with open(bare, "w") as f:
+        f.write("1,a,x\n2,b,y\n")
+    assert readers.read_csv(spark, bare, ["Id", "Name"], header=False).columns == ["Id", "Name", "_c2"]
+    assert readers.read_csv(spark, bare, ["Id", "Name", "Code", "More"], header=False).columns == ["Id", "Name", "Code"]
+
+
+def test_pretty_printed_json_object(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "one.json")
+    with open(path, "w") as f:
+        f.write('{\n  "id": 1,\n  "v": "a"\n}\n')
+    rows = readers.load_sample(spark, path).collect()
+    assert [(r.id, r.v) for r in rows] == [(1, "a")]
+    lines = os.path.join(tmp_dir, "lines.json")
+    with open(lines, "w") as f:
+        f.write('{"id": 1}\n{"id": 2}\n')
+    assert readers.load_sample(spark, lines).count() == 2

@@ -191,3 +191,45 @@ def test_current_results_drop_an_earlier_attempts_rows(spark, tmp_dir):
     assert current_results(spark, tmp_dir).count() == 0
     agg = {r["Mapping_ID"]: r["Failure_Count"] for r in current_results(spark, tmp_dir, "aggregated").collect()}
     assert agg == {1: 0, 2: 0, 3: 0}
+
+
+def test_rule_failing_at_run_time_is_isolated(spark, tmp_dir):
+    """A query that breaks on a row lands in rule_errors; its object's other rules and other objects are written."""
+    good = spark.createDataFrame([(1, "x"), (2, None)], "id int, v string")
+    bad = spark.createDataFrame([(1, "12"), (2, "abc")], "id int, v string")
+    catalog = Catalog.from_rows(
+        spark, rule=[(1, "present", '{"is_nullable": "NO"}', "Custodial"),
+                     (2, "cast", '{"custom_sql": "SELECT id, v FROM dfSQL WHERE CAST(v AS INT) > 5"}', "Custodial"),
+                     (3, "short", '{"max_length": 2}', "Custodial"), (4, "command", "DROP VIEW victim", "Business"),
+                     (5, "insert", "INSERT INTO victim VALUES (1)", "Business")],
+        object_lookup=[(1, "good", "db", None, "id", "full table", None, None, 1),
+                       (2, "bad", "db", None, "id", "full table", None, None, 1)],
+        rule_mapping=[(1, 1, 1, "v", None, None, "Custodial", 1), (2, 2, 2, "v", None, None, "Custodial", 1),
+                      (3, 2, 3, "v", None, None, "Custodial", 1), (4, 2, 4, "v", None, None, "Business", 1),
+                      (5, 2, 5, "v", None, None, "Business", 1)],
+        rule_threshold=[(i, i, 0.0, 3, 1) for i in range(1, 6)])
+    spark.range(1).createOrReplaceTempView("victim")
+    report = run(spark, catalog, lambda p: good if p.object_id == 1 else bad, tmp_dir, clock=RunClock(dt.datetime(2024, 1, 15)))
+    assert not report.failed_objects
+    assert spark.catalog.tableExists("victim")
+    detailed = {(r.Mapping_ID, r.Actual_Value) for r in spark.read.parquet(f"{tmp_dir}/detailed").collect()}
+    assert detailed == {(1, None), (3, "abc")}
+    errors = {r.Mapping_ID: r.Error for r in spark.read.parquet(f"{tmp_dir}/rule_errors").collect()}
+    assert set(errors) == {2, 4, 5} and "single query" in errors[4]
+    states = {(r.Object_ID, r.Val_Status) for r in spark.read.parquet(f"{tmp_dir}/execution").collect()}
+    assert {(1, "Success"), (2, "Success")} <= states
+
+
+def test_run_plan_grows_with_objects_not_their_square(spark):
+    """Every source is counted once in the aggregate of all objects."""
+    from tessera.operators import summary
+    from tessera.plans.engine import mapping_meta
+    from tessera.operators.spec import Mapping
+    sizes = []
+    for n in (2, 8):
+        meta = mapping_meta(spark, [(f"o{i}", 1, Mapping(i, 1, i, "v", "{}", "Custodial", "", f"o{i}", "id")) for i in range(n)])
+        counts = spark.range(n).selectExpr("CAST(id AS INT) AS Mapping_ID", "1L AS Failure_Count", "2L AS Row_Count")
+        frame = summary.aggregated_rows(counts, meta, None, dt.datetime(2024, 1, 15))
+        sizes.append(frame._jdf.queryExecution().optimizedPlan().toString().count("Range ("))
+        assert frame.count() == n
+    assert sizes[0] == sizes[1] == 1
