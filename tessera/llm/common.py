@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import math
 import uuid
 from collections.abc import Callable, Iterable
@@ -19,7 +21,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 # Texts are taken from Arrow batches in slices of about this many bytes, so one
 # batch of long documents never multiplies in a worker's memory.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def ascii_lower(column: Column | str) -> Column:
@@ -39,6 +41,46 @@ def id_fold(doc_id: Column | str, folds: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % folds, F.lit(-1))
 
 
+# Arrow batches of this many rows and bytes at most go to a Python worker.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Documents vary from a word to megabytes: keep the batches that tasks hold small."""
+    for key, value in BATCH_CONF.items():
+        spark.conf.set(key, value)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers are reused by the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: nothing to return by hand
+
+
+def lean(function: Callable) -> Callable:
+    """An Arrow function over batches that gives memory back once its task's rows are through."""
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+    return run
+
+
+def lean_group(function: Callable) -> Callable:
+    """The same for functions over groups; Spark tells them apart by their number of arguments."""
+    def call(*args):
+        try:
+            return function(*args)
+        finally:
+            give_back()
+    by_count = {1: lambda a: call(a), 2: lambda a, b: call(a, b), 3: lambda a, b, c: call(a, b, c)}
+    return by_count[len(inspect.signature(function).parameters)]
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder that driver and executors share."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tessera-llm/{label}-{uuid.uuid4().hex}"

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo, hash64, saved, text_slices
+from tessera.llm.common import Memo, bound_batches, hash64, lean, saved, text_slices
 
 EDGE = ".,;:!?\"'()[]{}<>«»¿¡-–—_*`"
 # The masks, 1 where a word counts.
@@ -144,6 +144,7 @@ def hits_in(flat: np.ndarray, owner: np.ndarray, begin: np.ndarray, end: np.ndar
 def benchmark_hits(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    item_col: str = "item_id", item_text_col: str = "text", block_seeds: int = BLOCK_SEEDS) -> DataFrame:
     """(id, text_hash, item_id, start, words, agreeing): verified overlaps of documents and items."""
+    bound_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.select("id", F.xxhash64("text").alias("text_hash"), "text")
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text"))
@@ -152,7 +153,7 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, id_col: str = "do
     found = None
     for block in blocks_of(items, block_seeds):
         shared = spark.sparkContext.broadcast(block)
-        part = saved(docs.mapInArrow(seek(shared), schema), "hits")
+        part = saved(docs.mapInArrow(lean(seek(shared)), schema), "hits")
         found = part if found is None else found.unionByName(part)
         shared.unpersist()
     return found if found is not None else spark.createDataFrame([], schema)

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_fold, saved, text_slices
+from tessera.llm.common import bound_batches, id_fold, lean, lean_group, saved, text_slices
 
 END = b"\n"   # no word can hold white space
 
@@ -250,7 +250,7 @@ def train(sequences: DataFrame, totals: np.ndarray, config: Config) -> tuple[Mod
     likelihoods = []
     for _ in range(config.rounds):
         got = np.zeros((size + states + 2, states))
-        summed = (sequences.select("classes").mapInArrow(count_rows(model, config), schema)
+        summed = (sequences.select("classes").mapInArrow(lean(count_rows(model, config)), schema)
                   .groupBy("row").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states))))
         for r in summed.collect():
             got[r["row"]] = r[1:]
@@ -317,10 +317,11 @@ class Scored:
 def language_model(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: Config | None = None) -> Scored:
     """Train on the learning folds and score every document. See the module docstring."""
     config = config or Config()
+    bound_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).cast("long").alias("id"),
                             (id_fold(F.col(id_col), config.folds) == config.held_out).alias("held_out"),
                             F.col(text_col).cast("string").alias("text"))
-    table = saved(docs.mapInArrow(count_chunks(config),
+    table = saved(docs.mapInArrow(lean(count_chunks(config)),
                                   "chunk long, number int, id long, held_out boolean, n_tokens long, known long, "
                                   "log_counts double, ids binary, classes binary, word binary, n long"), "chunks")
     rows, words = table.filter("n_tokens IS NOT NULL"), table.filter("word IS NOT NULL")
@@ -339,14 +340,14 @@ def language_model(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
     fixed = rows.select("chunk", "number", "ids", "known", "log_counts").groupBy("chunk").cogroup(
         counted.filter("shared").select("chunk", "number", "n", "total").groupBy("chunk")).applyInArrow(
-        corrections, "chunk long, number int, log_counts double, n_known long")
+        lean_group(corrections), "chunk long, number int, log_counts double, n_known long")
     model, likelihoods = (None, []) if not tokens else train(rows.filter("NOT held_out"), totals, config)
     base = F.col("log_counts") - F.col("n_tokens") * math.log10(tokens + kinds + 1)
     head = rows.select("chunk", "number", "id", "held_out", "n_tokens", "classes")
     if model is None:
         scored = head.drop("classes").withColumn("path_score", F.lit(None).cast("double"))
     else:
-        scored = head.mapInArrow(score_rows(model, np.log10(totals + vocabulary + 1), config),
+        scored = head.mapInArrow(lean(score_rows(model, np.log10(totals + vocabulary + 1), config)),
                                  "chunk long, number int, id long, held_out boolean, n_tokens long, path_score double")
     frame = scored.join(fixed, ["chunk", "number"]).select(
         F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),

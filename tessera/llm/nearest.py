@@ -27,6 +27,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import lean_group
+
 
 @dataclass
 class Config:
@@ -149,7 +151,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
 
     keys = ["dim", "block", "team"]
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        search, "query_id long, query_hash long, id long, score double")
+        lean_group(search), "query_id long, query_hash long, id long, score double")
     best = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "id")
     return (met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", F.col("id").alias(id_col), "score"))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower, release, saved, text_slices
+from tessera.llm.common import ascii_lower, bound_batches, lean, lean_group, release, saved, text_slices
 
 SEED = 42
 CUT_BITS = 16             # depth of the histogram the trie is cut by: 65,536 counters at most
@@ -260,8 +260,8 @@ def trie_join(nodes: DataFrame, max_bits: int) -> DataFrame:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         return walk(table)
 
-    return (nodes.select("node").mapInArrow(deal, "pair long, node long, part int")
-            .groupBy("pair").applyInArrow(walk_pair, "a long, b long"))
+    return (nodes.select("node").mapInArrow(lean(deal), "pair long, node long, part int")
+            .groupBy("pair").applyInArrow(lean_group(walk_pair), "a long, b long"))
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -302,9 +302,10 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 def simhash_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    max_bits: int = 3) -> DataFrame:
     """Per row: id, fingerprint (hex), component_id, component_node. See the module docstring."""
+    bound_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), ascii_lower(F.col(text_col).cast("string")).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
-    prints = saved(docs.mapInArrow(fingerprint_rows(shingle), f"id {kind}, node long"), "prints")
+    prints = saved(docs.mapInArrow(lean(fingerprint_rows(shingle)), f"id {kind}, node long"), "prints")
     nodes = saved(prints.groupBy("node").agg(F.min("id").alias("least")), "nodes")
     roots = components(trie_join(nodes, max_bits))
     owned = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

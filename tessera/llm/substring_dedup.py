@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo, hash64, saved, text_slices, window_hashes
+from tessera.llm.common import Memo, bound_batches, hash64, lean, lean_group, saved, text_slices, window_hashes
 
 PLACE_BITS = 28
 
@@ -300,20 +300,21 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
                      config: Config | None = None) -> DataFrame:
     """(id, text_hash, start, count): runs of windows that also start in a document with a smaller id."""
     config = config or Config()
+    bound_batches(documents.sparkSession)
     docs = (documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .filter("id IS NOT NULL").select("id", F.xxhash64("text").alias("text_hash"), "text"))
-    runs = docs.mapInArrow(run_rows(config), "key long, id long, text_hash long, start int, count int")
+    runs = docs.mapInArrow(lean(run_rows(config)), "key long, id long, text_hash long, start int, count int")
     met = (runs.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n"))
            .filter("least < most").select("key", (F.col("n") > config.hot).alias("hot")))
     lists = (runs.join(met, "key").groupBy("id", "text_hash")
              .agg(F.collect_set(F.struct("start", "count", "key", "hot")).alias("runs")))
     segments = saved(docs.join(lists, ["id", "text_hash"]).select("id", "text_hash", "text", "runs").mapInArrow(
-        segment_rows(config), "key long, id long, text_hash long, start int, count int, words binary, digest binary"), "runs")
+        lean(segment_rows(config)), "key long, id long, text_hash long, start int, count int, words binary, digest binary"), "runs")
     words = segments.filter("words IS NOT NULL").agg(F.sum(F.col("count") + config.window - 1)).first()[0] or 0
     shards = max(1, math.ceil(words / config.shard_words))
     cold = (segments.filter("words IS NOT NULL").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
             .select("shard", "id", "text_hash", "start", "count", "words").groupBy("shard")
-            .applyInArrow(search_shard(config), "id long, text_hash long, start int, count int"))
+            .applyInArrow(lean_group(search_shard(config)), "id long, text_hash long, start int, count int"))
     hot = segments.filter("digest IS NOT NULL").select("digest", "id", "text_hash", "start", "count")
     first = hot.groupBy("digest").agg(F.min("id").alias("least"))
     hot = hot.join(first, "digest").filter("least < id").select("id", "text_hash", "start", "count")
@@ -357,4 +358,4 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
     met = docs.withColumn("text_hash", F.xxhash64("text")).join(
         spans_, (F.col("id") == F.col("span_id")) & (F.col("text_hash") == F.col("span_hash")), "left")
     return met.select("id", "text", "spans").mapInArrow(
-        kept_rows(config), "id long, n_words long, n_removed long, kept string").withColumnRenamed("id", id_col)
+        lean(kept_rows(config)), "id long, n_words long, n_removed long, kept string").withColumnRenamed("id", id_col)

@@ -35,7 +35,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo, saved, shared_path, text_slices
+from tessera.llm.common import Memo, bound_batches, lean, saved, shared_path, text_slices
 
 MAGIC = b"TSEFIDS1"
 # magic, id width, documents, NULL ids, ids, first key, bounds (offset, universe), keys (offset, universe)
@@ -205,7 +205,7 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.per_word, self.memo = per_word, Memo(lambda word: self.bytes_of([word])[0], 600_000)
+        self.per_word, self.memo = per_word, Memo(lambda word: self.bytes_of([word])[0], 200_000)
         special = sorted(self.tokenizer.get_added_tokens_decoder().items())
         self.mark = special[0] if special else None
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
@@ -272,13 +272,14 @@ def write_token_files(documents: DataFrame, tokenizer: str, end_id: int, folder:
                       text_col: str = "text", per_word: bool = False, file_ids: int = FILE_IDS) -> DataFrame:
     """Write the files; one row per file in order: part, number, path, docs, ids, start (ids of all files before)."""
     spark = documents.sparkSession
+    bound_batches(spark)
     folder = folder or shared_path(spark, "ids")
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # The row number deals out even an id that many rows share.
     docs = docs.withColumn("row", F.monotonically_increasing_id())
     dealt = (docs.repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("text"), "row")
              .sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"), "text").drop("row"))
-    listed = saved(dealt.mapInArrow(encode_files(folder, tokenizer, end_id, per_word, file_ids),
+    listed = saved(dealt.mapInArrow(lean(encode_files(folder, tokenizer, end_id, per_word, file_ids)),
                                     "part long, number long, path string, docs long, ids long"), "id-files")
     rows, start = [], 0
     for r in listed.orderBy("part", "number").collect():  # one short row per file
@@ -313,4 +314,4 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 file.close()
 
     spread = files.select("path", "start").repartition(F.col("path"))
-    return spread.mapInArrow(run, f"{id_col} long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(lean(run), f"{id_col} long, start long, n_tokens long, ids_crc32 long")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo, id_fold, release, saved, text_slices
+from tessera.llm.common import Memo, bound_batches, id_fold, lean, release, saved, text_slices
 
 # Seed lexicons of the built-in voters.
 INSULTS = ["idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting", "clown",
@@ -129,7 +129,7 @@ def mined_features(sample: DataFrame, config: Config) -> dict[str, tuple[float,
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
         return {}
-    counts = (sample.mapInArrow(mine_counts, "feature string, toxic long, clean long")
+    counts = (sample.mapInArrow(lean(mine_counts), "feature string, toxic long, clean long")
               .groupBy("feature").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")))
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     log_odds, error = F.log(a / (bad + 1)) - F.log(b / (good + 1)), F.sqrt(1 / a + 1 / b)
@@ -310,6 +310,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
              label_col: str = "toxic", config: Config | None = None) -> Scored:
     """Score every document. See the module docstring for the method and the edge cases."""
     config = config or Config()
+    bound_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     learn = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).dropna()
              .filter(id_fold("id", config.folds) > 0)
@@ -320,7 +321,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     mined = mined_features(docs.join(F.broadcast(sample), "id").select("toxic", "text"), config)
     index, voter = feature_tables(mined)
 
-    votes = saved(docs.mapInArrow(vote_rows(index, voter, INSULTS, THREATS),
+    votes = saved(docs.mapInArrow(lean(vote_rows(index, voter, INSULTS, THREATS)),
                                   f"id {docs.schema['id'].dataType.simpleString()}, pattern long, features array<int>"), "votes")
     marked = votes.join(learn, "id", "left")
     counts = (marked.groupBy("pattern").agg(F.sum(F.when(F.col("toxic").isNull(), 1).otherwise(0)).alias("free"),
@@ -363,7 +364,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                  pa.array([posterior.get(int(p), 0.5) for p in bits], pa.float64())], names=["id", "score", "posterior"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    scored = votes.mapInArrow(score, f"id {kind}, score double, posterior double")
+    scored = votes.mapInArrow(lean(score), f"id {kind}, score double, posterior double")
     frame = scored.select(F.col("id").alias(id_col), (id_fold("id", config.folds) == 0).alias("held_out"), "score",
                           (F.col("score") >= 0.5).cast("int").alias("predicted"), "posterior")
     return Scored(frame, model, weights, mined)

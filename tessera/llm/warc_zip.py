@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import saved, shared_path, text_slices
+from tessera.llm.common import bound_batches, lean, saved, shared_path, text_slices
 from tessera.llm.token_files import filesystem
 
 DATA, INDEX, PACKAGE = "archive/data.warc", "indexes/index.txt", "datapackage.json"
@@ -213,6 +213,7 @@ def write_packages(pages: DataFrame, folder: str | None = None, id_col: str = "p
                    body_col: str = "html", min_revisit: int = 0, date: str = "2026-01-01T00:00:00Z",
                    package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """Write the packages; one row per package: path, records."""
+    bound_batches(pages.sparkSession)
     folder = folder or shared_path(pages.sparkSession, "warc")
     body = F.coalesce(F.col(body_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("body"))
@@ -224,7 +225,7 @@ def write_packages(pages: DataFrame, folder: str | None = None, id_col: str = "p
                .agg(F.max("id").alias("holder"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     met = rows.join(holders, "digest", "left").select(
         "id", "url", "body", F.when(~F.col("id").eqNullSafe(F.col("holder")), F.col("holder")).alias("refers_to"))
-    return saved(met.mapInArrow(write_rows(folder, date, package_bytes), "path string, records long"), "warc-packages")
+    return saved(met.mapInArrow(lean(write_rows(folder, date, package_bytes)), "path string, records long"), "warc-packages")
 
 
 def index_rows(batches):
@@ -267,6 +268,6 @@ def read_rows(id_col: str):
 def read_packages(packages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """Per record: id, payload_bytes, payload_digest, record_type, refers_to."""
     runs = packages.select("path").repartition(F.col("path")).mapInArrow(
-        index_rows, "path string, offsets array<long>, lengths array<long>")
+        lean(index_rows), "path string, offsets array<long>, lengths array<long>")
     return runs.repartition(F.col("path"), F.col("offsets")[0]).mapInArrow(
-        read_rows(id_col), f"{id_col} long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+        lean(read_rows(id_col)), f"{id_col} long, payload_bytes long, payload_digest string, record_type string, refers_to long")
