@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.clock import RunClock
 from tessera.functions.local import local_frame
 from tessera.operators.spec import Mapping
-from tessera.plans.engine import ObjectRun, ValidationResult, validate
+from tessera.plans.engine import ObjectRun, ValidationResult, passing_rows, validate
 
 CLOCK = RunClock.fixed("2024-06-01 00:00:00")
 
@@ -314,8 +314,8 @@ ORACLE_SQL = {
     "business_orphans": _report_sql(18, 15, 2, "o_orderkey, o_custkey", "o_orderkey", _s("o_orderkey"),
                                     f"{_s('o_orderkey')} || ', ' || {_s('o_custkey')}",
                                     f"FROM ({_ORPHANS_ORACLE}) q"),
-    "business_reconcile": _report_sql(19, 16, 2, "o_totalprice, line_sum", "o_orderkey", _s("o_orderkey"),
-                                      f"{_s('o_totalprice')} || ', ' || {_s('line_sum')}",
+    "business_reconcile": _report_sql(19, 16, 2, "total_cents, n_lines", "o_orderkey", _s("o_orderkey"),
+                                      f"{_s('total_cents')} || ', ' || {_s('n_lines')}",
                                       f"FROM ({_RECONCILE_ORACLE}) q"),
     "window_scan": "SELECT event_id, user_id, event_type, value FROM events "
                    "WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'",
@@ -464,7 +464,8 @@ ORACLE_SQL.update({k: _profile_sql(*v) for k, v in PROFILE_BINDINGS.items()})
 ROUTE_HANDLERS = [(4, "note in the weekly digest"), (7, "open a ticket for the owning team"), (9, "stop the load and call the owner")]
 ROUTE_CONTACTS = [(11, "digest@data.invalid"), (12, "owners@data.invalid"), (13, "oncall@data.invalid"), (14, "audit@data.invalid")]
 ROUTE_NOTIFICATIONS = [(1, 11, 4), (2, 12, 7), (3, 13, 9), (4, 14, 9), (5, 14, 7)]
-ROUTE_OBJECTS = [(1, 2, 1, 1), (2, 2, 3, 3), (3, 2, 3, 4), (4, 2, 2, 2), (5, 2, 2, 5), (6, 1, 1, 1), (7, 1, 2, 5)]
+# (Object_Notification_ID, ObjectID, Notification_ID, Criticality)
+ROUTE_OBJECTS = [(1, 2, 1, 1), (2, 2, 3, 3), (3, 2, 4, 3), (4, 2, 2, 2), (5, 2, 5, 2), (6, 1, 1, 1), (7, 1, 2, 2)]
 
 
 def routing_catalog(spark: SparkSession):
@@ -490,7 +491,13 @@ def recipients_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.recipients(_summary_aggregated(spark, sf_dir), routing_catalog(spark)).drop("Notification_ID")
 
 
-def _routing_sql(with_contacts: bool) -> str:
+def alerts_min_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A route fires for every tier at or above its own."""
+    from tessera.operators import alerts
+    return alerts.alert_rows(_summary_aggregated(spark, sf_dir), routing_catalog(spark), "min")
+
+
+def _routing_sql(with_contacts: bool, compare: str = "=") -> str:
     h = ", ".join(f"({i}, '{t}')" for i, t in ROUTE_HANDLERS)
     c = ", ".join(f"({i}, '{t}')" for i, t in ROUTE_CONTACTS)
     n = ", ".join(str(x) for x in ROUTE_NOTIFICATIONS)
@@ -500,12 +507,12 @@ def _routing_sql(with_contacts: bool) -> str:
     return f"""
 WITH agg AS ({_summary_sql()}),
 h(hid, txt) AS (VALUES {h}), c(cid, contact) AS (VALUES {c}), n(nid, cid, hid) AS (VALUES {n}),
-o(onid, oid, crit, nid) AS (VALUES {o}),
+o(onid, oid, nid, crit) AS (VALUES {o}),
 r AS (SELECT o.oid, o.crit, h.txt, c.contact FROM o LEFT JOIN n ON o.nid = n.nid
       LEFT JOIN h ON n.hid = h.hid LEFT JOIN c ON n.cid = c.cid)
-SELECT a.Column_Name, a.Rule_ID, a.Object_ID, a.Run_ID, a.Criticality, a.Object_Name, a.Rule_Description,
-       r.txt AS Notification_Handler_Text{extra}
-FROM agg a {join} r ON a.Object_ID = r.oid AND r.crit = a.Criticality
+SELECT {"" if with_contacts else "DISTINCT "}a.Column_Name, a.Rule_ID, a.Object_ID, a.Run_ID, a.Criticality, a.Object_Name,
+       a.Rule_Description, r.txt AS Notification_Handler_Text{extra}
+FROM agg a {join} r ON a.Object_ID = r.oid AND r.crit {compare} a.Criticality
 WHERE a.Criticality IS NOT NULL"""
 
 
@@ -660,8 +667,66 @@ def catalog_merge_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "Criticality"))
 
 
+def business_reconcile_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    orders.createOrReplaceTempView("tpch_orders")
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("tpch_lineitem")
+    return run_rules(spark, orders, "orders", "o_orderkey", [(23, 16, "total_cents, n_lines", BILLED_SQL, "")],
+                     test_type="Business").report()
+
+
+def lookup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 with a lookup that grows like the checked table: lines of orders still open."""
+    still_open = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "O")
+    rules = [(322, 18, "l_orderkey", '{"forbidden": {"dataset_id": "tpch", "table_name": "open_orders", '
+                                     '"column_name": "o_orderkey"}}', "")]
+    return run_rules(spark, table(spark, sf_dir, "lineitem"), "lineitem", LINEITEM_PK, rules,
+                     {"tpch.open_orders": still_open}).report()
+
+
+def distinct_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 where every key is hot: a handful of event types over all events."""
+    return run_rules(spark, table(spark, sf_dir, "events"), "events", "event_id",
+                     [(323, 2, "event_type", '{"distinct": true}', "")]).report()
+
+
+def passing_rows_all_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O6 behind row, uniqueness, lookup and SQL rules at once."""
+    small = table(spark, sf_dir, "part").where(F.col("p_size") <= 10)
+    rules = [(324, 7, "l_quantity", '{"min": 5}', ""),
+             (325, 2, "l_partkey, l_suppkey, l_shipdate", '{"distinct": true}', ""),
+             (326, 17, "l_partkey", '{"forbidden": {"dataset_id": "tpch", "table_name": "small_parts", '
+                                    '"column_name": "p_partkey"}}', ""),
+             (327, 14, "l_returnflag", '{"custom_sql": "SELECT * FROM dfSQL WHERE l_returnflag = \'R\'"}', "")]
+    lines = table(spark, sf_dir, "lineitem")
+    result = run_rules(spark, lines, "lineitem", LINEITEM_PK, rules, {"tpch.small_parts": small})
+    return passing_rows(lines, result).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+
+
+QUERIES.update({
+    "business_reconcile_full": business_reconcile_full,
+    "lookup_large": lookup_large,
+    "distinct_hot": distinct_hot,
+    "passing_rows_all_kinds": passing_rows_all_kinds,
+})
+ORACLE_SQL.update({
+    "business_reconcile_full": _report_sql(23, 16, 2, "total_cents, n_lines", "o_orderkey", _s("o_orderkey"),
+                                           f"{_s('total_cents')} || ', ' || {_s('n_lines')}",
+                                           f"FROM ({_RECONCILE_FULL_ORACLE}) q"),
+    "lookup_large": _report_sql(322, 18, 7, "l_orderkey", LINEITEM_PK, f"{_s('l_orderkey')} || ', ' || {_s('l_linenumber')}",
+                                _s("l_orderkey"), "FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'O'"),
+    "distinct_hot": _dup_sql(323, "events", ["event_id"], ["event_type"]),
+    "passing_rows_all_kinds": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (
+          SELECT *, count(*) OVER (PARTITION BY l_partkey, l_suppkey, l_shipdate) AS same,
+                 bool_or(l_returnflag = 'R') OVER (PARTITION BY l_orderkey, l_linenumber) AS returned FROM lineitem) l
+        WHERE l_quantity >= 5 AND (same = 1 OR l_partkey IS NULL OR l_suppkey IS NULL OR l_shipdate IS NULL)
+          AND NOT returned AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 10)""",
+})
+
 QUERIES.update({
     "alerts": alerts_query,
+    "alerts_min": alerts_min_query,
     "alert_recipients": recipients_query,
     "type_check": type_check_query,
     "schema_diff": schema_diff_query,
@@ -672,6 +737,7 @@ QUERIES.update({
 })
 ORACLE_SQL.update({
     "alerts": _routing_sql(False),
+    "alerts_min": _routing_sql(False, "<="),
     "alert_recipients": _routing_sql(True),
     "type_check": _type_check_sql(),
     "schema_diff": _schema_diff_sql(),
@@ -679,8 +745,7 @@ ORACLE_SQL.update({
     "lookup_lineitem_part": _lookup_lineitem_sql(),
     "business_orphans_full": _report_sql(22, 15, 2, "o_orderkey, o_custkey", "o_orderkey", _s("o_orderkey"),
                                          f"{_s('o_orderkey')} || ', ' || {_s('o_custkey')}",
-                                         "FROM orders o WHERE NOT EXISTS "
-                                         "(SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"),
+                                         f"FROM ({_ORPHANS_FULL_ORACLE}) q"),
 })
 
 
