@@ -6,19 +6,19 @@ reason; admitted rows equal to an existing mapping of the object (same column,
 same canonical logic, same type) are skipped unless ``force`` (C2, J9); the
 object is looked up or created without overwriting its primary key (C3); new
 ids continue the catalog's (C4); every new mapping gets a default threshold (C5).
-A review batch is small (human-reviewed), so numbering it with one ordered
-window is fine.
+Equal rules within a batch count once, like rules the catalog already holds.
+``append`` gives the catalog with a merge applied.
 """
 
 from __future__ import annotations
 
 import json
 import sys
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,6 @@ HARD_KEYS = ["is_nullable", "distinct", "data_type"]
 HARD_DEFAULT = (0.0, 3)
 SOFT_DEFAULT = (0.01, 2)
 DESCRIPTION_LIMIT = 500
-MAX_BATCH_RULES = 100_000  # our bound on one reviewed batch
 
 
 @F.pandas_udf(T.StringType())
@@ -127,6 +126,26 @@ def resolve_object(spark: SparkSession, catalog, object_name: str, database: str
     return chosen, conflicts
 
 
+def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
+    """Adds ``_n`` = 1, 2, ... in the given order: sorted over all tasks, each task's part
+    numbered on from the parts before it. The full candidate key orders ties, so the numbers
+    are the same wherever they are asked for."""
+    fields = T.StructType([*df.schema.fields, T.StructField("_n", T.LongType())])
+    ranked = df.orderBy(*order).rdd.zipWithIndex().map(lambda pair: (*pair[0], pair[1] + 1))
+    return df.sparkSession.createDataFrame(ranked, fields)
+
+
+def append(catalog, result: MergeResult):
+    """The catalog with a merge's object, rules, mappings and thresholds added (C2's last step)."""
+    fits = lambda table, rows: table.unionByName(rows.select(
+        *[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema.fields]))
+    objects = catalog.object_lookup
+    new = result.object_id.join(objects.select("Object_ID"), "Object_ID", "left_anti")
+    return replace(catalog, object_lookup=fits(objects, new), rule=fits(catalog.rule, result.rules),
+                   rule_mapping=fits(catalog.rule_mapping, result.mappings),
+                   rule_threshold=fits(catalog.rule_threshold, result.thresholds))
+
+
 def merge(spark: SparkSession, catalog, candidates: DataFrame, object_name: str, database: str,
           primary_key: str, force: bool = False, skip_thresholds: bool = False) -> MergeResult:
     obj, conflicts = resolve_object(spark, catalog, object_name, database, primary_key)
@@ -144,21 +163,20 @@ def merge(spark: SparkSession, catalog, candidates: DataFrame, object_name: str,
                         canonical_logic_udf("Rule_Logic", "_rt").alias("canonical"),
                         F.col("_rt").alias("test_type")))
     keys = ["Target_Object_ID", "column_name", "canonical", "test_type"]
+    # One row per rule of the batch: of equal ones the first by its temporary id.
+    rest = [c for c in admitted.columns if c not in keys]
     if force:
         fresh, skipped = admitted, admitted.limit(0)
     else:
-        fresh = admitted.join(existing, keys, "left_anti")
+        single = (admitted.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("rule_id_temp", "rule_description")).alias("_r"))
+                  .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+        fresh = single.join(existing, keys, "left_anti")
         skipped = admitted.join(existing.select(*keys).distinct(), keys, "left_semi")
 
-    # New ids are numbered with one ordered window, which runs in a single task:
-    # fine for a reviewed batch, so the batch size is checked rather than assumed.
-    if fresh.limit(MAX_BATCH_RULES + 1).count() > MAX_BATCH_RULES:
-        raise ValueError(f"a review batch holds more than {MAX_BATCH_RULES} new rules; split it")
-    order = Window.orderBy("rule_id_temp")
     max_rule = _max_id(catalog.rule, "Rule_ID")
     max_map = _max_id(catalog.rule_mapping, "Mapping_ID")
     max_thr = _max_id(catalog.rule_threshold, "Threshold_ID")
-    numbered = (fresh.withColumn("_n", F.row_number().over(order))
+    numbered = (_numbered(fresh, ["rule_id_temp", *keys, "rule_description"])
                 .withColumn("Rule_ID", (F.lit(max_rule) + F.col("_n")).cast("int"))
                 .withColumn("Mapping_ID", (F.lit(max_map) + F.col("_n")).cast("int"))
                 .withColumn("Threshold_ID", (F.lit(max_thr) + F.col("_n")).cast("int")))

@@ -32,8 +32,9 @@ from tessera.functions.local import local_frame
 from tessera.functions.projection import date_lit, ts_lit
 from tessera.operators import alerts as alert_ops
 from tessera.operators import summary
+from tessera.operators.schema_check import declared_list, schema_diff
 from tessera.plans import windows as W
-from tessera.plans.catalog import Catalog, ObjectPlan, group_plan, rule_plan
+from tessera.plans.catalog import Catalog, ObjectPlan, check_database, group_plan, rule_plan
 from tessera.plans.engine import ObjectRun, ValidationResult, broken_checks, mapping_meta, validate
 from tessera.sources.readers import register_tables, windowed
 from tessera.sources.sinks import write_results
@@ -64,9 +65,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clock: RunClock | None = None,
         job_id: str = "", execution: DataFrame | None = None, object_log: DataFrame | None = None,
         tables: dict[str, DataFrame] | None = None, declared: dict[int, object] | None = None,
-        object_ids: list[int] | None = None, alert_mode: str = "equal") -> RunReport:
+        object_ids: list[int] | None = None, alert_mode: str = "equal",
+        load_table: Callable[[str], DataFrame] | None = None, database: str | None = None,
+        history_in_place: bool = False) -> RunReport:
+    """``history_in_place``: ``execution`` was read from this ``out_dir``. ``load_table`` gives the participating tables that rules name and ``tables`` lacks;
+    with ``database`` every planned object must be registered under it (W5)."""
     clock = clock or RunClock.utcnow()
-    plans = group_plan(rule_plan(catalog, object_ids).collect())  # catalog-sized
+    plan_rows = rule_plan(catalog, object_ids).collect()  # catalog-sized
+    if database is not None:
+        check_database(plan_rows, database)
+    plans = group_plan(plan_rows)
     report = RunReport(out_dir, [p.object_id for p in plans])
     if not plans:
         return report
@@ -77,7 +85,11 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
     write_results(W.execution_rows(windows, clock), f"{out_dir}/execution", partition_by=())
     report.actions += 2
 
-    register_tables(tables or {})
+    tables = dict(tables or {})
+    if load_table is not None:
+        for name in dict.fromkeys(t for p in plans for t in p.participating):
+            tables.setdefault(name, load_table(name))
+    register_tables(tables)
     results: list[Evaluated] = []
     for p in plans:
         w = window_rows[p.object_id]
@@ -92,7 +104,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
             if not full:
                 source = windowed(source, p.date_col, start, end)
             one = ObjectRun(p.object_id, p.object_name, p.primary_key, source, p.mappings, clock,
-                            run_id=int(w["Run_Id"]), window=(start, end), tables=tables or {},
+                            run_id=int(w["Run_Id"]), window=(start, end), tables=tables,
                             declared=(declared or {}).get(p.object_id), thresholds=catalog.rule_threshold)
             results.append((p, one, validate(spark, one)))
         except Exception as exc:  # noqa: BLE001 - one object's failure does not stop the others
@@ -108,7 +120,7 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
             report.failed_objects[p.object_id] = _short(exc)
         raise
     finally:
-        _close_states(spark, plans, window_rows, execution, out_dir, clock, report)
+        _close_states(spark, plans, window_rows, None if history_in_place else execution, out_dir, clock, report)
     return report
 
 
@@ -164,14 +176,26 @@ def _write_summaries(spark: SparkSession, results: list[Evaluated], catalog: Cat
                   f"{out_dir}/object_log", **keep)
     errors = _union([r.rule_errors.withColumn("Run_ID", F.lit(r.run_id).cast("int")) for _, _, r in results])
     write_results(errors.withColumn("Period", date_lit(clock.period)), f"{out_dir}/rule_errors", **keep)
+    found = [schema_diff(spark, one.source, declared_list(one.declared), p.object_id)
+             .withColumn("Run_ID", F.lit(r.run_id).cast("int")) for p, one, r in results if one.declared is not None]
+    if found:  # S9: columns missing from or beyond the declared schema
+        write_results(_union(found).withColumn("Period", date_lit(clock.period)), f"{out_dir}/schema_findings", **keep)
     written_agg = (_read_back(spark, f"{out_dir}/aggregated", aggregated.schema).where(F.col("Period") == date_lit(clock.period))
                    .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
     write_results(alert_ops.alert_rows(written_agg, catalog, alert_mode).withColumn("Period", date_lit(clock.period)),
                   f"{out_dir}/alerts", **keep)
+    written_alerts = spark.read.schema(_alert_schema(written_agg, catalog, alert_mode)).parquet(f"{out_dir}/alerts")
+    alert_ops.write_extracts(written_alerts.where(F.col("Period") == date_lit(clock.period))
+                             .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi").drop("Period"),
+                             f"{out_dir}/extracts/{clock.now:%Y%m%dT%H%M%S}", mode="overwrite")
     write_results(alert_ops.recipients(written_agg, catalog, alert_mode).withColumn("Period", date_lit(clock.period)),
                   f"{out_dir}/alert_recipients", **keep)
 
 
+def _alert_schema(aggregated: DataFrame, catalog: Catalog, mode: str):
+    return alert_ops.alert_rows(aggregated, catalog, mode).withColumn("Period", F.current_date()).schema
+
+
 def _close_states(spark: SparkSession, plans: list[ObjectPlan], window_rows: dict, execution: DataFrame | None,
                   out_dir: str, clock: RunClock, report: RunReport) -> None:
     outcomes = [(p.object_id, int(window_rows[p.object_id]["Run_Id"]),
@@ -194,6 +218,14 @@ def _short(exc: Exception) -> str:
     return (str(exc).strip().splitlines() or [type(exc).__name__])[0][:500]
 
 
+def read_result(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
+    """A state table of earlier runs, held apart from what is written to it from now on."""
+    schema = {"execution": schemas.EXECUTION}.get(table)
+    rows = (spark.read.schema(schema) if schema else spark.read).parquet(f"{out_dir}/{table}")
+    # Catalog-sized: one or two rows per object and run.
+    return local_frame(spark, rows.collect(), rows.schema)
+
+
 def empty_execution(spark: SparkSession) -> DataFrame:
     return local_frame(spark, [], schemas.EXECUTION)
 

@@ -22,8 +22,8 @@ def _catalog(spark):
              (3, "balance >= 0", '{"min": 0}', "Custodial"),
              (4, "segment", '{"allowed": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]}', "Custodial"),
              (5, "orders without lines",
-              "SELECT o.o_orderkey, o.o_custkey FROM `p.tpch.orders` o LEFT JOIN `p.tpch.lineitem` l "
-              "ON o.o_orderkey = l.l_orderkey WHERE l.l_orderkey IS NULL;", "Business"),
+              "SELECT o_orderkey, o_custkey FROM `p.tpch.orders` WHERE NOT EXISTS "
+              "(SELECT 1 FROM `p.tpch.lineitem` WHERE l_orderkey = o_orderkey);", "Business"),
              (6, "events are not errors", '{"forbidden": ["error"]}', "Custodial")]
     objects = [(1, "customer", "tpch", None, "c_custkey", "full table", None, "daily", 1),
                (2, "orders", "tpch", None, "o_orderkey", "full table", None, "daily", 1),
