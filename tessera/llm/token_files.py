@@ -25,6 +25,7 @@ import os
 import struct
 import sys
 import types
+import unicodedata
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -196,49 +197,72 @@ def worker_cache(key, make):
 class Encoder:
     """Whole texts to ids by the tokenizers library.
 
-    ``per_word``: for vocabularies that drop white space and never look across it, the
-    ids of a text are the ids of its words in turn; each distinct word is then encoded
-    once. Words are encoded together, set apart by a special token, whose id parts them.
+    ``per_word``: for vocabularies that fold case, drop white space, never look across it,
+    split letters from punctuation and mark the last piece of each such part with ``</w>``.
+    The ids of a text are then the ids of its words in turn, and those of plain words the
+    ids of their letters and of the mark behind them. Distinct parts are encoded together
+    and told apart by their last pieces; any other word is encoded as it stands.
     """
 
+    MARKS = tuple(".,;:!?")
+    UNEVEN = set("ΣİıſK")   # letters whose lower case hangs on their place or is no single letter
+
     def __init__(self, path: str, per_word: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.per_word, self.memo = per_word, Memo(lambda word: self.bytes_of([word])[0], 200_000)
-        special = sorted(self.tokenizer.get_added_tokens_decoder().items())
-        self.mark = special[0] if special else None
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-
-    def bytes_of(self, texts: list[bytes]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        self.per_word = per_word
+        self.words: dict[bytes, bytes] = {}
+        self.parts = Memo(lambda part: self.bytes_of([part])[0], 200_000)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.width = 2 if len(self.last) <= 1 << 16 else 4
+
+    def bytes_of(self, texts: list[str]) -> list[bytes]:
+        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in got]
 
-    def learn(self, words: list[bytes]) -> None:
-        number, token = self.mark
-        text = token.content
-        plain = [w for w in words if text.encode() not in w]
-        for at in range(0, len(plain), 20_000):
-            part = plain[at:at + 20_000]
-            joined = f" {text} ".join(w.decode("utf-8", "replace") for w in part)
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == number)
-            if len(cuts) != len(part) - 1:
-                continue  # the special token cannot part these; they are encoded one by one
-            for word, own in zip(part, np.split(ids, cuts)):
-                self.memo[word] = own[1:].tobytes() if len(own) and own[0] == number else own.tobytes()
+    def split(self, word: str) -> tuple[str, str] | None:
+        """(letters in lower case, mark) of a plain word."""
+        letters, mark = (word[:-1], word[-1]) if word[-1:] in self.MARKS else (word, "")
+        if not letters.isalpha():
+            return None
+        low = letters.lower()
+        if word.isascii():
+            return low, mark
+        even = unicodedata.is_normalized("NFC", letters) and self.UNEVEN.isdisjoint(letters)
+        return (low, mark) if even and low.isalpha() and unicodedata.is_normalized("NFC", low) else None
+
+    def learn(self, parts: list[str]) -> None:
+        """Encode parts together; each ends where a last piece stands."""
+        for at in range(0, len(parts), 5_000):
+            some = parts[at:at + 5_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some):
+                continue  # this vocabulary splits some of them further; they are encoded one by one
+            raw, ends = ids.tobytes(), (ends * 4).tolist()
+            self.parts.update(zip(some, (raw[a:b] for a, b in zip([0, *ends], ends))))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.per_word:
-            return [x for at in range(0, len(texts), 64) for x in self.bytes_of(texts[at:at + 64])]
-        out, memo = [], self.memo
-        memo.trim()
-        parts = [t.split() for t in texts]
-        if self.mark:
-            self.learn(list({w for p in parts for w in p}.difference(memo)))
-        for words in parts:
-            out.append(b"".join([memo[w] for w in words]))
-        return out
+            return [x for at in range(0, len(texts), 64)
+                    for x in self.bytes_of([t.decode("utf-8", "replace") for t in texts[at:at + 64]])]
+        words, parts = self.words, self.parts
+        if len(words) > 250_000:
+            words.clear()
+        parts.trim()
+        split_texts = [t.split() for t in texts]
+        new = [(w, w.decode("utf-8", "replace")) for w in set().union(*split_texts).difference(words)]
+        found = [self.split(text) for _, text in new]
+        self.learn(list({f[0] for f in found if f}.difference(parts)))
+        words.update((w, parts[f[0]] + parts[f[1]] if f[1] else parts[f[0]]) for (w, _), f in zip(new, found) if f)
+        odd = [x for x, f in zip(new, found) if not f]
+        for at in range(0, len(odd), 1_000):
+            some = odd[at:at + 1_000]
+            words.update(zip((w for w, _ in some), self.bytes_of([text for _, text in some])))
+        return [b"".join([words[w] for w in own]) for own in split_texts]
 
 
 def encode_files(folder: str, tokenizer: str, end_id: int, per_word: bool, file_ids: int):
