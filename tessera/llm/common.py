@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,10 +98,18 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def release(df: DataFrame) -> None:
-    """Delete a frame made by ``saved`` once nothing reads it any more."""
+    """Drop a frame made by ``saved`` or ``kept`` once nothing reads it any more."""
     path = getattr(df, "saved_path", None)
     if path:
         delete_path(df.sparkSession, path)
+    else:
+        df.unpersist()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A frame that several jobs read: held on the executors' disks, with its lineage. What goes
+    with a lost executor is computed anew from there."""
+    return df.persist(StorageLevel.DISK_ONLY)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo, bound_batches, hash64, lean, saved, text_slices
+from tessera.llm.common import Memo, bound_batches, hash64, kept, lean, text_slices
 
 EDGE = ".,;:!?\"'()[]{}<>«»¿¡-–—_*`"
 # The masks, 1 where a word counts.
@@ -153,7 +153,8 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, id_col: str = "do
     found = None
     for block in blocks_of(items, block_seeds):
         shared = spark.sparkContext.broadcast(block)
-        part = saved(docs.mapInArrow(lean(seek(shared)), schema), "hits")
+        part = kept(docs.mapInArrow(lean(seek(shared)), schema))
+        part.count()  # the block's pass; its broadcast is dropped from the executors before the next one's
         found = part if found is None else found.unionByName(part)
         shared.unpersist()
     return found if found is not None else spark.createDataFrame([], schema)

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, id_fold, lean, lean_group, saved, text_slices
+from tessera.llm.common import bound_batches, id_fold, kept, lean, lean_group, text_slices
 
 END = b"\n"   # no word can hold white space
 
@@ -321,17 +321,17 @@ def language_model(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = documents.select(F.col(id_col).cast("long").alias("id"),
                             (id_fold(F.col(id_col), config.folds) == config.held_out).alias("held_out"),
                             F.col(text_col).cast("string").alias("text"))
-    table = saved(docs.mapInArrow(lean(count_chunks(config)),
+    table = kept(docs.mapInArrow(lean(count_chunks(config)),
                                   "chunk long, number int, id long, held_out boolean, n_tokens long, known long, "
-                                  "log_counts double, ids binary, classes binary, word binary, n long"), "chunks")
+                                  "log_counts double, ids binary, classes binary, word binary, n long"))
     rows, words = table.filter("n_tokens IS NOT NULL"), table.filter("word IS NOT NULL")
     by_word = Window.partitionBy("word")
-    counted = saved(words.select("word", "chunk", "number", "n", F.sum("n").over(by_word).alias("total"),
+    counted = kept(words.select("word", "chunk", "number", "n", F.sum("n").over(by_word).alias("total"),
                                  F.count("*").over(by_word).alias("chunks"), F.min("chunk").over(by_word).alias("least"))
                     .select(F.when(F.col("word") == F.lit(END), config.classes)
                             .otherwise(F.crc32("word") % config.classes).cast("int").alias("class"),
                             "chunk", "number", "n", "total", (F.col("chunk") == F.col("least")).alias("first"),
-                            (F.col("chunks") > 1).alias("shared")), "counted")
+                            (F.col("chunks") > 1).alias("shared")))
     totals, vocabulary = np.zeros(config.classes + 1), np.zeros(config.classes + 1)
     for r in (counted.filter("first AND total > 0").groupBy("class")
               .agg(F.sum("total").alias("n"), F.count("*").alias("v")).collect()):  # a row per class

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import release, saved, word_count
+from tessera.llm.common import kept, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -143,8 +143,8 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     docs = documents.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                             word_count(F.col(text_col).cast("string")).alias("size"),
                             F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
-    docs = saved(docs.withColumn("key", source_key(F.col("source"))), "sizes")
-    cells = saved(docs.groupBy("key", "size").agg(F.count("*").alias("n"), F.first("source").alias("source")), "cells")
+    docs = kept(docs.withColumn("key", source_key(F.col("source"))))
+    cells = kept(docs.groupBy("key", "size").agg(F.count("*").alias("n"), F.first("source").alias("source")))
     sources = cells.groupBy("key").agg(F.first("source").alias("source"),
                                        F.sum(F.col("n") * F.col("size")).cast("long").alias("words"),
                                        F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("n")).collect()
@@ -167,9 +167,8 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     tilt = F.least(F.lit(float(most)), F.exp(F.least(F.col("dual") * F.col("size") / F.col("mean"), F.lit(700.0))))
     tilted = cells.drop("source").join(plan, "key").withColumn("rate", F.coalesce("fixed", tilt))
     fields = "key string, size long, n long, source_size long, target double, rate double"
-    allotted = saved(tilted.select("key", "size", "n", "source_size", "target", "rate").groupBy("key")
-                     .applyInArrow(whole_copies(most), f"{fields}, copies_all long"), "allotted")
-    release(cells)
+    allotted = kept(tilted.select("key", "size", "n", "source_size", "target", "rate").groupBy("key")
+                     .applyInArrow(whole_copies(most), f"{fields}, copies_all long"))
 
     parts = F.ceil(F.col("n") / CELL_PART)
     met = (docs.join(allotted, ["key", "size"])

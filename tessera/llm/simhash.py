@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower, bound_batches, lean, lean_group, release, saved, text_slices
+from tessera.llm.common import bound_batches, kept, lean, lean_group, release, saved, text_slices
 
 SEED = 42
 CUT_BITS = 16             # depth of the histogram the trie is cut by: 65,536 counters at most
@@ -42,8 +42,8 @@ FRONTIER = 1 << 15        # node pairs walked at once in a task
 
 
 def fingerprint_of(text: bytes, size: int = 3) -> int:
-    """The 64-bit fingerprint of a lower-cased text."""
-    words = text.split()
+    """The 64-bit fingerprint of a text. ``bytes.lower`` folds A-Z and nothing else."""
+    words = text.lower().split()
     if not words:
         return 0
     flat = b" ".join(words)
@@ -303,10 +303,10 @@ def simhash_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
                    max_bits: int = 3) -> DataFrame:
     """Per row: id, fingerprint (hex), component_id, component_node. See the module docstring."""
     bound_batches(documents.sparkSession)
-    docs = documents.select(F.col(id_col).alias("id"), ascii_lower(F.col(text_col).cast("string")).alias("text"))
+    docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
-    prints = saved(docs.mapInArrow(lean(fingerprint_rows(shingle)), f"id {kind}, node long"), "prints")
-    nodes = saved(prints.groupBy("node").agg(F.min("id").alias("least")), "nodes")
+    prints = kept(docs.mapInArrow(lean(fingerprint_rows(shingle)), f"id {kind}, node long"))
+    nodes = kept(prints.groupBy("node").agg(F.min("id").alias("least")))
     roots = components(trie_join(nodes, max_bits))
     owned = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = owned.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo, bound_batches, hash64, lean, lean_group, saved, text_slices, window_hashes
+from tessera.llm.common import Memo, bound_batches, hash64, kept, lean, lean_group, text_slices, window_hashes
 
 PLACE_BITS = 28
 
@@ -308,8 +308,8 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
            .filter("least < most").select("key", (F.col("n") > config.hot).alias("hot")))
     lists = (runs.join(met, "key").groupBy("id", "text_hash")
              .agg(F.collect_set(F.struct("start", "count", "key", "hot")).alias("runs")))
-    segments = saved(docs.join(lists, ["id", "text_hash"]).select("id", "text_hash", "text", "runs").mapInArrow(
-        lean(segment_rows(config)), "key long, id long, text_hash long, start int, count int, words binary, digest binary"), "runs")
+    segments = kept(docs.join(lists, ["id", "text_hash"]).select("id", "text_hash", "text", "runs").mapInArrow(
+        lean(segment_rows(config)), "key long, id long, text_hash long, start int, count int, words binary, digest binary"))
     words = segments.filter("words IS NOT NULL").agg(F.sum(F.col("count") + config.window - 1)).first()[0] or 0
     shards = max(1, math.ceil(words / config.shard_words))
     cold = (segments.filter("words IS NOT NULL").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))

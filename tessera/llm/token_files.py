@@ -36,7 +36,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo, bound_batches, lean, saved, shared_path, text_slices
+from tessera.llm.common import Memo, bound_batches, lean, shared_path, text_slices
 
 MAGIC = b"TSEFIDS1"
 # magic, id width, documents, NULL ids, ids, first key, bounds (offset, universe), keys (offset, universe)
@@ -303,10 +303,10 @@ def write_token_files(documents: DataFrame, tokenizer: str, end_id: int, folder:
     docs = docs.withColumn("row", F.monotonically_increasing_id())
     dealt = (docs.repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("text"), "row")
              .sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"), "text").drop("row"))
-    listed = saved(dealt.mapInArrow(lean(encode_files(folder, tokenizer, end_id, per_word, file_ids)),
-                                    "part long, number long, path string, docs long, ids long"), "id-files")
+    listed = dealt.mapInArrow(lean(encode_files(folder, tokenizer, end_id, per_word, file_ids)),
+                              "part long, number long, path string, docs long, ids long")
     rows, start = [], 0
-    for r in listed.orderBy("part", "number").collect():  # one short row per file
+    for r in sorted(listed.collect()):  # the one job that writes; one short row per file
         rows.append((*r, start))
         start += r["ids"]
     return spark.createDataFrame(rows, "part long, number long, path string, docs long, ids long, start long")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo, bound_batches, id_fold, lean, release, saved, text_slices
+from tessera.llm.common import Memo, bound_batches, id_fold, kept, lean, release, text_slices
 
 # Seed lexicons of the built-in voters.
 INSULTS = ["idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting", "clown",
@@ -124,7 +124,7 @@ def mined_features(sample: DataFrame, config: Config) -> dict[str, tuple[float,
     """feature -> (signed log-likelihood ratio, whether it votes): the strongest of either sign, ``max_features`` each at most."""
     # A text counts once, however many copies of it are labelled.
     sample = sample.groupBy("toxic", F.xxhash64("text")).agg(F.first("text").alias("text")).select("toxic", "text")
-    sample = saved(sample, "sample")
+    sample = kept(sample)
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
@@ -136,9 +136,9 @@ def mined_features(sample: DataFrame, config: Config) -> dict[str, tuple[float,
     due = (F.col("a") + F.col("b")) / (bad + good)
     part = lambda n, size: F.when(n > 0, n * F.log(n / (due * size))).otherwise(0.0)
     gain = 2 * (part(F.col("a"), bad) + part(F.col("b"), good)) * F.signum(log_odds)
-    scored = saved(counts.filter((F.col("a") >= config.min_docs) | (F.col("b") >= config.min_docs))
+    scored = kept(counts.filter((F.col("a") >= config.min_docs) | (F.col("b") >= config.min_docs))
                    .select("feature", "a", "b", F.round(gain, 6).alias("gain"),
-                           (log_odds - error > math.log(config.vote_odds)).alias("sure")), "mined")
+                           (log_odds - error > math.log(config.vote_odds)).alias("sure")))
     # Beyond what the best of as many unrelated features would reach by chance.
     least = 2 * math.log(scored.count() + 1)
     out: dict[str, tuple[float, bool]] = {}
@@ -321,8 +321,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     mined = mined_features(docs.join(F.broadcast(sample), "id").select("toxic", "text"), config)
     index, voter = feature_tables(mined)
 
-    votes = saved(docs.mapInArrow(lean(vote_rows(index, voter, INSULTS, THREATS)),
-                                  f"id {docs.schema['id'].dataType.simpleString()}, pattern long, features array<int>"), "votes")
+    votes = kept(docs.mapInArrow(lean(vote_rows(index, voter, INSULTS, THREATS)),
+                                  f"id {docs.schema['id'].dataType.simpleString()}, pattern long, features array<int>"))
     marked = votes.join(learn, "id", "left")
     counts = (marked.groupBy("pattern").agg(F.sum(F.when(F.col("toxic").isNull(), 1).otherwise(0)).alias("free"),
                                             F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("clean"),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, lean, saved, shared_path, text_slices
+from tessera.llm.common import bound_batches, lean, shared_path, text_slices
 from tessera.llm.token_files import filesystem
 
 DATA, INDEX, PACKAGE = "archive/data.warc", "indexes/index.txt", "datapackage.json"
@@ -225,7 +225,9 @@ def write_packages(pages: DataFrame, folder: str | None = None, id_col: str = "p
                .agg(F.max("id").alias("holder"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     met = rows.join(holders, "digest", "left").select(
         "id", "url", "body", F.when(~F.col("id").eqNullSafe(F.col("holder")), F.col("holder")).alias("refers_to"))
-    return saved(met.mapInArrow(lean(write_rows(folder, date, package_bytes)), "path string, records long"), "warc-packages")
+    written = met.mapInArrow(lean(write_rows(folder, date, package_bytes)), "path string, records long")
+    # The one job that writes; one short row per package.
+    return pages.sparkSession.createDataFrame(written.collect(), "path string, records long")
 
 
 def index_rows(batches):
