@@ -269,7 +269,7 @@ def corrections(table, shared):
     logs, known = table.column("log_counts").to_numpy().copy(), table.column("known").to_numpy().copy()
     if docs and shared.num_rows:
         size = max(int(d.max()) for d in docs) + 1
-        place = shared.column("number").to_numpy()
+        place = shared.column("word_number").to_numpy()
         own, every = shared.column("n").to_numpy(), shared.column("total").to_numpy()
         delta, newly = np.zeros(size), np.zeros(size, np.int64)
         delta[place] = np.log10(every + 1.0) - np.log10(own + 1.0)
@@ -339,7 +339,8 @@ def language_model(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     tokens, kinds = int(totals.sum()), int(vocabulary.sum())
 
     fixed = rows.select("chunk", "number", "ids", "known", "log_counts").groupBy("chunk").cogroup(
-        counted.filter("shared").select("chunk", "number", "n", "total").groupBy("chunk")).applyInArrow(
+        counted.filter("shared").select(F.col("chunk").alias("word_chunk"), F.col("number").alias("word_number"), "n", "total")
+        .groupBy("word_chunk")).applyInArrow(
         lean_group(corrections), "chunk long, number int, log_counts double, n_known long")
     model, likelihoods = (None, []) if not tokens else train(rows.filter("NOT held_out"), totals, config)
     base = F.col("log_counts") - F.col("n_tokens") * math.log10(tokens + kinds + 1)

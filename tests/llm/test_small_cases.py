@@ -231,6 +231,7 @@ def test_nearest_recall_where_windows_stop_early(spark):
     rows = list(enumerate(vectors))
     want = brute_nearest(rows, rows[::50], 20)
     assert len(got) == 20 * 60
+    assert nearest.nearest(table, table.filter("vec_id % 50 = 0"), config=config).count() == 20 * 60
     hit = {(q, i) for q, _, i in want} & {(r.query_id, r.vec_id) for r in got}
     assert len(hit) / len(want) >= 0.9
 
