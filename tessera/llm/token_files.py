@@ -22,6 +22,7 @@ gives no files. Extra columns are ignored.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import sys
 import types
@@ -200,11 +201,10 @@ class Encoder:
     ``per_word``: for vocabularies that fold case, drop white space, never look across it,
     split letters from punctuation and mark the last piece of each such part with ``</w>``.
     The ids of a text are then the ids of its words in turn, and those of plain words the
-    ids of their letters and of the mark behind them. Distinct parts are encoded together
+    ids of their letters and of the ASCII marks behind them. Distinct parts are encoded together
     and told apart by their last pieces; any other word is encoded as it stands.
     """
 
-    MARKS = tuple(".,;:!?")
     UNEVEN = set("ΣİıſK")   # letters whose lower case hangs on their place or is no single letter
 
     def __init__(self, path: str, per_word: bool):
@@ -213,7 +213,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.per_word = per_word
         self.words: dict[bytes, bytes] = {}
-        self.parts = Memo(lambda part: self.bytes_of([part])[0], 200_000)
+        self.parts = Memo(lambda part: self.bytes_of([part])[0], 300_000)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -225,11 +225,12 @@ class Encoder:
 
     def split(self, word: str) -> tuple[str, str] | None:
         """(letters in lower case, mark) of a plain word."""
-        letters, mark = (word[:-1], word[-1]) if word[-1:] in self.MARKS else (word, "")
+        letters = word.rstrip(string.punctuation)
+        mark = word[len(letters):]
         if not letters.isalpha():
             return None
         low = letters.lower()
-        if word.isascii():
+        if letters.isascii():
             return low, mark
         even = unicodedata.is_normalized("NFC", letters) and self.UNEVEN.isdisjoint(letters)
         return (low, mark) if even and low.isalpha() and unicodedata.is_normalized("NFC", low) else None
@@ -250,7 +251,7 @@ class Encoder:
             return [x for at in range(0, len(texts), 64)
                     for x in self.bytes_of([t.decode("utf-8", "replace") for t in texts[at:at + 64]])]
         words, parts = self.words, self.parts
-        if len(words) > 250_000:
+        if len(words) > 400_000:
             words.clear()
         parts.trim()
         split_texts = [t.split() for t in texts]
