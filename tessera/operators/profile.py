@@ -4,9 +4,12 @@ One wide aggregate computes, for every column at once, null counts, numeric
 min/max, string lengths and the e-mail / date flags. Exact distinct counts
 unpivot the columns to ``(column, value)`` and group twice; Spark
 pre-aggregates both groupings map-side, so a hot value or a huge column costs
-one partial row per task. Sample values are the first N distinct values in
-value order, cut by a rank limit that Spark applies per task before the
-shuffle, so no column's values are ever gathered in one task.
+one partial row per task. Values travel as keys of bounded width: numbers and
+times as they are, text as a 128-bit digest with its first ``KEY_TEXT``
+characters, so whole texts are never shuffled. Sample values are the first N
+distinct values in value order, cut by a rank limit that Spark applies per task
+before its shuffle; texts that agree in so many characters show the same sample,
+so their order among each other does not matter.
 """
 
 from __future__ import annotations
@@ -22,22 +25,23 @@ EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 SAMPLE_TEXT_LIMIT = 80
 ELLIPSIS = "…"
 
+KEY_TEXT = 200  # characters of a text that samples and proposals can show
+
 # Text formats tried when deciding whether a string column holds dates.
 DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy", "dd-MM-yyyy",
-                "yyyy-MM-dd'T'HH:mm:ss"]
+                "yyyy-MM-dd'T'HH:mm:ss", "yyyyMMdd", "yyyy-MM", "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy", "dd.MM.yyyy"]
 
 PROFILE_SCHEMA = ("column_name string, ordinal int, dtype string, row_count long, null_count long, "
                   "null_fraction double, distinct_count long, min_value double, max_value double, "
                   "min_length int, max_length int, looks_like_email boolean, looks_like_date boolean")
 
 
-# Only text shaped like a date is handed to the parsers: a failed parse is costly.
-DATE_SHAPE = r"^\s*\d{1,4}[-/.]\d{1,2}[-/.]\d{1,4}"
-
-
 def _parses_as_date(c):
+    """Judged by parsing. What no format can read - text without four digits, or far too short
+    or long - is told without trying, since a failed parse is costly."""
     tried = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATE_FORMATS] + [F.try_to_timestamp(c)]
-    return F.when(c.rlike(DATE_SHAPE), F.coalesce(*tried).isNotNull()).otherwise(F.lit(False))
+    possible = F.length(c).between(6, 40) & c.rlike(r"\d\D*\d\D*\d\D*\d")
+    return F.when(possible, F.coalesce(*tried).isNotNull()).otherwise(F.lit(False))
 
 
 def column_stats(df: DataFrame) -> DataFrame:
@@ -83,28 +87,30 @@ INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def _slots(f: T.StructField):
-    """Typed slots (i: long, d: double, s: string) holding one column's value.
+    """Typed slots holding one column's value: i (long), d (double), s (short text), g (second digest).
 
-    Integers, booleans, dates and timestamps go to ``i`` (days / microseconds),
-    floating values to ``d``, the rest to ``s``: grouping and ordering work on
-    typed values and nothing is formatted as text until a sample is shown.
+    Integers, booleans, dates and timestamps go to ``i`` (days / microseconds), floating
+    values to ``d``, decimals to ``d`` and ``s``; text puts its first characters in ``s`` and
+    its digest in ``h`` and ``g``. Grouping and ordering work on typed values and nothing is
+    formatted as text until a sample is shown.
     """
     c = F.col(f"`{f.name}`")
     t = f.dataType
-    none_i, none_d, none_s = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
-    if isinstance(t, INTEGRAL):
-        return c.cast("long"), none_d, none_s
-    if isinstance(t, T.BooleanType):
-        return c.cast("long"), none_d, none_s
-    if isinstance(t, (T.FloatType, T.DoubleType)):
-        return none_i, c.cast("double"), none_s
-    if isinstance(t, T.DateType):
-        return F.unix_date(c).cast("long"), none_d, none_s
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")), none_d, none_s
-    if isinstance(t, T.DecimalType):
-        return none_i, c.cast("double"), c.cast("string")
-    return none_i, none_d, c.cast("string")
+    slots = {k: F.lit(None).cast(v) for k, v in (("i", "long"), ("d", "double"), ("s", "string"), ("h", "long"), ("g", "long"))}
+    if isinstance(t, (*INTEGRAL, T.BooleanType)):
+        slots["i"] = c.cast("long")
+    elif isinstance(t, (T.FloatType, T.DoubleType)):
+        slots["d"] = c.cast("double")
+    elif isinstance(t, T.DateType):
+        slots["i"] = F.unix_date(c).cast("long")
+    elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        slots["i"] = F.unix_micros(c.cast("timestamp"))
+    elif isinstance(t, T.DecimalType):
+        slots |= {"d": c.cast("double"), "s": c.cast("string")}
+    else:
+        text = c.cast("string")
+        slots |= {"s": F.substring(text, 1, KEY_TEXT), "h": F.xxhash64(F.lit("h"), text), "g": F.xxhash64(F.lit("g"), text)}
+    return slots
 
 
 def _render(df: DataFrame) -> Column:
@@ -129,12 +135,11 @@ def _render(df: DataFrame) -> Column:
 
 
 def unpivot_values(df: DataFrame) -> DataFrame:
-    """(ordinal, i, d, s) for every non-null cell."""
+    """(ordinal, slots) for every non-null cell."""
     items = []
     for n, f in enumerate(df.schema.fields):
-        i, d, s = _slots(f)
         items.append(F.when(F.col(f"`{f.name}`").isNotNull(), F.struct(
-            F.lit(n).cast("int").alias("ordinal"), i.alias("i"), d.alias("d"), s.alias("s"))))
+            F.lit(n).cast("int").alias("ordinal"), *[c.alias(k) for k, c in _slots(f).items()])))
     return (df.select(F.explode(F.array(*items)).alias("u")).where(F.col("u").isNotNull())
             .select("u.*"))
 
@@ -169,18 +174,22 @@ def sample_values(df: DataFrame, max_sample_values: int = 5) -> DataFrame:
     return _samples_of(df, distinct_values(df), max_sample_values)
 
 
-def _samples_of(df: DataFrame, values: DataFrame, max_sample_values: int) -> DataFrame:
-    w = Window.partitionBy("ordinal").orderBy("i", "d", "s")
+def _samples_of(df: DataFrame, values: DataFrame, max_sample_values: int, cut: bool = True) -> DataFrame:
+    w = Window.partitionBy("ordinal").orderBy("i", "d", "s", "h", "g")
     top = values.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= max_sample_values)
-    return top.select("ordinal", F.col("sample_rank").cast("int"), truncate_text(_render(df)).alias("sample_value"))
+    text = truncate_text(_render(df)) if cut else _render(df)
+    return top.select("ordinal", F.col("sample_rank").cast("int"), text.alias("sample_value"))
 
 
-def profile(df: DataFrame, max_sample_values: int = 5, approx: bool = False) -> DataFrame:
-    """One row per column: F1-F9 plus ``sample_values`` as an ordered array."""
+def profile(df: DataFrame, max_sample_values: int = 5, approx: bool = False, cut: bool = True) -> DataFrame:
+    """One row per column: F1-F9 plus ``sample_values`` as an ordered array, cut to their shown length.
+
+    ``approx`` sketches the distinct counts; the samples still shuffle distinct values.
+    """
     stats = column_stats(df)
     values = distinct_values(df)  # one frame for counts and samples: Spark reuses its shuffle
     counts = distinct_counts(df, approx=True) if approx else _counts_of(values)
-    samples = (_samples_of(df, values, max_sample_values).groupBy("ordinal")
+    samples = (_samples_of(df, values, max_sample_values, cut).groupBy("ordinal")
                .agg(F.array_sort(F.collect_list(F.struct("sample_rank", "sample_value"))).alias("_s"))
                .select("ordinal", F.col("_s.sample_value").alias("sample_values")))
     out = (stats.join(counts, "ordinal", "left").join(samples, "ordinal", "left")
@@ -200,22 +209,18 @@ def suggest_rules(df: DataFrame, prof: DataFrame | None = None) -> DataFrame:
     """(column_name, test_key, test_value) candidates, within the rule vocabulary.
 
     no nulls -> is_nullable NO; all values distinct -> distinct; e-mail shaped ->
-    regex; few text values -> allowed (sorted, as a JSON array); numbers -> min/max;
-    text -> min_length/max_length.
+    regex; few text values, none too long to show -> allowed (sorted, as a JSON array);
+    numbers -> min/max; text -> min_length/max_length. One profile answers all: its
+    samples are the values of a column that has few. A ``prof`` given must hold
+    ``ALLOWED_MAX_VALUES`` samples, uncut.
     """
-    prof = prof if prof is not None else profile(df, max_sample_values=ALLOWED_MAX_VALUES)
-    p = prof.alias("p")
+    prof = prof if prof is not None else profile(df, max_sample_values=ALLOWED_MAX_VALUES, cut=False)
+    p = prof
     text = F.col("dtype") == "string"
     numeric = F.col("min_value").isNotNull()
     has_rows = F.col("row_count") > 0
-    # Only columns already known to hold few values are collected (at most
-    # ALLOWED_MAX_VALUES each); the small-column list is a semi-join filter.
-    few = prof.where(F.col("distinct_count") <= ALLOWED_MAX_VALUES).select("ordinal")
-    allowed_values = (distinct_values(df).join(few, "ordinal", "left_semi")
-                      .select("ordinal", _render(df).alias("value")).groupBy("ordinal")
-                      .agg(F.array_sort(F.collect_list("value")).alias("_vals"))
-                      .select("ordinal", F.to_json("_vals").alias("_allowed")))
-    p = p.join(allowed_values, "ordinal", "left")
+    few = F.col("distinct_count").between(1, ALLOWED_MAX_VALUES) & (F.col("max_length") <= KEY_TEXT)
+    p = p.withColumn("_allowed", F.when(text & few, F.to_json(F.array_sort("sample_values"))))
     num_text = lambda c: F.col(c).cast("string")
     cands = [
         F.when(has_rows & (F.col("null_count") == 0), F.struct(F.lit("is_nullable").alias("k"), F.lit("NO").alias("v"))),

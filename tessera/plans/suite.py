@@ -443,6 +443,35 @@ def _profile_sql(name: str, part: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+FLAG_COLUMNS = ["mail", "mail_gap", "iso", "compact", "month", "named", "mixed", "status"]
+
+
+def profile_flags_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8, F9 on text made of given columns: e-mail and date texts in several forms, with gaps and strays."""
+    from tessera.operators import profile as PR
+    day = F.col("o_orderdate")
+    mail = F.concat(F.lit("buyer"), F.col("o_custkey").cast("string"), F.lit("@example.com"))
+    texts = table(spark, sf_dir, "orders").select(
+        mail.alias("mail"), F.when(F.col("o_orderkey") % 3 > 0, mail).alias("mail_gap"), F.date_format(day, "yyyy-MM-dd").alias("iso"),
+        F.date_format(day, "yyyyMMdd").alias("compact"), F.date_format(day, "yyyy-MM").alias("month"),
+        F.date_format(day, "MMM d yyyy").alias("named"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.date_format(day, "yyyy-MM-dd")).otherwise(F.col("o_orderpriority")).alias("mixed"),
+        F.col("o_orderstatus").alias("status"))
+    return PR.column_stats(texts).select("column_name", "looks_like_email", "looks_like_date")
+
+
+_FLAGS_POSITIVE_SQL = """
+    WITH t AS (SELECT 'buyer' || o_custkey || '@example.com' AS mail,
+        CASE WHEN o_orderkey % 3 > 0 THEN 'buyer' || o_custkey || '@example.com' END AS mail_gap,
+        strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%Y%m%d') AS compact, strftime(o_orderdate, '%Y-%m') AS month,
+        strftime(o_orderdate, '%b %-d %Y') AS named,
+        CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE o_orderpriority END AS mixed,
+        o_orderstatus AS status FROM orders)
+    """ + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, coalesce(bool_and(regexp_matches({c}, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$')), false) AS looks_like_email, "
+    f"coalesce(bool_and(try_strptime({c}, ['%Y-%m-%d', '%Y%m%d', '%Y-%m', '%b %-d %Y']) IS NOT NULL), false) AS looks_like_date FROM t"
+    for c in FLAG_COLUMNS)
+
 PROFILE_BINDINGS = {
     "profile_nulls": ("documents_labels", "nulls"),
     "profile_distinct": ("part", "distinct"),
@@ -704,12 +733,14 @@ def passing_rows_all_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({
+    "profile_flags_positive": profile_flags_positive,
     "business_reconcile_full": business_reconcile_full,
     "lookup_large": lookup_large,
     "distinct_hot": distinct_hot,
     "passing_rows_all_kinds": passing_rows_all_kinds,
 })
 ORACLE_SQL.update({
+    "profile_flags_positive": _FLAGS_POSITIVE_SQL,
     "business_reconcile_full": _report_sql(23, 16, 2, "total_cents, n_lines", "o_orderkey", _s("o_orderkey"),
                                            f"{_s('total_cents')} || ', ' || {_s('n_lines')}",
                                            f"FROM ({_RECONCILE_FULL_ORACLE}) q"),
