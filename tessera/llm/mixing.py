@@ -40,7 +40,7 @@ from tessera.llm.common import kept, word_count
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
 MOST = 2
-CELL_PART = 2_048       # documents ranked together, about
+CELL_PART = 256         # documents ranked together, about
 MAX_STEPS = 200
 
 
