@@ -26,6 +26,7 @@ from tessera.functions.projection import joined_text, joined_text_sql, sql_strin
 from tessera.operators.spec import Check
 
 PK_VALUE = "Primary_Key_Value_s_"
+SCOPE = "Source_File"  # which closed set of rows (an arriving file) a result belongs to, where there are several
 ACTUAL = "Actual_Value"
 
 
@@ -122,35 +123,41 @@ def _check_struct_sql(cc: CompiledCheck) -> str:
             f"'{ACTUAL}', {joined_text_sql(list(cc.check.columns))})")
 
 
-def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str]) -> DataFrame:
+def scope_columns(scope: str | None) -> list[Column]:
+    return [F.col(scope).alias(SCOPE)] if scope else []
+
+
+def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[str], scope: str | None = None) -> DataFrame:
     """(PK value, Mapping_ID, Rule_ID, Object_ID, Column_Name, Actual_Value) per failing row and check.
 
     Built from a few expressions whatever the number of checks.
     """
     items = ", ".join(f"CASE WHEN {cc.raw} THEN {_check_struct_sql(cc)} END" for cc in compiled)
     return (df.where(some_failing(compiled))
-            .select(joined_text(pk_cols).alias(PK_VALUE), F.expr(f"explode(array({items}))").alias("_f"))
+            .select(joined_text(pk_cols).alias(PK_VALUE), *scope_columns(scope), F.expr(f"explode(array({items}))").alias("_f"))
             .where(F.col("_f").isNotNull())
-            .select(PK_VALUE, "_f.*"))
+            .select(PK_VALUE, *([SCOPE] if scope else []), "_f.*"))
 
 
-def _counts_pass(df: DataFrame, compiled: list[CompiledCheck], extra_ids: list[int]) -> DataFrame:
-    row = df.selectExpr("count(1) AS _n", *[f"count_if({cc.raw}) AS _c{i}" for i, cc in enumerate(compiled)])
+def _counts_pass(df: DataFrame, compiled: list[CompiledCheck], extra_ids: list[int], scope: str | None) -> DataFrame:
+    row = df.groupBy(*scope_columns(scope)).agg(F.count(F.lit(1)).alias("_n"), *[
+        F.expr(f"count_if({cc.raw})").alias(f"_c{i}") for i, cc in enumerate(compiled)])
+    of = [SCOPE] if scope else []
     entries = [f"named_struct('Mapping_ID', CAST({int(cc.check.mapping.mapping_id)} AS INT), "
                f"'Failure_Count', CAST(_c{i} AS BIGINT))" for i, cc in enumerate(compiled)]
     entries += [f"named_struct('Mapping_ID', CAST({int(mid)} AS INT), 'Failure_Count', CAST(0 AS BIGINT))"
                 for mid in extra_ids]
     if not entries:
-        return row.selectExpr("CAST(NULL AS INT) AS Mapping_ID", "CAST(0 AS BIGINT) AS Failure_Count",
+        return row.selectExpr(*of, "CAST(NULL AS INT) AS Mapping_ID", "CAST(0 AS BIGINT) AS Failure_Count",
                               "CAST(_n AS BIGINT) AS Row_Count").where(F.lit(False))
-    return (row.select(F.col("_n").cast("long").alias("Row_Count"),
+    return (row.select(*of, F.col("_n").cast("long").alias("Row_Count"),
                        F.expr(f"explode(array({', '.join(entries)}))").alias("_e"))
-            .select("_e.Mapping_ID", "_e.Failure_Count", "Row_Count"))
+            .select(*of, "_e.Mapping_ID", "_e.Failure_Count", "Row_Count"))
 
 
-def fused_counts(df: DataFrame, compiled: list[CompiledCheck], mapping_ids: list[int]) -> DataFrame:
+def fused_counts(df: DataFrame, compiled: list[CompiledCheck], mapping_ids: list[int], scope: str | None = None) -> DataFrame:
     """One aggregate over the source -> (Mapping_ID, Failure_Count, Row_Count) for every mapping.
     Mappings without row-local checks get a 0 count and still carry the row count.
     """
     covered = {cc.check.mapping.mapping_id for cc in compiled}
-    return _counts_pass(df, compiled, [mid for mid in mapping_ids if mid not in covered])
+    return _counts_pass(df, compiled, [mid for mid in mapping_ids if mid not in covered], scope)

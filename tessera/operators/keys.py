@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.projection import joined_text
-from tessera.operators.fused import ACTUAL, PK_VALUE, column_types, resolve
+from tessera.operators.fused import ACTUAL, PK_VALUE, column_types, resolve, scope_columns
 
 OCCURRENCES = "_occurrences"
 FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
@@ -70,6 +70,8 @@ def rows_without_duplicates(df: DataFrame, key_cols: list[str], among: DataFrame
     return df.withColumns(key_columns(df, key_cols)).join(dups, names, "left_anti").select(*df.columns)
 
 
-def duplicate_failures(df: DataFrame, key_cols: list[str], pk_cols: list[str]) -> DataFrame:
-    rows = duplicate_rows(df.select(*dict.fromkeys(pk_cols + key_cols)), key_cols)
-    return rows.select(joined_text(pk_cols).alias(PK_VALUE), joined_text(key_cols).alias(ACTUAL))
+def duplicate_failures(df: DataFrame, key_cols: list[str], pk_cols: list[str], scope: str | None = None) -> DataFrame:
+    """With ``scope`` a key is a duplicate within rows of one scope."""
+    within = key_cols + ([scope] if scope else [])
+    rows = duplicate_rows(df.select(*dict.fromkeys(pk_cols + within)), within)
+    return rows.select(joined_text(pk_cols).alias(PK_VALUE), joined_text(key_cols).alias(ACTUAL), *scope_columns(scope))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.projection import joined_text
-from tessera.operators.fused import ACTUAL, PK_VALUE
+from tessera.operators.fused import ACTUAL, PK_VALUE, scope_columns
 from tessera.operators.keys import fixed_width
 
 
@@ -77,7 +77,7 @@ def passing_rows(df: DataFrame, column: str, dtype: T.DataType, spec: dict, forb
 
 
 def lookup_failures(df: DataFrame, column: str, dtype: T.DataType, spec: dict, forbidden: bool,
-                    pk_cols: list[str], tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    rows = df.select(*dict.fromkeys(pk_cols + [column]))
+                    pk_cols: list[str], tables: dict[str, DataFrame] | None = None, scope: str | None = None) -> DataFrame:
+    rows = df.select(*dict.fromkeys(pk_cols + [column] + ([scope] if scope else [])))
     hits = failing_rows(rows, column, dtype, spec, forbidden, tables)
-    return hits.select(joined_text(pk_cols).alias(PK_VALUE), joined_text([column]).alias(ACTUAL))
+    return hits.select(joined_text(pk_cols).alias(PK_VALUE), joined_text([column]).alias(ACTUAL), *scope_columns(scope))

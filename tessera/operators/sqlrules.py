@@ -18,7 +18,7 @@ from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.functions.projection import joined_text, ts_text
-from tessera.operators.fused import ACTUAL, PK_VALUE
+from tessera.operators.fused import ACTUAL, PK_VALUE, scope_columns
 from tessera.operators.lookups import view_name
 
 CUSTOM_SQL_VIEW = "dfSQL"
@@ -78,12 +78,13 @@ def query(spark: SparkSession, sql: str) -> DataFrame:
     return found
 
 
-def project_failures(failing: DataFrame, pk_cols: list[str], value_cols: list[str]) -> DataFrame:
-    """Failing rows of any SQL check -> (PK value, actual value)."""
-    missing = [c for c in pk_cols + value_cols if c.lower() not in {x.lower() for x in failing.columns}]
+def project_failures(failing: DataFrame, pk_cols: list[str], value_cols: list[str], scope: str | None = None) -> DataFrame:
+    """Failing rows of any SQL check -> (PK value, actual value) (P17/B2). With ``scope`` the query must
+    give that column too (as ``SELECT *`` does), or its rows belong to no file."""
+    missing = [c for c in pk_cols + value_cols + ([scope] if scope else []) if c.lower() not in {x.lower() for x in failing.columns}]
     if missing:
         raise SqlRuleError(f"query result lacks column(s) {missing}")
-    return failing.select(joined_text(pk_cols).alias(PK_VALUE), joined_text(value_cols).alias(ACTUAL))
+    return failing.select(joined_text(pk_cols).alias(PK_VALUE), joined_text(value_cols).alias(ACTUAL), *scope_columns(scope))
 
 
 def custom_sql_failures(spark: SparkSession, df: DataFrame, sql: str) -> DataFrame:

@@ -14,10 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.projection import date_lit, ts_lit
+from tessera.operators.fused import SCOPE
+
+
+def _unit(frame: DataFrame) -> list[str]:
+    """What a total belongs to: the mapping, and the file where several are judged at once."""
+    return ["Mapping_ID"] + ([SCOPE] if SCOPE in frame.columns else [])
 
 
 def totals(counts: DataFrame) -> DataFrame:
-    return (counts.groupBy("Mapping_ID")
+    return (counts.groupBy(*_unit(counts))
             .agg(F.sum("Failure_Count").cast("long").alias("Failure_Count"),
                  F.max("Row_Count").cast("long").alias("Row_Count")))
 
@@ -49,21 +55,25 @@ def criticality(summary: DataFrame, thresholds: DataFrame | None) -> DataFrame:
     if thresholds is None:
         return summary.withColumn("Criticality", F.lit(None).cast("int"))
     fires = (F.col("Failure_Count") > 0) & (F.col("_threshold") <= F.col("Failure_Percent"))
-    others = [c for c in summary.columns if c != "Mapping_ID"]
+    unit = _unit(summary)
+    others = [c for c in summary.columns if c not in unit]
     return (summary.join(F.broadcast(active_thresholds(thresholds)), "Mapping_ID", "left")
-            .groupBy("Mapping_ID")
+            .groupBy(*unit)
             .agg(*[F.first(c).alias(c) for c in others],
                  F.max(F.when(fires, F.struct("_threshold", "_tier")))["_tier"].alias("Criticality")))
 
 
 def aggregated_rows(counts: DataFrame, meta: DataFrame, thresholds: DataFrame | None,
-                    now: dt.datetime, emit_empty: bool = True) -> DataFrame:
-    """The 12-column aggregate row per mapping; ``meta`` holds the mappings of any number of objects."""
+                    now: dt.datetime, emit_empty: bool = True, scope_runs: DataFrame | None = None) -> DataFrame:
+    """The 12-column aggregate row per mapping; ``meta`` holds the mappings of any number of objects.
+    With files, a row per mapping and file, its run id from ``scope_runs``, and the file as a column."""
     s = totals(counts).withColumn("Failure_Percent", failure_percent())
     if not emit_empty:
         s = s.where(F.col("Row_Count") > 0)
     s = criticality(s, thresholds)
     s = F.broadcast(meta).join(F.broadcast(s), "Mapping_ID")
+    if scope_runs is not None:
+        s = s.drop("Run_ID").join(F.broadcast(scope_runs), SCOPE)
     return s.select(
         ts_lit(now).alias("Last_Update_Date"),
         F.col("Failure_Percent"),
@@ -77,4 +87,5 @@ def aggregated_rows(counts: DataFrame, meta: DataFrame, thresholds: DataFrame |
         F.col("Criticality").cast("int"),
         F.col("Object_Name").cast("string"),
         F.col("Rule_Description").cast("string"),
+        *([SCOPE] if scope_runs is not None else []),
     )

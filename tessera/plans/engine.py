@@ -24,7 +24,7 @@ from tessera.functions import predicates as P
 from tessera.functions.local import local_frame
 from tessera.functions.projection import date_lit, label_text, split_names, ts_lit
 from tessera.operators import keys, lookups, schema_check, sqlrules, summary
-from tessera.operators.fused import (ACTUAL, PK_VALUE, CompiledCheck, MissingColumnError, any_failing,
+from tessera.operators.fused import (ACTUAL, PK_VALUE, SCOPE, CompiledCheck, MissingColumnError, any_failing,
                                      column_types, compile_check, fused_counts, fused_failures,
                                      resolve)
 from tessera.operators.spec import Check, Mapping, RuleError, expand
@@ -50,6 +50,8 @@ class ObjectRun:
     thresholds: DataFrame | None = None
     strict_types: bool = False
     emit_empty: bool = True
+    scope: str | None = None  # a column of the source whose values are closed sets (files), judged each by itself
+    scope_runs: list[tuple[str, int]] = field(default_factory=list)  # with scope: (value, run id) of each
     broken: dict[int, str] = field(default_factory=dict)  # Mapping_ID -> why it failed at run time; not evaluated
 
 
@@ -105,6 +107,7 @@ def _stamp(frame: DataFrame, m: Mapping) -> DataFrame:
         F.lit(m.object_id).cast("int").alias("Object_ID"),
         F.lit(m.column_name).cast("string").alias("Column_Name"),
         F.col(ACTUAL).cast("string").alias(ACTUAL),
+        *([SCOPE] if SCOPE in frame.columns else []),
     )
 
 
@@ -127,6 +130,9 @@ def _schema_check(spark, run: ObjectRun, check: Check, types, today, now, compil
     found = schema_check.type_mismatches(run.source, scope, strict=run.strict_types)
     rows = [(message, column) for column, message in found]
     frame = local_frame(spark, rows, f"{PK_VALUE} string, {ACTUAL} string")
+    if run.scope:  # the files of an object share their schema: a finding for each
+        frame = local_frame(spark, [(*row, value) for row in rows for value, _ in run.scope_runs],
+                            f"{PK_VALUE} string, {ACTUAL} string, {SCOPE} string")
     frames.append((check.mapping, frame))
     for column in schema_check.required_columns(scope):
         if column.lower() in types:
@@ -171,26 +177,26 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
                 for c in list(check.columns) + pk_cols:
                     resolve(types, c)
                 key_cols = list(check.columns)
-                frames.append((m, keys.duplicate_failures(source, key_cols, pk_cols)))
+                frames.append((m, keys.duplicate_failures(source, key_cols, pk_cols, run.scope)))
                 passes.append(lambda df, c=key_cols: keys.rows_without_duplicates(df, c, among=source))
             elif kind == "lookup":
                 if len(check.columns) != 1:
                     raise P.RuleValueError("lookup tests take exactly one column")
                 column = check.columns[0]
                 lookup = (column, resolve(types, column), check.value, check.key == "forbidden")
-                frames.append((m, lookups.lookup_failures(source, *lookup, pk_cols, run.tables)))
+                frames.append((m, lookups.lookup_failures(source, *lookup, pk_cols, run.tables, run.scope)))
                 passes.append(lambda df, a=lookup: lookups.passing_rows(df, *a, run.tables))
             elif kind == "sql":
                 failing = sqlrules.custom_sql_failures(spark, source, check.value)
-                frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns))))
+                frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns), run.scope)))
                 passes.append(lambda df, bad=failing: without_keys(df, bad, pk_cols))
             elif kind == "python":
                 failing = sqlrules.python_failures(source, check.value)
-                frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns))))
+                frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns), run.scope)))
                 passes.append(lambda df, bad=failing: without_keys(df, bad, pk_cols))
             elif kind == "business":
                 failing = sqlrules.business_failures(spark, check.value, window_start, window_end)
-                frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns))))
+                frames.append((m, sqlrules.project_failures(failing, pk_cols, list(check.columns), run.scope)))
                 passes.append(lambda df, bad=failing: without_keys(df, bad, pk_cols))
             elif kind == "schema":
                 _schema_check(spark, run, check, types, today, now, compiled, frames, errors)
@@ -202,38 +208,47 @@ def validate(spark: SparkSession, run: ObjectRun) -> ValidationResult:
     failed_only = {e.mapping.mapping_id for e in errors} - evaluated
     mapping_ids = [m.mapping_id for m in run.mappings if m.mapping_id not in failed_only]
 
-    parts = [fused_failures(source, compiled, pk_cols)] if compiled else []
+    parts = [fused_failures(source, compiled, pk_cols, run.scope)] if compiled else []
     parts += [_stamp(frame, m) for m, frame in frames]
     if parts:
         failures = reduce(lambda a, b: a.unionByName(b), parts)
     else:
         failures = local_frame(spark, [], ", ".join(
-            f"{c} {'int' if c.endswith('_ID') else 'string'}" for c in FAILURE_COLUMNS))
+            f"{c} {'int' if c.endswith('_ID') else 'string'}" for c in FAILURE_COLUMNS + ([SCOPE] if run.scope else [])))
 
-    counts = fused_counts(source, compiled, mapping_ids)
+    counts = fused_counts(source, compiled, mapping_ids, run.scope)
+    of_scope = [SCOPE] if run.scope else []
     for m, frame in frames:
-        counts = counts.unionByName(frame.agg(
+        counts = counts.unionByName(frame.groupBy(*of_scope).agg(
             F.lit(m.mapping_id).cast("int").alias("Mapping_ID"),
             F.count(F.lit(1)).cast("long").alias("Failure_Count"),
             F.lit(None).cast("long").alias("Row_Count")))
 
+    scope_runs = local_frame(spark, run.scope_runs, f"{SCOPE} string, Run_ID int") if run.scope else None
+    if run.scope:
+        failures = failures.join(F.broadcast(scope_runs), SCOPE)
+    else:
+        failures = failures.withColumn("Run_ID", F.lit(run.run_id).cast("int"))
     detailed = failures.select(
-        F.col(PK_VALUE), F.col(ACTUAL),
-        F.lit(run.run_id).cast("int").alias("Run_ID"),
+        F.col(PK_VALUE), F.col(ACTUAL), F.col("Run_ID"),
         date_lit(today).alias("Period"),
         F.col("Object_ID"), F.col("Rule_ID"), F.col("Mapping_ID"), F.col("Column_Name"),
         F.lit(label_text(pk_cols)).alias("Primary_Key_Column_s_"),
-        ts_lit(now).alias("Last_Update_Date"),
+        ts_lit(now).alias("Last_Update_Date"), *of_scope,
     )
 
     meta = mapping_meta(spark, [(run.object_name, run.run_id, m) for m in run.mappings if m.mapping_id in set(mapping_ids)])
-    aggregated = summary.aggregated_rows(counts, meta, run.thresholds, now, run.emit_empty)
-
-    object_log = local_frame(spark, [(run.run_id, run.object_id, run.object_name)],
-                                       "Object_Log_ID int, Object_ID int, Object_Name string").select(
+    aggregated = summary.aggregated_rows(counts, meta, run.thresholds, now, run.emit_empty, scope_runs)
+
+    logged = local_frame(spark, [(run.run_id, run.object_id, run.object_name)],
+                         "Object_Log_ID int, Object_ID int, Object_Name string")
+    if run.scope:  # a log row per file
+        logged = scope_runs.select(F.col("Run_ID").alias("Object_Log_ID"), F.lit(run.object_id).cast("int").alias("Object_ID"),
+                                       F.lit(run.object_name).alias("Object_Name"), SCOPE)
+    object_log = logged.select(
         "Object_Log_ID", date_lit(today).alias("Period"), "Object_ID", "Object_Name",
         ts_lit(now).alias("Last_Update_Date"),
-        ts_lit(window_start).alias("val_st_dt"), ts_lit(window_end).alias("val_end_dt"))
+        ts_lit(window_start).alias("val_st_dt"), ts_lit(window_end).alias("val_end_dt"), *of_scope)
 
     return ValidationResult(failures, counts, detailed, aggregated, object_log,
                             _error_frame(spark, errors), compiled, frames, pk_cols, run.run_id,

@@ -3,32 +3,40 @@
 Arriving files are read by Spark's file stream source; each row carries its
 file path (``_metadata.file_path``), the file name gives the table id (text
 between the last ``/`` and the last ``.``), and a left-semi join with the
-object registry keeps only registered tables. Each micro-batch is validated
-per file (a file is a closed set, so uniqueness and counts are per file, and
-no watermark is needed), with the same batch validator as table objects.
+object registry keeps only registered tables. A file is a closed set, so
+uniqueness and counts are per file and no watermark is needed: the file is a
+scope of the batch validator, so a micro-batch is one plan per registered
+object whatever its number of files. Results carry the file and its run id
+(1 + the highest run id logged for the object on the clock's day).
 
 Results of a micro-batch are written under ``batch=<epoch id>`` with overwrite,
 so a re-run of the same epoch after a failure replaces its output instead of
-duplicating it; offsets live in the stream's checkpoint location.
+duplicating it; offsets live in the stream's checkpoint location. States
+(Executing, then Success or Failure) are written per file the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.clock import RunClock
+from tessera.functions.local import local_frame
 from tessera.functions.paths import extension, table_id
+from tessera.functions.projection import ts_lit
 from tessera.operators import alerts
+from tessera.operators.fused import SCOPE
 from tessera.plans.catalog import ObjectPlan
-from tessera.plans.engine import ObjectRun, validate
+from tessera.plans.engine import ObjectRun, ValidationResult, broken_checks, validate
 
 FILE_COL, TABLE_COL = "_source_file", "_table_id"
-MAX_FILES_PER_TRIGGER = 100  # bounds one micro-batch's files (each is validated as its own set)
 
 
 def arrivals(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType,
@@ -52,57 +60,92 @@ def registered(stream: DataFrame, objects: DataFrame) -> DataFrame:
     return stream.join(reg, cond, "left_semi")
 
 
-def validate_file_batch(spark: SparkSession, batch: DataFrame, plan: ObjectPlan, clock: RunClock,
-                        run_id: int, thresholds: DataFrame | None = None, declared=None):
-    """Validate each file of a micro-batch as its own closed set; union the results.
+def last_run_ids(spark: SparkSession, out_dir: str, epoch_id: int, clock: RunClock) -> dict[int, int]:
+    """Highest run id per object logged on the clock's day by other micro-batches."""
+    try:
+        log = spark.read.parquet(f"{out_dir}/object_log")
+    except AnalysisException:  # nothing logged yet
+        return {}
+    if "batch" not in log.columns:
+        return {}
+    today = log.where((F.to_date("Last_Update_Date") == F.lit(clock.period.isoformat()).cast("date"))
+                      & (F.col("batch") != epoch_id))
+    return {r[0]: r[1] for r in today.groupBy("Object_ID").agg(F.max("Object_Log_ID")).collect()}
 
-    The file list of a micro-batch is bounded by ``maxFilesPerTrigger``.
+
+def validate_file_batch(spark: SparkSession, batch: DataFrame, plans: list[ObjectPlan], clock: RunClock,
+                        last_ids: dict[int, int], thresholds: DataFrame | None = None,
+                        declared: dict[int, object] | None = None) -> list[tuple[ObjectPlan, ObjectRun, ValidationResult]]:
+    """One validation per object over all its files of a micro-batch.
+
+    The driver holds the names of the batch's files, one short row each.
     """
-    files = [r[0] for r in batch.select(FILE_COL).distinct().collect()]
+    arrived: dict[str, list[str]] = {}
+    for table, path in sorted(map(tuple, batch.select(TABLE_COL, FILE_COL).distinct().collect())):
+        arrived.setdefault(table, []).append(path)
     results = []
-    data_cols = [c for c in batch.columns if not c.startswith("_")]
-    for f in sorted(files):
-        one = batch.where(F.col(FILE_COL) == f).select(*data_cols)
-        results.append(validate(spark, ObjectRun(plan.object_id, plan.object_name, plan.primary_key, one,
-                                                 plan.mappings, clock, run_id=run_id, thresholds=thresholds,
-                                                 declared=declared, emit_empty=False)))
-    return files, results
-
-
-def _write_batch(results, out_dir: str, epoch_id: int, catalog=None, alert_mode: str = "equal") -> None:
-    frames = {}
-    for name in ("detailed", "aggregated", "object_log", "rule_errors"):
-        frame = getattr(results[0], name)
-        for r in results[1:]:
-            frame = frame.unionByName(getattr(r, name))
+    for plan in plans:
+        files = arrived.get(plan.object_name)
+        if not files:
+            continue
+        first = last_ids.get(plan.object_id, 0) + 1
+        rows = batch.where(F.col(TABLE_COL) == plan.object_name)
+        names = [c for c in batch.columns if not c.startswith("_") or c == FILE_COL]
+        one = ObjectRun(plan.object_id, plan.object_name, plan.primary_key, rows.select(*names), plan.mappings, clock,
+                        thresholds=thresholds, declared=(declared or {}).get(plan.object_id), emit_empty=False,
+                        scope=FILE_COL, scope_runs=[(path, first + i) for i, path in enumerate(files)])
+        results.append((plan, one, validate(spark, one)))
+    return results
+
+
+def _write_batch(results, out_dir: str, epoch_id: int, clock: RunClock, catalog=None, alert_mode: str = "equal") -> None:
+    def union(name: str) -> DataFrame:
+        return reduce(lambda a, b: a.unionByName(b), [getattr(r, name) for _, _, r in results])
+
+    def write(frame: DataFrame, name: str) -> None:
         frame.write.mode("overwrite").parquet(f"{out_dir}/{name}/batch={epoch_id}")
-        frames[name] = frame
+
+    try:
+        write(union("detailed"), "detailed")
+    except Exception:  # noqa: BLE001 - a rule that fails when it runs; the others are written
+        for i, (plan, one, r) in enumerate(results):
+            one.broken.update(broken_checks(r))
+            results[i] = (plan, one, validate(r.detailed.sparkSession, one))
+        write(union("detailed"), "detailed")
+    for name in ("aggregated", "object_log", "rule_errors"):
+        write(union(name), name)
+    spark = results[0][2].detailed.sparkSession
+    states = [(plan.object_id, run_id, path, status) for plan, one, _ in results for path, run_id in one.scope_runs
+              for status in ("Executing", "Success")]
+    write(local_frame(spark, states, f"Object_ID int, Run_Id int, {SCOPE} string, Val_Status string")
+          .withColumn("Last_Upd_Dt", ts_lit(clock.now)), "execution")
     if catalog is not None:  # alerts on the file path too, from the aggregates just written
-        agg = frames["aggregated"]  # read with its schema: an empty file batch writes no data files
-        written = agg.sparkSession.read.schema(agg.schema).parquet(f"{out_dir}/aggregated/batch={epoch_id}")
-        alerts.alert_rows(written, catalog, alert_mode).write.mode("overwrite").parquet(
-            f"{out_dir}/alerts/batch={epoch_id}")
+        schema = union("aggregated").schema  # read with its schema: a batch without rows writes no data files
+        written = spark.read.schema(schema).parquet(f"{out_dir}/aggregated/batch={epoch_id}")
+        write(alerts.alert_rows(written, catalog, alert_mode), "alerts")
+        write(alerts.recipients(written, catalog, alert_mode), "alert_recipients")
 
 
-def start(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType, plan: ObjectPlan,
+def start(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType, plan: ObjectPlan | list[ObjectPlan],
           objects: DataFrame, out_dir: str, checkpoint_location: str,
           clock_fn: Callable[[], RunClock] = RunClock.utcnow, thresholds: DataFrame | None = None,
-          declared=None, options: dict | None = None, available_now: bool = True,
-          max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, catalog=None,
-          alert_mode: str = "equal") -> StreamingQuery:
+          declared: dict[int, object] | None = None, options: dict | None = None, available_now: bool = True,
+          max_files_per_trigger: int | None = None, catalog=None, alert_mode: str = "equal") -> StreamingQuery:
+    """Validate arriving files of the given objects. One stream reads one format and schema; objects that
+    share them share the stream."""
+    plans = plan if isinstance(plan, list) else [plan]
     stream = registered(arrivals(spark, landing_dir, fmt, schema, options, max_files_per_trigger), objects)
-    stream = stream.where(F.col(TABLE_COL) == plan.object_name)
+    stream = stream.where(F.col(TABLE_COL).isin([p.object_name for p in plans]))
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         clock = clock_fn()
-        # the micro-batch is read once per file and result table; keep it cached
-        # for the batch (recomputed from its files if an executor is lost)
-        batch = batch.persist()
+        # Read several times while it is judged; recomputed from its files if an executor is lost.
+        batch = batch.persist(StorageLevel.DISK_ONLY)
         try:
-            _, results = validate_file_batch(spark, batch, plan, clock, run_id=int(epoch_id) + 1,
-                                             thresholds=thresholds, declared=declared)
+            last = last_run_ids(spark, out_dir, epoch_id, clock)
+            results = validate_file_batch(spark, batch, plans, clock, last, thresholds, declared)
             if results:
-                _write_batch(results, out_dir, epoch_id, catalog, alert_mode)
+                _write_batch(results, out_dir, epoch_id, clock, catalog, alert_mode)
         finally:
             batch.unpersist()
 

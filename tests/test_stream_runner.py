@@ -101,6 +101,40 @@ def test_stream_of_files_equals_batch_per_file(spark, tmp_dir):
     assert all(r["Notification_Handler_Text"] is None for r in alert_rows)
 
 
+def test_files_of_a_batch_are_told_apart(spark, tmp_dir):
+    """Two files of one object in one micro-batch: results, counts, run ids and states per file; jobs do not grow with files."""
+    folders = [os.path.join(tmp_dir, d) for d in ("landing/a", "landing/b", "more/c")]
+    for folder in folders:
+        os.makedirs(folder)
+    bodies = ["1,Ann,5.0\n2,Bo,-1.0\n2,Bo2,3.0\n", "2,Cy,1.0\n3,Di,-4.0\n", "9,Ed,-2.0\n"]
+    for folder, body in zip(folders, bodies):
+        with open(os.path.join(folder, "account.csv"), "w") as f:
+            f.write(body)
+    cat = _catalog(spark)
+    plans = group_plan(rule_plan(cat, object_ids=[4]).collect())
+    schema = spark.createDataFrame([], ACCOUNT_SCHEMA).schema
+
+    def stream(landing, hour):
+        arrivals.start(spark, landing, "csv", schema, plans, cat.object_lookup, f"{tmp_dir}/out", f"{tmp_dir}/ckpt-{hour}",
+                       clock_fn=lambda: RunClock(dt.datetime(2024, 6, 1, hour)), thresholds=cat.rule_threshold, catalog=cat,
+                       options={"recursiveFileLookup": "true"}).awaitTermination(120)
+
+    stream(f"{tmp_dir}/landing", 8)
+    of = lambda p: p.split("/")[-2]
+    rows = spark.read.parquet(f"{tmp_dir}/out/detailed").collect()
+    assert sorted((of(r.Source_File), r.Run_ID, r.Mapping_ID, r.Primary_Key_Value_s_) for r in rows) == [
+        ("a", 1, 9, "2"), ("a", 1, 9, "2"), ("a", 1, 10, "2"), ("b", 2, 10, "3")]
+    agg = {(of(r.Source_File), r.Mapping_ID): (r.Run_ID, r.Failure_Count, round(r.Failure_Percent, 4))
+           for r in spark.read.parquet(f"{tmp_dir}/out/aggregated").collect()}
+    assert agg == {("a", 8): (1, 0, 0.0), ("a", 9): (1, 2, round(2 / 3, 4)), ("a", 10): (1, 1, round(1 / 3, 4)),
+                   ("b", 8): (2, 0, 0.0), ("b", 9): (2, 0, 0.0), ("b", 10): (2, 1, 0.5)}
+    states = {(of(r.Source_File), r.Run_Id, r.Val_Status) for r in spark.read.parquet(f"{tmp_dir}/out/execution").collect()}
+    assert states == {(f, i, s) for f, i in (("a", 1), ("b", 2)) for s in ("Executing", "Success")}
+    # The day's run ids go on from what was logged.
+    last = arrivals.last_run_ids(spark, f"{tmp_dir}/out", 5, RunClock(dt.datetime(2024, 6, 1, 9)))
+    assert last == {4: 2} and arrivals.last_run_ids(spark, f"{tmp_dir}/out", 5, RunClock(dt.datetime(2024, 6, 2))) == {}
+
+
 def test_declared_schema_frame(spark):
     df = spark.createDataFrame([("o_orderkey", "INT64", "NO")], schemas.DECLARED_SCHEMA)
     from tessera.operators.schema_check import declared_list
