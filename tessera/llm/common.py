@@ -30,12 +30,6 @@ def ascii_lower(column: Column | str) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def word_count(text: Column | str) -> Column:
-    """Number of words of a text; 0 for NULL."""
-    return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(WORD_PATTERN)),
-                      F.lit(0)).cast("long")
-
-
 def id_fold(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo ``folds``; NULL ids fall into no held-out fold (-1)."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

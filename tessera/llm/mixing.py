@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import kept, word_count
+from tessera.llm.common import bound_batches, kept, lean, text_slices
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -123,6 +123,14 @@ def balance(cells: DataFrame, duals: dict[str, Dual], most: int = MOST) -> None:
     raise RuntimeError("entropy balancing did not converge")
 
 
+def size_rows(batches):
+    """Arrow function: the text, last, replaced by its number of words."""
+    for batch in batches:
+        sizes = [len(text.split()) for _, texts in text_slices(batch) for text in texts]
+        kept_columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+        yield pa.RecordBatch.from_arrays([*kept_columns, pa.array(sizes, pa.int64())], names=[*batch.schema.names[:-1], "size"])
+
+
 def whole_copies(most: int):
     """Arrow function over one source's cells: copies per cell, what is owed carried to shorter documents."""
     def run(table):
@@ -140,14 +148,15 @@ def whole_copies(most: int):
 def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, share=SHARE, most: int = MOST) -> DataFrame:
     """Per document: id, source, size, source_size, target, rate, copies, taken, text_hash."""
+    bound_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                            word_count(F.col(text_col).cast("string")).alias("size"),
-                            F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
-    docs = kept(docs.withColumn("key", source_key(F.col("source"))))
-    cells = kept(docs.groupBy("key", "size").agg(F.count("*").alias("n"), F.first("source").alias("source")))
-    sources = cells.groupBy("key").agg(F.first("source").alias("source"),
-                                       F.sum(F.col("n") * F.col("size")).cast("long").alias("words"),
-                                       F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("n")).collect()
+                            F.col(text_col).cast("string").alias("text"))
+    docs = docs.select("id", "source", source_key(F.col("source")).alias("key"), F.xxhash64("text").alias("text_hash"), "text")
+    kind = docs.schema["id"].dataType.simpleString()
+    docs = kept(docs.mapInArrow(lean(size_rows), f"id {kind}, source string, key string, text_hash long, size long"))
+    cells = kept(docs.groupBy("key", "source", "size").agg(F.count("*").alias("n")))
+    sources = cells.groupBy("key", "source").agg(F.sum(F.col("n") * F.col("size")).cast("long").alias("words"),
+                                                 F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("n")).collect()
     wanted = targets({r["source"]: r["words"] for r in sources}, weights, share, most)
     duals = {}
     for r in sources:
