@@ -1,14 +1,14 @@
 """WARC records in ZIP packages: write, read directories, range-read records.
 
-A package is a ZIP archive of stored members: ``archive/data.warc`` (the records),
-``indexes/index.txt`` (a line per record: its offset and length in the data member) and
-``datapackage.json``. Each task streams its rows into packages of bounded size; only
+A package is a ZIP archive of stored members: ``archive/data.warc.gz`` (the records, each a
+gzip member of its own), ``indexes/index.txt`` (a line per record: its offset and length in
+the data member) and ``datapackage.json``. Each task streams its rows into packages of bounded size; only
 packages that the returned frame lists count, so a retried task leaves nothing half-read.
 
 Reading parses the end record, the ZIP64 end record where a field is full, and the central
 directory, finds the stored members by their local headers, reads the index, and then
 range-reads records through the data member's place in the package. Nothing is extracted,
-and a task reads a few megabytes of records at a time.
+and a task reads about a megabyte of packed records at a time.
 
 Of records with equal payloads (by SHA-1; at least ``min_revisit`` bytes) the one with the
 largest page id is a response, the others are revisits that refer to it; rows that share
@@ -27,6 +27,7 @@ import struct
 import urllib.parse
 import uuid
 import zipfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,9 +36,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import bound_batches, lean, shared_path, text_slices
 from tessera.llm.token_files import filesystem
 
-DATA, INDEX, PACKAGE = "archive/data.warc", "indexes/index.txt", "datapackage.json"
+DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.txt", "datapackage.json"
+GZIP = 31                        # zlib's window setting for gzip members
 PACKAGE_BYTES = 512 << 20
-READ_BYTES = 4 << 20
+READ_BYTES = 1 << 20
 RECORD_URN = "urn:tessera:page:"
 # The formats' signatures, layouts and names.
 END_RECORD, END_64_LOCATOR, END_64_RECORD = b"PK\x05\x06", b"PK\x06\x07", b"PK\x06\x06"
@@ -107,6 +109,8 @@ class PackageWriter:
         self.at, self.index = 0, []
 
     def add(self, raw: bytes) -> None:
+        packer = zlib.compressobj(5, zlib.DEFLATED, GZIP)
+        raw = packer.compress(raw) + packer.flush()
         self.data.write(raw)
         self.index.append(f"{self.at} {len(raw)}\n")
         self.at += len(raw)
@@ -260,7 +264,7 @@ def read_rows(id_col: str):
                 fs, place = filesystem(path)
                 with fs.open_input_file(place) as file:
                     raw = file.read_at(offsets[-1] + lengths[-1] - offsets[0], offsets[0])
-                got = [page_of(raw[a - offsets[0]:a - offsets[0] + n]) for a, n in zip(offsets, lengths)]
+                got = [page_of(zlib.decompress(raw[a - offsets[0]:a - offsets[0] + n], GZIP)) for a, n in zip(offsets, lengths)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*got), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))],
                     names=[id_col, "payload_bytes", "payload_digest", "record_type", "refers_to"])

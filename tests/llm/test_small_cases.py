@@ -429,7 +429,7 @@ def test_zip64_and_foreign_members(tmp_dir):
     assert "packed.txt" not in package.members
     assert package.read(*package.place(warc_zip.DATA)) == b"stored bytes"
     # The same archive with a ZIP64 directory: 32-bit fields full, the wide ones in the extra field.
-    name, data = b"archive/data.warc", b"wide"
+    name, data = b"archive/data.warc.gz", b"wide"
     local = struct.pack("<4sHHHHHIIIHH", b"PK\x03\x04", 45, 0, 0, 0, 0, zlib.crc32(data), 2**32 - 1, 2**32 - 1, len(name), 20) + name
     local += struct.pack("<HHQQ", 1, 16, len(data), len(data)) + data
     wide = struct.pack("<HHQQQ", 1, 24, len(data), len(data), 0)
