@@ -37,7 +37,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Memo, bound_batches, lean, shared_path, text_slices
+from tessera.llm.common import Memo, bound_batches, lean, shared_path, shuffle_partitions, text_slices
 
 MAGIC = b"TSEFIDS1"
 # magic, id width, documents, NULL ids, ids, first key, bounds (offset, universe), keys (offset, universe)
@@ -338,5 +338,6 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
                         names=[id_col, "start", "n_tokens", "ids_crc32"])
                 file.close()
 
-    spread = files.select("path", "start").repartition(F.col("path"))
+    # The rows are short but stand for much data: a stated number of parts is not merged.
+    spread = files.select("path", "start").repartition(shuffle_partitions(files.sparkSession), F.col("path"))
     return spread.mapInArrow(lean(run), f"{id_col} long, start long, n_tokens long, ids_crc32 long")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, lean, shared_path, text_slices
+from tessera.llm.common import bound_batches, lean, shared_path, shuffle_partitions, text_slices
 from tessera.llm.token_files import filesystem
 
 DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.txt", "datapackage.json"
@@ -273,7 +273,9 @@ def read_rows(id_col: str):
 
 def read_packages(packages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """Per record: id, payload_bytes, payload_digest, record_type, refers_to."""
-    runs = packages.select("path").repartition(F.col("path")).mapInArrow(
+    # The rows are few and short but stand for much data: a stated number of parts is not merged.
+    parts = shuffle_partitions(packages.sparkSession)
+    runs = packages.select("path").repartition(parts, F.col("path")).mapInArrow(
         lean(index_rows), "path string, offsets array<long>, lengths array<long>")
-    return runs.repartition(F.col("path"), F.col("offsets")[0]).mapInArrow(
+    return runs.repartition(parts, F.col("path"), F.col("offsets")[0]).mapInArrow(
         lean(read_rows(id_col)), f"{id_col} long, payload_bytes long, payload_digest string, record_type string, refers_to long")
