@@ -44,8 +44,8 @@ END = b"\n"   # no word can hold white space
 @dataclass
 class Config:
     states: int = 6
-    classes: int = 4_096
-    rounds: int = 5
+    classes: int = 8_192          # hashed word classes, at most 65,534
+    rounds: int = 8
     piece: int = 256              # tokens of a training sequence
     chunk: int = 2_000_000        # tokens numbered together, about
     batch: int = 1_000_000        # tokens held at once in a recursion, about
@@ -237,7 +237,7 @@ def count_rows(model: Model, config: Config):
         if pieces:
             add(pieces, first)
         rows = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), *(pa.array(total[rows, k]) for k in range(states))],
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), *(pa.array(total[rows, k].astype(np.float32)) for k in range(states))],
                                          names=["row", *(f"s{k}" for k in range(states))])
     return run
 
@@ -245,7 +245,7 @@ def count_rows(model: Model, config: Config):
 def train(sequences: DataFrame, totals: np.ndarray, config: Config) -> tuple[Model, list[float]]:
     """Baum-Welch rounds; the driver sees parameters only."""
     model, size, states = first_model(totals, config), len(totals), config.states
-    schema = "row int, " + ", ".join(f"s{k} double" for k in range(states))
+    schema = "row int, " + ", ".join(f"s{k} float" for k in range(states))
     prior = (totals + 1) / (totals + 1).sum()
     likelihoods = []
     for _ in range(config.rounds):
