@@ -33,12 +33,15 @@ FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType
 
 
 def fixed_width(column: Column, dtype: T.DataType) -> Column:
-    """The value itself, or its digest where its width is not fixed. NULL stays NULL."""
+    """The value itself, or its digest where its width is not fixed.
+
+    The digest of NULL is empty bytes, which is no value's digest: never NULL, it spares the
+    null test that a join would add, and with it a second evaluation.
+    """
     if isinstance(dtype, FIXED_WIDTH):
         return column
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        return F.unhex(F.sha2(column.cast("binary"), 256))
-    return F.unhex(F.sha2(F.to_json(F.struct(column)).cast("binary"), 256))
+    data = column.cast("binary") if isinstance(dtype, (T.StringType, T.BinaryType)) else F.to_json(F.struct(column)).cast("binary")
+    return F.when(column.isNull(), F.lit(b"")).otherwise(F.coalesce(F.unhex(F.sha2(data, 256)), F.lit(b"")))
 
 
 def key_columns(df: DataFrame, key_cols: list[str]) -> dict[str, Column]:

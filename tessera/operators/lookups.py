@@ -52,8 +52,8 @@ def lookup_values(spark: SparkSession, spec: dict, dtype: T.DataType,
     if not column:
         raise LookupError_("lookup needs 'column_name'")
     table = resolve_table(spark, spec, tables)
-    return (table.select(fixed_width(F.col(column).try_cast(dtype), dtype).alias("_lookup_value"))
-            .where(F.col("_lookup_value").isNotNull()).distinct())
+    value = F.col(column).try_cast(dtype)
+    return table.where(value.isNotNull()).select(fixed_width(value, dtype).alias("_lookup_value")).distinct()
 
 
 def failing_rows(df: DataFrame, column: str, dtype: T.DataType, spec: dict, forbidden: bool,
