@@ -14,29 +14,30 @@ from tessera.llm import decontamination, mixing, queries, simhash, toxicity
 from tessera.llm.common import saved
 
 
+def _with_row(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of documents with (doc_id, text_hash) rows; a repeated id is told apart by its text."""
+    wanted = rows.select(F.col("doc_id").alias("row_id"), F.col("text_hash").alias("row_hash"))
+    same = docs["doc_id"].eqNullSafe(wanted["row_id"]) & (F.xxhash64(docs["text"].cast("string")) == wanted["row_hash"])
+    return docs.join(wanted, same, how)
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
     found = toxicity.toxicity(docs, queries.table(spark, sf_dir, "labels"))
-    # Scores hang on the text alone, so an id with several texts goes by its worst text.
-    rejected = found.frame.filter("predicted = 1").select(F.col("doc_id").alias("rejected_id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["rejected_id"]), "left_anti")
+    rejected = found.frame.filter("predicted = 1").select("doc_id", "text_hash").distinct()
+    return _with_row(docs, rejected, "left_anti")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints stays: the one with the least id."""
-    groups = simhash.simhash_groups(docs)
-    # A group without any id keeps its least row; equal rows are one document.
-    kept = (groups.groupBy("component_node").agg(F.min("component_id").alias("kept_id"))
-            .select("kept_id").filter("kept_id IS NOT NULL"))
-    nameless = groups.groupBy("component_node").agg(F.max("component_id").alias("any")).filter("any IS NULL")
-    with_id = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    without = docs.filter("doc_id IS NULL")
-    if without.isEmpty():
-        return with_id
-    own = simhash.simhash_groups(without.withColumn("near_id", F.xxhash64("text")), id_col="near_id")
-    first = own.join(nameless, "component_node", "left_semi").groupBy("component_node").agg(F.min("near_id").alias("near_id"))
-    rows = without.withColumn("near_id", F.xxhash64("text")).join(first.select("near_id"), "near_id", "left_semi")
-    return with_id.unionByName(rows.dropDuplicates(["near_id"]).select(*docs.columns))
+    """One document of each group of linked fingerprints stays: the one with the least id
+    (of equal ids the least text hash; rows without an id only in groups that have none).
+    Rows that agree in id and text are one document."""
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    kept = (simhash.simhash_groups(docs).groupBy("component_node").agg(F.min(row).alias("row"))
+            .select("row.doc_id", "row.text_hash"))
+    names = docs.columns
+    return (_with_row(docs, kept, "left_semi").withColumn("near_hash", F.xxhash64("text"))
+            .dropDuplicates(["doc_id", "near_hash"]).select(*names))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

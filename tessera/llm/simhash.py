@@ -19,7 +19,7 @@ written to the shared folder.
 
 Result per input row: id, fingerprint, component_id (smallest id reachable, NULL ids
 aside; NULL if the component has no id), component_node (one fingerprint per component,
-never NULL). Repeated rows and ids keep their rows. Empty tables give empty results;
+never NULL), text_hash. Repeated rows and ids keep their rows. Empty tables give empty results;
 extra columns are ignored.
 """
 
@@ -69,9 +69,9 @@ def fingerprint_rows(size: int):
     def run(batches):
         for batch in batches:
             prints = [fingerprint_of(text, size) for _, texts in text_slices(batch) for text in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("id")),
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1),
                                               pa.array(np.array(prints, np.uint64).view(np.int64), pa.int64())],
-                                             names=["id", "node"])
+                                             names=["id", "text_hash", "node"])
     return run
 
 
@@ -301,11 +301,12 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def simhash_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    max_bits: int = 3) -> DataFrame:
-    """Per row: id, fingerprint (hex), component_id, component_node. See the module docstring."""
+    """Per row: id, fingerprint (hex), component_id, component_node, text_hash. See the module docstring."""
     bound_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select("id", F.xxhash64("text").alias("text_hash"), "text")
     kind = docs.schema["id"].dataType.simpleString()
-    prints = kept(docs.mapInArrow(lean(fingerprint_rows(shingle)), f"id {kind}, node long"))
+    prints = kept(docs.mapInArrow(lean(fingerprint_rows(shingle)), f"id {kind}, text_hash long, node long"))
     nodes = kept(prints.groupBy("node").agg(F.min("id").alias("least")))
     roots = components(trie_join(nodes, max_bits))
     owned = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -313,4 +314,4 @@ def simhash_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     by_node = owned.join(least, "root").select("node", "root", "component_id")
     return prints.join(by_node, "node").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"),
-        "component_id", F.col("root").alias("component_node"))
+        "component_id", F.col("root").alias("component_node"), "text_hash")

@@ -300,7 +300,7 @@ def fit_linear(rows: list[list[int]], target: np.ndarray, size: int, steps: int
 
 @dataclass
 class Scored:
-    frame: DataFrame          # id, held_out, score, predicted, posterior
+    frame: DataFrame          # id, held_out, score, predicted, posterior, text_hash
     model: LabelModel
     weights: np.ndarray
     mined: dict[str, tuple[float, bool]]
@@ -312,6 +312,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     config = config or Config()
     bound_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select("id", F.xxhash64("text").alias("text_hash"), "text")
     learn = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).dropna()
              .filter(id_fold("id", config.folds) > 0)
              .groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("toxic")))
@@ -322,7 +323,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     index, voter = feature_tables(mined)
 
     votes = kept(docs.mapInArrow(lean(vote_rows(index, voter, INSULTS, THREATS)),
-                                  f"id {docs.schema['id'].dataType.simpleString()}, pattern long, features array<int>"))
+                                  f"id {docs.schema['id'].dataType.simpleString()}, text_hash long, pattern long, features array<int>"))
     marked = votes.join(learn, "id", "left")
     counts = (marked.groupBy("pattern").agg(F.sum(F.when(F.col("toxic").isNull(), 1).otherwise(0)).alias("free"),
                                             F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("clean"),
@@ -360,11 +361,12 @@ def toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                 margin += ((bits >> v) & 1) * linear[size + v]
             got = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("id")), pa.array(got),
-                 pa.array([posterior.get(int(p), 0.5) for p in bits], pa.float64())], names=["id", "score", "posterior"])
+                [batch.column(batch.schema.get_field_index("id")), batch.column(batch.schema.get_field_index("text_hash")),
+                 pa.array(got), pa.array([posterior.get(int(p), 0.5) for p in bits], pa.float64())],
+                names=["id", "text_hash", "score", "posterior"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    scored = votes.mapInArrow(lean(score), f"id {kind}, score double, posterior double")
+    scored = votes.mapInArrow(lean(score), f"id {kind}, text_hash long, score double, posterior double")
     frame = scored.select(F.col("id").alias(id_col), (id_fold("id", config.folds) == 0).alias("held_out"), "score",
-                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "posterior")
+                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "posterior", "text_hash")
     return Scored(frame, model, weights, mined)
