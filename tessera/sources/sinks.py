@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 
 def write_results(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple = ("Period",),
                   mode: str = "append", replace_partitions: bool = False) -> None:
+    # Rare failures over a large scan would leave a tiny file per task: AQE merges them before the write.
+    df = df.hint("rebalance")
     writer = df.write.mode(mode).format(fmt)
     if replace_partitions:
         writer = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
