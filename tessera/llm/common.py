@@ -111,6 +111,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of what a frame reads, as the planner knows it; 0 where it does not."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return size if size < 1 << 60 else 0
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

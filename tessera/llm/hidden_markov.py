@@ -9,8 +9,10 @@ vocabulary and its counts grow with the corpus.
 
 1. Count. Each task numbers the words of a *chunk* of documents (a few million tokens),
    keeps the documents as compressed numbers and classes, and counts training tokens.
-   (word, chunk) rows meet in one shuffle by word; a word has at most a row per chunk, so
-   no word is hot. Only counts of words that several chunks share go back to the chunks.
+   The words of a chunk are dealt by hash into buckets, a compressed block per bucket, so
+   counts are shuffled pre-aggregated and packed; a word has one entry per chunk at most,
+   so no word is hot. Buckets double with the input's bytes. Only counts of words
+   that several chunks share go back to the chunks.
 2. Train. Baum-Welch over all training documents: tasks run the scaled forward-backward
    recursion over many pieces of documents at a time and return expected counts, which
    Spark sums by class; the driver renews parameters of fixed size. Later pieces of a
@@ -33,10 +35,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, id_fold, kept, lean, lean_group, text_slices
+from tessera.llm.common import bound_batches, id_fold, input_bytes, kept, lean, lean_group, text_slices
 
 END = b"\n"   # no word can hold white space
 
@@ -47,7 +49,9 @@ class Config:
     classes: int = 8_192          # hashed word classes, at most 65,534
     rounds: int = 8
     piece: int = 256              # tokens of a training sequence
-    chunk: int = 2_000_000        # tokens numbered together, about
+    chunk: int = 4_000_000        # tokens numbered together, about
+    buckets: int = 1_024          # parts the vocabulary is counted in, at least
+    bucket_bytes: int = 16 << 20  # of input whose words a bucket takes, about
     batch: int = 1_000_000        # tokens held at once in a recursion, about
     stay: float = 0.9
     smoothing: float = 0.1
@@ -63,11 +67,15 @@ class Numbering(dict):
 
 
 def packed(values: np.ndarray, kind: str) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(values.astype(kind).tobytes())
+    """Numbers compressed by byte planes: the upper bytes of small numbers are alike."""
+    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(len(values), -1).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
 
 
 def sums_by(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -75,35 +83,56 @@ def sums_by(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, np.cumsum(sizes) - sizes) if len(sizes) else np.zeros(0)
 
 
-def count_chunks(config: Config):
-    """Documents as numbers and classes, and the words of each chunk, as rows of one table."""
-    names = ["chunk", "number", "id", "held_out", "n_tokens", "known", "log_counts", "ids", "classes", "word", "n"]
+def word_hash(word: bytes) -> int:
+    return zlib.crc32(word)
+
+
+def class_of(word: bytes, classes: int) -> int:
+    return classes if word == END else word_hash(word) % classes
+
+
+CHUNK_ROWS = ("chunk long, number int, id long, held_out boolean, n_tokens long, known long, log_counts double, "
+              "ids binary, classes binary, bucket int, words binary, counts binary")
+
+
+def count_chunks(config: Config, buckets: int):
+    """Documents as numbers and classes, and the words of each chunk by bucket, as rows of one table."""
+    names = [x.split()[0] for x in CHUNK_ROWS.split(", ")]
 
     def close(chunk, table, docs):
         sizes = np.array([len(d[2]) for d in docs])
         flat = np.concatenate([d[2] for d in docs])
         learn = np.repeat(np.array([not d[1] for d in docs]), sizes)
         counts = np.bincount(flat[learn], minlength=len(table))
-        of_word = np.array([config.classes if w == END else zlib.crc32(w) % config.classes for w in table], np.uint16)
+        words = list(table)
+        of_word = np.array([class_of(w, config.classes) for w in words], np.uint16)
         known, logs = sums_by((counts > 0)[flat].astype(np.int64), sizes), sums_by(np.log10(counts + 1.0)[flat], sizes)
-        cut = np.cumsum(sizes)[:-1]
-        n, m = len(docs), len(table)
+        flat_classes, at = of_word[flat], np.concatenate([[0], np.cumsum(sizes)])
         blank = lambda kind, size: pa.nulls(size, kind)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, chunk)), pa.array(np.arange(n), pa.int32()), pa.array([d[0] for d in docs], pa.int64()),
-             pa.array([d[1] for d in docs]), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()),
-             pa.array([packed(x, "<u4") for x in np.split(flat, cut)], pa.binary()),
-             pa.array([packed(x, "<u2") for x in np.split(of_word[flat], cut)], pa.binary()),
-             blank(pa.binary(), n), blank(pa.int64(), n)], names=names)
-        words = list(table)
-        for at in range(0, m, 50_000):
-            part = words[at:at + 50_000]
-            k = len(part)
+        for i in range(0, len(docs), 2_000):
+            some, n = docs[i:i + 2_000], len(docs[i:i + 2_000])
+            spans = list(zip(at[i:i + n].tolist(), at[i + 1:i + n + 1].tolist()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, chunk)), pa.array(np.arange(at, at + k), pa.int32()), blank(pa.int64(), k),
-                 blank(pa.bool_(), k), blank(pa.int64(), k), blank(pa.int64(), k), blank(pa.float64(), k),
-                 blank(pa.binary(), k), blank(pa.binary(), k), pa.array(part, pa.binary()),
-                 pa.array(counts[at:at + k], pa.int64())], names=names)
+                [pa.array(np.full(n, chunk)), pa.array(np.arange(i, i + n), pa.int32()), pa.array([d[0] for d in some], pa.int64()),
+                 pa.array([d[1] for d in some]), pa.array(sizes[i:i + n], pa.int64()), pa.array(known[i:i + n], pa.int64()),
+                 pa.array(logs[i:i + n], pa.float64()), pa.array([packed(flat[a:b], "<u4") for a, b in spans], pa.binary()),
+                 pa.array([packed(flat_classes[a:b], "<u2") for a, b in spans], pa.binary()),
+                 blank(pa.int32(), n), blank(pa.binary(), n), blank(pa.binary(), n)], names=names)
+        bucket = np.array([word_hash(w) % buckets for w in words])
+        order = np.argsort(bucket, kind="stable")
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        out = ([], [], [])
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            own = order[a:b]
+            out[0].append(int(bucket[own[0]]))
+            out[1].append(squeeze(b" ".join([words[k] for k in own.tolist()])))
+            out[2].append(packed(np.concatenate([own, counts[own]]), "<u4"))
+        k = len(out[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(k, chunk)), *(blank(t, k) for t in (pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(),
+                                                                  pa.float64(), pa.binary(), pa.binary())),
+             pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], names=names)
 
     def run(batches):
         from pyspark import TaskContext
@@ -116,7 +145,7 @@ def count_chunks(config: Config):
                 for i, text in enumerate(texts, first):
                     words = text.lower().split()
                     words.append(END)
-                    docs.append((ids[i], held[i], np.array([table[w] for w in words], np.int64)))
+                    docs.append((ids[i], held[i], np.array([table[w] for w in words], np.int32)))
                     tokens += len(words)
                     if tokens >= config.chunk:
                         yield from close((part << 32) | chunk, table, docs)
@@ -127,6 +156,40 @@ def count_chunks(config: Config):
     return run
 
 
+def count_bucket(config: Config):
+    """Arrow function over one bucket: totals per class, and per chunk the totals of words it shares with others."""
+    def run(table):
+        numbering, places, numbers, counts = Numbering(), [], [], []
+        open_ = zstandard.ZstdDecompressor().decompress
+        for words, data in zip(table.column("words").to_pylist(), table.column("counts").to_pylist()):
+            places.append(np.array([numbering[w] for w in open_(words).split(b" ")], np.int64))
+            both = unpacked(data, "<u4")
+            numbers.append(both[:len(both) // 2])
+            counts.append(both[len(both) // 2:])
+        every = np.concatenate(places)
+        total = np.bincount(every, np.concatenate(counts), len(numbering)).astype(np.int64)
+        shared = np.bincount(every, minlength=len(numbering)) > 1
+        seen = total > 0
+        classes = np.array([class_of(w, config.classes) for w in numbering], np.int64)[seen]
+        found = np.unique(classes)
+        tokens = np.bincount(classes, total[seen], config.classes + 1).astype(np.int64)[found]
+        kinds = np.bincount(classes, minlength=config.classes + 1)[found]
+        chunks, blocks = [], []
+        for chunk, place, number, count in zip(table.column("chunk").to_pylist(), places, numbers, counts):
+            own = shared[place]
+            if own.any():
+                chunks.append(chunk)
+                blocks.append(packed(np.concatenate([number[own].astype(np.uint64), count[own].astype(np.uint64),
+                                                     total[place[own]].astype(np.uint64)]), "<u8"))
+        n, m = len(found), len(chunks)
+        return pa.table({"class": pa.concat_arrays([pa.array(found, pa.int32()), pa.nulls(m, pa.int32())]),
+                         "tokens": pa.concat_arrays([pa.array(tokens, pa.int64()), pa.nulls(m, pa.int64())]),
+                         "kinds": pa.concat_arrays([pa.array(kinds, pa.int64()), pa.nulls(m, pa.int64())]),
+                         "word_chunk": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(chunks, pa.int64())]),
+                         "shared": pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(blocks, pa.binary())])})
+    return run
+
+
 @dataclass
 class Model:
     start: np.ndarray      # (states)
@@ -262,23 +325,23 @@ def train(sequences: DataFrame, totals: np.ndarray, config: Config) -> tuple[Mod
     return model, likelihoods
 
 
-def corrections(table, shared):
+def corrections(table, blocks):
     """One chunk: its documents' sums, corrected for the words it shares with other chunks."""
-    table = table.sort_by("number")
+    if not table.num_rows:
+        return pa.table({"chunk": pa.array([], pa.int64()), "number": pa.array([], pa.int32()),
+                         "log_counts": pa.array([], pa.float64()), "n_known": pa.array([], pa.int64())})
     docs = [unpacked(x, "<u4") for x in table.column("ids").to_pylist()]
     logs, known = table.column("log_counts").to_numpy().copy(), table.column("known").to_numpy().copy()
-    if docs and shared.num_rows:
+    if blocks.num_rows:
         size = max(int(d.max()) for d in docs) + 1
-        place = shared.column("word_number").to_numpy()
-        own, every = shared.column("n").to_numpy(), shared.column("total").to_numpy()
         delta, newly = np.zeros(size), np.zeros(size, np.int64)
-        delta[place] = np.log10(every + 1.0) - np.log10(own + 1.0)
-        newly[place] = (every > 0) & (own == 0)
-        # A block of documents at a time, as a chunk may hold a very long one.
-        sizes = np.array([len(d) for d in docs])
-        flat = np.concatenate(docs)
-        logs += sums_by(delta[flat], sizes)
-        known += sums_by(newly[flat], sizes)
+        for data in blocks.column("shared").to_pylist():
+            place, own, every = unpacked(data, "<u8").reshape(3, -1).astype(np.int64)
+            delta[place] = np.log10(every + 1.0) - np.log10(own + 1.0)
+            newly[place] = (every > 0) & (own == 0)
+        for i, doc in enumerate(docs):
+            logs[i] += delta[doc].sum()
+            known[i] += newly[doc].sum()
     return pa.table({"chunk": table.column("chunk"), "number": table.column("number"),
                      "log_counts": pa.array(logs), "n_known": pa.array(known, pa.int64())})
 
@@ -321,26 +384,21 @@ def language_model(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = documents.select(F.col(id_col).cast("long").alias("id"),
                             (id_fold(F.col(id_col), config.folds) == config.held_out).alias("held_out"),
                             F.col(text_col).cast("string").alias("text"))
-    table = kept(docs.mapInArrow(lean(count_chunks(config)),
-                                  "chunk long, number int, id long, held_out boolean, n_tokens long, known long, "
-                                  "log_counts double, ids binary, classes binary, word binary, n long"))
-    rows, words = table.filter("n_tokens IS NOT NULL"), table.filter("word IS NOT NULL")
-    by_word = Window.partitionBy("word")
-    counted = kept(words.select("word", "chunk", "number", "n", F.sum("n").over(by_word).alias("total"),
-                                 F.count("*").over(by_word).alias("chunks"), F.min("chunk").over(by_word).alias("least"))
-                    .select(F.when(F.col("word") == F.lit(END), config.classes)
-                            .otherwise(F.crc32("word") % config.classes).cast("int").alias("class"),
-                            "chunk", "number", "n", "total", (F.col("chunk") == F.col("least")).alias("first"),
-                            (F.col("chunks") > 1).alias("shared")))
+    buckets = config.buckets
+    while buckets * config.bucket_bytes < input_bytes(documents):
+        buckets *= 2
+    table = kept(docs.mapInArrow(lean(count_chunks(config, buckets)), CHUNK_ROWS))
+    rows, words = table.filter("n_tokens IS NOT NULL"), table.filter("bucket IS NOT NULL")
+    counted = kept(words.select("bucket", "chunk", "words", "counts").groupBy("bucket").applyInArrow(
+        lean_group(count_bucket(config)), "class int, tokens long, kinds long, word_chunk long, shared binary"))
     totals, vocabulary = np.zeros(config.classes + 1), np.zeros(config.classes + 1)
-    for r in (counted.filter("first AND total > 0").groupBy("class")
-              .agg(F.sum("total").alias("n"), F.count("*").alias("v")).collect()):  # a row per class
+    for r in (counted.filter("class IS NOT NULL").groupBy("class")
+              .agg(F.sum("tokens").alias("n"), F.sum("kinds").alias("v")).collect()):  # a row per class
         totals[r["class"]], vocabulary[r["class"]] = r["n"], r["v"]
     tokens, kinds = int(totals.sum()), int(vocabulary.sum())
 
     fixed = rows.select("chunk", "number", "ids", "known", "log_counts").groupBy("chunk").cogroup(
-        counted.filter("shared").select(F.col("chunk").alias("word_chunk"), F.col("number").alias("word_number"), "n", "total")
-        .groupBy("word_chunk")).applyInArrow(
+        counted.filter("word_chunk IS NOT NULL").select("word_chunk", "shared").groupBy("word_chunk")).applyInArrow(
         lean_group(corrections), "chunk long, number int, log_counts double, n_known long")
     model, likelihoods = (None, []) if not tokens else train(rows.filter("NOT held_out"), totals, config)
     base = F.col("log_counts") - F.col("n_tokens") * math.log10(tokens + kinds + 1)
