@@ -113,7 +113,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def input_bytes(df: DataFrame) -> int:
     """Size of what a frame reads, as the planner knows it; 0 where it does not."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return size if size < 1 << 60 else 0
 
 
