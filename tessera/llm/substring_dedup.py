@@ -13,9 +13,12 @@ every document meeting every shard, so windows are routed by content:
    through it, all in step. The matching statistics, cut off at the window's length, give
    for every window the suffix interval of its occurrences, and the least document id in
    the interval decides.
-3. A minimizer with more than ``hot`` runs (a passage that very many documents share) would
-   fill a shard. Its windows are settled one by one instead: a 128-bit digest per window,
-   least id per digest, pre-aggregated in every task, joined back to the windows.
+3. The runs of a minimizer that has more than ``hot`` of them (copies, or a passage that very
+   many documents share) are first grouped by content, pre-aggregated in every task: a run
+   whose whole content starts in a smaller document is settled by that, and one run per
+   content goes on to the shards. Should even the contents be more than ``contents`` (they
+   differ in what surrounds the passage), their windows are settled one by one: a 128-bit
+   digest per window, least id per digest, joined back to the windows.
 
 Decisions are taken on the input alone. NULL texts have no words; rows without an id
 neither lose words nor make others lose any; repeated rows with one id are alike, and
@@ -31,19 +34,22 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Memo, bound_batches, hash64, kept, lean, lean_group, text_slices, window_hashes
 
 PLACE_BITS = 28
+SEND_BYTES = 4 << 20    # of words in a batch that goes back to Spark, about
 
 
 @dataclass
 class Config:
     window: int = 50
     gram: int = 8
-    hot: int = 4_096              # runs of a minimizer beyond which its windows are settled by digest
+    hot: int = 4_096              # runs of a minimizer beyond which they are grouped by content first
+    contents: int = 20_000        # contents of a minimizer beyond which its windows are settled by digest
     shard_words: int = 1_000_000  # words of a shard, about
 
 
@@ -98,34 +104,64 @@ def run_rows(config: Config):
     return run
 
 
+def pack_rows(batches):
+    """Arrow function: texts compressed one by one, as they are moved twice."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        out = [squeeze(text) for _, texts in text_slices(batch) for text in texts]
+        rest = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "text"]
+        yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.binary())],
+                                         names=[*(n for n in batch.schema.names if n != "text"), "packed"])
+
+
 def segment_rows(config: Config):
-    """Runs with their words; windows of hot minimizers as digests."""
+    """Runs with their words; a digest of them where the minimizer is hot."""
     def run(batches):
         names = ["key", "id", "text_hash", "start", "count", "words", "digest"]
+        open_ = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            runs_at = batch.schema.get_field_index("runs")
-            for first, texts in text_slices(batch):
-                out = [[] for _ in names[:1] + names[3:]]
-                rows = []
-                for i, text in enumerate(texts, first):
-                    words = text.split()
-                    for r in batch.column(runs_at)[i].as_py():
-                        if r["hot"]:
-                            for at in range(r["start"], r["start"] + r["count"]):
-                                digest = xxhash.xxh3_128_digest(b" ".join(words[at:at + config.window]))
-                                for column, value in zip(out, (r["key"], at, 1, None, digest)):
-                                    column.append(value)
-                                rows.append(i)
-                        else:
-                            text_of = b" ".join(words[r["start"]:r["start"] + r["count"] + config.window - 1])
-                            for column, value in zip(out, (r["key"], r["start"], r["count"], text_of, None)):
-                                column.append(value)
-                            rows.append(i)
+            ids, hashes, packed, runs = batch.columns
+            out, rows, size = ([], [], [], [], []), [], 0
+
+            def flush():
                 take = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), batch.column(0).take(take), batch.column(1).take(take),
-                     pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary()),
-                     pa.array(out[4], pa.binary())], names=names)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], pa.int64()), ids.take(take), hashes.take(take), pa.array(out[1], pa.int32()),
+                     pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary()), pa.array(out[4], pa.binary())], names=names)
+
+            for i in range(batch.num_rows):
+                words = open_(packed[i].as_py()).split()
+                for r in runs[i].as_py():
+                    content = b" ".join(words[r["start"]:r["start"] + r["count"] + config.window - 1])
+                    digest = xxhash.xxh3_128_digest(content) if r["hot"] else None
+                    for column, value in zip(out, (r["key"], r["start"], r["count"], content, digest)):
+                        column.append(value)
+                    rows.append(i)
+                    size += len(content)
+                if size > SEND_BYTES:
+                    yield flush()
+                    out, rows, size = ([], [], [], [], []), [], 0
+            yield flush()
+    return run
+
+
+def window_rows(config: Config):
+    """Runs to their windows, each as a digest."""
+    def run(batches):
+        for batch in batches:
+            starts, digests, rows = [], [], []
+            at, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for i, (start, text) in enumerate(zip(at, texts)):
+                words = text.split(b" ")
+                for k in range(len(words) - config.window + 1):
+                    starts.append(start + k)
+                    digests.append(xxhash.xxh3_128_digest(b" ".join(words[k:k + config.window])))
+                    rows.append(i)
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(starts, pa.int32()),
+                 pa.array(np.ones(len(rows), np.int32)), pa.array(digests, pa.binary())],
+                names=["id", "text_hash", "start", "count", "digest"])
     return run
 
 
@@ -304,46 +340,68 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
     docs = (documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .filter("id IS NOT NULL").select("id", F.xxhash64("text").alias("text_hash"), "text"))
     runs = docs.mapInArrow(lean(run_rows(config)), "key long, id long, text_hash long, start int, count int")
-    met = (runs.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n"))
-           .filter("least < most").select("key", (F.col("n") > config.hot).alias("hot")))
+    # Held, not computed inside the join: so both sides of the join are shuffles, and Spark can split a hot key.
+    met = kept(runs.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n"))
+               .filter("least < most").select("key", (F.col("n") > config.hot).alias("hot")))
     lists = (runs.join(met, "key").groupBy("id", "text_hash")
              .agg(F.collect_set(F.struct("start", "count", "key", "hot")).alias("runs")))
-    segments = kept(docs.join(lists, ["id", "text_hash"]).select("id", "text_hash", "text", "runs").mapInArrow(
+    packed = docs.mapInArrow(lean(pack_rows), "id long, text_hash long, packed binary")
+    segments = kept(packed.join(lists, ["id", "text_hash"]).select("id", "text_hash", "packed", "runs").mapInArrow(
         lean(segment_rows(config)), "key long, id long, text_hash long, start int, count int, words binary, digest binary"))
-    words = segments.filter("words IS NOT NULL").agg(F.sum(F.col("count") + config.window - 1)).first()[0] or 0
+    run = ["id", "text_hash", "start", "count"]
+
+    # Hot minimizers: one row per content, the one with the least id.
+    hot = segments.filter("digest IS NOT NULL")
+    first = F.min(F.struct("id", "words")).alias("first")
+    contents = kept(hot.groupBy("key", "digest").agg(first).select("key", "digest", F.col("first.id").alias("least"), "first.words"))
+    crowded = contents.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > config.contents).select("key")
+    narrow = hot.select("key", "digest", *run)
+    copies = narrow.join(contents.select("key", "digest", "least"), ["key", "digest"]).filter("least < id").select(*run)
+    firsts = narrow.join(contents.withColumnRenamed("least", "id"), ["key", "digest", "id"])
+    windows = firsts.join(crowded, "key", "left_semi").select("id", "text_hash", "start", "words").mapInArrow(
+        lean(window_rows(config)), "id long, text_hash long, start int, count int, digest binary")
+    least = kept(windows.groupBy("digest").agg(F.min("id").alias("least")))
+    single = windows.join(least, "digest").filter("least < id").select(*run)
+
+    searched = (segments.filter("digest IS NULL").select("key", *run, "words")
+                .unionByName(firsts.join(crowded, "key", "left_anti").select("key", *run, "words")))
+    words = segments.filter("digest IS NULL").select((F.col("count") + config.window - 1).alias("n")).unionByName(
+        contents.select(F.lit(config.window + config.window - config.gram).alias("n"))).agg(F.sum("n")).first()[0] or 0
     shards = max(1, math.ceil(words / config.shard_words))
-    cold = (segments.filter("words IS NOT NULL").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-            .select("shard", "id", "text_hash", "start", "count", "words").groupBy("shard")
-            .applyInArrow(lean_group(search_shard(config)), "id long, text_hash long, start int, count int"))
-    hot = segments.filter("digest IS NOT NULL").select("digest", "id", "text_hash", "start", "count")
-    first = hot.groupBy("digest").agg(F.min("id").alias("least"))
-    hot = hot.join(first, "digest").filter("least < id").select("id", "text_hash", "start", "count")
-    return cold.unionByName(hot)
+    found = (searched.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+             .select("shard", *run, "words").groupBy("shard")
+             .applyInArrow(lean_group(search_shard(config)), "id long, text_hash long, start int, count int"))
+    return found.unionByName(copies).unionByName(single)
 
 
 def kept_rows(config: Config):
     def run(batches):
+        open_ = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            out, at = ([], [], []), batch.schema.get_field_index("spans")
-            for first, texts in text_slices(batch):
-                for i, text in enumerate(texts, first):
-                    words = text.split()
-                    found = batch.column(at)[i].as_py()
-                    if found:
-                        edge = np.zeros(len(words) + 1, np.int64)
-                        starts = np.array([s["start"] for s in found])
-                        np.add.at(edge, starts, 1)
-                        np.add.at(edge, starts + np.array([s["count"] for s in found]) + config.window - 1, -1)
-                        keep = np.cumsum(edge[:-1]) == 0
-                        kept = [w for w, k in zip(words, keep.tolist()) if k]
-                    else:
-                        kept = words
-                    out[0].append(len(words))
-                    out[1].append(len(words) - len(kept))
-                    out[2].append(b" ".join(kept))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                 pa.array([x.decode("utf-8", "replace") for x in out[2]], pa.string())], names=["id", "n_words", "n_removed", "kept"])
+            ids, packed, found = batch.columns
+            begin, out, size = 0, ([], [], []), 0
+
+            def flush(stop):
+                return pa.RecordBatch.from_arrays(
+                    [ids.slice(begin, stop - begin), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
+                     pa.array([x.decode("utf-8", "replace") for x in out[2]], pa.string())], names=["id", "n_words", "n_removed", "kept"])
+
+            for i in range(batch.num_rows):
+                words = kept_words = open_(packed[i].as_py()).split()
+                if spans_ := found[i].as_py():
+                    edge = np.zeros(len(words) + 1, np.int64)
+                    starts = np.array([x["start"] for x in spans_])
+                    np.add.at(edge, starts, 1)
+                    np.add.at(edge, starts + np.array([x["count"] for x in spans_]) + config.window - 1, -1)
+                    kept_words = [w for w, k in zip(words, (np.cumsum(edge[:-1]) == 0).tolist()) if k]
+                text = b" ".join(kept_words)
+                for column, value in zip(out, (len(words), len(words) - len(kept_words), text)):
+                    column.append(value)
+                size += len(text)
+                if size > SEND_BYTES:
+                    yield flush(i + 1)
+                    begin, out, size = i + 1, ([], [], []), 0
+            yield flush(batch.num_rows)
     return run
 
 
@@ -355,7 +413,8 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
     spans_ = (found.groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
               .select(F.col("id").alias("span_id"), F.col("text_hash").alias("span_hash"), "spans"))
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    met = docs.withColumn("text_hash", F.xxhash64("text")).join(
-        spans_, (F.col("id") == F.col("span_id")) & (F.col("text_hash") == F.col("span_hash")), "left")
-    return met.select("id", "text", "spans").mapInArrow(
+    docs = docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        lean(pack_rows), "id long, text_hash long, packed binary")
+    met = docs.join(spans_, (F.col("id") == F.col("span_id")) & (F.col("text_hash") == F.col("span_hash")), "left")
+    return met.select("id", "packed", "spans").mapInArrow(
         lean(kept_rows(config)), "id long, n_words long, n_removed long, kept string").withColumnRenamed("id", id_col)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, lean, shared_path, shuffle_partitions, text_slices
+from tessera.llm.common import bound_batches, kept, lean, shared_path, shuffle_partitions, text_slices
 from tessera.llm.token_files import filesystem
 
 DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.txt", "datapackage.json"
@@ -222,8 +222,9 @@ def write_packages(pages: DataFrame, folder: str | None = None, id_col: str = "p
     body = F.coalesce(F.col(body_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("body"))
     rows = rows.withColumn("digest", F.unhex(F.sha1(F.col("body").cast("binary"))))
-    # One row per payload that occurs more than once, counted before it is shuffled.
-    holders = (pages.select(F.col(id_col).cast("long").alias("id"), body.alias("body"))
+    # One row per payload that occurs more than once, counted before it is shuffled; held, so
+    # that both sides of the join are shuffles and Spark can split a payload of very many pages.
+    holders = kept(pages.select(F.col(id_col).cast("long").alias("id"), body.alias("body"))
                .select("id", F.unhex(F.sha1(F.col("body").cast("binary"))).alias("digest"), F.octet_length("body").alias("size"))
                .filter(F.col("size") >= min_revisit).groupBy("digest")
                .agg(F.max("id").alias("holder"), F.count("*").alias("n")).filter("n > 1").drop("n"))

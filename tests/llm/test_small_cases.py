@@ -167,10 +167,10 @@ def brute_kept(rows, window):
     return Counter(out)
 
 
-@pytest.mark.parametrize("hot", [4096, 3, 0])
+@pytest.mark.parametrize("hot,contents", [(4096, 20_000), (3, 20_000), (0, 4), (0, 0)])
 @pytest.mark.parametrize("window,gram", [(50, 8), (12, 4)])
-def test_repeats_equal_brute_force(corpus, hot, window, gram):
-    config = substring_dedup.Config(window=window, gram=gram, hot=hot, shard_words=3_000)
+def test_repeats_equal_brute_force(corpus, hot, contents, window, gram):
+    config = substring_dedup.Config(window=window, gram=gram, hot=hot, contents=contents, shard_words=3_000)
     got = Counter(tuple(r) for r in substring_dedup.without_repeats(corpus, config=config).collect())
     rows = [(r.doc_id, [w.encode() for w in WORD.findall(r.text or "")]) for r in corpus.collect()]
     assert got == brute_kept(rows, window)
