@@ -205,6 +205,7 @@ class Encoder:
     and told apart by their last pieces; any other word is encoded as it stands.
     """
 
+    MARKS = string.punctuation.encode()
     UNEVEN = set("ΣİıſK")   # letters whose lower case hangs on their place or is no single letter
 
     def __init__(self, path: str, per_word: bool):
@@ -212,6 +213,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.per_word = per_word
+        self.plain = self.without_folding()
         self.words: dict[bytes, bytes] = {}
         self.parts = Memo(lambda part: self.bytes_of([part])[0], 300_000)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -219,19 +221,36 @@ class Encoder:
         self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.width = 2 if len(self.last) <= 1 << 16 else 4
 
+    PROBE = "abc thinking über año élève çà größe ... ,. *** $$$ -- ''"
+
+    def without_folding(self):
+        """The same model without the steps that plain, folded parts do not need; the whole
+        tokenizer where that would not give the same ids."""
+        from tokenizers import Tokenizer, pre_tokenizers
+        plain = Tokenizer(self.tokenizer.model)
+        plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        same = all(plain.encode(x, add_special_tokens=False).ids == self.tokenizer.encode(x, add_special_tokens=False).ids
+                   for x in (self.PROBE, *self.PROBE.split()))
+        return plain if same else self.tokenizer
+
     def bytes_of(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in got]
 
-    def split(self, word: str) -> tuple[str, str] | None:
+    def split(self, raw: bytes) -> tuple[str, str] | None:
         """(letters in lower case, mark) of a plain word."""
+        letters = raw.rstrip(self.MARKS)
+        if letters.isalpha():  # ASCII alone
+            return letters.lower().decode(), raw[len(letters):].decode()
+        if raw.isascii():
+            return None
+        word = raw.decode("utf-8", "replace")
         letters = word.rstrip(string.punctuation)
         mark = word[len(letters):]
         if not letters.isalpha():
             return None
         low = letters.lower()
-        if letters.isascii():
-            return low, mark
         even = unicodedata.is_normalized("NFC", letters) and self.UNEVEN.isdisjoint(letters)
         return (low, mark) if even and low.isalpha() and unicodedata.is_normalized("NFC", low) else None
 
@@ -239,7 +258,7 @@ class Encoder:
         """Encode parts together; each ends where a last piece stands."""
         for at in range(0, len(parts), 5_000):
             some = parts[at:at + 5_000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(some):
                 continue  # this vocabulary splits some of them further; they are encoded one by one
@@ -255,15 +274,15 @@ class Encoder:
             words.clear()
         parts.trim()
         split_texts = [t.split() for t in texts]
-        new = [(w, w.decode("utf-8", "replace")) for w in set().union(*split_texts).difference(words)]
-        found = [self.split(text) for _, text in new]
+        new = list(set().union(*split_texts).difference(words))
+        found = [self.split(w) for w in new]
         self.learn(list({f[0] for f in found if f}.difference(parts)))
-        words.update((w, parts[f[0]] + parts[f[1]] if f[1] else parts[f[0]]) for (w, _), f in zip(new, found) if f)
-        odd = [x for x, f in zip(new, found) if not f]
+        words.update((w, parts[f[0]] + parts[f[1]] if f[1] else parts[f[0]]) for w, f in zip(new, found) if f)
+        odd = [w for w, f in zip(new, found) if not f]
         for at in range(0, len(odd), 1_000):
             some = odd[at:at + 1_000]
-            words.update(zip((w for w, _ in some), self.bytes_of([text for _, text in some])))
-        return [b"".join([words[w] for w in own]) for own in split_texts]
+            words.update(zip(some, self.bytes_of([w.decode("utf-8", "replace") for w in some])))
+        return [b"".join(map(words.__getitem__, own)) for own in split_texts]
 
 
 def encode_files(folder: str, tokenizer: str, end_id: int, per_word: bool, file_ids: int):
