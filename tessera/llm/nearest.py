@@ -32,11 +32,11 @@ from tessera.llm.common import lean_group
 
 @dataclass
 class Config:
-    arrays: int = 128             # random projections
+    arrays: int = 96              # random projections
     threshold: float = 0.6        # share of the arrays a candidate collides in
-    first_width: float = 0.7      # half width of the first window, in units of the common norm
-    widen: float = 1.15
-    share: float = 0.22           # of a block, candidates at least before windows stop
+    first_width: float = 0.95     # half width of the first window, in units of the common norm
+    widen: float = 1.1
+    share: float = 0.2            # of a block, candidates at least before windows stop
     least: int = 1_500            # candidates of a block at least (all, if it has fewer)
     block: int = 8_192            # vectors of a block, about
     query_block: int = 2_048      # queries of a block, about
@@ -60,40 +60,50 @@ class Index:
         """For each query the positions that collide often enough."""
         config, n = self.config, len(self.vectors)
         enough = min(n, max(config.least, int(config.share * n)))
+        if enough == n:
+            for _ in queries:
+                yield np.arange(n)
+            return
         need = int(np.ceil(config.threshold * config.arrays))
         centres = (queries / np.linalg.norm(queries, axis=1)[:, None]) @ self.lines[:-1]
-        for centre in centres:
-            if enough == n:
-                yield np.arange(n)
-                continue
-            counts = np.zeros(n, np.int64)
-            low = high = None
-            width = config.first_width
+        bounds: list[tuple[list, list]] = []  # per width, for all queries at once: where the windows begin and end
+
+        def window(level: int, number: int) -> tuple[list, list]:
+            if level == len(bounds):
+                width = config.first_width * config.widen ** level
+                low = np.stack([row.searchsorted(centres[:, i] - width) for i, row in enumerate(self.sorted)], axis=1)
+                high = np.stack([row.searchsorted(centres[:, i] + width, "right") for i, row in enumerate(self.sorted)], axis=1)
+                bounds.append((low.tolist(), high.tolist()))
+            return bounds[level][0][number], bounds[level][1][number]
+
+        for number in range(len(queries)):
+            low, high = window(0, number)
+            counts = np.bincount(np.concatenate([row[a:b] for row, a, b in zip(self.order, low, high)]), minlength=n)
+            level = 0
             while True:
-                new_low = np.array([row.searchsorted(c - width) for row, c in zip(self.sorted, centre)])
-                new_high = np.array([row.searchsorted(c + width, "right") for row, c in zip(self.sorted, centre)])
-                if low is None:
-                    reached = [row[a:b] for row, a, b in zip(self.order, new_low, new_high)]
-                else:
-                    reached = [row[a:b] for row, a, b in zip(self.order, new_low, low)]
-                    reached += [row[a:b] for row, a, b in zip(self.order, high, new_high)]
-                counts += np.bincount(np.concatenate(reached), minlength=n)
                 found = np.flatnonzero(counts >= need)
-                low, high = new_low, new_high
-                if len(found) >= enough or (not low.any() and (high == n).all()):
+                if len(found) >= enough or (not any(low) and min(high) == n):
                     break
-                width *= config.widen
+                level += 1
+                wider, higher = window(level, number)
+                reached = [row[a:b] for row, a, b in zip(self.order, wider, low)]
+                reached += [row[a:b] for row, a, b in zip(self.order, high, higher)]
+                counts += np.bincount(np.concatenate(reached), minlength=n)
+                low, high = wider, higher
             yield found
 
     def search(self, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-        """(query number, vector number, score) of each query's best candidates."""
+        """(query number, vector numbers, scores) of each query's best candidates."""
         for number, found in enumerate(self.candidates(queries)):
             found = found[ids[found] != query_ids[number]]
-            # Summed row by row alike, so equal vectors score alike.
-            scores = (self.vectors[found] * queries[number]).sum(axis=1)
+            near = self.vectors[found]
             if len(found) > k:
-                edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-                found, scores = found[scores >= edge], scores[scores >= edge]
+                rough = near @ queries[number]
+                edge = np.partition(rough, len(rough) - k)[len(rough) - k]
+                first = rough >= edge - 1e-9 * max(1.0, abs(edge))
+                found, near = found[first], near[first]
+            # Summed row by row alike, so equal vectors score alike.
+            scores = (near * queries[number]).sum(axis=1)
             best = np.lexsort((ids[found], -scores))[:k]
             yield number, found[best], scores[best]
 
