@@ -32,11 +32,11 @@ from tessera.llm.common import lean_group
 
 @dataclass
 class Config:
-    arrays: int = 96              # random projections
+    arrays: int = 72              # random projections
     threshold: float = 0.6        # share of the arrays a candidate collides in
-    first_width: float = 0.95     # half width of the first window, in units of the common norm
+    first_width: float = 1.05     # half width of the first window, in units of the common norm
     widen: float = 1.1
-    share: float = 0.2            # of a block, candidates at least before windows stop
+    share: float = 0.22           # of a block, candidates at least before windows stop
     least: int = 1_500            # candidates of a block at least (all, if it has fewer)
     block: int = 8_192            # vectors of a block, about
     query_block: int = 2_048      # queries of a block, about
