@@ -112,6 +112,9 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
 
     try:
         results = _write_detailed(spark, results, out_dir, report)
+        for p, _, r in results:
+            if p.mappings and not r.mapping_ids:
+                report.failed_objects[p.object_id] = "none of the object's rules could be evaluated"
         if results:
             _write_summaries(spark, results, catalog, out_dir, clock, alert_mode)
             report.actions += 5
@@ -198,6 +201,7 @@ def _alert_schema(aggregated: DataFrame, catalog: Catalog, mode: str):
 
 def _close_states(spark: SparkSession, plans: list[ObjectPlan], window_rows: dict, execution: DataFrame | None,
                   out_dir: str, clock: RunClock, report: RunReport) -> None:
+    # An object none of whose rules could be evaluated was not validated.
     outcomes = [(p.object_id, int(window_rows[p.object_id]["Run_Id"]),
                  "Failure" if p.object_id in report.failed_objects else "Success") for p in plans]
     outcome_df = local_frame(spark, outcomes, "Object_ID int, Run_Id int, Val_Status string")

@@ -559,6 +559,17 @@ def type_check_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.report()
 
 
+LABELLED_DECLARED = [("doc_id", "INT64", "NO"), ("text", "STRING", "YES"), ("n_chars", "BOOL", "YES"), ("quality", "NUMERIC", "YES"),
+                     ("toxic", "INT64", "NO"), ("source", "GEOGRAPHY", "YES")]
+
+
+def type_check_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P16 where declared NOT NULL columns do hold NULLs: documents beside their labels."""
+    m = Mapping(41, 13, 6, "", "{}", "Custodial", "types", "documents", "doc_id")
+    return validate(spark, ObjectRun(6, "documents", "doc_id", documents_with_labels(spark, sf_dir), [m], CLOCK,
+                                     declared=LABELLED_DECLARED)).report()
+
+
 def schema_diff_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.operators.schema_check import schema_diff
     return schema_diff(spark, table(spark, sf_dir, "orders"), ORDERS_DECLARED, 2)
@@ -571,9 +582,11 @@ def _spark_type_sql(col: str) -> str:
 
 
 def _type_check_sql() -> str:
-    from tessera.functions.typematrix import STRICT_ACCEPTED, family
+    # Spelled out here for the declared types above, apart from the engine's matrix.
+    fits = {"INT64": ["int", "tinyint", "smallint", "bigint", "string"], "DATE": ["timestamp", "date", "string"],
+            "STRING": ["timestamp", "date", "boolean", "float", "int", "tinyint", "smallint", "bigint", "double", "decimal", "string"]}
     decl = ", ".join(f"('{c}', '{t}', '{n}')" for c, t, n in ORDERS_DECLARED)
-    accepted = ", ".join(f"('{k}', '{family(v)}')" for k, vs in STRICT_ACCEPTED.items() for v in vs)
+    accepted = ", ".join(f"('{k}', '{v}')" for k, vs in fits.items() for v in vs)
     return f"""
 WITH d(col, declared, nullable) AS (VALUES {decl}),
 acc(declared, fam) AS (VALUES {accepted}),
@@ -733,6 +746,7 @@ def passing_rows_all_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({
+    "type_check_nulls": type_check_nulls,
     "profile_flags_positive": profile_flags_positive,
     "business_reconcile_full": business_reconcile_full,
     "lookup_large": lookup_large,
@@ -740,6 +754,12 @@ QUERIES.update({
     "passing_rows_all_kinds": passing_rows_all_kinds,
 })
 ORACLE_SQL.update({
+    "type_check_nulls": """
+        SELECT 41::INTEGER AS Mapping_ID, 13::INTEGER AS Rule_ID, 6::INTEGER AS Object_ID, 1::INTEGER AS Run_ID, '' AS Column_Name,
+               'doc_id' AS Primary_Key_Column_s_, 'n_chars detected as bigint type. Schema specifies BOOL type.' AS Primary_Key_Value_s_,
+               'n_chars' AS Actual_Value WHERE (SELECT count(*) FROM documents) > 0
+        UNION ALL
+        SELECT 41, 13, 6, 1, '', 'doc_id', doc_id::VARCHAR, NULL FROM documents LEFT JOIN labels USING (doc_id) WHERE toxic IS NULL""",
     "profile_flags_positive": _FLAGS_POSITIVE_SQL,
     "business_reconcile_full": _report_sql(23, 16, 2, "total_cents, n_lines", "o_orderkey", _s("o_orderkey"),
                                            f"{_s('total_cents')} || ', ' || {_s('n_lines')}",

@@ -17,6 +17,7 @@ RULES = [
      '{"custom_sql": "SELECT * FROM dfSQL WHERE amount < 0 AND status = \'Active\'"}', "Custodial"),
 ]
 
+# Seed objects.
 # (Object_ID, name, database, extension, PK, period, interval, frequency, active)
 OBJECTS = [
     (1, "customers", "salesforce", None, "customer_id", "daily", None, "Every day at 06:00 UTC", 1),
@@ -26,6 +27,7 @@ OBJECTS = [
     (8, "retired", "salesforce", None, "id", "daily", None, None, 0),
 ]
 
+# Seed mappings.
 # (Mapping_ID, Object_ID, Rule_ID, Column_Name, participating_table, date col, type, active)
 MAPPINGS = [
     (1, 1, 1, "customer_id", None, None, "Custodial", 1),
@@ -44,18 +46,16 @@ MAPPINGS = [
     (30, 8, 1, "id", None, None, "Custodial", 1),
 ]
 
+# Seed thresholds.
 # (Threshold_ID, Mapping_ID, value, criticality, active); mapping 9 has none.
 THRESHOLDS = [(1, 1, 0.0, 3, 1), (2, 2, 0.0, 3, 1), (3, 3, 0.01, 1, 1), (4, 3, 0.05, 2, 1), (5, 3, 0.10, 3, 1),
               (6, 4, 0.01, 1, 1), (7, 5, 0.01, 1, 1), (8, 6, 0.0, 2, 1), (9, 7, 0.0, 3, 1), (10, 11, 0.0, 3, 1),
               (11, 21, 0.0, 3, 1), (12, 22, 0.0, 3, 1), (13, 24, 0.0, 3, 1), (14, 26, 0.0, 1, 1),
               (15, 30, 0.0, 3, 1)]
 
-# Seed alert routing.
-HANDLERS = [(1, "LOW SEVERITY: Data quality issues detected."),
-            (2, "MEDIUM SEVERITY: Significant data quality issues detected."),
-            (3, "HIGH SEVERITY: Critical data quality failures detected.")]
-DISTRIBUTION = [(1, "data-quality-team@example.com"), (2, "data-engineering-lead@example.com"),
-                (3, "escalation-group@example.com")]
+# Alert routing with texts and contacts of our own.
+HANDLERS = [(1, "note it"), (2, "look into it today"), (3, "wake somebody")]
+DISTRIBUTION = [(1, "team@data.invalid"), (2, "lead@data.invalid"), (3, "oncall@data.invalid")]
 NOTIFICATIONS = [(1, 1, 1), (2, 2, 2), (3, 3, 3)]
 OBJECT_NOTIFICATIONS = [(1, 1, 1, 1), (2, 1, 2, 2), (3, 1, 3, 3), (4, 2, 1, 1), (5, 2, 2, 2), (6, 2, 3, 3),
                         (7, 5, 2, 2), (8, 5, 3, 3)]

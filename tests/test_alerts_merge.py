@@ -18,8 +18,8 @@ def aggregated(spark):
 def test_alert_rows_equal_mode(spark):
     got = sorted((r["Object_ID"], r["Criticality"], r["Notification_Handler_Text"])
                  for r in alerts.alert_rows(aggregated(spark), seed_catalog(spark)).collect())
-    assert got[0] == (1, 2, "MEDIUM SEVERITY: Significant data quality issues detected.")
-    assert got[1] == (1, 3, "HIGH SEVERITY: Critical data quality failures detected.")
+    assert got[0] == (1, 2, "look into it today")
+    assert got[1] == (1, 3, "wake somebody")
     assert (5, 1, None) in got and (7, 3, None) in got and len(got) == 4  # no route: kept, no text
 
 
@@ -31,7 +31,7 @@ def test_alert_rows_min_mode_fans_out(spark):
 def test_recipients(spark):
     got = sorted((r["Object_ID"], r["Contact_email"]) for r in
                  alerts.recipients(aggregated(spark), seed_catalog(spark)).collect())
-    assert got == [(1, "data-engineering-lead@example.com"), (1, "escalation-group@example.com")]
+    assert got == [(1, "lead@data.invalid"), (1, "oncall@data.invalid")]
 
 
 CANDIDATES = [  # rule_id_temp, test_type, column_name, description, logic, confidence, include

@@ -254,6 +254,16 @@ def test_rule_failing_at_run_time_is_isolated(spark, tmp_dir):
     assert {(1, "Success"), (2, "Success")} <= states
 
 
+def test_object_without_any_evaluated_rule_fails(spark, tmp_dir):
+    cat = Catalog.from_rows(spark, rule=[(1, "nonsense", '{"no such key": 1}', "Custodial")],
+                            object_lookup=[(1, "one", "db", None, "id", "full table", None, None, 1)],
+                            rule_mapping=[(1, 1, 1, "v", None, None, "Custodial", 1)], rule_threshold=[(1, 1, 0.0, 3, 1)])
+    report = run(spark, cat, lambda p: spark.range(3).selectExpr("id", "id AS v"), tmp_dir, clock=RunClock(dt.datetime(2024, 1, 15)))
+    assert list(report.failed_objects) == [1]
+    assert spark.read.parquet(f"{tmp_dir}/rule_errors").count() == 1
+    assert {r.Val_Status for r in spark.read.parquet(f"{tmp_dir}/execution").collect()} == {"Executing", "Failure"}
+
+
 def test_run_plan_grows_with_objects_not_their_square(spark):
     """Every source is counted once in the aggregate of all objects."""
     from tessera.operators import summary
