@@ -83,7 +83,7 @@ def test_equal_rules_of_a_batch_count_once_and_append_closes_the_merge(spark):
     cat = seed_catalog(spark)
     rows = [("b", "Custodial", "score", "again", '{"max": 9, "min": 1}', 0.9, True),
             ("a", "Custodial", "score", "first", '{"min": 1, "max": 9}', 0.9, True),
-            ("a", "Custodial", "score", "tie", '{"min": 2}', 0.9, True), ("a", "Custodial", "name", "tie", '{"min_length": 2}', 0.9, True)]
+            ("a", "Custodial", "score", "tie", '{"min": 2}', 0.9, True), ("a", "Custodial", "name", "tie", '{"min_length": 3}', 0.9, True)]
     cands = spark.createDataFrame(rows, CAND_SCHEMA)
     res = merge.merge(spark, cat, cands, "customers", "salesforce", "customer_id")
     assert res.rules.count() == 3
@@ -93,7 +93,7 @@ def test_equal_rules_of_a_batch_count_once_and_append_closes_the_merge(spark):
     logic = {r["Rule_ID"]: r["Rule_Logic"] for r in res.rules.collect()}
     column = {r["Rule_ID"]: r["Column_Name"] for r in res.mappings.collect()}
     assert {(column[i], logic[i]) for i in logic} == {("score", '{"max": 9, "min": 1}'), ("score", '{"min": 2}'),
-                                                      ("name", '{"min_length": 2}')}
+                                                      ("name", '{"min_length": 3}')}
     merged = merge.append(cat, res)
     again = merge.merge(spark, merged, cands, "customers", "salesforce", "customer_id")
     assert again.rules.count() == 0 and merged.rule.count() == cat.rule.count() + 3
