@@ -44,5 +44,26 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return opts
 
 
-def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+def with_bounds(options: dict[str, str], key: str, bounds: tuple[int, int] | None, num_partitions: int) -> dict[str, str]:
+    """The options split by a numeric key between its least and largest value; unsplit where there are none."""
+    if not bounds or bounds[0] is None:
+        return options
+    low, high = int(bounds[0]), int(bounds[1]) + 1
+    return {**options, "partitionColumn": key, "lowerBound": str(low), "upperBound": str(high),
+            "numPartitions": str(max(1, min(num_partitions, high - low)))}
+
+
+def _load(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
+
+
+def read_jdbc(spark: SparkSession, options: dict[str, str], key: str | None = None, load=_load) -> DataFrame:
+    """Read a table; with a numeric ``key`` (the primary key, as a rule) over several connections.
+
+    The key's bounds are asked of the database in one row, over the same window, before the read.
+    """
+    if key and "partitionColumn" not in options:
+        asked = {**options, "dbtable": f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {options['dbtable']}) b"}
+        row = load(spark, asked).first()
+        options = with_bounds(options, key, row and (row[0], row[1]), spark.sparkContext.defaultParallelism)
+    return load(spark, options)

@@ -145,3 +145,18 @@ def test_pretty_printed_json_object(spark, tmp_dir):
     with open(lines, "w") as f:
         f.write('{"id": 1}\n{"id": 2}\n')
     assert readers.load_sample(spark, lines).count() == 2
+
+
+def test_jdbc_reads_are_split_by_key(spark):
+    """A stand-in for the driver's load: no database may be started here."""
+    asked = []
+
+    def load(spark, options):
+        asked.append(options)
+        return spark.createDataFrame([(5, 104)], "lo int, hi int") if "MIN(" in options["dbtable"] else spark.range(1)
+
+    opts = jdbc.jdbc_options("jdbc:x", "products", date_col="updated", start=dt.datetime(2024, 1, 1), end=None)
+    jdbc.read_jdbc(spark, opts, key="id", load=load)
+    assert asked[0]["dbtable"].startswith("(SELECT MIN(id) AS lo, MAX(id) AS hi FROM (SELECT * FROM products WHERE")
+    assert (asked[1]["lowerBound"], asked[1]["upperBound"]) == ("5", "105") and int(asked[1]["numPartitions"]) >= 1
+    assert jdbc.with_bounds({"dbtable": "t"}, "id", (None, None), 8) == {"dbtable": "t"}
