@@ -4,6 +4,8 @@ A window is ``window`` consecutive words of one document; a word goes if a windo
 covers it also starts in a document with a smaller id. Equal windows must meet without
 every document meeting every shard, so windows are routed by content:
 
+0. A document whose whole text also belongs to a smaller id is settled by that: digests of
+   whole texts, least id per digest, pre-aggregated in every task.
 1. Of the word 8-grams in a window the one with the least hash is its minimizer; equal
    windows choose the same. Consecutive windows with one minimizer form a run. Only
    (minimizer, document) rows are shuffled, and minimizers seen in a single document go.
@@ -41,6 +43,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Memo, bound_batches, hash64, kept, lean, lean_group, text_slices, window_hashes
 
 PLACE_BITS = 28
+ALL_WINDOWS = 1 << 30   # more than any text has
 SEND_BYTES = 4 << 20    # of words in a batch that goes back to Spark, about
 
 
@@ -85,11 +88,19 @@ def word_hash(word: bytes) -> int:
 
 
 def run_rows(config: Config):
+    """Arrow function: texts to runs. Of equal texts a task sends the runs of the least id it has met."""
     def run(batches):
-        memo = Memo(word_hash)
+        memo, met = Memo(word_hash), {}
         for batch in batches:
+            ids = batch.column(0).to_pylist()
             for first, texts in text_slices(batch):
-                parts = [t.split() for t in texts]
+                parts = []
+                for i, text in enumerate(texts, first):
+                    digest = xxhash.xxh3_128_digest(text)
+                    new = ids[i] < met.get(digest, ids[i] + 1)
+                    if new:
+                        met[digest] = ids[i]
+                    parts.append(text.split() if new else [])
                 sizes = np.array([len(p) if len(p) >= config.window else 0 for p in parts])
                 flat = np.array([memo[w] for p in parts if len(p) >= config.window for w in p], np.uint64)
                 memo.trim()
@@ -334,11 +345,20 @@ def search_shard(config: Config):
 
 def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      config: Config | None = None) -> DataFrame:
-    """(id, text_hash, start, count): runs of windows that also start in a document with a smaller id."""
+    """(id, text_hash, start, count): runs of windows that also start in a document with a smaller id.
+
+    A document whose whole text has a smaller id's gets one run of ``ALL_WINDOWS``.
+    """
     config = config or Config()
     bound_batches(documents.sparkSession)
     docs = (documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .filter("id IS NOT NULL").select("id", F.xxhash64("text").alias("text_hash"), "text"))
+    # Whole copies: settled by the least id per text, pre-aggregated in every task.
+    whole = docs.select("id", "text_hash", F.xxhash64(F.lit("second"), "text").alias("second"))
+    text = ["text_hash", "second"]
+    oldest = kept(whole.groupBy(*text).agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").drop("most"))
+    copied = whole.join(oldest, text).filter("least < id").select(
+        "id", "text_hash", F.lit(0).alias("start"), F.lit(ALL_WINDOWS).alias("count"))
     runs = docs.mapInArrow(lean(run_rows(config)), "key long, id long, text_hash long, start int, count int")
     # Held, not computed inside the join: so both sides of the join are shuffles, and Spark can split a hot key.
     met = kept(runs.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n"))
@@ -371,7 +391,7 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
     found = (searched.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
              .select("shard", *run, "words").groupBy("shard")
              .applyInArrow(lean_group(search_shard(config)), "id long, text_hash long, start int, count int"))
-    return found.unionByName(copies).unionByName(single)
+    return found.unionByName(copies).unionByName(single).unionByName(copied)
 
 
 def kept_rows(config: Config):
@@ -391,8 +411,10 @@ def kept_rows(config: Config):
                 if spans_ := found[i].as_py():
                     edge = np.zeros(len(words) + 1, np.int64)
                     starts = np.array([x["start"] for x in spans_])
-                    np.add.at(edge, starts, 1)
-                    np.add.at(edge, starts + np.array([x["count"] for x in spans_]) + config.window - 1, -1)
+                    stops = np.minimum(starts + np.array([x["count"] for x in spans_]) + config.window - 1, len(words))
+                    whole = stops - starts >= config.window  # a text too short for a window loses nothing
+                    np.add.at(edge, starts[whole], 1)
+                    np.add.at(edge, stops[whole], -1)
                     kept_words = [w for w, k in zip(words, (np.cumsum(edge[:-1]) == 0).tolist()) if k]
                 text = b" ".join(kept_words)
                 for column, value in zip(out, (len(words), len(words) - len(kept_words), text)):
