@@ -33,11 +33,14 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     (of equal ids the least text hash; rows without an id only in groups that have none).
     Rows that agree in id and text are one document."""
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
-    kept = (simhash.simhash_groups(docs).groupBy("component_node").agg(F.min(row).alias("row"))
-            .select("row.doc_id", "row.text_hash"))
-    names = docs.columns
-    return (_with_row(docs, kept, "left_semi").withColumn("near_hash", F.xxhash64("text"))
-            .dropDuplicates(["doc_id", "near_hash"]).select(*names))
+    kept = simhash.simhash_groups(docs).groupBy("component_node").agg(F.min(row).alias("row"))
+    # One set of keys for the join and for equal rows, so texts are shuffled once for both.
+    keys = ["near_nameless", "near_id", "near_hash"]
+    wanted = kept.select(F.col("row.nameless").alias(keys[0]), F.coalesce("row.doc_id", F.lit(0)).alias(keys[1]),
+                         F.col("row.text_hash").alias(keys[2]))
+    keyed = docs.withColumns({keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce("doc_id", F.lit(0)),
+                              keys[2]: F.xxhash64(F.col("text").cast("string"))})
+    return keyed.join(wanted, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
