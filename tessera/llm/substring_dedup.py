@@ -126,9 +126,9 @@ def pack_rows(batches):
 
 
 def segment_rows(config: Config):
-    """Runs with their words; a digest of them where the minimizer is hot."""
+    """Contents of a document's runs, each with all its starts; a digest where the minimizer is hot."""
     def run(batches):
-        names = ["key", "id", "text_hash", "start", "count", "words", "digest"]
+        names = ["key", "id", "text_hash", "starts", "count", "words", "digest"]
         open_ = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             ids, hashes, packed, runs = batch.columns
@@ -137,15 +137,18 @@ def segment_rows(config: Config):
             def flush():
                 take = pa.array(rows, pa.int64())
                 return pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), ids.take(take), hashes.take(take), pa.array(out[1], pa.int32()),
+                    [pa.array(out[0], pa.int64()), ids.take(take), hashes.take(take), pa.array(out[1], pa.list_(pa.int32())),
                      pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary()), pa.array(out[4], pa.binary())], names=names)
 
             for i in range(batch.num_rows):
                 words = open_(packed[i].as_py()).split()
+                starts: dict[tuple, list] = {}
                 for r in runs[i].as_py():
                     content = b" ".join(words[r["start"]:r["start"] + r["count"] + config.window - 1])
-                    digest = xxhash.xxh3_128_digest(content) if r["hot"] else None
-                    for column, value in zip(out, (r["key"], r["start"], r["count"], content, digest)):
+                    starts.setdefault((r["key"], r["count"], r["hot"], content), []).append(r["start"])
+                for (key, count, hot, content), at in starts.items():
+                    digest = xxhash.xxh3_128_digest(content) if hot else None
+                    for column, value in zip(out, (key, at, count, content, digest)):
                         column.append(value)
                     rows.append(i)
                     size += len(content)
@@ -162,17 +165,17 @@ def window_rows(config: Config):
         for batch in batches:
             starts, digests, rows = [], [], []
             at, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for i, (start, text) in enumerate(zip(at, texts)):
+            for i, (begins, text) in enumerate(zip(at, texts)):
                 words = text.split(b" ")
                 for k in range(len(words) - config.window + 1):
-                    starts.append(start + k)
+                    starts.append([start + k for start in begins])
                     digests.append(xxhash.xxh3_128_digest(b" ".join(words[k:k + config.window])))
                     rows.append(i)
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(starts, pa.int32()),
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(starts, pa.list_(pa.int32())),
                  pa.array(np.ones(len(rows), np.int32)), pa.array(digests, pa.binary())],
-                names=["id", "text_hash", "start", "count", "digest"])
+                names=["id", "text_hash", "starts", "count", "digest"])
     return run
 
 
@@ -337,15 +340,17 @@ def search_shard(config: Config):
         inner = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
         at, length = spans(flat[begin[which[row]] + inner] < ids[row], row)
         take = pa.array(row[at])
+        begins = table.column("starts").to_pylist()
+        starts = [[start + offset for start in begins[i]] for i, offset in zip(row[at].tolist(), inner[at].tolist())]
         return pa.table({"id": table.column("id").take(take), "text_hash": table.column("text_hash").take(take),
-                         "start": pa.array(table.column("start").to_numpy()[row[at]] + inner[at], pa.int32()),
-                         "count": pa.array(length, pa.int32())})
+                         "starts": pa.array(starts, pa.list_(pa.int32())), "count": pa.array(length, pa.int32())})
     return run
 
 
 def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      config: Config | None = None) -> DataFrame:
-    """(id, text_hash, start, count): runs of windows that also start in a document with a smaller id.
+    """(id, text_hash, starts, count): runs of windows that also start in a document with a smaller id,
+    each with all places it starts at.
 
     A document whose whole text has a smaller id's gets one run of ``ALL_WINDOWS``.
     """
@@ -358,7 +363,7 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
     text = ["text_hash", "second"]
     oldest = kept(whole.groupBy(*text).agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").drop("most"))
     copied = whole.join(oldest, text).filter("least < id").select(
-        "id", "text_hash", F.lit(0).alias("start"), F.lit(ALL_WINDOWS).alias("count"))
+        "id", "text_hash", F.array(F.lit(0)).alias("starts"), F.lit(ALL_WINDOWS).alias("count"))
     runs = docs.mapInArrow(lean(run_rows(config)), "key long, id long, text_hash long, start int, count int")
     # Held, not computed inside the join: so both sides of the join are shuffles, and Spark can split a hot key.
     met = kept(runs.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n"))
@@ -367,8 +372,8 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
              .agg(F.collect_set(F.struct("start", "count", "key", "hot")).alias("runs")))
     packed = docs.mapInArrow(lean(pack_rows), "id long, text_hash long, packed binary")
     segments = kept(packed.join(lists, ["id", "text_hash"]).select("id", "text_hash", "packed", "runs").mapInArrow(
-        lean(segment_rows(config)), "key long, id long, text_hash long, start int, count int, words binary, digest binary"))
-    run = ["id", "text_hash", "start", "count"]
+        lean(segment_rows(config)), "key long, id long, text_hash long, starts array<int>, count int, words binary, digest binary"))
+    run = ["id", "text_hash", "starts", "count"]
 
     # Hot minimizers: one row per content, the one with the least id.
     hot = segments.filter("digest IS NOT NULL")
@@ -378,8 +383,8 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
     narrow = hot.select("key", "digest", *run)
     copies = narrow.join(contents.select("key", "digest", "least"), ["key", "digest"]).filter("least < id").select(*run)
     firsts = narrow.join(contents.withColumnRenamed("least", "id"), ["key", "digest", "id"])
-    windows = firsts.join(crowded, "key", "left_semi").select("id", "text_hash", "start", "words").mapInArrow(
-        lean(window_rows(config)), "id long, text_hash long, start int, count int, digest binary")
+    windows = firsts.join(crowded, "key", "left_semi").select("id", "text_hash", "starts", "words").mapInArrow(
+        lean(window_rows(config)), "id long, text_hash long, starts array<int>, count int, digest binary")
     least = kept(windows.groupBy("digest").agg(F.min("id").alias("least")))
     single = windows.join(least, "digest").filter("least < id").select(*run)
 
@@ -390,7 +395,7 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
     shards = max(1, math.ceil(words / config.shard_words))
     found = (searched.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
              .select("shard", *run, "words").groupBy("shard")
-             .applyInArrow(lean_group(search_shard(config)), "id long, text_hash long, start int, count int"))
+             .applyInArrow(lean_group(search_shard(config)), "id long, text_hash long, starts array<int>, count int"))
     return found.unionByName(copies).unionByName(single).unionByName(copied)
 
 
@@ -410,8 +415,9 @@ def kept_rows(config: Config):
                 words = kept_words = open_(packed[i].as_py()).split()
                 if spans_ := found[i].as_py():
                     edge = np.zeros(len(words) + 1, np.int64)
-                    starts = np.array([x["start"] for x in spans_])
-                    stops = np.minimum(starts + np.array([x["count"] for x in spans_]) + config.window - 1, len(words))
+                    starts = np.array([at for x in spans_ for at in x["starts"]])
+                    counts = np.repeat([x["count"] for x in spans_], [len(x["starts"]) for x in spans_])
+                    stops = np.minimum(starts + counts + config.window - 1, len(words))
                     whole = stops - starts >= config.window  # a text too short for a window loses nothing
                     np.add.at(edge, starts[whole], 1)
                     np.add.at(edge, stops[whole], -1)
@@ -432,7 +438,7 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """Per document: id, n_words, n_removed, kept (the words left, joined by one space)."""
     config = config or Config()
     found = repeated_windows(documents, id_col, text_col, config)
-    spans_ = (found.groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
+    spans_ = (found.groupBy("id", "text_hash").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
               .select(F.col("id").alias("span_id"), F.col("text_hash").alias("span_hash"), "spans"))
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
