@@ -77,10 +77,13 @@ def minimizer_runs(flat: np.ndarray, owner: np.ndarray, config: Config):
     place = (sliding_minimum(ranked, config.window - config.gram + 1) & low).astype(np.int64)
     whole = owner[:n] == owner[config.window - 1:]
     new = np.ones(n, bool)
-    new[1:] = (place[1:] != place[:-1]) | (owner[1:n] != owner[:n - 1]) | ~whole[:-1]
+    # Windows whose minimizers are equal words at other places go on in one run: so a few words
+    # repeated over and over are one run too.
+    key = grams[place]
+    new[1:] = (key[1:] != key[:-1]) | (owner[1:n] != owner[:n - 1]) | ~whole[:-1]
     start = np.flatnonzero(new & whole)
     stop = np.append(np.flatnonzero(new | ~whole), n)
-    return start, stop[np.searchsorted(stop, start, "right")] - start, grams[place[start]]
+    return start, stop[np.searchsorted(stop, start, "right")] - start, key[start]
 
 
 def word_hash(word: bytes) -> int:
@@ -377,12 +380,13 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     # Hot minimizers: one row per content, the one with the least id.
     hot = segments.filter("digest IS NOT NULL")
-    first = F.min(F.struct("id", "words")).alias("first")
-    contents = kept(hot.groupBy("key", "digest").agg(first).select("key", "digest", F.col("first.id").alias("least"), "first.words"))
+    first = F.min(F.struct("id", "words", "count")).alias("first")
+    contents = kept(hot.groupBy("key", "digest").agg(first).select(
+        "key", "digest", F.col("first.id").alias("least"), "first.words", F.col("first.count").alias("windows")))
     crowded = contents.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > config.contents).select("key")
     narrow = hot.select("key", "digest", *run)
     copies = narrow.join(contents.select("key", "digest", "least"), ["key", "digest"]).filter("least < id").select(*run)
-    firsts = narrow.join(contents.withColumnRenamed("least", "id"), ["key", "digest", "id"])
+    firsts = narrow.join(contents.select("key", "digest", F.col("least").alias("id"), "words"), ["key", "digest", "id"])
     windows = firsts.join(crowded, "key", "left_semi").select("id", "text_hash", "starts", "words").mapInArrow(
         lean(window_rows(config)), "id long, text_hash long, starts array<int>, count int, digest binary")
     least = kept(windows.groupBy("digest").agg(F.min("id").alias("least")))
@@ -391,7 +395,7 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
     searched = (segments.filter("digest IS NULL").select("key", *run, "words")
                 .unionByName(firsts.join(crowded, "key", "left_anti").select("key", *run, "words")))
     words = segments.filter("digest IS NULL").select((F.col("count") + config.window - 1).alias("n")).unionByName(
-        contents.select(F.lit(config.window + config.window - config.gram).alias("n"))).agg(F.sum("n")).first()[0] or 0
+        contents.select((F.col("windows") + config.window - 1).alias("n"))).agg(F.sum("n")).first()[0] or 0
     shards = max(1, math.ceil(words / config.shard_words))
     found = (searched.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
              .select("shard", *run, "words").groupBy("shard")

@@ -33,6 +33,7 @@ def corpus(spark):
     rows += [(100 + i, " ".join(words(20, 200 + i) + passage + words(15, 300 + i)), "en", None, 1) for i in range(12)]
     rows += [(200 + i, rows[5][1], "de", "s0", 1) for i in range(20)]                       # exact copies
     rows += [(300 + i, rows[6][1] + f" tail{i}", "de", "s1", 1) for i in range(5)]          # near copies
+    rows += [(350 + i, " ".join(words(9, 800 + i) + ["on", "and"] * (40 + 3 * i) + words(9, 850 + i)), "en", "s2", 1) for i in range(6)]
     rows += [(400, None, None, None, None), (401, "", "x", "s9", 0), (402, " \t\n", None, "s9", 0), (403, "one", "en", "s2", 3),
              (404, "Ünï\u00a0çode\u0085 ΣΑΣ <|endoftext|>x", "en", "s2", 3), (404, "Ünï\u00a0çode\u0085 ΣΑΣ <|endoftext|>x", "en", "s2", 3),
              (405, " ".join(words(30_000, 7)), "en", "s1", 1), (None, "no id here", "en", "s1", 1)]
