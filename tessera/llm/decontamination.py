@@ -7,9 +7,10 @@ are taken in blocks of bounded seed count (one pass over the documents per block
 what is broadcast has a fixed size bound whatever the benchmark.
 
 Every hit is verified on its diagonal: document and item are laid over each other, and
-the best run of agreeing words (a differing word costs four agreeing ones, so a run has
-at least 0.8 agreement) must cover ``min_overlap`` words, or the whole item if that is
-shorter. Items of fewer words than a mask's span are sought by all their words; items
+the longest run with at least 0.8 agreement must cover ``MIN_OVERLAP`` words, or the whole
+item if that is shorter. Wherever the replaced words stand, such a run leaves a seed: the
+masks meet every choice of 1 word in 10, 2 in 13, 3 in 15 and 4 in 20, and a run of any
+length from 13 words has a stretch of one of these with no more replaced. Items of fewer words than a mask's span are sought by all their words; items
 under ``min_item`` words are no passages and never match.
 
 Words are compared lower-cased and without punctuation at their edges; words of nothing
@@ -30,10 +31,11 @@ from tessera.llm.common import Memo, bound_batches, hash64, kept, lean, text_sli
 
 EDGE = ".,;:!?\"'()[]{}<>«»¿¡-–—_*`"
 # The masks, 1 where a word counts.
-MASKS = ("1110100110111", "1101011001011", "1111111")
+MASKS = ("1110100110111", "1101011001011", "1111111",
+         "111010111", "111010000111", "100100111011", "101100110101", "110101111")
 MIN_ITEM = 5
 MIN_OVERLAP = 13
-AGREEMENT = 0.8
+RUN_SCORES = (1, -4)  # of an agreeing and a differing word: at least 0 in a run with 0.8 agreement
 BLOCK_SEEDS = 500_000
 FILTER_BITS = 22
 MULTIPLIERS = hash64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -102,13 +104,15 @@ def blocks_of(benchmark: DataFrame, seeds_most: int):
         yield block_of(items)
 
 
-def best_run(agree: np.ndarray) -> tuple[int, int, int]:
-    """(start, length, agreeing words) of the run with the highest score, agreement at least 0.8."""
-    cost = AGREEMENT / (1 - AGREEMENT)
-    total = np.concatenate([[0.0], np.cumsum(np.where(agree, 1.0, -cost))])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    start = int(np.flatnonzero(total[:end + 1] == low[end])[-1]) if end else 0
+def longest_run(agree: np.ndarray) -> tuple[int, int, int]:
+    """(start, length, agreeing words) of the longest run with agreement at least 0.8, of equal ones the most agreeing."""
+    total = np.concatenate([[0], np.cumsum(np.where(agree, *RUN_SCORES))])
+    # A run from i to j qualifies where total[j] >= total[i]; most[j] is the best total from j on and falls.
+    most = np.maximum.accumulate(total[::-1])[::-1]
+    length = np.searchsorted(-most, -total, "right") - 1 - np.arange(len(total))
+    starts = np.flatnonzero(length == length.max())
+    start = int(starts[np.argmax(total[starts + length[starts]] - total[starts])])
+    end = start + int(length[start])
     return start, end - start, int(agree[start:end].sum())
 
 
@@ -133,8 +137,8 @@ def hits_in(flat: np.ndarray, owner: np.ndarray, begin: np.ndarray, end: np.ndar
         words = items[number][1]
         doc = flat[begin[document]:end[document]]
         a, b = max(0, diagonal), min(len(doc), diagonal + len(words))
-        start, length, agreeing = best_run(doc[a:b] == words[a - diagonal:b - diagonal])
-        if length >= min(MIN_OVERLAP, len(words)) and agreeing >= AGREEMENT * length:
+        start, length, agreeing = longest_run(doc[a:b] == words[a - diagonal:b - diagonal])
+        if length >= min(MIN_OVERLAP, len(words)):
             key = (document, number)
             if key not in best or agreeing > best[key][2]:
                 best[key] = (a + start, length, agreeing)

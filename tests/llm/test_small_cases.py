@@ -395,6 +395,30 @@ def test_every_substitution_pattern_at_a_fifth_leaves_a_hit(spark):
     assert decontamination.contamination(docs, bench).filter("contaminated").count() == 60
 
 
+def test_longest_run_equals_brute_force():
+    rng = np.random.default_rng(0)
+    for n in [0, 1, 2, 13, 16, 40] * 20:
+        agree = rng.random(n) < rng.choice([0.5, 0.8, 0.95])
+        runs = [(j - i, int(agree[i:j].sum())) for i in range(n + 1) for j in range(i, n + 1) if 5 * agree[i:j].sum() >= 4 * (j - i)]
+        start, length, agreeing = decontamination.longest_run(agree)
+        assert (length, agreeing) == max(runs) and agree[start:start + length].sum() == agreeing
+
+
+@pytest.mark.parametrize("size", [13, 16, 20, 40])
+def test_decontamination_finds_items_up_to_a_fifth_replaced(spark, size):
+    rng = random.Random(size)
+    item = words(size, size)
+    periodic = [set(range(first, size, 5)) for first in range(5) if len(range(first, size, 5)) <= size // 5]
+    patterns = [{at} for at in range(size)] + periodic
+    patterns += [set(rng.sample(range(size), n)) for n in (max(1, size // 10), size // 5) for _ in range(60)]
+    rows = [(n, " ".join(words(10, n) + ["zzz" if at in p else w for at, w in enumerate(item)] + words(10, 900 + n)))
+            for n, p in enumerate(patterns)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = decontamination.contamination(docs, bench)
+    assert [r.doc_id for r in got.filter("NOT contaminated").collect()] == []
+
+
 # WARC in ZIP
 
 def test_warc_round_trip(spark):
