@@ -1,14 +1,17 @@
 """Approximate nearest neighbours (largest inner product) by collision counting.
 
-Vectors are brought to one norm by one more coordinate, so the largest inner product is
-the least distance. They are dealt into blocks of bounded size, queries into blocks too,
-and each pair of blocks is one task. A block's index is one sorted array of positions per
-random projection. A query opens a window around its own projection in every array and
-widens all of them together (virtual rehashing: the wider bucket is the next range of the
-same array); a vector collides in each array whose window has reached it, and those that
-collide in at least ``threshold`` of the arrays are candidates. Windows widen until a
-share of the block (and some fixed number at least) are candidates; these are verified by
-the exact inner product in double precision, and the best ``k`` of each block are merged.
+Directions (vectors over their norms) are indexed, norms kept beside them. Vectors are
+dealt into blocks of bounded size, queries into blocks too, and each pair of blocks is one
+task. A block's index is one sorted array of positions per random projection. A query
+opens a window around its own projection in every array and widens all of them together
+(virtual rehashing: the wider bucket is the next range of the same array); a vector
+collides in each array whose window has reached it, and those that collide in at least
+``threshold`` of the arrays are candidates, verified by the exact inner product in double
+precision. A window's width tells how close to the query's direction a vector that is no
+candidate can be, and with its own norm what inner product it can reach. Windows widen
+until a share of the block (and some fixed number at least) are candidates and no other
+vector can reach the k-th verified score, whatever the norms; those that cannot reach it
+any more are not verified. The best ``k`` of each block are merged.
 
 Every vector is indexed and every query meets every block. Vectors that are NULL, empty,
 zero or hold NULL or non-finite components take no part, nor do rows without an id.
@@ -34,8 +37,9 @@ from tessera.llm.common import lean_group
 class Config:
     arrays: int = 72              # random projections
     threshold: float = 0.6        # share of the arrays a candidate collides in
-    first_width: float = 1.05     # half width of the first window, in units of the common norm
+    first_width: float = 1.05     # half width of the first window, of unit vectors
     widen: float = 1.1
+    reach: float = 1.05           # widths per distance at which a vector is taken to be a candidate (96 %)
     share: float = 0.22           # of a block, candidates at least before windows stop
     least: int = 1_500            # candidates of a block at least (all, if it has fewer)
     block: int = 8_192            # vectors of a block, about
@@ -43,29 +47,36 @@ class Config:
     seed: int = 20
 
 
+def directions_of(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and norms; first brought to a largest component of 1, so squares neither vanish nor overflow."""
+    largest = np.abs(vectors).max(axis=1)
+    units = vectors / largest[:, None]
+    norms = np.linalg.norm(units, axis=1)
+    return units / norms[:, None], norms * largest
+
+
 class Index:
     """Sorted arrays over one block of vectors."""
 
     def __init__(self, vectors: np.ndarray, config: Config):
         self.vectors, self.config = vectors, config
-        norms = np.linalg.norm(vectors, axis=1)
-        self.scale = norms.max()
-        last = np.sqrt(np.maximum(0, 1 - (norms / self.scale) ** 2))
-        self.lines = np.random.default_rng(config.seed).standard_normal((vectors.shape[1] + 1, config.arrays))
-        places = (vectors / self.scale) @ self.lines[:-1] + last[:, None] * self.lines[-1]
+        units, self.norms = directions_of(vectors)
+        self.lines = np.random.default_rng(config.seed).standard_normal((vectors.shape[1], config.arrays))
+        places = units @ self.lines
         self.order = np.ascontiguousarray(np.argsort(places, axis=0, kind="stable").T)
         self.sorted = np.ascontiguousarray(np.sort(places, axis=0).T)
 
-    def candidates(self, queries: np.ndarray):
-        """For each query the positions that collide often enough."""
+    def candidates(self, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
+        """For each query the positions that collide often enough and can be among its ``k`` best."""
         config, n = self.config, len(self.vectors)
         enough = min(n, max(config.least, int(config.share * n)))
         if enough == n:
-            for _ in queries:
-                yield np.arange(n)
+            for query_id in query_ids:
+                yield np.flatnonzero(ids != query_id)
             return
         need = int(np.ceil(config.threshold * config.arrays))
-        centres = (queries / np.linalg.norm(queries, axis=1)[:, None]) @ self.lines[:-1]
+        directions, _ = directions_of(queries)
+        centres = directions @ self.lines
         bounds: list[tuple[list, list]] = []  # per width, for all queries at once: where the windows begin and end
 
         def window(level: int, number: int) -> tuple[list, list]:
@@ -79,23 +90,33 @@ class Index:
         for number in range(len(queries)):
             low, high = window(0, number)
             counts = np.bincount(np.concatenate([row[a:b] for row, a, b in zip(self.order, low, high)]), minlength=n)
-            level = 0
+            level, scores = 0, np.full(n, -np.inf)
+            able = ids != query_ids[number]  # neither verified nor known to stay under the k-th verified score
             while True:
-                found = np.flatnonzero(counts >= need)
-                if len(found) >= enough or (not any(low) and min(high) == n):
-                    break
+                met = counts >= need
+                whole = not any(low) and min(high) == n
+                if whole or np.count_nonzero(met) >= enough:
+                    found = np.flatnonzero(met & able)
+                    scores[found] = self.vectors[found] @ directions[number]
+                    able[found] = False
+                    if whole:
+                        break
+                    distance = config.first_width * config.widen ** level / config.reach
+                    edge = np.partition(scores, n - k)[n - k] if k < n else -np.inf
+                    able &= self.norms * (1 - distance ** 2 / 2) > edge
+                    if not able.any():
+                        break
                 level += 1
                 wider, higher = window(level, number)
                 reached = [row[a:b] for row, a, b in zip(self.order, wider, low)]
                 reached += [row[a:b] for row, a, b in zip(self.order, high, higher)]
                 counts += np.bincount(np.concatenate(reached), minlength=n)
                 low, high = wider, higher
-            yield found
+            yield np.flatnonzero(scores > -np.inf)
 
     def search(self, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
         """(query number, vector numbers, scores) of each query's best candidates."""
-        for number, found in enumerate(self.candidates(queries)):
-            found = found[ids[found] != query_ids[number]]
+        for number, found in enumerate(self.candidates(ids, query_ids, queries, k)):
             near = self.vectors[found]
             if len(found) > k:
                 rough = near @ queries[number]

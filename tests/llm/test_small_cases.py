@@ -237,6 +237,24 @@ def test_nearest_recall_where_windows_stop_early(spark):
     assert len(hit) / len(want) >= 0.9
 
 
+@pytest.mark.parametrize("norms", ["unit", "log-normal 0.3", "log-normal 0.7", "one of 5", "one of 10", "a hundredth of 5"])
+def test_nearest_recall_whatever_the_norms(norms):
+    rng = np.random.default_rng(3)
+    n, asked = 8_192, np.arange(0, 8_192, 200)
+    vectors = rng.standard_normal((n, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    kind, _, size = norms.rpartition(" ")
+    if kind == "log-normal":
+        vectors *= np.exp(float(size) * rng.standard_normal(n))[:, None]
+    elif kind:
+        vectors[rng.permutation(n)[:1 if kind == "one of" else n // 100]] *= float(size)
+    scores = vectors[asked] @ vectors.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    want = np.argsort(-scores, axis=1)[:, :20]
+    found = nearest.Index(vectors, nearest.Config()).search(np.arange(n), asked, vectors[asked], 20)
+    assert np.mean([len(set(got) & set(want[number])) / 20 for number, got, _ in found]) >= 0.9
+
+
 # Mixing
 
 def test_targets_share_excess_by_weight():
