@@ -10,8 +10,10 @@ Every hit is verified on its diagonal: document and item are laid over each othe
 the longest run with at least 0.8 agreement must cover ``MIN_OVERLAP`` words, or the whole
 item if that is shorter. Wherever the replaced words stand, such a run leaves a seed: the
 masks meet every choice of 1 word in 10, 2 in 13, 3 in 15 and 4 in 20, and a run of any
-length from 13 words has a stretch of one of these with no more replaced. Items of fewer words than a mask's span are sought by all their words; items
-under ``min_item`` words are no passages and never match.
+length from 13 words has a stretch of one of these with no more replaced. Items of 8 to 12
+words have shorter masks, which meet every choice of a fifth of their words; items of 5 to
+7 words are sought by all their words, and items under ``MIN_ITEM`` words are no passages
+and never match.
 
 Words are compared lower-cased and without punctuation at their edges; words of nothing
 else are left out. NULL and empty texts or items match nothing, NULL ids stay NULL,
@@ -33,7 +35,9 @@ EDGE = ".,;:!?\"'()[]{}<>«»¿¡-–—_*`"
 # The masks, 1 where a word counts.
 MASKS = ("1110100110111", "1101011001011", "1111111",
          "111010111", "111010000111", "100100111011", "101100110101", "110101111")
+SHORT_MASKS = ("111011", "11010011", "11111")  # of items under MIN_OVERLAP words
 MIN_ITEM = 5
+MIN_SPACED = 8            # items of fewer words are sought by all their words
 MIN_OVERLAP = 13
 RUN_SCORES = (1, -4)  # of an agreeing and a differing word: at least 0 in a run with 0.8 agreement
 BLOCK_SEEDS = 500_000
@@ -63,8 +67,8 @@ def seeds_of(words: np.ndarray, mask: str) -> np.ndarray:
     return hash64(total)
 
 
-def masks_for(length: int) -> list[str]:
-    return [m for m in MASKS if len(m) <= length] if length >= len(MASKS[0]) else ["1" * length]
+def masks_for(length: int) -> tuple[str, ...]:
+    return MASKS if length >= MIN_OVERLAP else SHORT_MASKS if length >= MIN_SPACED else ("1" * length,)
 
 
 def block_of(items: list[tuple[int | None, np.ndarray]]) -> tuple[list, dict]:

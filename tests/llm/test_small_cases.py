@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -437,6 +438,19 @@ def test_decontamination_finds_items_up_to_a_fifth_replaced(spark, size):
     assert [r.doc_id for r in got.filter("NOT contaminated").collect()] == []
 
 
+def test_decontamination_finds_short_items_up_to_a_fifth_replaced(spark):
+    items = {size: words(size, size) for size in range(5, 13)}
+    rows = []
+    for size, item in items.items():
+        for pattern in itertools.combinations(range(size), size // 5 if size >= 8 else 0):
+            own = ["zzz" if at in pattern else w for at, w in enumerate(item)]
+            rows.append((len(rows), " ".join(words(10, len(rows)) + own + words(10, 900 + len(rows))), size))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, size long")
+    bench = spark.createDataFrame([(size, " ".join(item)) for size, item in items.items()], "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontamination.contamination(docs, bench).collect()}
+    assert [n for n, _, size in rows if size not in got[n]] == []
+
+
 # WARC in ZIP
 
 def test_warc_round_trip(spark):
