@@ -11,7 +11,8 @@ precision. A window's width tells how close to the query's direction a vector th
 candidate can be, and with its own norm what inner product it can reach. Windows widen
 until a share of the block (and some fixed number at least) are candidates and no other
 vector can reach the k-th verified score, whatever the norms; those that cannot reach it
-any more are not verified. The best ``k`` of each block are merged.
+any more are not verified. That reach holds with the certainty ``reach`` names, so results
+stay approximate. The best ``k`` of each block are merged.
 
 Every vector is indexed and every query meets every block. Vectors that are NULL, empty,
 zero or hold NULL or non-finite components take no part, nor do rows without an id.
