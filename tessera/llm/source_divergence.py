@@ -50,13 +50,15 @@ SCALE_STEPS = (1000, 1000, 1000)    # their product is the scale of shares
 SHARD_TERMS = 16_384
 BLOCK_BYTES = 64 << 20
 HELD_TERMS = 300_000                # distinct (group, term) counts a task holds before it hands them on
-HELD_SLOTS = 4_000_000              # dense slots a task holds
+HELD_SLOTS = 8_000_000              # dense slots of 32 bits a task holds
+HELD_TOKENS = 2 ** 31               # words added to them before they leave
 MATRIX_CELLS = 2_000_000            # cells of a slice of (source, slot)
 SEED = 42                           # of XXH64, as Spark's function has it
 # Bytes to terms: A-Z lower-cased, a-z and all beyond ASCII as they are, the others to spaces.
 TO_TERMS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
-Count = tuple[str, str, list[bytes], np.ndarray]    # lang, source, terms, their counts
+# lang, its terms, and per source: places of its terms in that list, their counts
+Counts = tuple[str, list[bytes], list[tuple[str, np.ndarray, np.ndarray]]]
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -192,22 +194,28 @@ class Shards:
 
 # Pass 2: the recount
 
-def group_counts(batches) -> Iterator[Count]:
-    """Term counts per (lang, source) of a task's texts, handed on whenever enough are held."""
-    held: dict[tuple[str, str], Counter] = {}
+def group_counts(batches) -> Iterator[Counts]:
+    """Term counts of a task's texts by lang and source, handed on whenever enough are held."""
+    held: dict[str, dict[str, Counter]] = {}
+    n_bytes = 0
 
     def out():
-        for (lang, source), counts in held.items():
-            yield lang, source, list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+        for lang, sources in held.items():
+            places: dict[bytes, int] = {}
+            parts = [(source, np.fromiter((places.setdefault(t, len(places)) for t in counts), np.int64, len(counts)),
+                      np.fromiter(counts.values(), np.int64, len(counts))) for source, counts in sources.items()]
+            yield lang, list(places), parts
         held.clear()
 
     for batch in batches:
-        groups = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+        langs, sources = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         for start, texts in text_slices(batch):
-            for group, text in zip(groups[start:], texts):
-                held.setdefault(group, Counter()).update(terms_of(text))
-            if sum(map(len, held.values())) > HELD_TERMS:
+            for lang, source, text in zip(langs[start:], sources[start:], texts):
+                held.setdefault(lang, {}).setdefault(source, Counter()).update(terms_of(text))
+                n_bytes += len(text)
+            if n_bytes > HELD_TOKENS or sum(len(c) for by_source in held.values() for c in by_source.values()) > HELD_TERMS:
                 yield from out()
+                n_bytes = 0
     yield from out()
 
 
@@ -219,22 +227,22 @@ SLOTS = "lang string, source string, shard long, slots array<int>, counts array<
 DEALT = "block long, lang string, source string, terms array<string>, counts array<long>"
 
 
-def pieces(count: Count, modulus: int):
-    """A group's counts cut by hash modulo ``modulus``: (remainder, hashes, terms, counts)."""
-    _, _, terms, counts = count
-    hashes = term_hashes(terms)
-    parts = (hashes % np.uint64(modulus)).astype(np.int64)
-    order = np.argsort(parts, kind="stable")
-    texts = utf8(terms).take(pa.array(order))
-    cuts = np.flatnonzero(np.diff(parts[order])) + 1
-    for a, b in zip([0, *cuts], [*cuts, len(order)]):
-        if b > a:
-            yield int(parts[order[a]]), hashes[order[a:b]], texts.slice(a, b - a), counts[order[a:b]]
+def segments(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(key, where it stands) of each distinct key."""
+    order = np.argsort(keys, kind="stable")
+    cuts = np.flatnonzero(np.diff(keys[order])) + 1
+    for part in np.split(order, cuts):
+        if len(part):
+            yield int(keys[part[0]]), part
+
+
+def parts_of(hashes: np.ndarray, modulus: int) -> np.ndarray:
+    return (hashes % np.uint64(modulus)).astype(np.int64)
 
 
-def added_up(counts: Iterable[Count], path: str, shards: int, blocks: int):
+def added_up(counts: Iterable[Counts], path: str, shards: int, blocks: int):
     """Dense slots per (lang, source, shard), handed on as sparse arrays."""
-    files, dense, size = Shards(path), {}, 0
+    files, dense, size, times = Shards(path), {}, 0, 0
 
     def out():
         names, slots, values = list(dense), [np.flatnonzero(d).astype(np.int32) for d in dense.values()], list(dense.values())
@@ -243,43 +251,50 @@ def added_up(counts: Iterable[Count], path: str, shards: int, blocks: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n[0] for n in names], pa.string()), pa.array([n[1] for n in names], pa.string()), pa.array([n[2] for n in names], pa.int64()),
                  pa.ListArray.from_arrays(ends, np.concatenate(slots)),
-                 pa.ListArray.from_arrays(ends, np.concatenate([d[s] for d, s in zip(values, slots)]))],
+                 pa.ListArray.from_arrays(ends, np.concatenate([d[s] for d, s in zip(values, slots)]).astype(np.int64))],
                 ["lang", "source", "shard", "slots", "counts"])
         dense.clear()
 
-    for count in counts:
-        lang, source = count[:2]
-        for shard, hashes, terms, numbers in pieces(count, shards):
-            hashed = files.block(shard % blocks).get((lang, shard))
-            if hashed is None:
-                continue
-            slots = hashed.slots(hashes, terms)
-            if not (slots >= 0).any():
-                continue
-            if (lang, source, shard) not in dense:
-                if size + len(hashed.terms) > HELD_SLOTS:
+    for lang, terms, parts in counts:
+        # What all groups of a lang hold is looked up once.
+        hashes, texts = term_hashes(terms), utf8(terms)
+        shard_of, slots = parts_of(hashes, shards), np.full(len(terms), -1, np.int64)
+        for shard, at in segments(shard_of):
+            if (hashed := files.block(shard % blocks).get((lang, shard))) is not None:
+                slots[at] = hashed.slots(hashes[at], texts.take(pa.array(at)))
+        for source, places, numbers in parts:
+            known = slots[places] >= 0
+            places, numbers = places[known], numbers[known]
+            for shard, at in segments(shard_of[places]):
+                n_slots, tokens = len(files.block(shard % blocks)[lang, shard].terms), int(numbers[at].sum())
+                if dense and (size + n_slots > HELD_SLOTS or times + tokens > HELD_TOKENS):
                     yield from out()
-                    size = 0
-                dense[lang, source, shard] = np.zeros(len(hashed.terms), np.int64)
-                size += len(hashed.terms)
-            dense[lang, source, shard][slots[slots >= 0]] += numbers[slots >= 0]
+                    size = times = 0
+                if (lang, source, shard) not in dense:
+                    dense[lang, source, shard] = np.zeros(n_slots, np.uint32)
+                    size += n_slots
+                dense[lang, source, shard][slots[places[at]]] += numbers[at].astype(np.uint32)
+                times += tokens
     yield from out()
 
 
-def dealt(counts: Iterable[Count], blocks: int):
-    for count in counts:
-        for block, _, terms, numbers in pieces(count, blocks):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([count[0]], pa.string()), pa.array([count[1]], pa.string()),
-                 pa.array([terms.to_pylist()], pa.list_(pa.string())), pa.array([numbers], pa.list_(pa.int64()))],
-                ["block", "lang", "source", "terms", "counts"])
+def dealt(counts: Iterable[Counts], blocks: int):
+    for lang, terms, parts in counts:
+        block_of, texts = parts_of(term_hashes(terms), blocks), utf8(terms)
+        for source, places, numbers in parts:
+            for block, at in segments(block_of[places]):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int64()), pa.array([lang], pa.string()), pa.array([source], pa.string()),
+                     pa.array([texts.take(pa.array(places[at])).to_pylist()], pa.list_(pa.string())), pa.array([numbers[at]], pa.list_(pa.int64()))],
+                    ["block", "lang", "source", "terms", "counts"])
 
 
-def undealt(batches) -> Iterator[Count]:
+def undealt(batches) -> Iterator[Counts]:
     for batch in batches:
         for i in range(batch.num_rows):
             terms = batch.column(3)[i].values.cast(pa.binary()).to_pylist()
-            yield batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), terms, batch.column(4)[i].values.to_numpy(zero_copy_only=False)
+            numbers = batch.column(4)[i].values.to_numpy(zero_copy_only=False)
+            yield batch.column(1)[i].as_py(), terms, [(batch.column(2)[i].as_py(), np.arange(len(terms)), numbers)]
 
 
 def recount(texts: DataFrame, path: str, shards: int, blocks: int) -> DataFrame:
