@@ -46,7 +46,7 @@ def _is_number(value: Any) -> bool:
     return isinstance(value, (int, float)) and not isinstance(value, bool)
 
 
-def _as_number(value: Any) -> float | int | None:
+def as_number(value: Any) -> float | int | None:
     if _is_number(value):
         return value
     if isinstance(value, str) and _NUMBER_TEXT.match(value):
@@ -66,6 +66,11 @@ def number_sql(value: int | float) -> str:
     return f"CAST('{text}' AS DOUBLE)"
 
 
+def is_whole_literal(value: int | float) -> bool:
+    """Whether ``number_sql`` writes an INT or BIGINT."""
+    return isinstance(value, int) and -_INT64 <= value < _INT64
+
+
 def _double_sql(value: int | float) -> str:
     return number_sql(float(value))
 
@@ -79,9 +84,9 @@ def regex_mismatch(col: str, pattern: str) -> str:
     return f"{q} IS NOT NULL AND NOT (CAST({q} AS STRING) RLIKE {sql_string(pattern)})"
 
 
-def _value_operands(col: str, dtype: T.DataType, bound: Any) -> tuple[str, str]:
+def value_operands(col: str, dtype: T.DataType, bound: Any) -> tuple[str, str]:
     q = quote_name(col)
-    number = _as_number(bound)
+    number = as_number(bound)
     if isinstance(dtype, NUMERIC):
         if number is None:
             raise RuleValueError(f"bound {bound!r} is not a number for {dtype.simpleString()} column {col}")
@@ -100,28 +105,34 @@ def _value_operands(col: str, dtype: T.DataType, bound: Any) -> tuple[str, str]:
 
 
 def below_min(col: str, dtype: T.DataType, bound: Any) -> str:
-    lhs, rhs = _value_operands(col, dtype, bound)
+    lhs, rhs = value_operands(col, dtype, bound)
     return f"{lhs} < {rhs}"
 
 
 def above_max(col: str, dtype: T.DataType, bound: Any) -> str:
-    lhs, rhs = _value_operands(col, dtype, bound)
+    lhs, rhs = value_operands(col, dtype, bound)
     return f"{lhs} > {rhs}"
 
 
 def _length_bound(bound: Any) -> int:
-    number = _as_number(bound)
+    number = as_number(bound)
     if number is None or int(number) != number:
         raise RuleValueError(f"length bound must be an integer, got {bound!r}")
     return int(number)
 
 
+def length_operands(col: str, bound: Any) -> tuple[str, str]:
+    return f"length(CAST({quote_name(col)} AS STRING))", number_sql(_length_bound(bound))
+
+
 def shorter_than(col: str, bound: Any) -> str:
-    return f"length(CAST({quote_name(col)} AS STRING)) < {number_sql(_length_bound(bound))}"
+    lhs, rhs = length_operands(col, bound)
+    return f"{lhs} < {rhs}"
 
 
 def longer_than(col: str, bound: Any) -> str:
-    return f"length(CAST({quote_name(col)} AS STRING)) > {number_sql(_length_bound(bound))}"
+    lhs, rhs = length_operands(col, bound)
+    return f"{lhs} > {rhs}"
 
 
 def resolve_date_bound(bound: Any, today: dt.date, now: dt.datetime) -> dt.date | dt.datetime:
@@ -156,7 +167,7 @@ def _value_as_timestamp(col: str, dtype: T.DataType, fmt: str | None) -> str:
     return f"try_to_timestamp({text}, {sql_string(fmt)})" if fmt else f"try_to_timestamp({text})"
 
 
-def _date_operands(col: str, dtype: T.DataType, bound: Any, today: dt.date,
+def date_operands(col: str, dtype: T.DataType, bound: Any, today: dt.date,
                    now: dt.datetime) -> tuple[str, str]:
     fmt = None
     if isinstance(bound, (list, tuple)):
@@ -172,12 +183,12 @@ def _date_operands(col: str, dtype: T.DataType, bound: Any, today: dt.date,
 
 
 def before_date(col: str, dtype: T.DataType, bound: Any, today: dt.date, now: dt.datetime) -> str:
-    lhs, rhs = _date_operands(col, dtype, bound, today, now)
+    lhs, rhs = date_operands(col, dtype, bound, today, now)
     return f"{lhs} < {rhs}"
 
 
 def after_date(col: str, dtype: T.DataType, bound: Any, today: dt.date, now: dt.datetime) -> str:
-    lhs, rhs = _date_operands(col, dtype, bound, today, now)
+    lhs, rhs = date_operands(col, dtype, bound, today, now)
     return f"{lhs} > {rhs}"
 
 
@@ -198,7 +209,7 @@ def _membership(col: str, dtype: T.DataType, values: Sequence[Any]) -> str | Non
     if isinstance(dtype, T.BooleanType) and all(isinstance(v, bool) for v in vals):
         return f"{q} IN ({', '.join('true' if v else 'false' for v in vals)})"
     if isinstance(dtype, NUMERIC):
-        numbers = [_as_number(v) for v in vals]
+        numbers = [as_number(v) for v in vals]
         if all(n is not None for n in numbers):
             return f"{q} IN ({', '.join(number_sql(n) for n in numbers)})"
     return f"CAST({q} AS STRING) IN ({', '.join(sql_string(_text(v)) for v in vals)})"

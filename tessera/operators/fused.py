@@ -7,6 +7,9 @@ failing (row, check) pair is emitted by exploding an array of
 ``when(cond_i, struct(check_i ids, value_i))``. Counts for every check and the
 row count of the window come from one aggregate with a ``count_if`` per check.
 
+Four or more bounds on one column are a ladder (see ``ladder``): one comparison and a
+binary search for all of them, in the filter, the failing rows and the counts.
+
 Hundreds of conditions in one generated method would exceed the JVM's JIT size
 limit and run interpreted; the session's ``spark.sql.codegen.hugeMethodLimit``
 (see ``session``) makes Spark fall back to its split projections there.
@@ -23,6 +26,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import predicates as P
 from tessera.functions.projection import joined_text, joined_text_sql, sql_string
+from tessera.operators.ladder import Ladder, Rung, rung_of, split
 from tessera.operators.spec import Check
 
 PK_VALUE = "Primary_Key_Value_s_"
@@ -38,6 +42,7 @@ class MissingColumnError(ValueError):
 class CompiledCheck:
     check: Check
     raw: str  # the failing condition; NULL where no part of it can tell
+    rung: Rung | None = None  # where the check is a bound that can join a ladder
 
     @property
     def sql(self) -> str:
@@ -92,8 +97,10 @@ def compile_check(check: Check, types: dict[str, T.DataType], today: dt.date,
 
     The condition is handed to Spark as one expression per check.
     """
-    conds = [_single(check.key, c, resolve(types, c), check.value, today, now) for c in check.columns]
-    return CompiledCheck(check, " OR ".join(f"({c})" for c in conds))
+    dtypes = [resolve(types, c) for c in check.columns]
+    conds = [_single(check.key, c, t, check.value, today, now) for c, t in zip(check.columns, dtypes)]
+    rung = rung_of(check.key, check.columns, dtypes[0], check.value, today, now) if dtypes else None
+    return CompiledCheck(check, " OR ".join(f"({c})" for c in conds), rung)
 
 
 def any_of_sql(conds: list[str]) -> str:
@@ -105,22 +112,39 @@ def any_of_sql(conds: list[str]) -> str:
     return conds[0]
 
 
+def _needed(compiled: list[CompiledCheck]) -> list[Ladder | CompiledCheck]:
+    """What tells whether a row fails any check: of a ladder, its first bound."""
+    ladders, single = split(compiled)
+    return [*ladders, *single]
+
+
 def any_failing(compiled: list[CompiledCheck]) -> Column:
     """Never NULL, so it can be negated."""
-    return F.expr(any_of_sql([cc.sql for cc in compiled]))
+    return F.expr(any_of_sql([P.total(part.raw) for part in _needed(compiled)]))
 
 
 def some_failing(compiled: list[CompiledCheck]) -> Column:
     """For filters only: NULL where no check fails, and free of wrappers that would keep it from the scan."""
-    return F.expr(any_of_sql([cc.raw for cc in compiled]))
+    return F.expr(any_of_sql([part.raw for part in _needed(compiled)]))
+
+
+def _ids_sql(cc: CompiledCheck) -> str:
+    m = cc.check.mapping
+    return (f"'Mapping_ID', CAST({int(m.mapping_id)} AS INT), 'Rule_ID', CAST({int(m.rule_id)} AS INT), "
+            f"'Object_ID', CAST({int(m.object_id)} AS INT), 'Column_Name', {sql_string(m.column_name or '')}")
 
 
 def _check_struct_sql(cc: CompiledCheck) -> str:
     """The ids of a check and its failing value."""
-    m = cc.check.mapping
-    return (f"named_struct('Mapping_ID', CAST({int(m.mapping_id)} AS INT), 'Rule_ID', CAST({int(m.rule_id)} AS INT), "
-            f"'Object_ID', CAST({int(m.object_id)} AS INT), 'Column_Name', {sql_string(m.column_name or '')}, "
-            f"'{ACTUAL}', {joined_text_sql(list(cc.check.columns))})")
+    return f"named_struct({_ids_sql(cc)}, '{ACTUAL}', {joined_text_sql(list(cc.check.columns))})"
+
+
+def _ladder_struct_sql(part: Ladder | CompiledCheck) -> str:
+    """The ids of all checks a row fails of a ladder (or the one check), and the failing value."""
+    checks = part.checks if isinstance(part, Ladder) else [part]
+    ids = f"array({', '.join(f'named_struct({_ids_sql(cc)})' for cc in checks)})"
+    failed = f"slice({ids}, 1, {part.rank})" if isinstance(part, Ladder) else ids
+    return f"named_struct('ids', {failed}, '{ACTUAL}', {joined_text_sql(list(checks[0].check.columns))})"
 
 
 def scope_columns(scope: str | None) -> list[Column]:
@@ -132,6 +156,14 @@ def fused_failures(df: DataFrame, compiled: list[CompiledCheck], pk_cols: list[s
 
     Built from a few expressions whatever the number of checks.
     """
+    ladders, single = split(compiled)
+    if ladders:
+        parts = ", ".join(f"CASE WHEN {part.raw} THEN {_ladder_struct_sql(part)} END" for part in [*ladders, *single])
+        of = [SCOPE] if scope else []
+        return (df.where(some_failing(compiled))
+                .select(joined_text(pk_cols).alias(PK_VALUE), *scope_columns(scope), F.expr(f"explode(array({parts}))").alias("_f"))
+                .where(F.col("_f").isNotNull())
+                .select(PK_VALUE, *of, F.expr("inline(_f.ids)"), F.col(f"_f.{ACTUAL}").alias(ACTUAL)))
     items = ", ".join(f"CASE WHEN {cc.raw} THEN {_check_struct_sql(cc)} END" for cc in compiled)
     return (df.where(some_failing(compiled))
             .select(joined_text(pk_cols).alias(PK_VALUE), *scope_columns(scope), F.expr(f"explode(array({items}))").alias("_f"))
@@ -155,9 +187,35 @@ def _counts_pass(df: DataFrame, compiled: list[CompiledCheck], extra_ids: list[i
             .select(*of, "_e.Mapping_ID", "_e.Failure_Count", "Row_Count"))
 
 
+def _ladder_counts_pass(df: DataFrame, ladders: list[Ladder], single: list[CompiledCheck], extra_ids: list[int],
+                        scope: str | None) -> DataFrame:
+    """One aggregate again: rows by (part, number of its checks failed), part 0 for every row; each check's
+    failures are then added up from the few rows of that histogram."""
+    parts = [*ladders, *single]
+    marks = ["named_struct('part', 0, 'rank', 1)"] + [
+        f"CASE WHEN {part.raw} THEN named_struct('part', {i}, 'rank', {part.rank if isinstance(part, Ladder) else 1}) END"
+        for i, part in enumerate(parts, 1)]
+    of = [SCOPE] if scope else []
+    rows = (df.select(*scope_columns(scope), F.expr(f"explode(array({', '.join(marks)}))").alias("_m"))
+            .where(F.col("_m").isNotNull()).groupBy(*of, "_m.part", "_m.rank").agg(F.count(F.lit(1)).alias("n")))
+    histogram = rows.groupBy(*of).agg(F.collect_list(F.struct("part", "rank", "n")).alias("_h"))
+    places = [(cc, i, at) for i, part in enumerate(parts, 1)
+              for at, cc in enumerate(part.checks if isinstance(part, Ladder) else [part], 1)]
+    entries = [f"named_struct('Mapping_ID', CAST({int(cc.check.mapping.mapping_id)} AS INT), '_part', {i}, '_at', {at})"
+               for cc, i, at in places]
+    entries += [f"named_struct('Mapping_ID', CAST({int(mid)} AS INT), '_part', -1, '_at', 0)" for mid in extra_ids]
+    added = "aggregate(_h, 0L, (_sum, x) -> IF(x.part = {} AND x.rank >= {}, _sum + x.n, _sum))"
+    return (histogram.select(*of, "_h", F.expr(added.format(0, 0)).alias("Row_Count"), F.expr(f"inline(array({', '.join(entries)}))"))
+            .select(*of, "Mapping_ID", F.expr(added.format("_part", "_at")).alias("Failure_Count"), "Row_Count"))
+
+
 def fused_counts(df: DataFrame, compiled: list[CompiledCheck], mapping_ids: list[int], scope: str | None = None) -> DataFrame:
     """One aggregate over the source -> (Mapping_ID, Failure_Count, Row_Count) for every mapping.
     Mappings without row-local checks get a 0 count and still carry the row count.
     """
     covered = {cc.check.mapping.mapping_id for cc in compiled}
-    return _counts_pass(df, compiled, [mid for mid in mapping_ids if mid not in covered], scope)
+    extra = [mid for mid in mapping_ids if mid not in covered]
+    ladders, single = split(compiled)
+    if ladders:
+        return _ladder_counts_pass(df, ladders, single, extra, scope)
+    return _counts_pass(df, compiled, extra, scope)
