@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.operators import profile as PR
 from tessera.plans.suite import OBJECT_IDS, run_rules, table
+from tessera.sources.readers import windowed
 
 LINE_KEY = "l_orderkey, l_linenumber"
 
@@ -75,13 +80,42 @@ def _ladder_counts_sql(name: str, ladders) -> str:
         f"count(*) AS Row_Count FROM {name}" for first, column, test, bounds in ladders for i, bound in enumerate(bounds))
 
 
+# ---- mergeable profiles (F1-F9, F4 sketched, F5) ------------------------------------------
+
+# Columns of lineitem whose distinct values stay few at any scale: sketches are exact for them.
+PROFILED = ["l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+YEARS = [dt.datetime(1990, 1, 1), dt.datetime(1996, 7, 1), dt.datetime(1999, 1, 1), dt.datetime(2100, 1, 1)]
+
+
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three windows profiled apart, their states added up: the profile of all rows."""
+    lines = table(spark, sf_dir, "lineitem").select(*PROFILED)
+    states = [PR.profile_state(windowed(lines, "l_shipdate", a, b)) for a, b in zip(YEARS, YEARS[1:])]
+    return PR.profile_of(PR.merge_states(states), lines).select(
+        "column_name", "row_count", "null_count", "distinct_count", "min_value", "max_value", "min_length", "max_length",
+        F.array_join("sample_values", "|").alias("samples"))
+
+
+def _profile_merged_sql() -> str:
+    number = {"l_linenumber", "l_quantity", "l_discount", "l_tax"}
+    text = {"l_returnflag", "l_linestatus"}
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count, "
+        + (f"min({c})::DOUBLE AS min_value, max({c})::DOUBLE AS max_value, " if c in number else "NULL::DOUBLE AS min_value, NULL::DOUBLE AS max_value, ")
+        + (f"min(length({c}))::INT AS min_length, max(length({c}))::INT AS max_length, " if c in text else "NULL::INT AS min_length, NULL::INT AS max_length, ")
+        + f"(SELECT string_agg(v::VARCHAR, '|' ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM lineitem WHERE {c} IS NOT NULL ORDER BY v LIMIT 5) x) "
+          "AS samples FROM lineitem" for c in PROFILED)
+
+
 QUERIES = {
     "ladder_bounds": ladder_bounds,
     "ladder_bounds_text": ladder_bounds_text,
     "ladder_counts": ladder_counts,
+    "profile_merged": profile_merged,
 }
 ORACLE_SQL = {
     "ladder_bounds": _ladder_sql("lineitem", ["l_orderkey", "l_linenumber"], LADDERS),
     "ladder_bounds_text": _ladder_sql("part", ["p_partkey"], PART_LADDERS),
     "ladder_counts": _ladder_counts_sql("lineitem", LADDERS),
+    "profile_merged": _profile_merged_sql(),
 }
