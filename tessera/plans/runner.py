@@ -2,8 +2,9 @@
 
 Steps: rule plan (J1/J2) -> windows and run ids for all objects (W1, A8) ->
 'Executing' rows -> validate every object -> write the detailed table once for
-all objects -> aggregate from the written failures plus one row count per
-object -> object log, rule errors, alerts -> 'Success'/'Failure' rows.
+all objects, counting failures per mapping in the write -> aggregate from these
+counts plus one row count per object -> object log, rule errors, alerts ->
+commit of the attempt (see ``commits``) -> 'Success'/'Failure' rows.
 
 A rule can also fail while it runs. If the joint write fails, each object is
 written alone; where that fails too, the checks with plans of their own are run
@@ -11,10 +12,9 @@ one by one, the broken ones go to ``rule_errors`` and the object is written with
 the others. States are closed whatever happens.
 
 The number of Spark jobs depends on the number of objects and result tables,
-not on the number of row-local rules (a uniqueness or lookup check adds a few
-for its checkpointed, size-checked key set). The aggregate reads back the written
-detailed table (partition-pruned by Period), which cuts the lineage: key,
-lookup and SQL checks are not evaluated a second time to be counted.
+not on the number of row-local rules. Key, lookup and SQL checks run once, in the
+write of their failures: the counts are observed metrics of that write, and
+nothing written is read back to be counted.
 """
 
 from __future__ import annotations
@@ -29,25 +29,22 @@ from pyspark.sql import functions as F
 from tessera import schemas
 from tessera.clock import RunClock
 from tessera.functions.local import local_frame
-from tessera.functions.projection import date_lit, ts_lit
+from tessera.functions.projection import date_lit
 from tessera.operators import alerts as alert_ops
 from tessera.operators import summary
 from tessera.operators.schema_check import declared_list, schema_diff
+from tessera.plans import commits
 from tessera.plans import windows as W
 from tessera.plans.catalog import Catalog, ObjectPlan, check_database, group_plan, rule_plan
 from tessera.plans.engine import ObjectRun, ValidationResult, broken_checks, mapping_meta, validate
 from tessera.sources.readers import register_tables, windowed
-from tessera.sources.sinks import write_results
-
-# Result tables are partitioned by day, object and run: reading one run back
-# (a broadcast semi join on object and run) prunes to its folders, and a rerun
-# of the same object run (a resumed 'Executing' window keeps its run id)
-# replaces those folders instead of appending a second copy.
-RESULT_PARTITIONS = ("Period", "Object_ID", "Run_ID")
+from tessera.sources.sinks import MAX_COUNTED, Counting, write_results
 
+# Result tables are partitioned by day, object, run and attempt; readers follow the commit log.
 # loader(object plan) -> the object's full DataFrame (the window is applied here)
 Loader = Callable[[ObjectPlan], DataFrame]
 Evaluated = tuple[ObjectPlan, ObjectRun, ValidationResult]
+Runs = list[tuple[int, int, str]]  # (Object_ID, Run_ID, Attempt)
 
 
 @dataclass
@@ -111,13 +108,15 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
             report.failed_objects[p.object_id] = _short(exc)
 
     try:
-        results = _write_detailed(spark, results, out_dir, report)
+        results, runs, counts = _write_detailed(spark, results, out_dir, clock, report)
         for p, _, r in results:
             if p.mappings and not r.mapping_ids:
                 report.failed_objects[p.object_id] = "none of the object's rules could be evaluated"
         if results:
-            _write_summaries(spark, results, catalog, out_dir, clock, alert_mode)
-            report.actions += 5
+            _write_summaries(spark, results, runs, counts, catalog, out_dir, clock, alert_mode)
+            commits.commit(spark, out_dir, runs, clock)
+            commits.remove_replaced(spark, out_dir, runs, clock)
+            report.actions += 6
     except Exception as exc:
         for p, _, _ in results:
             report.failed_objects[p.object_id] = _short(exc)
@@ -127,76 +126,77 @@ def run(spark: SparkSession, catalog: Catalog, loader: Loader, out_dir: str, clo
     return report
 
 
-def _write_detailed(spark: SparkSession, results: list[Evaluated], out_dir: str, report: RunReport) -> list[Evaluated]:
-    """Write the failures of all objects; returns what was written, without what cannot run."""
-    def write(frames: list[DataFrame]) -> None:
-        write_results(_union(frames), f"{out_dir}/detailed", partition_by=RESULT_PARTITIONS, replace_partitions=True)
+def _write_detailed(spark: SparkSession, results: list[Evaluated], out_dir: str, clock: RunClock,
+                    report: RunReport) -> tuple[list[Evaluated], Runs, dict[int, int]]:
+    """Write the failures of all objects; returns what was written, without what cannot run, the attempts it was
+    written under, and the failures per mapping."""
+    def write(parts: list[Evaluated]) -> tuple[Runs, dict[int, int]]:
+        attempt = commits.new_attempt(clock)  # of each write: what a failed one left is nobody's
+        runs = [(p.object_id, r.run_id, attempt) for p, _, r in parts]
+        mappings = sum(len(r.mapping_ids) for _, _, r in parts)
+        counting = Counting(F.col("Mapping_ID"), mappings) if mappings <= MAX_COUNTED else None
+        frame = commits.with_attempt(_union([r.detailed for _, _, r in parts]), runs)
+        write_results(frame, f"{out_dir}/detailed", partition_by=commits.PARTITIONS, counting=counting)
+        if counting is not None:
+            return runs, counting.counts()
+        back = _read_back(spark, f"{out_dir}/detailed", frame.schema).where(F.col(commits.ATTEMPT) == attempt)
+        return runs, {r["Mapping_ID"]: r["count"] for r in back.groupBy("Mapping_ID").count().collect()}
 
     if not results:
-        return []
+        return [], [], {}
     try:
-        write([r.detailed for _, _, r in results])
-        return results
+        return results, *write(results)
     except Exception:  # noqa: BLE001 - some object's plan; each is now tried alone
         pass
-    written = []
+    written, runs, counts = [], [], {}
     for p, one, r in results:
         try:
             try:
-                write([r.detailed])
+                done = write([(p, one, r)])
             except Exception:  # noqa: BLE001 - some check of this object
                 one.broken.update(broken_checks(r))
                 r = validate(spark, one)
-                write([r.detailed])
+                done = write([(p, one, r)])
             written.append((p, one, r))
+            runs += done[0]
+            counts |= done[1]
         except Exception as exc:  # noqa: BLE001 - the object itself cannot be read
             report.failed_objects[p.object_id] = _short(exc)
-    return written
+    return written, runs, counts
 
 
-def _write_summaries(spark: SparkSession, results: list[Evaluated], catalog: Catalog, out_dir: str, clock: RunClock,
-                     alert_mode: str) -> None:
+def _write_summaries(spark: SparkSession, results: list[Evaluated], runs: Runs, found: dict[int, int], catalog: Catalog,
+                     out_dir: str, clock: RunClock, alert_mode: str) -> None:
     """Aggregates, object log, rule errors and alerts, each one frame for all objects."""
-    runs = local_frame(spark, [(p.object_id, r.run_id) for p, _, r in results], "Object_ID int, Run_ID int")
-    # only this attempt's rows: each attempt stamps its own clock
-    written = (_read_back(spark, f"{out_dir}/detailed", results[0][2].detailed.schema)
-               .where((F.col("Period") == date_lit(clock.period)) & (F.col("Last_Update_Date") == ts_lit(clock.now)))
-               .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
-    failure_counts = written.groupBy("Mapping_ID").agg(F.count(F.lit(1)).cast("long").alias("Failure_Count"))
     row_counts = _union([one.source.agg(F.lit(p.object_id).cast("int").alias("Object_ID"),
                                         F.count(F.lit(1)).cast("long").alias("Row_Count")) for p, one, _ in results])
     evaluated = [(p, r, m) for p, _, r in results for m in p.mappings if m.mapping_id in set(r.mapping_ids)]
-    mapping_objects = local_frame(spark, [(m.mapping_id, p.object_id) for p, _, m in evaluated], "Mapping_ID int, Object_ID int")
+    failures = local_frame(spark, [(m.mapping_id, p.object_id, found.get(m.mapping_id, 0)) for p, _, m in evaluated],
+                           "Mapping_ID int, Object_ID int, Failure_Count long")
     # one row per mapping / object: catalog-sized, broadcast
-    counts = (F.broadcast(mapping_objects).join(F.broadcast(row_counts), "Object_ID")
-              .join(F.broadcast(failure_counts), "Mapping_ID", "left")
-              .select("Mapping_ID", F.coalesce("Failure_Count", F.lit(0)).cast("long").alias("Failure_Count"), "Row_Count"))
+    counts = (F.broadcast(failures).join(F.broadcast(row_counts), "Object_ID")
+              .select("Mapping_ID", "Failure_Count", "Row_Count"))
     meta = mapping_meta(spark, [(p.object_name, r.run_id, m) for p, r, m in evaluated])
-    aggregated = summary.aggregated_rows(counts, meta, catalog.rule_threshold, clock.now)
-    keep = {"partition_by": RESULT_PARTITIONS, "replace_partitions": True}
-    write_results(aggregated, f"{out_dir}/aggregated", **keep)
-    write_results(_union([r.object_log for _, _, r in results]).withColumn("Run_ID", F.col("Object_Log_ID")),
-                  f"{out_dir}/object_log", **keep)
-    errors = _union([r.rule_errors.withColumn("Run_ID", F.lit(r.run_id).cast("int")) for _, _, r in results])
-    write_results(errors.withColumn("Period", date_lit(clock.period)), f"{out_dir}/rule_errors", **keep)
-    found = [schema_diff(spark, one.source, declared_list(one.declared), p.object_id)
-             .withColumn("Run_ID", F.lit(r.run_id).cast("int")) for p, one, r in results if one.declared is not None]
-    if found:  # S9: columns missing from or beyond the declared schema
-        write_results(_union(found).withColumn("Period", date_lit(clock.period)), f"{out_dir}/schema_findings", **keep)
-    written_agg = (_read_back(spark, f"{out_dir}/aggregated", aggregated.schema).where(F.col("Period") == date_lit(clock.period))
-                   .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi"))
-    write_results(alert_ops.alert_rows(written_agg, catalog, alert_mode).withColumn("Period", date_lit(clock.period)),
-                  f"{out_dir}/alerts", **keep)
-    written_alerts = spark.read.schema(_alert_schema(written_agg, catalog, alert_mode)).parquet(f"{out_dir}/alerts")
-    alert_ops.write_extracts(written_alerts.where(F.col("Period") == date_lit(clock.period))
-                             .join(F.broadcast(runs), ["Object_ID", "Run_ID"], "left_semi").drop("Period"),
-                             f"{out_dir}/extracts/{clock.now:%Y%m%dT%H%M%S}", mode="overwrite")
-    write_results(alert_ops.recipients(written_agg, catalog, alert_mode).withColumn("Period", date_lit(clock.period)),
-                  f"{out_dir}/alert_recipients", **keep)
-
-
-def _alert_schema(aggregated: DataFrame, catalog: Catalog, mode: str):
-    return alert_ops.alert_rows(aggregated, catalog, mode).withColumn("Period", F.current_date()).schema
+    # One row per mapping, computed once: the aggregated table, its alerts and their recipients are made of it.
+    computed = summary.aggregated_rows(counts, meta, catalog.rule_threshold, clock.now)
+    aggregated = local_frame(spark, computed.collect(), computed.schema)
+
+    def write(frame: DataFrame, table: str) -> None:
+        if "Period" not in frame.columns:
+            frame = frame.withColumn("Period", date_lit(clock.period))
+        commits.write_attempt(frame, f"{out_dir}/{table}", runs)
+
+    write(aggregated, "aggregated")
+    write(_union([r.object_log for _, _, r in results]).withColumn("Run_ID", F.col("Object_Log_ID")), "object_log")
+    write(_union([r.rule_errors.withColumn("Run_ID", F.lit(r.run_id).cast("int")) for _, _, r in results]), "rule_errors")
+    differing = [schema_diff(spark, one.source, declared_list(one.declared), p.object_id)
+                 .withColumn("Run_ID", F.lit(r.run_id).cast("int")) for p, one, r in results if one.declared is not None]
+    if differing:  # S9: columns missing from or beyond the declared schema
+        write(_union(differing), "schema_findings")
+    alerts = alert_ops.alert_rows(aggregated, catalog, alert_mode)
+    write(alerts, "alerts")
+    alert_ops.write_extracts(alerts, f"{out_dir}/extracts/{clock.now:%Y%m%dT%H%M%S}", mode="overwrite")
+    write(alert_ops.recipients(aggregated, catalog, alert_mode), "alert_recipients")
 
 
 def _close_states(spark: SparkSession, plans: list[ObjectPlan], window_rows: dict, execution: DataFrame | None,
@@ -223,9 +223,13 @@ def _short(exc: Exception) -> str:
 
 
 def read_result(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    """A state table of earlier runs, held apart from what is written to it from now on."""
-    schema = {"execution": schemas.EXECUTION}.get(table)
-    rows = (spark.read.schema(schema) if schema else spark.read).parquet(f"{out_dir}/{table}")
+    """A result or state table of earlier runs. Result tables are read through the commit log: the rows of each
+    object run's last committed attempt. The state tables ``execution`` and ``object_log`` are held apart
+    from what is written to them from now on."""
+    if table not in ("execution", "object_log"):
+        return commits.read_committed(spark, out_dir, table)
+    rows = (_read_back(spark, f"{out_dir}/execution", schemas.EXECUTION) if table == "execution"
+            else commits.read_committed(spark, out_dir, table))
     # Catalog-sized: one or two rows per object and run.
     return local_frame(spark, rows.collect(), rows.schema)
 
@@ -235,14 +239,5 @@ def empty_execution(spark: SparkSession) -> DataFrame:
 
 
 def current_results(spark: SparkSession, out_dir: str, table: str = "detailed") -> DataFrame:
-    """Rows of a result table that belong to the latest attempt of each object run.
-
-    The object log holds exactly one row per object run, rewritten by every
-    attempt with that attempt's clock; rows an earlier attempt left behind (in a
-    partition the rerun did not rewrite) carry another ``Last_Update_Date`` and
-    are dropped by the semi join.
-    """
-    rows = spark.read.parquet(f"{out_dir}/{table}")
-    log = (spark.read.parquet(f"{out_dir}/object_log")
-           .select("Period", "Object_ID", "Run_ID", "Last_Update_Date"))
-    return rows.join(log, ["Period", "Object_ID", "Run_ID", "Last_Update_Date"], "left_semi")
+    """Rows of a result table that belong to the last committed attempt of each object run."""
+    return commits.read_committed(spark, out_dir, table)

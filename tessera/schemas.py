@@ -53,6 +53,28 @@ SCHEMA_FINDINGS = _schema(
     ("Object_ID", I), ("Column_Name", S), ("Finding", S), ("Detail", S),
 )
 
+# Alerts and their recipients.
+ALERTS = _schema(
+    ("Column_Name", S), ("Rule_ID", I), ("Object_ID", I), ("Run_ID", I), ("Criticality", I), ("Object_Name", S),
+    ("Rule_Description", S), ("Notification_Handler_Text", S),
+)
+RECIPIENTS = _schema(*[(f.name, f.dataType) for f in ALERTS.fields[:-1]], ("Notification_ID", I),
+                     ("Notification_Handler_Text", S), ("Contact_email", S))
+
+# Last committed attempts of object runs (see plans.commits).
+COMMITS = _schema(("Period", DATE), ("Object_ID", I), ("Run_ID", I), ("Attempt", S), ("Seq", I), ("Committed_At", TS))
+
+
+def _of_run(schema: T.StructType) -> T.StructType:
+    """A result table's schema with the columns that name the object run."""
+    named = {"Run_ID": I, "Period": DATE}
+    return T.StructType(schema.fields + [T.StructField(n, t, True) for n, t in named.items() if n not in schema.fieldNames()])
+
+
+# Result tables that are read through the commit log.
+RESULTS = {"detailed": DETAILED, "aggregated": AGGREGATED, "object_log": _of_run(OBJECT_LOG), "rule_errors": _of_run(RULE_ERRORS),
+           "schema_findings": _of_run(SCHEMA_FINDINGS), "alerts": _of_run(ALERTS), "alert_recipients": _of_run(RECIPIENTS)}
+
 # ---- rule catalog ----------------------------------------------------------------
 
 RULE = _schema(("Rule_ID", I), ("Rule_Description", S), ("Rule_Logic", S), ("Test_Type", S))
