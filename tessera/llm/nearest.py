@@ -1,20 +1,24 @@
 """Approximate nearest neighbours (largest inner product) by collision counting.
 
-Directions (vectors over their norms) are indexed, norms kept beside them. Vectors are
-dealt into blocks of bounded size, queries into blocks too, and each pair of blocks is one
-task. A block's index is one sorted array of positions per random projection. A query
-opens a window around its own projection in every array and widens all of them together
-(virtual rehashing: the wider bucket is the next range of the same array); a vector
-collides in each array whose window has reached it, and those that collide in at least
-``threshold`` of the arrays are candidates, verified by the exact inner product in double
-precision. A window's width tells how close to the query's direction a vector that is no
-candidate can be, and with its own norm what inner product it can reach. Windows widen
-until a share of the block (and some fixed number at least) are candidates and no other
-vector can reach the k-th verified score, whatever the norms; those that cannot reach it
-any more are not verified. That reach holds with the certainty ``reach`` names, so results
-stay approximate. The best ``k`` of each block are merged.
-
-Every vector is indexed and every query meets every block. Vectors that are NULL, empty,
+Directions (vectors over their norms) are indexed, norms kept beside them. Vectors are dealt into blocks of
+bounded size, queries into blocks too, and each pair of blocks is one task. A block's index is one sorted array
+of positions per projection line; lines are random orthonormal bases, as many as fill ``arrays`` lines. A query
+opens a window around its own projection in every array, of one width for all; a vector collides in each array
+whose window holds it. Its number of collisions tells its distance from the query's direction, with a known spread
+(a coordinate of a random direction is at most ``x`` with probability ``I(x^2; 1/2, (dim - 1)/2)``).
+
+First the vectors with the most promising collisions and norms are verified by the exact inner product; the k-th
+verified score tells how near a vector must be to count, and the windows are widened to fit that distance
+(virtual rehashing: the wider bucket is the next range of the same array). Then a vector is a candidate if its
+collisions exceed a threshold: the number that a vector of its norm would need to reach the k-th verified score,
+less ``certainty`` standard deviations. All candidates are verified. Nothing else stops the search: no share of the
+block, no number of candidates. The best ``k`` of each block are merged.
+
+Every vector is indexed and every query meets every block, so work is rows times queries: on directions without
+clusters every vector is some distance from every query, and no cell could be left out. Collisions are counted on
+16-bit ranks, a fraction of a multiplication by the vector.
+
+Vectors that are NULL, empty,
 zero or hold NULL or non-finite components take no part, nor do rows without an id.
 Vectors of different length are not comparable: a query meets those of its own length.
 Rows with the query's own id are not its neighbours; queries that repeat are one query.
@@ -36,18 +40,44 @@ from tessera.llm.common import lean_group
 
 @dataclass
 class Config:
-    arrays: int = 72              # random projections
-    threshold: float = 0.6        # share of the arrays a candidate collides in
-    first_width: float = 1.05     # half width of the first window, of unit vectors
-    widen: float = 1.1
-    reach: float = 1.05           # widths per distance at which a vector is taken to be a candidate (96 %)
-    share: float = 0.22           # of a block, candidates at least before windows stop
-    least: int = 1_500            # candidates of a block at least (all, if it has fewer)
-    block: int = 8_192            # vectors of a block, about
-    query_block: int = 2_048      # queries of a block, about
+    arrays: int = 192             # projection lines, 255 at most
+    first: float = 1.0            # distance of directions that the first windows fit
+    fit: float = 1.15             # half width of a window that fits a distance, in standard deviations of a coordinate
+    certainty: float = 0.9        # standard deviations of collisions that a candidate may lack
+    pilot: int = 4                # vectors verified first, in multiples of k
+    block: int = 32_768           # vectors of a block, about
+    query_block: int = 1_024      # queries of a block, about
     seed: int = 20
 
 
+class Spread:
+    """How collisions depend on distance: for ``lines`` lines in ``dim`` dimensions, by the half width over the
+    distance."""
+
+    def __init__(self, dim: int, lines: int, certainty: float):
+        # |coordinate| of a random direction is sin(angle) with density cos(angle)^(dim - 2).
+        angles = np.linspace(0, np.pi / 2, 20_001)[:-1]
+        density = np.cos(angles) ** (max(dim, 2) - 2)
+        mass = np.concatenate([[0], np.cumsum((density[1:] + density[:-1]) / 2)])
+        ratios, chance = np.sin(angles), mass / mass[-1]
+        variance = chance * (1 - chance)
+        if dim >= 8:
+            # Lines of a whole basis share the distance among them: collisions vary less than by chance.
+            t = ratios * np.sqrt(dim)
+            variance -= min(1, lines / dim) * 2 * (t * np.exp(-t * t / 2)) ** 2 / (2 * np.pi)
+        counts = np.arange(lines + 1)
+        least = np.maximum.accumulate(lines * chance - certainty * np.sqrt(lines * np.maximum(variance, 0)) - 0.5)
+        # Per number of collisions: the largest and the likely ratio of half width to distance.
+        self.largest = ratios[np.searchsorted(least, counts, "right") - 1]
+        self.largest[-1] = np.inf
+        self.likely = np.interp((counts + 0.5) / (lines + 1), chance, ratios)
+
+    @staticmethod
+    def cosines(width: float, ratios: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore"):
+            return np.maximum(1 - (width / ratios) ** 2 / 2, -1)
+
+
 def directions_of(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors and norms; first brought to a largest component of 1, so squares neither vanish nor overflow."""
     largest = np.abs(vectors).max(axis=1)
@@ -61,59 +91,66 @@ class Index:
 
     def __init__(self, vectors: np.ndarray, config: Config):
         self.vectors, self.config = vectors, config
+        n, dim = vectors.shape
         units, self.norms = directions_of(vectors)
-        self.lines = np.random.default_rng(config.seed).standard_normal((vectors.shape[1], config.arrays))
-        places = units @ self.lines
-        self.order = np.ascontiguousarray(np.argsort(places, axis=0, kind="stable").T)
-        self.sorted = np.ascontiguousarray(np.sort(places, axis=0).T)
+        rng = np.random.default_rng(config.seed)
+        bases = [np.linalg.qr(rng.standard_normal((dim, dim)))[0] for _ in range(-(-config.arrays // dim))]
+        self.lines = np.concatenate(bases, axis=1)[:, :config.arrays]
+        places = np.ascontiguousarray((units @ self.lines).T)
+        order = np.argsort(places, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(places, order, axis=1)
+        kind = np.uint16 if n < 1 << 16 else np.uint32
+        self.ranks = np.empty(places.shape, kind)
+        np.put_along_axis(self.ranks, order, np.broadcast_to(np.arange(n, dtype=kind), places.shape), axis=1)
+        self.spread = Spread(dim, config.arrays, config.certainty)
+        self.unit = config.fit / np.sqrt(dim)   # half width that fits a distance of 1
+        self.verified = self.asked = 0          # vectors verified and queries asked, in all
+
+    def collisions(self, centre: np.ndarray, width: float) -> np.ndarray:
+        """In how many arrays each vector lies within ``width`` of the query."""
+        counts = np.zeros(len(self.vectors), np.uint8)
+        offset, inside = np.empty(len(self.vectors), self.ranks.dtype), np.empty(len(self.vectors), bool)
+        for ranks, row, c in zip(self.ranks, self.sorted, centre):
+            low, high = row.searchsorted(c - width), row.searchsorted(c + width, "right")
+            if high > low:  # low <= rank < high, as one comparison of unsigned numbers
+                np.subtract(ranks, ranks.dtype.type(low), out=offset)
+                np.less(offset, ranks.dtype.type(high - low), out=inside)
+                np.add(counts, inside.view(np.uint8), out=counts)
+        return counts
 
     def candidates(self, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-        """For each query the positions that collide often enough and can be among its ``k`` best."""
+        """For each query the positions that collide often enough to be among its ``k`` best."""
         config, n = self.config, len(self.vectors)
-        enough = min(n, max(config.least, int(config.share * n)))
-        if enough == n:
-            for query_id in query_ids:
-                yield np.flatnonzero(ids != query_id)
-            return
-        need = int(np.ceil(config.threshold * config.arrays))
         directions, _ = directions_of(queries)
         centres = directions @ self.lines
-        bounds: list[tuple[list, list]] = []  # per width, for all queries at once: where the windows begin and end
-
-        def window(level: int, number: int) -> tuple[list, list]:
-            if level == len(bounds):
-                width = config.first_width * config.widen ** level
-                low = np.stack([row.searchsorted(centres[:, i] - width) for i, row in enumerate(self.sorted)], axis=1)
-                high = np.stack([row.searchsorted(centres[:, i] + width, "right") for i, row in enumerate(self.sorted)], axis=1)
-                bounds.append((low.tolist(), high.tolist()))
-            return bounds[level][0][number], bounds[level][1][number]
-
-        for number in range(len(queries)):
-            low, high = window(0, number)
-            counts = np.bincount(np.concatenate([row[a:b] for row, a, b in zip(self.order, low, high)]), minlength=n)
-            level, scores = 0, np.full(n, -np.inf)
-            able = ids != query_ids[number]  # neither verified nor known to stay under the k-th verified score
+        width = config.first * self.unit
+        for number, query_id in enumerate(query_ids):
+            scores, able = np.full(n, -np.inf), ids != query_id
+
+            def verify(found):
+                scores[found] = self.vectors[found] @ directions[number]  # noqa: B023
+                able[found] = False  # noqa: B023
+
             while True:
-                met = counts >= need
-                whole = not any(low) and min(high) == n
-                if whole or np.count_nonzero(met) >= enough:
-                    found = np.flatnonzero(met & able)
-                    scores[found] = self.vectors[found] @ directions[number]
-                    able[found] = False
-                    if whole:
-                        break
-                    distance = config.first_width * config.widen ** level / config.reach
-                    edge = np.partition(scores, n - k)[n - k] if k < n else -np.inf
-                    able &= self.norms * (1 - distance ** 2 / 2) > edge
-                    if not able.any():
-                        break
-                level += 1
-                wider, higher = window(level, number)
-                reached = [row[a:b] for row, a, b in zip(self.order, wider, low)]
-                reached += [row[a:b] for row, a, b in zip(self.order, high, higher)]
-                counts += np.bincount(np.concatenate(reached), minlength=n)
-                low, high = wider, higher
-            yield np.flatnonzero(scores > -np.inf)
+                counts = self.collisions(centres[number], width)
+                likely = np.where(able, self.norms * self.spread.cosines(width, self.spread.likely)[counts], -np.inf)
+                first = np.argpartition(-likely, config.pilot * k)[:config.pilot * k] if n > config.pilot * k else np.arange(n)
+                verify(first[able[first]])
+                best = np.argpartition(-scores, k)[:k] if n > k else np.arange(n)
+                edge = scores[best].min()
+                if edge == -np.inf:  # fewer than k vectors in all
+                    break
+                distance = np.sqrt(max(0.0, 2 - 2 * max(-1.0, edge / np.median(self.norms[best]))))
+                if width >= 0.9 * distance * self.unit:
+                    break
+                width = distance * self.unit
+            if edge > -np.inf:
+                verify(np.flatnonzero(able & (self.norms * self.spread.cosines(width, self.spread.largest)[counts] >= edge)))
+                # The next query starts where this one would have done best.
+                width = max(distance, 1e-3) * self.unit
+            found = np.flatnonzero(scores > -np.inf)
+            self.verified, self.asked = self.verified + len(found), self.asked + 1
+            yield found
 
     def search(self, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
         """(query number, vector numbers, scores) of each query's best candidates."""
@@ -166,6 +203,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     def search(key, base_rows, query_rows):
         out = ([], [], [], [])
         if base_rows.num_rows and query_rows.num_rows:
+            query_rows = query_rows.sort_by("id")
             ids, query_ids = base_rows.column("id").to_numpy(), query_rows.column("id").to_numpy()
             queries_ = matrix(query_rows, "vector")
             for number, found, scores in Index(matrix(base_rows, "vector"), config).search(ids, query_ids, queries_, k):

@@ -228,7 +228,7 @@ def test_nearest_recall_where_windows_stop_early(spark):
     vectors = rng.standard_normal((3_000, 32))
     vectors /= np.linalg.norm(vectors, axis=1)[:, None]
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
-    config = nearest.Config(least=200, block=1_500, query_block=40)
+    config = nearest.Config(block=1_500, query_block=40)
     got = nearest.nearest(table, table.filter("vec_id % 50 = 0"), config=config).collect()
     rows = list(enumerate(vectors))
     want = brute_nearest(rows, rows[::50], 20)
@@ -252,8 +252,46 @@ def test_nearest_recall_whatever_the_norms(norms):
     scores = vectors[asked] @ vectors.T
     scores[np.arange(len(asked)), asked] = -np.inf
     want = np.argsort(-scores, axis=1)[:, :20]
-    found = nearest.Index(vectors, nearest.Config()).search(np.arange(n), asked, vectors[asked], 20)
+    index = nearest.Index(vectors, nearest.Config())
+    found = list(index.search(np.arange(n), asked, vectors[asked], 20))
     assert np.mean([len(set(got) & set(want[number])) / 20 for number, got, _ in found]) >= 0.9
+    assert index.verified / index.asked <= 0.1 * n
+
+
+@pytest.mark.parametrize("folder, most", [("sf0.01", 0.3), ("sf0.1", 0.1)])
+def test_nearest_windows_decide_on_the_given_tables(spark, folder, most):
+    """Recall against brute force, and the share of vectors verified: windows run, no table is searched whole."""
+    table = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet").orderBy("vec_id").toPandas()
+    vectors = np.stack(table["embedding"].to_numpy()).astype(float)
+    asked = np.arange(0, len(vectors), 20)
+    scores = vectors[asked] @ vectors.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    want = np.argsort(-scores, axis=1)[:, :20]
+    index = nearest.Index(vectors, nearest.Config())
+    found = list(index.search(np.arange(len(vectors)), asked, vectors[asked], 20))
+    assert np.mean([len(set(got) & set(want[number])) / 20 for number, got, _ in found]) >= 0.93
+    assert 0 < index.verified / index.asked <= most * len(vectors)
+
+
+@pytest.mark.parametrize("dim, n", [(1, 300), (2, 900), (5, 2_000), (300, 2_000)])
+def test_nearest_in_few_and_many_dimensions(dim, n):
+    vectors = np.random.default_rng(5).standard_normal((n, dim))
+    vectors[7] = vectors[11]
+    asked = np.arange(0, n, 40)
+    scores = vectors[asked] @ vectors.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    want = np.sort(scores, axis=1)[:, ::-1][:, :20]
+    found = list(nearest.Index(vectors, nearest.Config()).search(np.arange(n), asked, vectors[asked], 20))
+    assert np.mean([np.mean(s >= want[number][-1] - 1e-9) * len(s) / 20 for number, _, s in found]) >= 0.9
+
+
+def test_collisions_are_counted_in_every_array():
+    vectors = np.random.default_rng(6).standard_normal((500, 16))
+    index = nearest.Index(vectors, nearest.Config(arrays=40))
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    for width in (0.02, 0.1, 0.5, 3.0):
+        far = np.abs((units - units[3]) @ index.lines)
+        assert (index.collisions(units[3] @ index.lines, width) == (far <= width).sum(axis=1)).all()
 
 
 # Mixing
