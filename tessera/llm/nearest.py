@@ -40,10 +40,10 @@ from tessera.llm.common import lean_group
 
 @dataclass
 class Config:
-    arrays: int = 192             # projection lines, 255 at most
+    arrays: int = 160             # projection lines, 255 at most
     first: float = 1.0            # distance of directions that the first windows fit
     fit: float = 1.15             # half width of a window that fits a distance, in standard deviations of a coordinate
-    certainty: float = 0.9        # standard deviations of collisions that a candidate may lack
+    certainty: float = 0.85       # standard deviations of collisions that a candidate may lack
     pilot: int = 4                # vectors verified first, in multiples of k
     block: int = 32_768           # vectors of a block, about
     query_block: int = 1_024      # queries of a block, about
@@ -78,6 +78,9 @@ class Spread:
             return np.maximum(1 - (width / ratios) ** 2 / 2, -1)
 
 
+TOGETHER = 16    # queries whose first windows are opened together
+
+
 def directions_of(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors and norms; first brought to a largest component of 1, so squares neither vanish nor overflow."""
     largest = np.abs(vectors).max(axis=1)
@@ -106,16 +109,20 @@ class Index:
         self.unit = config.fit / np.sqrt(dim)   # half width that fits a distance of 1
         self.verified = self.asked = 0          # vectors verified and queries asked, in all
 
-    def collisions(self, centre: np.ndarray, width: float) -> np.ndarray:
-        """In how many arrays each vector lies within ``width`` of the query."""
-        counts = np.zeros(len(self.vectors), np.uint8)
-        offset, inside = np.empty(len(self.vectors), self.ranks.dtype), np.empty(len(self.vectors), bool)
-        for ranks, row, c in zip(self.ranks, self.sorted, centre):
-            low, high = row.searchsorted(c - width), row.searchsorted(c + width, "right")
-            if high > low:  # low <= rank < high, as one comparison of unsigned numbers
-                np.subtract(ranks, ranks.dtype.type(low), out=offset)
-                np.less(offset, ranks.dtype.type(high - low), out=inside)
-                np.add(counts, inside.view(np.uint8), out=counts)
+    def collisions(self, centres: np.ndarray, width: float) -> np.ndarray:
+        """Per query (a row of ``centres``): in how many arrays each vector lies within ``width`` of it."""
+        n, kind = len(self.vectors), self.ranks.dtype.type
+        counts = np.zeros((len(centres), n), np.uint8)
+        offset, inside = np.empty(n, kind), np.empty(n, bool)
+        as_numbers = inside.view(np.uint8)
+        for ranks, row, own in zip(self.ranks, self.sorted, centres.T):
+            # An array is gone through for all queries while it is at hand.
+            low, high = row.searchsorted(own - width), row.searchsorted(own + width, "right")
+            for count, a, b in zip(counts, low.tolist(), high.tolist()):
+                if b > a:  # a <= rank < b, as one comparison of unsigned numbers
+                    np.subtract(ranks, kind(a), out=offset)
+                    np.less(offset, kind(b - a), out=inside)
+                    np.add(count, as_numbers, out=count)
         return counts
 
     def candidates(self, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
@@ -125,6 +132,9 @@ class Index:
         centres = directions @ self.lines
         width = config.first * self.unit
         for number, query_id in enumerate(query_ids):
+            if number % TOGETHER == 0:
+                begun, together = width, self.collisions(centres[number:number + TOGETHER], width)
+            width, counts = begun, together[number % TOGETHER]
             scores, able = np.full(n, -np.inf), ids != query_id
 
             def verify(found):
@@ -132,7 +142,6 @@ class Index:
                 able[found] = False  # noqa: B023
 
             while True:
-                counts = self.collisions(centres[number], width)
                 likely = np.where(able, self.norms * self.spread.cosines(width, self.spread.likely)[counts], -np.inf)
                 first = np.argpartition(-likely, config.pilot * k)[:config.pilot * k] if n > config.pilot * k else np.arange(n)
                 verify(first[able[first]])
@@ -144,9 +153,10 @@ class Index:
                 if width >= 0.9 * distance * self.unit:
                     break
                 width = distance * self.unit
+                counts = self.collisions(centres[number:number + 1], width)[0]
             if edge > -np.inf:
                 verify(np.flatnonzero(able & (self.norms * self.spread.cosines(width, self.spread.largest)[counts] >= edge)))
-                # The next query starts where this one would have done best.
+                # The next queries start where this one would have done best.
                 width = max(distance, 1e-3) * self.unit
             found = np.flatnonzero(scores > -np.inf)
             self.verified, self.asked = self.verified + len(found), self.asked + 1

@@ -291,7 +291,7 @@ def test_collisions_are_counted_in_every_array():
     units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
     for width in (0.02, 0.1, 0.5, 3.0):
         far = np.abs((units - units[3]) @ index.lines)
-        assert (index.collisions(units[3] @ index.lines, width) == (far <= width).sum(axis=1)).all()
+        assert (index.collisions(units[3:4] @ index.lines, width) == (far <= width).sum(axis=1)).all()
 
 
 # Mixing
