@@ -137,14 +137,14 @@ class Memo(dict):
             self.clear()
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterable[tuple[int, list[bytes]]]:
+def text_slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterable[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8 bytes) in slices of bounded bytes; NULL becomes empty."""
     texts = batch.column(batch.schema.get_field_index(column))
     wide = texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())
     rows = batch.num_rows
     if not rows:
         return
-    step = max(1, min(rows, math.ceil(rows * SLICE_BYTES / max(1, wide.nbytes))))
+    step = max(1, min(rows, math.ceil(rows * size / max(1, wide.nbytes))))
     for start in range(0, rows, step):
         yield start, [t or b"" for t in wide.slice(start, step).to_pylist()]
 

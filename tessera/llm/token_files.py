@@ -21,6 +21,7 @@ gives no files. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import struct
@@ -29,10 +30,12 @@ import types
 import unicodedata
 import uuid
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +47,9 @@ MAGIC = b"TSEFIDS1"
 FOOTER = "<8sIQQQqQQQQ"
 SAMPLE = 512                     # every 512th set bit has its position kept
 FILE_IDS = 1 << 27               # ids in a file, about, at most
+ENCODE_BYTES = 6 << 20           # text encoded at a time: a word is looked up once in it
+# The letters that stand for bytes in byte-level vocabularies: printable Latin-1 for itself, the rest from 256 on.
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 
 
 @dataclass
@@ -201,8 +207,8 @@ class Encoder:
     ``per_word``: for vocabularies that fold case, drop white space, never look across it,
     split letters from punctuation and mark the last piece of each such part with ``</w>``.
     The ids of a text are then the ids of its words in turn, and those of plain words the
-    ids of their letters and of the ASCII marks behind them. Distinct parts are encoded together
-    and told apart by their last pieces; any other word is encoded as it stands.
+    ids of their letters and of the ASCII marks behind them; any other word is encoded as it stands. Where the
+    tokenizer's settings are those stated here, letters go to its model at once.
     """
 
     MARKS = string.punctuation.encode()
@@ -213,26 +219,27 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.per_word = per_word
-        self.plain = self.without_folding()
+        self.model = self.tokenizer.model if self.folds_as_known() else None  # for parts that need no other step
         self.words: dict[bytes, bytes] = {}
         self.parts = Memo(lambda part: self.bytes_of([part])[0], 300_000)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.width = 2 if len(self.last) <= 1 << 16 else 4
-
-    PROBE = "abc thinking über año élève çà größe ... ,. *** $$$ -- ''"
-
-    def without_folding(self):
-        """The same model without the steps that plain, folded parts do not need; the whole
-        tokenizer where that would not give the same ids."""
-        from tokenizers import Tokenizer, pre_tokenizers
-        plain = Tokenizer(self.tokenizer.model)
-        plain.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        same = all(plain.encode(x, add_special_tokens=False).ids == self.tokenizer.encode(x, add_special_tokens=False).ids
-                   for x in (self.PROBE, *self.PROBE.split()))
-        return plain if same else self.tokenizer
+        largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
+        self.width = 2 if largest < 1 << 16 else 4
+
+    # The steps under which the ids of plain, folded parts are those of the model alone.
+    NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+    PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+    def folds_as_known(self) -> bool:
+        """Whether the tokenizer's own settings are those steps: fold, cut at white space into runs of letters, digits
+        and marks, and give each run to a model that marks its last piece and has no rules of its own besides."""
+        made = json.loads(self.tokenizer.to_str())
+        cut, as_bytes = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}, {}])[:2]
+        model = made["model"]
+        return ((made["normalizer"] or {}).get("normalizers") == self.NORMAL
+                and cut.get("type") == "Split" and cut["pattern"] == {"Regex": self.PIECES} and cut["invert"] and cut["behavior"] == "Removed"
+                and as_bytes.get("type") == "ByteLevel" and not as_bytes["add_prefix_space"] and not as_bytes["use_regex"]
+                and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>"
+                and not any(model[k] for k in ("dropout", "unk_token", "continuing_subword_prefix", "ignore_merges")))
 
     def bytes_of(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -242,7 +249,7 @@ class Encoder:
         """(letters in lower case, mark) of a plain word."""
         letters = raw.rstrip(self.MARKS)
         if letters.isalpha():  # ASCII alone
-            return letters.lower().decode(), raw[len(letters):].decode()
+            return letters.lower().decode(), raw[len(letters):].decode() if len(letters) < len(raw) else ""
         if raw.isascii():
             return None
         word = raw.decode("utf-8", "replace")
@@ -255,15 +262,16 @@ class Encoder:
         return (low, mark) if even and low.isalpha() and unicodedata.is_normalized("NFC", low) else None
 
     def learn(self, parts: list[str]) -> None:
-        """Encode parts together; each ends where a last piece stands."""
-        for at in range(0, len(parts), 5_000):
-            some = parts[at:at + 5_000]
-            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(some):
-                continue  # this vocabulary splits some of them further; they are encoded one by one
-            raw, ends = ids.tobytes(), (ends * 4).tolist()
-            self.parts.update(zip(some, (raw[a:b] for a, b in zip([0, *ends], ends))))
+        """Ids of lower-case letters: straight from the model, their bytes as the letters it knows them by."""
+        if self.model is None:
+            for at in range(0, len(parts), 1_000):
+                some = parts[at:at + 1_000]
+                self.parts.update(zip(some, self.bytes_of(some)))
+            return
+        tokenize = self.model.tokenize
+        for part in parts:
+            known = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
+            self.parts[part] = array("I", [t.id for t in tokenize(known)]).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.per_word:
@@ -273,8 +281,13 @@ class Encoder:
         if len(words) > 400_000:
             words.clear()
         parts.trim()
-        split_texts = [t.split() for t in texts]
-        new = list(set().union(*split_texts).difference(words))
+        # Words as numbers into the slice's distinct ones, told apart by Arrow: a word that is there already is no
+        # Python object. A text that begins or ends in white space has an empty first or last word, of no ids.
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.view(pa.binary()).to_pylist()
+        words[b""] = b""
+        new = [w for w in distinct if w not in words]
         found = [self.split(w) for w in new]
         self.learn(list({f[0] for f in found if f}.difference(parts)))
         words.update((w, parts[f[0]] + parts[f[1]] if f[1] else parts[f[0]]) for w, f in zip(new, found) if f)
@@ -282,7 +295,15 @@ class Encoder:
         for at in range(0, len(odd), 1_000):
             some = odd[at:at + 1_000]
             words.update(zip(some, self.bytes_of([w.decode("utf-8", "replace") for w in some])))
-        return [b"".join(map(words.__getitem__, own)) for own in split_texts]
+        own = [words[w] for w in distinct]
+        pool, sizes = np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) // 4
+        codes = coded.indices.to_numpy()
+        lengths = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        # Each word's ids taken from its place in the pool.
+        ids = pool[np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
+        cuts = (ends[lists.offsets.to_numpy()] * 4).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def encode_files(folder: str, tokenizer: str, end_id: int, per_word: bool, file_ids: int):
@@ -295,7 +316,7 @@ def encode_files(folder: str, tokenizer: str, end_id: int, per_word: bool, file_
         for batch in batches:
             encoder = worker_cache((tokenizer, per_word), lambda: Encoder(tokenizer, per_word))
             keys = batch.column(0).to_pylist()
-            for first, texts in text_slices(batch):
+            for first, texts in text_slices(batch, size=ENCODE_BYTES):
                 for i, ids in enumerate(encoder.encode(texts)):
                     if writer is not None and writer.bounds[-1] >= file_ids:
                         done.append(writer.close())

@@ -585,6 +585,27 @@ def test_word_encoding_equals_whole_texts():
     assert encoder.encode(raw) == plain.encode(raw)
 
 
+def test_words_of_the_given_tables_encode_as_whole_texts(spark):
+    """Every distinct word of all documents of sf0.1, and whole documents, both ways."""
+    texts = [(r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
+    encoder, plain = token_files.Encoder(tokenizer_path(), True), token_files.Encoder(tokenizer_path(), False)
+    assert encoder.model is not None
+    words_ = sorted(set().union(*(t.split() for t in texts)))
+    for at in range(0, len(words_), 20_000):
+        some = words_[at:at + 20_000]
+        assert encoder.encode(some) == plain.encode(some)
+    assert encoder.encode(texts[::10]) == plain.encode(texts[::10])
+
+
+def test_other_settings_use_the_whole_tokenizer(tmp_path):
+    import json
+    made = json.loads(open(tokenizer_path()).read())
+    made["normalizer"]["normalizers"] = made["normalizer"]["normalizers"][:2]     # no lower case
+    (tmp_path / "other.json").write_text(json.dumps(made))
+    encoder = token_files.Encoder(str(tmp_path / "other.json"), True)
+    assert encoder.model is None
+
+
 @pytest.mark.parametrize("values,universe", [([], 0), ([0], 0), ([0, 0, 0], 0), ([5], 5), ([0, 1, 1, 7, 1000], 1000), ([3] * 2000, 10 ** 6)])
 def test_elias_fano_small(values, universe):
     check_elias_fano(np.array(values, np.int64), universe)
