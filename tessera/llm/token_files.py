@@ -211,7 +211,6 @@ class Encoder:
     tokenizer's settings are those stated here, letters go to its model at once.
     """
 
-    MARKS = string.punctuation.encode()
     UNEVEN = set("ΣİıſK")   # letters whose lower case hangs on their place or is no single letter
 
     def __init__(self, path: str, per_word: bool):
@@ -220,8 +219,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.per_word = per_word
         self.model = self.tokenizer.model if self.folds_as_known() else None  # for parts that need no other step
-        self.words: dict[bytes, bytes] = {}
-        self.parts = Memo(lambda part: self.bytes_of([part])[0], 300_000)
+        self.words: dict[bytes, bytes] = {}   # those that are not plain ASCII
+        self.parts = Memo(lambda part: self.bytes_of([part])[0], 400_000)
         largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
         self.width = 2 if largest < 1 << 16 else 4
 
@@ -246,10 +245,7 @@ class Encoder:
         return [np.array(x.ids, "<u4").tobytes() for x in got]
 
     def split(self, raw: bytes) -> tuple[str, str] | None:
-        """(letters in lower case, mark) of a plain word."""
-        letters = raw.rstrip(self.MARKS)
-        if letters.isalpha():  # ASCII alone
-            return letters.lower().decode(), raw[len(letters):].decode() if len(letters) < len(raw) else ""
+        """(letters in lower case, marks) of a plain word beyond ASCII."""
         if raw.isascii():
             return None
         word = raw.decode("utf-8", "replace")
@@ -277,33 +273,54 @@ class Encoder:
         if not self.per_word:
             return [x for at in range(0, len(texts), 64)
                     for x in self.bytes_of([t.decode("utf-8", "replace") for t in texts[at:at + 64]])]
+        # Words as numbers into the slice's distinct ones, told apart by Arrow: what is there already is no Python
+        # object. A text that begins or ends in white space has an empty first or last word, of no ids.
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        pool, sizes = self.ids_of(coded.dictionary)
+        ids, ends = gathered(pool, sizes, coded.indices.to_numpy())
+        raw, cuts = ids.tobytes(), (ends[lists.offsets.to_numpy()] * 4).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def ids_of(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of them) of distinct words in turn."""
         words, parts = self.words, self.parts
-        if len(words) > 400_000:
+        if len(words) > 200_000:
             words.clear()
         parts.trim()
-        # Words as numbers into the slice's distinct ones, told apart by Arrow: a word that is there already is no
-        # Python object. A text that begins or ends in white space has an empty first or last word, of no ids.
-        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
-        coded = lists.flatten().dictionary_encode()
-        distinct = coded.dictionary.view(pa.binary()).to_pylist()
-        words[b""] = b""
-        new = [w for w in distinct if w not in words]
+        # ASCII letters and the marks behind them are cut by Arrow as well, and the distinct letters looked up.
+        letters = pc.ascii_rtrim(distinct, characters=string.punctuation)
+        plain = pc.ascii_is_alpha(letters).to_numpy(zero_copy_only=False)
+        at = pa.array(np.flatnonzero(plain))
+        low = pc.ascii_lower(letters.take(at)).dictionary_encode()
+        marks = pc.ascii_ltrim(distinct.take(at), characters=string.ascii_letters).dictionary_encode()
+        low_parts, mark_parts = low.dictionary.to_pylist(), marks.dictionary.to_pylist()
+        others = distinct.filter(pa.array(~plain)).view(pa.binary()).to_pylist()
+
+        new = [w for w in others if w not in words]
         found = [self.split(w) for w in new]
-        self.learn(list({f[0] for f in found if f}.difference(parts)))
+        self.learn([p for p in {*low_parts, *(f[0] for f in found if f)} if p not in parts])
         words.update((w, parts[f[0]] + parts[f[1]] if f[1] else parts[f[0]]) for w, f in zip(new, found) if f)
         odd = [w for w, f in zip(new, found) if not f]
-        for at in range(0, len(odd), 1_000):
-            some = odd[at:at + 1_000]
+        for start in range(0, len(odd), 1_000):
+            some = odd[start:start + 1_000]
             words.update(zip(some, self.bytes_of([w.decode("utf-8", "replace") for w in some])))
-        own = [words[w] for w in distinct]
-        pool, sizes = np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) // 4
-        codes = coded.indices.to_numpy()
-        lengths = sizes[codes]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        # Each word's ids taken from its place in the pool.
-        ids = pool[np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
-        cuts = (ends[lists.offsets.to_numpy()] * 4).tolist()
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+        pieces = [*(parts[p] for p in low_parts), *(parts[m] if m else b"" for m in mark_parts), *(words[w] for w in others), b""]
+        pool, sizes = np.frombuffer(b"".join(pieces), "<u4"), np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        # Two pieces a word: letters and marks, or the whole word and nothing.
+        two = np.empty((len(plain), 2), np.int64)
+        two[plain, 0], two[plain, 1] = low.indices.to_numpy(), len(low_parts) + marks.indices.to_numpy()
+        two[~plain, 0], two[~plain, 1] = len(low_parts) + len(mark_parts) + np.arange(len(others)), len(pieces) - 1
+        ids, ends = gathered(pool, sizes, two.ravel())
+        return ids, ends[2::2] - ends[:-1:2]
+
+
+def gathered(pool: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, ends): the runs ``codes`` of a pool of runs of ``sizes``, one after the other, and where each begins."""
+    lengths = sizes[codes]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    return pool[np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], lengths) + np.arange(ends[-1])], ends
 
 
 def encode_files(folder: str, tokenizer: str, end_id: int, per_word: bool, file_ids: int):
