@@ -7,6 +7,7 @@ import inspect
 import math
 import uuid
 from collections.abc import Callable, Iterable
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,11 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 2 << 20
 
 
+def whole_rows(df: DataFrame) -> Column:
+    """All columns as one struct: columns made beside it cannot clash with theirs, whatever their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def ascii_lower(column: Column | str) -> Column:
     """A-Z to a-z and nothing else (``lower`` would fold other alphabets too)."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -81,6 +87,22 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tessera-llm/{label}-{uuid.uuid4().hex}"
 
 
+_MADE: list[list[DataFrame]] = []
+
+
+@contextmanager
+def releasing():
+    """Frames that ``saved`` and ``kept`` make inside are dropped at the end, but those taken from the list given."""
+    made: list[DataFrame] = []
+    _MADE.append(made)
+    try:
+        yield made
+    finally:
+        _MADE.pop()
+        for frame in made:
+            release(frame)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -88,6 +110,8 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.saved_path = path
+    if _MADE:
+        _MADE[-1].append(out)
     return out
 
 
@@ -103,7 +127,10 @@ def release(df: DataFrame) -> None:
 def kept(df: DataFrame) -> DataFrame:
     """A frame that several jobs read: held on the executors' disks, with its lineage. What goes
     with a lost executor is computed anew from there."""
-    return df.persist(StorageLevel.DISK_ONLY)
+    out = df.persist(StorageLevel.DISK_ONLY)
+    if _MADE:
+        _MADE[-1].append(out)
+    return out
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, kept, lean, text_slices
+from tessera.llm.common import bound_batches, kept, lean, text_slices, whole_rows
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -197,19 +197,20 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 def mixed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source", **options) -> DataFrame:
-    """The documents, all columns, each row as often as the mix takes it."""
+    """The documents, all columns (of whatever names), each row as often as the mix takes it."""
     plan = mix(documents, id_col, text_col, source_col, **options)
     # Rows that agree in id and text share their copies evenly.
     shares = plan.groupBy(F.col(id_col).alias("mix_id"), F.col("text_hash").alias("mix_hash"),
                           F.col(source_col).alias("mix_source")).agg(F.sum("copies").alias("mix_copies"),
                                                                      F.count("*").alias("mix_rows"))
-    names = documents.columns
-    keyed = documents.withColumn("mix_text_hash", F.xxhash64(F.col(text_col).cast("string")))
-    same = (keyed[id_col].eqNullSafe(shares["mix_id"]) & (keyed["mix_text_hash"] == shares["mix_hash"]) &
-            keyed[source_col].cast("string").eqNullSafe(shares["mix_source"]))
+    keyed = documents.select(whole_rows(documents).alias("row"), F.col(id_col).alias("own_id"),
+                             F.xxhash64(F.col(text_col).cast("string")).alias("own_hash"),
+                             F.col(source_col).cast("string").alias("own_source"))
+    same = (F.col("own_id").eqNullSafe(F.col("mix_id")) & (F.col("own_hash") == F.col("mix_hash")) &
+            F.col("own_source").eqNullSafe(F.col("mix_source")))
     met = keyed.join(shares, same)
-    number = F.row_number().over(Window.partitionBy("mix_id", "mix_text_hash", "mix_source").orderBy("mix_rows"))
+    number = F.row_number().over(Window.partitionBy("mix_id", "own_hash", "mix_source").orderBy("mix_rows"))
     upto = lambda k: F.floor(F.col("mix_copies") * k / F.col("mix_rows"))
     own = F.when(F.col("mix_rows") == 1, F.col("mix_copies")).otherwise(upto(number) - upto(number - 1)).cast("int")
-    return (met.withColumn("mix_own", own).filter("mix_own > 0")
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_own")))).select(*names))
+    return (met.withColumn("own", own).filter("own > 0")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("own"))).alias("copy")).select("row.*"))

@@ -97,11 +97,36 @@ def test_empty_corpus_goes_through(spark, folder, tmp_path):
     assert corpus_pipeline.run(spark, empty).count() == 0
 
 
+CLASHING = ["near_id", "near_hash", "near_nameless", "mix_id", "mix_copies", "key", "row", "row_id", "row_hash", "text_hash", "id", "node",
+            "hit_id", "own", "copy", "component_id", "predicted", "score", "copies", "size", "doc.id"]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_extra_columns_come_through_unchanged(spark, folder, name):
+    """Extra columns with the stages' own names keep their values and types, and change no decision."""
+    docs = queries.table(spark, folder, "documents").coalesce(2)
+    wide = docs.selectExpr("*", *[f"concat('{c} of ', coalesce(CAST(doc_id AS string), 'none')) AS `{c}`" for c in CLASHING])
+    got, want = STAGE[name](spark, wide, folder), STAGE[name](spark, docs, folder)
+    if name == "token_ids":
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        return
+    assert got.columns == wide.columns and dict(got.dtypes)["near_id"] == "string"
+    rows = got.collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == rows_of(want)
+    assert all(r[c] == f"{c} of {'none' if r.doc_id is None else r.doc_id}" for r in rows for c in CLASHING)
+
+
+def test_a_run_leaves_nothing_kept(spark, folder):
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    corpus_pipeline.run(spark, folder).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_equal_their_sql(spark, name):
     got = queries.QUERIES[name](spark, SF001)
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF001}/{table}.parquet'")
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES[name]}) q").fetchall()
     assert Counter(tuple(r) for r in got.collect()) == Counter(want)
