@@ -1,8 +1,14 @@
 """The corpus pipeline: toxicity, near-duplicates, decontamination, mixing, token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and
-read again as the next one's documents. All but the last return the columns they got.
-NULL texts count as empty; empty tables give empty results.
+read again as the next one's documents. All but the last return the columns they got, extra ones of
+whatever name included: documents travel as one struct wherever a stage adds columns of its own.
+A stage's folder and the frames kept while it was made are dropped once the next one is written.
+
+NULL texts count as empty; empty tables give empty results. Rows are told apart by id and text: rows that agree in
+both are one document to the near-duplicate stage and go or stay together in the others, and each is as many copies
+as the mix takes of it. Of documents that tie within a group of near-duplicates the least id stays, of equal ids the
+least text hash; rows without an id stay only where their group has no other.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontamination, mixing, queries, simhash, toxicity
-from tessera.llm.common import saved
+from tessera.llm.common import release, releasing, saved, whole_rows
 
 
 def _with_row(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
@@ -35,12 +41,12 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
     kept = simhash.simhash_groups(docs).groupBy("component_node").agg(F.min(row).alias("row"))
     # One set of keys for the join and for equal rows, so texts are shuffled once for both.
-    keys = ["near_nameless", "near_id", "near_hash"]
+    keys = ["nameless", "own_id", "own_hash"]
     wanted = kept.select(F.col("row.nameless").alias(keys[0]), F.coalesce("row.doc_id", F.lit(0)).alias(keys[1]),
                          F.col("row.text_hash").alias(keys[2]))
-    keyed = docs.withColumns({keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce("doc_id", F.lit(0)),
-                              keys[2]: F.xxhash64(F.col("text").cast("string"))})
-    return keyed.join(wanted, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    keyed = docs.select(whole_rows(docs).alias("document"), F.col("doc_id").isNull().alias(keys[0]),
+                        F.coalesce("doc_id", F.lit(0)).alias(keys[1]), F.xxhash64(F.col("text").cast("string")).alias(keys[2]))
+    return keyed.join(wanted, keys, "left_semi").dropDuplicates(keys).select("document.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,5 +74,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = queries.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with releasing() as made:
+            done = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+            made.pop()  # the stage itself stays
+        if name != STAGES[0][0]:
+            release(docs)
+        docs = done
+    found = STAGES[-1][1](spark, docs, sf_dir)  # its files are written by now
+    release(docs)
+    return found
