@@ -33,6 +33,8 @@ def _value(value, dtype: T.DataType):
         return str(value)
     if isinstance(dtype, T.BooleanType):
         return bool(value)
+    if isinstance(dtype, T.BinaryType):
+        return bytes(value)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return float(value)
     if isinstance(dtype, T.DecimalType):

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.local import local_frame
+from tessera.operators import discovery
 from tessera.operators import profile as PR
 from tessera.plans.suite import OBJECT_IDS, run_rules, table
 from tessera.sources.readers import windowed
@@ -107,13 +110,92 @@ def _profile_merged_sql() -> str:
           "AS samples FROM lineitem" for c in PROFILED)
 
 
+# ---- proposals beyond a column's bounds (F11 with A2, P10, P2) -----------------------------
+
+KEYED = {"lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"],
+         "conversations": ["conv_id", "turn", "role"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus"]}
+
+
+def composite_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = [(name, ", ".join(key)) for name, columns in KEYED.items()
+             for key in discovery.composite_keys(table(spark, sf_dir, name), 3, columns)]
+    return local_frame(spark, found, "table_name string, key_columns string")
+
+
+def _composite_keys_sql() -> str:
+    parts = []
+    for name, columns in KEYED.items():
+        combos = [c for size in (1, 2, 3) for c in combinations(columns, size)]
+        unique = ", ".join(f"count(DISTINCT ({', '.join(c)},)) = count(*) AS u{i}" for i, c in enumerate(combos))
+        for i, c in enumerate(combos):
+            smaller = " ".join(f"AND NOT u{j}" for j, d in enumerate(combos) if set(d) < set(c))
+            parts.append(f"SELECT '{name}' AS table_name, '{', '.join(c)}' AS key_columns FROM (SELECT {unique} FROM {name}) WHERE u{i} {smaller}")
+    return "\nUNION ALL\n".join(parts)
+
+
+# Whole-number columns looked up, and the key columns of other tables that may hold them all.
+LOOKED_UP = {"region": ["r_regionkey"], "nation": ["n_nationkey", "n_regionkey"], "customer": ["c_custkey", "c_nationkey"],
+             "supplier": ["s_suppkey", "s_nationkey"], "orders": ["o_orderkey", "o_custkey"], "lineitem": ["l_orderkey", "l_suppkey"],
+             "labels": ["doc_id"], "documents": ["doc_id"]}
+
+
+def lookup_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {name: table(spark, sf_dir, name).select(*columns) for name, columns in LOOKED_UP.items()}
+    return discovery.lookup_rules(spark, tables).select("table_name", "column_name", "lookup_table", "lookup_column")
+
+
+def _lookup_proposals_sql() -> str:
+    columns = [(t, c) for t, cs in LOOKED_UP.items() for c in cs]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{u}' AS lookup_table, '{d}' AS lookup_column "
+        f"WHERE (SELECT count(DISTINCT {d}) = count(*) FROM {u}) AND (SELECT count(DISTINCT {c}) >= 2 FROM {t}) "
+        f"AND NOT EXISTS (SELECT 1 FROM {t} a WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {d} FROM {u}))"
+        for t, c in columns for u, d in columns if t != u)
+
+
+PATTERNED = {"part": ["p_brand", "p_type", "p_name"], "customer": ["c_name", "c_mktsegment"], "orders": ["o_orderpriority", "o_orderstatus"]}
+
+
+def pattern_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = None
+    for name, columns in PATTERNED.items():
+        one = discovery.patterns(table(spark, sf_dir, name), columns)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _pattern_proposals_sql() -> str:
+    texts = "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, {c} AS value FROM {t} WHERE {c} IS NOT NULL" for t, cs in PATTERNED.items() for c in cs)
+    return rf"""
+        WITH texts AS ({texts}),
+        masked AS (
+          SELECT column_name, regexp_replace(regexp_replace(regexp_replace(value, '[0-9]+', '9', 'g'), '[A-Z]+', 'A', 'g'), '[a-z]+', 'a', 'g') AS mask,
+                 regexp_extract_all(value, '[0-9]+|[A-Z]+|[a-z]+|[^0-9A-Za-z]') AS runs FROM texts),
+        cut AS (SELECT column_name, mask, unnest(runs) AS run, unnest(range(1, len(runs) + 1)) AS place FROM masked),
+        bounds AS (SELECT column_name, mask, place, min(run) AS run, min(length(run)) AS least, max(length(run)) AS most FROM cut GROUP BY ALL),
+        pieces AS (
+          SELECT column_name, mask, place, CASE WHEN regexp_matches(run, '^[0-9A-Za-z]') THEN
+                   CASE WHEN regexp_matches(run, '^[0-9]') THEN '[0-9]' WHEN regexp_matches(run, '^[A-Z]') THEN '[A-Z]' ELSE '[a-z]' END
+                   || CASE WHEN least = 1 AND most = 1 THEN '' WHEN least = most THEN '{{' || least || '}}' ELSE '{{' || least || ',' || most || '}}' END
+                 WHEN run = ' ' THEN run ELSE chr(92) || run END AS piece FROM bounds),
+        joined AS (SELECT column_name, mask, string_agg(piece, '' ORDER BY place) AS body FROM pieces GROUP BY ALL),
+        listed AS (SELECT column_name, count(*) AS n, string_agg(body, '|' ORDER BY mask) AS bodies FROM joined GROUP BY column_name)
+        SELECT column_name, CASE WHEN n = 1 THEN '^' || bodies || '$' ELSE '^(' || bodies || ')$' END AS regex FROM listed WHERE n <= 4"""
+
+
 QUERIES = {
+    "composite_keys": composite_keys,
+    "lookup_proposals": lookup_proposals,
+    "pattern_proposals": pattern_proposals,
     "ladder_bounds": ladder_bounds,
     "ladder_bounds_text": ladder_bounds_text,
     "ladder_counts": ladder_counts,
     "profile_merged": profile_merged,
 }
 ORACLE_SQL = {
+    "composite_keys": _composite_keys_sql(),
+    "lookup_proposals": _lookup_proposals_sql(),
+    "pattern_proposals": _pattern_proposals_sql(),
     "ladder_bounds": _ladder_sql("lineitem", ["l_orderkey", "l_linenumber"], LADDERS),
     "ladder_bounds_text": _ladder_sql("part", ["p_partkey"], PART_LADDERS),
     "ladder_counts": _ladder_counts_sql("lineitem", LADDERS),
