@@ -18,7 +18,7 @@ from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,12 +127,10 @@ def resolve_object(spark: SparkSession, catalog, object_name: str, database: str
 
 
 def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
-    """Adds ``_n`` = 1, 2, ... in the given order: sorted over all tasks, each task's part
-    numbered on from the parts before it. The full candidate key orders ties, so the numbers
-    are the same wherever they are asked for."""
-    fields = T.StructType([*df.schema.fields, T.StructField("_n", T.LongType())])
-    ranked = df.orderBy(*order).rdd.zipWithIndex().map(lambda pair: (*pair[0], pair[1] + 1))
-    return df.sparkSession.createDataFrame(ranked, fields)
+    """Adds ``_n`` = 1, 2, ... in the given order. The full candidate key orders ties, so the numbers are the same
+    wherever they are asked for. One window over all rows: these are the rules a merge adds to the catalog,
+    which its readers hold whole."""
+    return df.withColumn("_n", F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 def append(catalog, result: MergeResult):

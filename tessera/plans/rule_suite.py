@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions.local import local_frame
 from tessera.operators import discovery
+from tessera.operators import history
 from tessera.operators import profile as PR
 from tessera.plans.suite import OBJECT_IDS, run_rules, table
+from tessera.session import checkpoint_dir
 from tessera.sources.readers import windowed
 
 LINE_KEY = "l_orderkey, l_linenumber"
@@ -183,7 +186,35 @@ def _pattern_proposals_sql() -> str:
         SELECT column_name, CASE WHEN n = 1 THEN '^' || bodies || '$' ELSE '^(' || bodies || ')$' END AS regex FROM listed WHERE n <= 4"""
 
 
+# ---- uniqueness against history (A1 over windows) -------------------------------------------
+
+HOURS = [dt.datetime(2024, 1, 15, h) for h in (10, 11, 12, 13)]
+
+
+def distinct_over_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event per user, ever: three hourly windows judged in turn, the last one's failures. The first two are known by
+    their keys alone."""
+    known = history.KeyHistory(spark, f"{checkpoint_dir(spark).rstrip('/')}/tessera-keys/{uuid.uuid4().hex}", 8)
+    events = table(spark, sf_dir, "events")
+    for start, end in zip(HOURS[:2], HOURS[1:3]):
+        known.remember(windowed(events, "ts", start, end), ["user_id"], start)
+    last = windowed(events, "ts", HOURS[2], HOURS[3])
+    return history.uniqueness_failures(last, ["user_id"], ["event_id"], known, HOURS[2])
+
+
+_DISTINCT_OVER_WINDOWS_SQL = """
+    WITH last AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 12:00:00' AND ts < TIMESTAMP '2024-01-15 13:00:00' AND user_id IS NOT NULL),
+    judged AS (
+      SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id) > 1 AS inside,
+             user_id IN (SELECT user_id FROM events WHERE user_id IS NOT NULL
+                         AND ts >= TIMESTAMP '2024-01-15 10:00:00' AND ts < TIMESTAMP '2024-01-15 12:00:00') AS before FROM last)
+    SELECT event_id::VARCHAR AS Primary_Key_Value_s_, user_id::VARCHAR AS Actual_Value,
+           CASE WHEN inside AND before THEN 'window, history' WHEN inside THEN 'window' ELSE 'history' END AS Repeats
+    FROM judged WHERE inside OR before"""
+
+
 QUERIES = {
+    "distinct_over_windows": distinct_over_windows,
     "composite_keys": composite_keys,
     "lookup_proposals": lookup_proposals,
     "pattern_proposals": pattern_proposals,
@@ -193,6 +224,7 @@ QUERIES = {
     "profile_merged": profile_merged,
 }
 ORACLE_SQL = {
+    "distinct_over_windows": _DISTINCT_OVER_WINDOWS_SQL,
     "composite_keys": _composite_keys_sql(),
     "lookup_proposals": _lookup_proposals_sql(),
     "pattern_proposals": _pattern_proposals_sql(),
