@@ -1,57 +1,49 @@
-"""Catalog rows shaped like the reference's seed files (values as the seeds give them)."""
+"""A catalog of our own: a lending library's members, loans, return slips (files), visits (hourly) and a closed branch."""
 
-# Seed rules (Rule_ID, description, logic, type).
+# (Rule_ID, description, logic, type)
 RULES = [
-    (1, "Primary key must not be null", '{"is_nullable": "NO"}', "Custodial"),
-    (2, "Primary key values must be unique (no duplicates)", '{"distinct": true}', "Custodial"),
-    (3, "Email address must match RFC 5321 format",
-     '{"regex": "^[a-zA-Z0-9._%+\\\\-]+@[a-zA-Z0-9.\\\\-]+\\\\.[a-zA-Z]{2,}$"}', "Custodial"),
-    (5, "Status must be one of the allowed values", '{"allowed": ["Active", "Inactive", "Pending", "Closed"]}',
-     "Custodial"),
-    (7, "Amount must be greater than or equal to 0 (min value check)", '{"min": 0}', "Custodial"),
-    (9, "Name field must be at least 2 characters", '{"min_length": 2}', "Custodial"),
-    (11, "Transaction date must be on or after 2020-01-01", '{"min_date": "2020-01-01"}', "Custodial"),
-    (12, "Transaction date must not be in the future", '{"max_date": "CURRENT_DATE"}', "Custodial"),
-    (13, "All column data types must match the BigQuery reference schema", "{}", "Custodial"),
-    (14, "Custom SQL: flag records where amount is negative but status is Active",
-     '{"custom_sql": "SELECT * FROM dfSQL WHERE amount < 0 AND status = \'Active\'"}', "Custodial"),
+    (2, "numbers are there", '{"is_nullable": "NO"}', "Custodial"),
+    (3, "a number is given once", '{"distinct": true}', "Custodial"),
+    (4, "card numbers are two letters and six digits", '{"regex": "^[A-Z]{2}[0-9]{6}$"}', "Custodial"),
+    (6, "membership is of a known kind", '{"allowed": ["adult", "child", "staff"]}', "Custodial"),
+    (8, "fines are not below zero", '{"min": 0}', "Custodial"),
+    (9, "town names have three letters or more", '{"min_length": 3}', "Custodial"),
+    (10, "nothing was lent before the library opened", '{"min_date": "1998-09-01"}', "Custodial"),
+    (12, "nothing is lent tomorrow", '{"max_date": "CURRENT_DATE"}', "Custodial"),
+    (13, "columns have their declared types", "{}", "Custodial"),
+    (14, "staff pay no fines", '{"custom_sql": "SELECT * FROM dfSQL WHERE kind = \'staff\' AND fine > 0"}', "Custodial"),
 ]
 
-# Seed objects.
 # (Object_ID, name, database, extension, PK, period, interval, frequency, active)
 OBJECTS = [
-    (1, "customers", "salesforce", None, "customer_id", "daily", None, "Every day at 06:00 UTC", 1),
-    (2, "orders", "salesforce", None, "order_id", "daily", None, "Every day at 07:00 UTC", 1),
-    (5, "account", "salesforce", "csv", "Id", "full table", None, "On file upload", 1),
-    (7, "events", "analytics", None, "event_id", "daily", 60, "Hourly", 1),
-    (8, "retired", "salesforce", None, "id", "daily", None, None, 0),
+    (1, "members", "library", None, "member_no", "daily", None, "nightly", 1),
+    (2, "loans", "library", None, "loan_no", "daily", None, "nightly", 1),
+    (5, "returns", "library", "csv", "slip", "full table", None, "when a file comes", 1),
+    (7, "visits", "doors", None, "visit_no", "daily", 60, "hourly", 1),
+    (8, "branch_east", "library", None, "member_no", "daily", None, None, 0),
 ]
 
-# Seed mappings.
 # (Mapping_ID, Object_ID, Rule_ID, Column_Name, participating_table, date col, type, active)
 MAPPINGS = [
-    (1, 1, 1, "customer_id", None, None, "Custodial", 1),
-    (2, 1, 2, "customer_id", None, None, "Custodial", 1),
-    (3, 1, 3, "email", None, None, "Custodial", 1),
-    (4, 1, 5, "status", None, None, "Custodial", 1),
-    (5, 1, 9, "name", None, None, "Custodial", 1),
-    (6, 1, 13, "customer_id", None, None, "Custodial", 1),
-    (7, 2, 1, "order_id", None, "order_date", "Custodial", 1),
-    (9, 2, 7, "amount", None, "order_date", "Custodial", 1),
-    (11, 2, 12, "order_date", None, "order_date", "Custodial", 1),
-    (21, 5, 1, "Id", None, None, "Custodial", 1),
-    (22, 5, 2, "Id", None, None, "Custodial", 1),
-    (24, 7, 1, "event_id", None, "event_time", "Custodial", 1),
-    (26, 7, 11, "event_time", None, "event_time", "Custodial", 0),
-    (30, 8, 1, "id", None, None, "Custodial", 1),
+    (2, 1, 2, "member_no", None, None, "Custodial", 1),
+    (3, 1, 3, "member_no", None, None, "Custodial", 1),
+    (5, 1, 4, "card", None, None, "Custodial", 1),
+    (6, 1, 6, "kind", None, None, "Custodial", 1),
+    (8, 1, 9, "town", None, None, "Custodial", 1),
+    (10, 2, 2, "loan_no", None, "lent_on", "Custodial", 1),
+    (12, 2, 8, "fine", None, "lent_on", "Custodial", 1),
+    (13, 2, 12, "lent_on", None, "lent_on", "Custodial", 1),
+    (17, 5, 2, "slip", None, None, "Custodial", 1),
+    (18, 5, 13, "slip", None, None, "Custodial", 1),
+    (20, 7, 3, "visit_no", None, "seen_at", "Custodial", 1),
+    (25, 7, 10, "seen_at", None, "seen_at", "Custodial", 0),
+    (30, 8, 2, "member_no", None, None, "Custodial", 1),
 ]
 
-# Seed thresholds.
-# (Threshold_ID, Mapping_ID, value, criticality, active); mapping 9 has none.
-THRESHOLDS = [(1, 1, 0.0, 3, 1), (2, 2, 0.0, 3, 1), (3, 3, 0.01, 1, 1), (4, 3, 0.05, 2, 1), (5, 3, 0.10, 3, 1),
-              (6, 4, 0.01, 1, 1), (7, 5, 0.01, 1, 1), (8, 6, 0.0, 2, 1), (9, 7, 0.0, 3, 1), (10, 11, 0.0, 3, 1),
-              (11, 21, 0.0, 3, 1), (12, 22, 0.0, 3, 1), (13, 24, 0.0, 3, 1), (14, 26, 0.0, 1, 1),
-              (15, 30, 0.0, 3, 1)]
+# (Threshold_ID, Mapping_ID, value, criticality, active); mapping 12 has none.
+THRESHOLDS = [(i, m, v, c, 1) for i, (m, v, c) in enumerate(
+    [(2, 0.0, 2), (3, 0.0, 3), (5, 0.02, 1), (5, 0.2, 2), (6, 0.05, 1), (8, 0.1, 1), (10, 0.0, 2), (13, 0.0, 3), (17, 0.0, 3), (18, 0.0, 1),
+     (20, 0.0, 2), (25, 0.0, 1), (30, 0.0, 3)], 1)]
 
 # Alert routing with texts and contacts of our own.
 HANDLERS = [(1, "note it"), (2, "look into it today"), (3, "wake somebody")]

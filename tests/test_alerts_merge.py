@@ -35,7 +35,7 @@ def test_recipients(spark):
 
 
 CANDIDATES = [  # rule_id_temp, test_type, column_name, description, logic, confidence, include
-    ("r1", "Custodial", "customer_id", "pk not null", "{'is_nullable': 'NO'}", 0.9, True),   # equal to mapping 1
+    ("r1", "Custodial", "member_no", "pk not null", "{'is_nullable': 'NO'}", 0.9, True),   # equal to mapping 2
     ("r2", "Custodial", "email", "email shape", '{"regex": "@"}', 0.8, True),
     ("r3", "Custodial", "amount", "bad key", '{"custom_spark": "x"}', 0.8, True),
     ("r4", "Business", "order_id", "orphans", "SELECT 1 AS order_id", 0.5, True),
@@ -55,8 +55,8 @@ def test_admission_reasons(spark):
 
 def test_merge_skips_equal_rules_and_numbers_new_ones(spark):
     cat = seed_catalog(spark)
-    res = merge.merge(spark, cat, spark.createDataFrame(CANDIDATES, CAND_SCHEMA), "customers", "salesforce",
-                      "customer_id")
+    res = merge.merge(spark, cat, spark.createDataFrame(CANDIDATES, CAND_SCHEMA), "members", "library",
+                      "member_no")
     assert [r[0] for r in res.skipped.select("rule_id_temp").collect()] == ["r1"]
     rules = sorted((r["Rule_ID"], r["Rule_Logic"]) for r in res.rules.collect())
     assert rules == [(15, '{"regex": "@"}'), (16, "SELECT 1 AS order_id")]
@@ -70,12 +70,12 @@ def test_merge_skips_equal_rules_and_numbers_new_ones(spark):
 def test_merge_is_idempotent(spark):
     cat = seed_catalog(spark)
     cands = spark.createDataFrame(CANDIDATES, CAND_SCHEMA)
-    first = merge.merge(spark, cat, cands, "customers", "salesforce", "customer_id")
+    first = merge.merge(spark, cat, cands, "members", "library", "member_no")
     cat.rule = cat.rule.unionByName(first.rules)
     cat.rule_mapping = cat.rule_mapping.unionByName(first.mappings)
-    again = merge.merge(spark, cat, cands, "customers", "salesforce", "customer_id")
+    again = merge.merge(spark, cat, cands, "members", "library", "member_no")
     assert again.rules.count() == 0 and again.skipped.count() == 3
-    forced = merge.merge(spark, cat, cands, "customers", "salesforce", "customer_id", force=True)
+    forced = merge.merge(spark, cat, cands, "members", "library", "member_no", force=True)
     assert forced.rules.count() == 3
 
 
@@ -85,7 +85,7 @@ def test_equal_rules_of_a_batch_count_once_and_append_closes_the_merge(spark):
             ("a", "Custodial", "score", "first", '{"min": 1, "max": 9}', 0.9, True),
             ("a", "Custodial", "score", "tie", '{"min": 2}', 0.9, True), ("a", "Custodial", "name", "tie", '{"min_length": 3}', 0.9, True)]
     cands = spark.createDataFrame(rows, CAND_SCHEMA)
-    res = merge.merge(spark, cat, cands, "customers", "salesforce", "customer_id")
+    res = merge.merge(spark, cat, cands, "members", "library", "member_no")
     assert res.rules.count() == 3
     ids = lambda frame, *cs: sorted(tuple(r) for r in frame.select(*cs).collect())
     assert ids(res.rules, "Rule_ID") == ids(res.mappings, "Rule_ID")
@@ -95,7 +95,7 @@ def test_equal_rules_of_a_batch_count_once_and_append_closes_the_merge(spark):
     assert {(column[i], logic[i]) for i in logic} == {("score", '{"max": 9, "min": 1}'), ("score", '{"min": 2}'),
                                                       ("name", '{"min_length": 3}')}
     merged = merge.append(cat, res)
-    again = merge.merge(spark, merged, cands, "customers", "salesforce", "customer_id")
+    again = merge.merge(spark, merged, cands, "members", "library", "member_no")
     assert again.rules.count() == 0 and merged.rule.count() == cat.rule.count() + 3
     assert merged.object_lookup.count() == cat.object_lookup.count()
 
@@ -103,7 +103,7 @@ def test_equal_rules_of_a_batch_count_once_and_append_closes_the_merge(spark):
 def test_new_object_and_hard_threshold(spark):
     cat = seed_catalog(spark)
     cands = spark.createDataFrame([("a", "Custodial", "id", "d", '{"distinct": true}', 0.7, True)], CAND_SCHEMA)
-    res = merge.merge(spark, cat, cands, "invoices", "salesforce", "invoice_id")
+    res = merge.merge(spark, cat, cands, "reservations", "library", "reservation_no")
     assert res.object_id.select("Object_ID").first()[0] == 9
     th = res.thresholds.first()
     assert (float(th["Failure_Threshold_Value"]), th["Criticality"]) == (0.0, 3)
@@ -111,9 +111,9 @@ def test_new_object_and_hard_threshold(spark):
 
 def test_existing_primary_key_is_not_overwritten(spark):
     cat = seed_catalog(spark)
-    chosen, conflicts = merge.resolve_object(spark, cat, "customers", "salesforce", "cust_no")
-    assert chosen.select("Primary_Key").first()[0] == "customer_id" and conflicts.count() == 1
-    assert conflicts.select(F.col("_proposed")).first()[0] == "cust_no"
+    chosen, conflicts = merge.resolve_object(spark, cat, "members", "library", "reader_no")
+    assert chosen.select("Primary_Key").first()[0] == "member_no" and conflicts.count() == 1
+    assert conflicts.select(F.col("_proposed")).first()[0] == "reader_no"
 
 
 def test_alert_extracts_per_object(spark, tmp_dir):

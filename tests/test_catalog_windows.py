@@ -17,28 +17,28 @@ CLOCK = RunClock(NOW)
 def test_plan_keeps_active_mappings_with_thresholds(spark):
     rows = rule_plan(seed_catalog(spark)).collect()
     ids = sorted(r["Mapping_ID"] for r in rows)
-    # 9 has no threshold, 26 is inactive, 30 belongs to an inactive object
-    assert ids == [1, 2, 3, 4, 5, 6, 7, 11, 21, 22, 24]
+    # 12 has no threshold, 25 is inactive, 30 belongs to an inactive object
+    assert ids == [2, 3, 5, 6, 8, 10, 13, 17, 18, 20]
 
 
 def test_plan_without_threshold_requirement(spark):
     ids = sorted(r["Mapping_ID"] for r in rule_plan(seed_catalog(spark), require_threshold=False).collect())
-    assert 9 in ids and 26 not in ids and 30 not in ids
+    assert 12 in ids and 25 not in ids and 30 not in ids
 
 
 def test_plan_for_a_file_object_by_database_and_name(spark):
-    rows = rule_plan(seed_catalog(spark), database="salesforce", object_name="account").collect()
-    assert sorted(r["Mapping_ID"] for r in rows) == [21, 22]
+    rows = rule_plan(seed_catalog(spark), database="library", object_name="returns").collect()
+    assert sorted(r["Mapping_ID"] for r in rows) == [17, 18]
 
 
 def test_group_plan_and_database_gate(spark):
     rows = rule_plan(seed_catalog(spark), object_ids=[1, 2]).collect()
     plans = group_plan(rows)
     assert [p.object_id for p in plans] == [1, 2]
-    assert plans[1].date_col == "order_date" and plans[0].primary_key == "customer_id"
-    check_database(rows, "salesforce")
+    assert plans[1].date_col == "lent_on" and plans[0].primary_key == "member_no"
+    check_database(rows, "library")
     with pytest.raises(ValueError):
-        check_database(rule_plan(seed_catalog(spark), object_ids=[7]).collect(), "salesforce")
+        check_database(rule_plan(seed_catalog(spark), object_ids=[7]).collect(), "library")
 
 
 def _objects(spark):
