@@ -15,6 +15,7 @@ from tessera.operators import history
 from tessera.operators import profile as PR
 from tessera.plans.suite import OBJECT_IDS, run_rules, table
 from tessera.session import checkpoint_dir
+from tessera.sources import readers
 from tessera.sources.readers import windowed
 
 LINE_KEY = "l_orderkey, l_linenumber"
@@ -213,7 +214,45 @@ _DISTINCT_OVER_WINDOWS_SQL = """
     FROM judged WHERE inside OR before"""
 
 
+# ---- malformed records (S5, S7) --------------------------------------------------------------
+
+LINES = "o_orderkey bigint, o_totalprice double, o_orderpriority string"
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV and JSON lines, some of them broken: findings for these, the rule's failures among the others."""
+    orders = table(spark, sf_dir, "orders")
+    few, wrong = F.col("o_orderkey") % 50 == 0, F.col("o_orderkey") % 50 == 1
+    price = F.when(wrong, F.lit("dear")).otherwise(F.col("o_totalprice").cast("string"))
+    comma = F.when(few, F.concat_ws(",", "o_orderkey", F.lit("1"))).otherwise(F.concat_ws(",", "o_orderkey", price, "o_orderpriority"))
+    json = F.when(few, F.concat(F.lit('{"o_orderkey": '), "o_orderkey")).otherwise(
+        F.to_json(F.struct("o_orderkey", F.when(~wrong, F.col("o_totalprice")).alias("o_totalprice"), "o_orderpriority")))
+    schema = spark.createDataFrame([], LINES).schema
+    out = None
+    for extension, lines in (("csv", comma), ("json", json)):
+        path = f"{checkpoint_dir(spark).rstrip('/')}/tessera-lines/{uuid.uuid4().hex}"
+        orders.select(lines.alias("value")).write.text(path)
+        rows, findings = readers.read_with_findings(spark, path, extension, schema, 2)
+        failures = run_rules(spark, rows, "orders", "o_orderkey", [(401, 8, "o_totalprice", '{"max": 400000}', "")]).failures
+        told = F.sum(F.regexp_extract("Detail", r": (\d+) record", 1).cast("long"))
+        counts = (findings.agg(F.lit(f"{extension} malformed").alias("what"), F.coalesce(told, F.lit(0)).alias("n"))
+                  .unionByName(failures.agg(F.lit(f"{extension} failing").alias("what"), F.count(F.lit(1)).alias("n")))
+                  .unionByName(rows.agg(F.lit(f"{extension} rows").alias("what"), F.count(F.lit(1)).alias("n"))))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+_MALFORMED_LINES_SQL = """
+    SELECT 'csv malformed' AS what, count(*) FILTER (o_orderkey % 50 < 2) AS n FROM orders
+    UNION ALL SELECT 'csv failing', count(*) FILTER (o_orderkey % 50 >= 2 AND o_totalprice > 400000) FROM orders
+    UNION ALL SELECT 'csv rows', count(*) FILTER (o_orderkey % 50 >= 2) FROM orders
+    UNION ALL SELECT 'json malformed', count(*) FILTER (o_orderkey % 50 = 0) FROM orders
+    UNION ALL SELECT 'json failing', count(*) FILTER (o_orderkey % 50 >= 2 AND o_totalprice > 400000) FROM orders
+    UNION ALL SELECT 'json rows', count(*) FILTER (o_orderkey % 50 > 0) FROM orders"""
+
+
 QUERIES = {
+    "malformed_lines": malformed_lines,
     "distinct_over_windows": distinct_over_windows,
     "composite_keys": composite_keys,
     "lookup_proposals": lookup_proposals,
@@ -224,6 +263,7 @@ QUERIES = {
     "profile_merged": profile_merged,
 }
 ORACLE_SQL = {
+    "malformed_lines": _MALFORMED_LINES_SQL,
     "distinct_over_windows": _DISTINCT_OVER_WINDOWS_SQL,
     "composite_keys": _composite_keys_sql(),
     "lookup_proposals": _lookup_proposals_sql(),

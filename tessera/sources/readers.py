@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,3 +172,45 @@ def load_sample(spark: SparkSession, path: str) -> DataFrame:
         return by_line if CORRUPT in whole.columns else whole
     raise ValueError(f"Unsupported sample data file extension for '{path}'. "
                      "Expected .csv, .json, or .jsonl.")
+
+
+# ---- malformed records (S5, S7) -----------------------------------------------------------
+
+SOURCE_FILE = "_source_file"
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """The schema with a column for records that do not fit it."""
+    return schema if CORRUPT in schema.fieldNames() else T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def permissive(reader, schema: T.StructType):
+    """A batch or stream reader that keeps the text of records it cannot read as the schema says."""
+    return reader.schema(with_corrupt(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def well_formed(df: DataFrame) -> DataFrame:
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def malformed_findings(df: DataFrame, object_id: int, file_col: str = SOURCE_FILE) -> DataFrame:
+    """S9 findings, one per file with malformed records: how many, and the first of them in text order."""
+    found = df.where(F.col(CORRUPT).isNotNull()).groupBy(F.col(file_col).alias("_file")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.substring(CORRUPT, 1, 100)).alias("_first"))
+    detail = F.concat(F.element_at(F.split("_file", "/"), -1), F.lit(": "), F.col("_n").cast("string"), F.lit(" record(s), first: "), F.col("_first"))
+    return found.select(F.lit(object_id).cast("int").alias("Object_ID"), F.lit(None).cast("string").alias("Column_Name"),
+                        F.lit("malformed").alias("Finding"), detail.alias("Detail"), "_file")
+
+
+def read_with_findings(spark: SparkSession, path: str, extension: str, schema: T.StructType, object_id: int,
+                       header: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(well-formed rows, findings) of CSV or JSON files: records of another number of fields, values that are not of
+    the declared type and broken JSON are findings, not rows. The files are read once: the read frame is held on the
+    executors' disks for both (``unpersist`` the rows when done)."""
+    if extension not in ("csv", "json"):
+        raise ValueError(f"Unsupported file extension {extension!r}; expected csv or json")
+    reader = permissive(spark.read, schema)
+    if extension == "csv":
+        reader = reader.option("header", header).option("quote", '"').option("escape", '"')
+    df = reader.format(extension).load(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path")).persist(StorageLevel.DISK_ONLY)
+    return well_formed(df).drop(SOURCE_FILE), malformed_findings(df, object_id).drop("_file")

@@ -17,7 +17,9 @@ duplicating it; offsets live in the stream's checkpoint location. States
 Each object of a micro-batch is judged for itself: one that cannot be validated (a missing
 key column, rows that cannot be read, no rule that can be evaluated) closes its files as
 ``Failure`` with the error in ``rule_errors``; the others are written and the stream goes on.
-Failures are counted per file and mapping in the write of the detailed rows, so key, lookup and
+Records that do not fit the schema (another number of fields, a value of another type, broken
+JSON) are no rows to be judged: they go to ``schema_findings`` with their file and number, from
+the same reading of the files. Failures are counted per file and mapping in the write of the detailed rows, so key, lookup and
 SQL checks run once.
 """
 
@@ -43,6 +45,7 @@ from tessera.operators import alerts, summary
 from tessera.operators.fused import SCOPE
 from tessera.plans.catalog import ObjectPlan
 from tessera.plans.engine import ObjectRun, ValidationResult, broken_checks, mapping_meta, validate
+from tessera.sources.readers import CORRUPT, malformed_findings, permissive
 from tessera.sources.sinks import MAX_COUNTED, Counting
 
 FILE_COL, TABLE_COL = "_source_file", "_table_id"
@@ -53,11 +56,14 @@ class FileBatch:
     """The objects of a micro-batch: judged ones, and those that could not be, with their files and error."""
     judged: list[tuple[ObjectPlan, ObjectRun, ValidationResult]] = field(default_factory=list)
     failed: list[tuple[ObjectPlan, list[tuple[str, int]], str]] = field(default_factory=list)
+    findings: list[DataFrame] = field(default_factory=list)
 
 
 def arrivals(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType,
              options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
+    reader = spark.readStream.format(fmt).options(**(options or {}))
+    # Text formats keep what they cannot read; others have no malformed records.
+    reader = permissive(reader, schema) if fmt in ("csv", "json") else reader.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.load(landing_dir)
@@ -112,6 +118,9 @@ def validate_file_batch(spark: SparkSession, batch: DataFrame, plans: list[Objec
         runs = [(path, first + i) for i, path in enumerate(files)]
         try:
             rows = batch.where(F.col(TABLE_COL) == plan.object_name)
+            if CORRUPT in batch.columns:
+                found.findings.append(malformed_findings(rows, plan.object_id, FILE_COL).withColumnRenamed("_file", SCOPE))
+                rows = rows.where(F.col(CORRUPT).isNull())
             names = [c for c in batch.columns if not c.startswith("_") or c == FILE_COL]
             one = ObjectRun(plan.object_id, plan.object_name, plan.primary_key, rows.select(*names), plan.mappings, clock,
                             thresholds=thresholds, declared=(declared or {}).get(plan.object_id), emit_empty=False,
@@ -189,6 +198,8 @@ def _write_batch(spark: SparkSession, found: FileBatch, out_dir: str, epoch_id:
     frames = [r.rule_errors for _, _, r in found.judged] + ([local_frame(spark, errors, schemas.RULE_ERRORS)] if errors else [])
     if frames:
         write(reduce(lambda a, b: a.unionByName(b), frames), "rule_errors")
+    if found.findings:
+        write(reduce(lambda a, b: a.unionByName(b), found.findings), "schema_findings")
     if failures is not None:
         aggregated = _aggregated(spark, found, failures, clock)
         write(aggregated, "aggregated")
