@@ -40,6 +40,31 @@ def declared_key(declared: str) -> str:
             "BIGNUMERIC": "NUMERIC", "DECIMAL": "NUMERIC", "BIGDECIMAL": "NUMERIC"}.get(head, head)
 
 
+def declared_parts(declared: str) -> list[tuple[str, str]]:
+    """The fields of ``STRUCT<name type, ...>``, the unnamed element of ``ARRAY<type>``; none for other
+    declarations and for what is no whole declaration."""
+    text = declared.strip()
+    head, opened, rest = text.partition("<")
+    if not opened or not rest.endswith(">") or head.strip().upper() not in ("STRUCT", "ARRAY"):
+        return []
+    parts, depth, start = [], 0, 0
+    inner = rest[:-1]
+    for at, sign in enumerate(inner):
+        depth += (sign in "<(") - (sign in ">)")
+        if depth < 0:
+            return []
+        if sign == "," and depth == 0:
+            parts.append(inner[start:at].strip())
+            start = at + 1
+    parts.append(inner[start:].strip())
+    if depth or not all(parts):
+        return []
+    if head.strip().upper() == "ARRAY":
+        return [("", parts[0])] if len(parts) == 1 else []
+    named = [tuple(part.split(None, 1)) for part in parts]
+    return [(n[0].rstrip(":").strip("`"), n[1]) for n in named] if all(len(n) == 2 for n in named) else []
+
+
 def accepts(declared: str, spark_type: str, strict: bool = False) -> bool | None:
     """True/False, or None when the declared type is unknown (no verdict)."""
     key = declared_key(declared)
@@ -54,3 +79,7 @@ def accepts(declared: str, spark_type: str, strict: bool = False) -> bool | None
 # Fixed value: the message's wording.
 def mismatch_message(column: str, spark_type: str, declared: str) -> str:
     return f"{column} detected as {spark_type} type. Schema specifies {declared} type."
+
+
+def missing_message(path: str, declared: str) -> str:
+    return f"{path} is missing. Schema specifies {declared} type."

@@ -13,7 +13,9 @@ from tessera.functions.local import local_frame
 from tessera.operators import discovery
 from tessera.operators import history
 from tessera.operators import profile as PR
-from tessera.plans.suite import OBJECT_IDS, run_rules, table
+from tessera.operators.spec import Mapping
+from tessera.plans.engine import ObjectRun, validate
+from tessera.plans.suite import CLOCK, OBJECT_IDS, run_rules, table
 from tessera.session import checkpoint_dir
 from tessera.sources import readers
 from tessera.sources.readers import windowed
@@ -251,7 +253,32 @@ _MALFORMED_LINES_SQL = """
     UNION ALL SELECT 'json rows', count(*) FILTER (o_orderkey % 50 > 0) FROM orders"""
 
 
+# ---- nested types (P15, S9) ------------------------------------------------------------------
+
+NESTED = [("info", "STRUCT<o_custkey INT64, price STRUCT<o_totalprice DATE, keys ARRAY<BOOL>, o_orderpriority STRING>, lost STRING>", "YES")]
+
+
+def type_check_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wrong and missing parts one, two and three levels below a column."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "struct(o_custkey, struct(o_totalprice, array(o_custkey) AS keys, o_orderpriority) AS price) AS info")
+    m = Mapping(410, 13, 2, "", "{}", "Custodial", "types", "orders", "o_orderkey")
+    return validate(spark, ObjectRun(2, "orders", "o_orderkey", orders, [m], CLOCK, declared=NESTED)).detailed.select(
+        "Mapping_ID", "Primary_Key_Value_s_", "Actual_Value")
+
+
+_TYPE_CHECK_NESTED_SQL = """
+    WITH kinds AS (SELECT max(typeof(o_totalprice)) AS price, max(typeof(o_custkey)) AS id FROM orders),
+    parts(path, kind, declared) AS (
+      SELECT 'info.price.o_totalprice', price, 'DATE' FROM kinds UNION ALL SELECT 'info.price.keys[]', id, 'BOOL' FROM kinds
+      UNION ALL SELECT 'info.lost', NULL, 'STRING' FROM kinds)
+    SELECT 410::INT AS Mapping_ID, path AS Actual_Value, path || CASE WHEN kind IS NULL THEN ' is missing.'
+             ELSE ' detected as ' || lower(kind) || ' type.' END || ' Schema specifies ' || declared || ' type.' AS Primary_Key_Value_s_
+    FROM parts"""
+
+
 QUERIES = {
+    "type_check_nested": type_check_nested,
     "malformed_lines": malformed_lines,
     "distinct_over_windows": distinct_over_windows,
     "composite_keys": composite_keys,
@@ -263,6 +290,7 @@ QUERIES = {
     "profile_merged": profile_merged,
 }
 ORACLE_SQL = {
+    "type_check_nested": _TYPE_CHECK_NESTED_SQL,
     "malformed_lines": _MALFORMED_LINES_SQL,
     "distinct_over_windows": _DISTINCT_OVER_WINDOWS_SQL,
     "composite_keys": _composite_keys_sql(),
