@@ -20,6 +20,8 @@ from tessera.operators.profile import INTEGRAL, SKETCH_BITS, SKETCH_GROUPS, _key
 
 # A sketch of 2^12 hashes is off by 1.6 %: what misses by more than three times that is no candidate.
 MARGIN = 0.05
+# Repeats are looked for in one part in so many of the space of digests, then in all of it: one repeat is proof against a key.
+SHARES = (64, 8, 1)
 KEY_TYPES = (*INTEGRAL, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
@@ -34,12 +36,22 @@ def _sketched(df: DataFrame, hashes: list) -> list[int]:
     return [int(v or 0) for v in row.first()]
 
 
+def _repeated(df: DataFrame, digests: list, share: int) -> set[int]:
+    """The numbers of the digests that two rows have in common, told from one part in ``share`` of the digests' space."""
+    entries = [F.struct(F.lit(i).alias("combo"), a.alias("a"), b.alias("b")) for i, (a, b) in enumerate(digests)]
+    if share > 1:
+        entries = [F.when(F.pmod(a, F.lit(share)) == 0, e) for e, (a, _) in zip(entries, digests)]
+    rows = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    twice = rows.groupBy("combo", "a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return {r["combo"] for r in twice.select("combo").distinct().collect()}
+
+
 def composite_keys(df: DataFrame, max_size: int = 3, columns: list[str] | None = None) -> list[tuple[str, ...]]:
     """The minimal combinations of at most ``max_size`` columns without NULLs that tell all rows apart.
 
     Level by level: combinations that hold a found key are left out, so are those whose columns' distinct counts
-    multiply to less than the rows; the others' distinct counts are sketched together, and those
-    that may reach the number of rows are counted exactly, together.
+    multiply to less than the rows; the others' distinct counts are sketched together. Of those that may reach the
+    number of rows, a repeat in a small share of the digests' space rules out most; what is left is checked in all of it.
     """
     fields = {f.name: f for f in df.schema.fields if isinstance(f.dataType, KEY_TYPES)}
     names = [c for c in (columns or df.columns) if c in fields]
@@ -68,10 +80,12 @@ def composite_keys(df: DataFrame, max_size: int = 3, columns: list[str] | None =
         likely = [c for c, n in zip(level, estimates) if n >= least]
         if not likely:
             continue
-        entries = [F.struct(F.lit(i).alias("combo"), hashed(c, "a").alias("a"), hashed(c, "b").alias("b")) for i, c in enumerate(likely)]
-        keys = df.select(F.explode(F.array(*entries)).alias("e")).groupBy("e.combo", "e.a", "e.b").agg(F.count(F.lit(1)).alias("n"))
-        unique = {r["combo"] for r in keys.groupBy("combo").agg(F.max("n").alias("n")).collect() if r["n"] == 1}
-        found += [c for i, c in enumerate(likely) if i in unique]
+        digests = {c: (hashed(c, "a"), hashed(c, "b")) for c in likely}
+        for share in SHARES:
+            if len(digests) > (share > 1):  # a single one is checked at once
+                repeated = _repeated(df, list(digests.values()), share)
+                digests = {c: d for i, (c, d) in enumerate(digests.items()) if i not in repeated}
+        found += digests
     return found
 
 

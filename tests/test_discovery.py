@@ -43,6 +43,31 @@ def test_nearly_unique_combinations_are_checked_exactly(spark):
     assert discovery.composite_keys(many.unionByName(many.where("a = 7 AND b = 9"))) == []
 
 
+def test_what_a_few_repeats_rule_out_is_not_grouped_whole(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(i // 200, i % 200, *(rng.randrange(700) for _ in range(4))) for i in range(20_000)]
+    names = ["x", "y", "a", "b", "c", "d"]
+    df = spark.createDataFrame(rows, names)
+    grouped, group_by = [], type(df).groupBy
+    monkeypatch.setattr(type(df), "groupBy", lambda self, *cols: grouped.append(self) or group_by(self, *cols))
+    assert discovery.composite_keys(df, max_size=2) == brute_keys(rows, names, 2) == [("x", "y")]
+    monkeypatch.undo()
+    digests = [f for f in grouped if {"e", "combo"} & set(f.columns)]
+    assert digests and sum(f.count() for f in digests) < 2 * len(rows)  # of the six near-unique pairs a share only
+
+
+def test_one_repeat_is_found_wherever_its_digest_lies(spark):
+    rng = random.Random(8)
+    rows = [(i, i + 1, i // 50, i % 50, rng.randrange(3000)) for i in range(2_000)]
+    names = ["i", "j", "x", "y", "a"]
+    schema = "i int, j int, x int, y int, a int"
+    assert discovery.composite_keys(spark.createDataFrame(rows, schema)) == brute_keys(rows, names)
+    for at in range(5):  # one value of j, and one pair of x and y, come twice; i stays a key
+        more = [*rows, (5_000 + at, rows[at][1], rows[9 * at][2], rows[9 * at][3], 4_000)]
+        found = discovery.composite_keys(spark.createDataFrame(more, schema))
+        assert found == brute_keys(more, names) and ("i",) in found and ("j",) not in found and ("x", "y") not in found
+
+
 def test_lookups_are_exact_and_point_at_keys(spark):
     tables = {"items": spark.createDataFrame([(i, f"n{i % 40}", i % 90, "x" if i % 3 else None, 5) for i in range(500)],
                                              "item int, name string, shop long, tag string, one int"),
